@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from packetloom.catalog import traffic
+from collections.abc import Callable
 
-MODULES = (traffic,)
+from packetloom.catalog import labelling, learning, sampling, traffic
 
+CATALOGS = (traffic.query, learning.query, sampling.query, labelling.query)
 
-def queries() -> dict:
-    return {name: run for module in MODULES for name, run in module.QUERIES.items()}
+
+def queries() -> dict[str, Callable]:
+    return {name: run for catalog in CATALOGS for name, run in catalog.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
+    return {name: sql for catalog in CATALOGS for name, sql in catalog.oracle.items()}

@@ -6,25 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetloom.catalog import views as v
+from packetloom.catalog.common import Catalog
 from packetloom.functions.columns import flag_names, log1p_length
 from packetloom.functions.rules import risk_band
 from packetloom.operators import analytics, flows
 from packetloom.schemas import MODEL_FEATURES
 
-QUERIES = {}
-ORACLE = {}
-
-
-def query(sql: str | None = None):
-    """Register a query under its function name together with the SQL it must agree with."""
-
-    def register(run):
-        QUERIES[run.__name__] = run
-        if sql is not None:
-            ORACLE[run.__name__] = sql
-        return run
-
-    return register
+query = Catalog()
 
 
 def micros(name: str):

@@ -30,7 +30,8 @@ def slice_bounds(df: DataFrame, order: Column, slice_rows: int = SLICE_ROWS) ->
 
     One aggregate pass. At most ``MAX_SLICES`` numbers reach the driver.
     """
-    grid = [i / MAX_SLICES for i in range(1, MAX_SLICES)]
+    # the grid is one foldable text literal: thousands of separate literals would be slow to plan
+    grid = F.expr(f"cast(split('{','.join(repr(i / MAX_SLICES) for i in range(1, MAX_SLICES))}', ',') as array<double>)")
     value = order.cast("double")
     row = df.agg(
         F.count(value).alias("n"), F.percentile_approx(value, grid, F.lit(SKETCH_ACCURACY)).alias("grid")
