@@ -1,3 +1,10 @@
 """packetloom: network-traffic analytics as PySpark DataFrame and stream jobs."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions that run in Python workers travel with the job, so executors need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -8,37 +8,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+}
+
+
+def record(**fields: str) -> T.StructType:
+    """Flat record type from ``name="type"`` pairs; needs no running session, unlike a DDL text."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields.items()])
+
+
 # Field names and types of the exchanged records.
-PACKET = T.StructType.fromDDL(
-    "timestamp DOUBLE, src_ip STRING, dst_ip STRING, protocol STRING, length INT, flags STRING, ttl INT, label INT"
-)
+PACKET = record(timestamp="double", src_ip="string", dst_ip="string", protocol="string", length="int", flags="string", ttl="int", label="int")
 
-CAPTURED_PACKET = T.StructType.fromDDL(
-    "path STRING, packet_no BIGINT, timestamp DOUBLE, src_ip STRING, dst_ip STRING, protocol STRING, "
-    "src_port INT, dst_port INT, length INT, flags STRING, ttl INT, label INT"
-)
+CAPTURED_PACKET = record(path="string", packet_no="bigint", timestamp="double", src_ip="string", dst_ip="string", protocol="string", src_port="int", dst_port="int", length="int", flags="string", ttl="int", label="int")
 
-SCORING_REQUEST = T.StructType.fromDDL(
-    "timestamp DOUBLE, src_ip STRING, dst_ip STRING, protocol STRING, length INT, flags STRING"
-)
+SCORING_REQUEST = record(timestamp="double", src_ip="string", dst_ip="string", protocol="string", length="int", flags="string")
 
-EXPLAINED_FEATURE = "STRUCT<feature: STRING, value: DOUBLE, shap_value: DOUBLE, impact: STRING>"
+EXPLAINED_FEATURE = record(feature="string", value="double", shap_value="double", impact="string")
 
-ALERT = T.StructType.fromDDL(
-    "timestamp STRING, src STRING, dst STRING, src_port INT, dst_port INT, proto STRING, xgb_prob DOUBLE, "
-    "anomaly_score DOUBLE, final_label INT, risk_score DOUBLE, alert_level STRING, reasons STRING, "
-    f"shap_explanation ARRAY<{EXPLAINED_FEATURE}>"
-)
+_ALERT = record(timestamp="string", src="string", dst="string", src_port="int", dst_port="int", proto="string", xgb_prob="double", anomaly_score="double", final_label="int", risk_score="double", alert_level="string", reasons="string")
 
-AUDIT_ENTRY = T.StructType.fromDDL("ts STRING, action STRING, old_label STRING, new_label STRING, by STRING")
+ALERT = T.StructType([*_ALERT.fields, T.StructField("shap_explanation", T.ArrayType(EXPLAINED_FEATURE))])
+
+AUDIT_ENTRY = record(ts="string", action="string", old_label="string", new_label="string", by="string")
 AUDIT_LOG = T.ArrayType(AUDIT_ENTRY)
 
 LABEL_ROW = T.StructType(
-    T.StructType.fromDDL(
-        "flow_id STRING, timestamp STRING, src STRING, dst STRING, src_ip STRING, dst_ip STRING, proto STRING, "
-        "dst_port INT, duration DOUBLE, model_score DOUBLE, reasons STRING, label STRING, label_status STRING, "
-        "label_confidence DOUBLE, annotator_id STRING"
-    ).fields
+    record(flow_id="string", timestamp="string", src="string", dst="string", src_ip="string", dst_ip="string", proto="string", dst_port="int", duration="double", model_score="double", reasons="string", label="string", label_status="string", label_confidence="double", annotator_id="string").fields
     + [T.StructField("audit_log", AUDIT_LOG)]
 )
 
@@ -59,13 +60,7 @@ MODEL_FEATURES = [
     "rst_count",
 ]
 
-FLOW = T.StructType.fromDDL(
-    "timestamp DOUBLE, ts DOUBLE, src_ip STRING, dst_ip STRING, src_port INT, dst_port INT, protocol STRING, "
-    "proto STRING, length BIGINT, flags STRING, service STRING, conn_state STRING, duration DOUBLE, "
-    "orig_pkts BIGINT, resp_pkts BIGINT, pkts_total BIGINT, orig_bytes BIGINT, resp_bytes BIGINT, "
-    "bytes_total BIGINT, pkts_per_sec DOUBLE, bytes_per_sec DOUBLE, iat_mean DOUBLE, iat_std DOUBLE, "
-    "syn_count INT, ack_count INT, rst_count INT, risk_hint INT"
-)
+FLOW = record(timestamp="double", ts="double", src_ip="string", dst_ip="string", src_port="int", dst_port="int", protocol="string", proto="string", length="bigint", flags="string", service="string", conn_state="string", duration="double", orig_pkts="bigint", resp_pkts="bigint", pkts_total="bigint", orig_bytes="bigint", resp_bytes="bigint", bytes_total="bigint", pkts_per_sec="double", bytes_per_sec="double", iat_mean="double", iat_std="double", syn_count="int", ack_count="int", rst_count="int", risk_hint="int")
 
 FIVE_TUPLE = ("src_ip", "dst_ip", "protocol", "src_port", "dst_port")
 LEVELS = ("LOW", "MEDIUM", "HIGH", "CRITICAL")

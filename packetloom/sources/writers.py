@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -10,11 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from packetloom.schemas import record
 from packetloom.session import shared_path
 from packetloom.sources.readers import empty
 
-VERSION = "version"
-
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("header", True).csv(path)
@@ -41,39 +41,39 @@ def append_history(metrics: DataFrame, path: str, at: str | Column) -> None:
 
 
 class SnapshotTable:
-    """Whole-table store under ``<path>/version=<n>``.
+    """Whole-table store: every save is a new version below ``path``, announced by a one-row commit record.
 
-    Every save writes a new version and readers take the newest complete one, so the table that a save reads from is
-    never overwritten and a failed save leaves the old version valid.
+    Readers take the newest announced version, so the table a save reads from is never overwritten and a save
+    that fails half-way leaves the old version valid.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
-    def versions(self) -> list[int]:
+    def versions(self) -> list[str]:
+        """Announced versions, oldest first."""
+        commits = record(version="string", number="bigint")
         try:
-            markers = (
-                self.spark.read.format("binaryFile")
-                .option("recursiveFileLookup", True)
-                .load(f"{self.path}/*/_SUCCESS")
-                .select(F.regexp_extract("path", rf"{VERSION}=(\d+)/", 1).cast("int").alias("v"))
-            )
-            return sorted(r["v"] for r in markers.distinct().collect())
+            rows = self.spark.read.schema(commits).json(f"{self.path}/commits")
         except AnalysisException as error:
             if "PATH_NOT_FOUND" in (error.getCondition() or ""):
                 return []
             raise
+        return [r["version"] for r in rows.orderBy("number", "version").collect()]
 
     def load(self) -> DataFrame:
         found = self.versions()
         if not found:
             return empty(self.spark, self.schema)
-        return self.spark.read.schema(self.schema).json(f"{self.path}/{VERSION}={found[-1]}")
-
-    def save(self, df: DataFrame) -> int:
-        following = max(self.versions(), default=0) + 1
-        df.write.json(f"{self.path}/{VERSION}={following}")
-        return following
+        return self.spark.read.schema(self.schema).json(f"{self.path}/{found[-1]}")
+
+    def save(self, df: DataFrame) -> str:
+        number = len(self.versions()) + 1
+        version = f"version-{number:06d}-{uuid.uuid4().hex[:8]}"
+        df.write.json(f"{self.path}/{version}")
+        commit = self.spark.range(1).select(F.lit(version).alias("version"), F.lit(number).cast("bigint").alias("number"))
+        commit.coalesce(1).write.mode("append").json(f"{self.path}/commits")
+        return version
 
 
 def save_fitted(model: PipelineModel, path: str) -> None:
