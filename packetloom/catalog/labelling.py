@@ -85,7 +85,7 @@ def review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.review_queue(marked_store(spark, sf_dir)).select("flow_id", "label_status")
 
 
-def _verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     critical = v.alerts(spark, sf_dir).where("alert_level = 'CRITICAL'").select("flow_id")
     unknown = spark.range(1).select(F.lit("unknown").alias("flow_id"))
     return critical.unionByName(unknown).select(
@@ -98,7 +98,7 @@ def _verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
   CASE WHEN u.flow_id IS NULL THEN s.label_confidence ELSE 1.0 END AS label_confidence, coalesce(u.annotator_id, s.annotator_id) AS annotator_id
 FROM store s LEFT JOIN updates u ON s.flow_id = u.flow_id""")
 def label_update_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    updated = labels.update_labels(v.label_store(spark, sf_dir), _verdicts(spark, sf_dir), at=v.NOW)
+    updated = labels.update_labels(v.label_store(spark, sf_dir), verdicts(spark, sf_dir), at=v.NOW)
     return updated.select("flow_id", "label", "label_status", "label_confidence", "annotator_id")
 
 
@@ -106,7 +106,7 @@ def label_update_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM store WHERE label IS NOT NULL
 UNION ALL SELECT s.flow_id, CASE WHEN s.label IS NULL THEN 0 ELSE 1 END, '{v.NOW}', 'MANUAL_UPDATE', s.label, u.new_label, u.annotator_id FROM store s JOIN updates u ON s.flow_id = u.flow_id""")
 def audit_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    updated = labels.update_labels(v.label_store(spark, sf_dir), _verdicts(spark, sf_dir), at=v.NOW)
+    updated = labels.update_labels(v.label_store(spark, sf_dir), verdicts(spark, sf_dir), at=v.NOW)
     return labels.audit_entries(updated)
 
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from packetloom.catalog import labelling, learning, sampling, streams, traffic
+from packetloom.catalog import files, labelling, learning, models, sampling, streams, traffic
 
-CATALOGS = (traffic.query, learning.query, sampling.query, labelling.query, streams.query)
+CATALOGS = (traffic.query, learning.query, sampling.query, labelling.query, streams.query, models.query, files.query)
 
 
 def queries() -> dict[str, Callable]:
