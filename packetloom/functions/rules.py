@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from packetloom.functions.columns import present
+
 # Thresholds, scores and texts of the fusion rule.
 ANOMALY_THRESHOLD = -0.12
 SIGNATURE_POINTS = 60.0
@@ -47,7 +49,8 @@ def fuse(label: Column, proba: Column, anomaly: Column, threshold: float = ANOMA
     """
     attack = _holds(label == 1)
     anomalous = _holds(anomaly < F.lit(threshold))
-    signature_points = F.when(attack, proba * F.lit(SIGNATURE_POINTS)).otherwise(F.lit(0.0))
+    # a missing probability adds nothing; NULL would be skipped by least() and read as the maximal risk
+    signature_points = F.when(attack, F.coalesce(proba, F.lit(0.0)) * F.lit(SIGNATURE_POINTS)).otherwise(F.lit(0.0))
     distance = F.abs(anomaly - F.lit(threshold)) * F.lit(ANOMALY_SLOPE)
     anomaly_points = F.when(
         anomalous, F.least(F.lit(ANOMALY_MAX_POINTS), distance + F.lit(ANOMALY_BASE_POINTS))
@@ -95,7 +98,7 @@ def auto_label_rule(
     A NULL or NaN operand never fires a rule. ``strict_case`` accepts only the lower-case protocol text.
     """
     protocol = proto if strict_case else F.lower(proto)
-    scored = _holds(~F.isnan(model_score))
+    scored = present(model_score)
 
     def outcome(label: str, confidence: float, rule: str) -> Column:
         return F.struct(
@@ -119,7 +122,7 @@ def auto_label_rule(
 
 def conflict(label: Column, model_score: Column) -> Column:
     """1 when the label and the model score contradict each other, else 0."""
-    usable = _holds(label != "") & _holds(~F.isnan(model_score))
+    usable = _holds(label != "") & present(model_score)
     contradicts = ((label == "NORMAL") & (model_score > CONFLICT_HIGH)) | (
         (label != "NORMAL") & (model_score < CONFLICT_LOW)
     )
@@ -128,8 +131,7 @@ def conflict(label: Column, model_score: Column) -> Column:
 
 def uncertainty(model_score: Column) -> Column:
     """1 at score 0.5, 0 at scores 0 and 1 and for a missing score."""
-    known = _holds(~F.isnan(model_score))
-    return F.when(known, F.lit(1.0) - F.lit(2.0) * F.abs(model_score - F.lit(0.5))).otherwise(F.lit(0.0))
+    return F.when(present(model_score), F.lit(1.0) - F.lit(2.0) * F.abs(model_score - F.lit(0.5))).otherwise(F.lit(0.0))
 
 
 def review_priority(conflict_score: Column, uncertainty_score: Column) -> Column:

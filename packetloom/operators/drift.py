@@ -111,8 +111,11 @@ def psi(
     numeric = [f for f in common if f not in text]
     find_edges = quantile_edges if method == "quantiles" else equal_width_edges
     edges = find_edges(reference, numeric, buckets) if numeric else {}
-    scored = psi_from_bins(psi_bins(reference, current, edges, () if numeric_only else text))
     names = reference.sparkSession.createDataFrame([(f,) for f in common], "feature string")
+    compared = () if numeric_only else text
+    if not edges and not compared:
+        return names.select("feature", F.lit(0.0).alias("psi"), F.lit(False).alias("drift"))
+    scored = psi_from_bins(psi_bins(reference, current, edges, compared))
     return names.join(scored, "feature", "left").select(
         "feature",
         F.coalesce("psi", F.lit(0.0)).alias("psi"),
@@ -145,7 +148,10 @@ def prediction_drift(
     return counts.select(
         "recent",
         "before",
-        F.coalesce(F.least(change / F.lit(max_change), F.lit(1.0)), F.lit(0.0)).alias("prediction_score"),
+        # least() would skip the NULL of an empty side
+        F.when(change.isNotNull(), F.least(change / F.lit(max_change), F.lit(1.0))).otherwise(F.lit(0.0)).alias(
+            "prediction_score"
+        ),
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, TrainValidationSplit
@@ -282,8 +282,3 @@ def scorer(model: TrafficModel, anomaly: Callable[[DataFrame], DataFrame]) -> Ca
         return anomaly(supervised.withColumn("xgb_label", (F.col("xgb_prob") >= 0.5).cast("int")))
 
     return score
-
-
-def mllib_auc(scored: DataFrame) -> float:
-    """AUC by MLlib over all distinct scores."""
-    return BinaryClassificationEvaluator(labelCol=LABEL, numBins=0).evaluate(scored)
