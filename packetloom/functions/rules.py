@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetloom.functions.columns import present
@@ -42,11 +42,10 @@ def _holds(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def fuse(label: Column, proba: Column, anomaly: Column, threshold: float = ANOMALY_THRESHOLD) -> Column:
-    """Combine a supervised verdict and an anomaly score.
-
-    Returns ``struct(final_label, risk_score, alert_level, reasons)``. Levels follow the unrounded risk.
-    """
+def fusion_signals(
+    label: Column, proba: Column, anomaly: Column, threshold: float = ANOMALY_THRESHOLD
+) -> dict[str, Column]:
+    """First step of the fusion: which signals fired and the unrounded risk."""
     attack = _holds(label == 1)
     anomalous = _holds(anomaly < F.lit(threshold))
     # a missing probability adds nothing; NULL would be skipped by least() and read as the maximal risk
@@ -55,9 +54,18 @@ def fuse(label: Column, proba: Column, anomaly: Column, threshold: float = ANOMA
     anomaly_points = F.when(
         anomalous, F.least(F.lit(ANOMALY_MAX_POINTS), distance + F.lit(ANOMALY_BASE_POINTS))
     ).otherwise(F.lit(0.0))
-    risk = F.least(F.lit(MAX_RISK), signature_points + anomaly_points)
-    zero_day = _holds(label == 0) & anomalous & (risk > ZERO_DAY_RISK)
+    return {
+        "attack": attack,
+        "anomalous": anomalous,
+        "risk": F.least(F.lit(MAX_RISK), signature_points + anomaly_points),
+    }
+
 
+def fusion_verdict(
+    label: Column, proba: Column, anomaly: Column, attack: Column, anomalous: Column, risk: Column
+) -> dict[str, Column]:
+    """Second step: label, rounded risk, level and reason text. Levels follow the unrounded risk."""
+    zero_day = _holds(label == 0) & anomalous & (risk > ZERO_DAY_RISK)
     level = (
         F.when(zero_day, F.lit("HIGH"))
         .when(risk >= CRITICAL_RISK, F.lit("CRITICAL"))
@@ -76,12 +84,37 @@ def fuse(label: Column, proba: Column, anomaly: Column, threshold: float = ANOMA
         F.when(anomalous, F.format_string(ANOMALY_TEXT, anomaly)),
         F.when(zero_day, F.lit(ZERO_DAY_TEXT)),
     )
-    return F.struct(
-        verdict.alias("final_label"),
-        F.round(risk, 2).alias("risk_score"),
-        level.alias("alert_level"),
-        F.when(reasons == "", F.lit(NORMAL_TEXT)).otherwise(reasons).alias("reasons"),
-    )
+    return {
+        "final_label": verdict,
+        "risk_score": F.round(risk, 2),
+        "alert_level": level,
+        "reasons": F.when(attack | anomalous, reasons).otherwise(F.lit(NORMAL_TEXT)),
+    }
+
+
+def fuse(label: Column, proba: Column, anomaly: Column, threshold: float = ANOMALY_THRESHOLD) -> Column:
+    """Combine a supervised verdict and an anomaly score in one ``struct(final_label, risk_score, alert_level, reasons)``.
+
+    ``with_fusion`` gives the same as separate columns, of which the optimizer drops the unused ones.
+    """
+    signals = fusion_signals(label, proba, anomaly, threshold)
+    parts = fusion_verdict(label, proba, anomaly, **signals)
+    return F.struct(*[value.alias(name) for name, value in parts.items()])
+
+
+def with_fusion(
+    df: DataFrame,
+    label: str = "xgb_label",
+    proba: str = "xgb_prob",
+    anomaly: str = "anomaly_score",
+    threshold: float = ANOMALY_THRESHOLD,
+) -> DataFrame:
+    """Add ``final_label``, ``risk_score``, ``alert_level`` and ``reasons``."""
+    inputs = [F.col(c) for c in (label, proba, anomaly)]
+    signals = fusion_signals(*inputs, threshold)
+    staged = df.withColumns({f"__{name}": value for name, value in signals.items()})
+    parts = fusion_verdict(*inputs, **{name: F.col(f"__{name}") for name in signals})
+    return staged.withColumns(parts).drop(*[f"__{name}" for name in signals])
 
 
 def auto_label_rule(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packetloom.functions.columns import alert_caption, event_time
+from packetloom.operators.ordering import smallest
 from packetloom.schemas import column_or
 
 HISTOGRAM_BINS = 20
@@ -26,8 +27,10 @@ def newest_first(df: DataFrame, time_col: str, tie: str) -> DataFrame:
 
 
 def tail(df: DataFrame, rows: int, time_col: str, tie: str) -> DataFrame:
-    """The newest ``rows`` rows; planned as a top-k, not as a full sort."""
-    return newest_first(df, time_col, tie).limit(rows)
+    """The newest ``rows`` rows, found without a full sort."""
+    age = -F.unix_micros(F.col(time_col))
+    timed = df.where(F.col(time_col).isNotNull())
+    return newest_first(smallest(timed, age, [tie], rows), time_col, tie)
 
 
 def kpis(alerts: DataFrame, approximate: bool = False) -> DataFrame:

@@ -81,17 +81,14 @@ def psi_bins(
 
 
 def psi_from_bins(bins: DataFrame) -> DataFrame:
-    """Population stability index per feature; an empty share counts as 1e-4, an empty table gives 0."""
+    """Population stability index per feature; an empty share counts as 1e-4, features empty on one side are left out."""
     totals = bins.groupBy("feature").agg(F.sum("expected").alias("n_expected"), F.sum("actual").alias("n_actual"))
     share = lambda part, whole: F.when(F.col(part) == 0, F.lit(EMPTY_SHARE)).otherwise(F.col(part) / F.col(whole))
     # both inputs are aggregates: one row per feature and bin, one row per feature
     joined = bins.join(totals, "feature").where((F.col("n_expected") > 0) & (F.col("n_actual") > 0))
     e, a = share("expected", "n_expected"), share("actual", "n_actual")
     term = F.when(F.col("bin").isNotNull(), (e - a) * F.ln(e / a)).otherwise(F.lit(0.0))
-    scored = joined.groupBy("feature").agg(F.sum(term).alias("psi"))
-    return totals.select("feature").join(scored, "feature", "left").select(
-        "feature", F.coalesce("psi", F.lit(0.0)).alias("psi")
-    )
+    return joined.groupBy("feature").agg(F.sum(term).alias("psi"))
 
 
 def psi(
@@ -111,16 +108,14 @@ def psi(
     numeric = [f for f in common if f not in text]
     find_edges = quantile_edges if method == "quantiles" else equal_width_edges
     edges = find_edges(reference, numeric, buckets) if numeric else {}
-    names = reference.sparkSession.createDataFrame([(f,) for f in common], "feature string")
+    # every feature starts at 0; a sum instead of a join adds what was found
+    zeros = reference.sparkSession.createDataFrame([(f, 0.0) for f in common], "feature string, psi double")
     compared = () if numeric_only else text
-    if not edges and not compared:
-        return names.select("feature", F.lit(0.0).alias("psi"), F.lit(False).alias("drift"))
-    scored = psi_from_bins(psi_bins(reference, current, edges, compared))
-    return names.join(scored, "feature", "left").select(
-        "feature",
-        F.coalesce("psi", F.lit(0.0)).alias("psi"),
-        (F.coalesce("psi", F.lit(0.0)) > PSI_DRIFT).alias("drift"),
-    )
+    parts = zeros
+    if edges or compared:
+        parts = zeros.unionByName(psi_from_bins(psi_bins(reference, current, edges, compared)))
+    summed = parts.groupBy("feature").agg(F.sum("psi").alias("psi"))
+    return summed.withColumn("drift", F.col("psi") > PSI_DRIFT)
 
 
 def is_severe(level: Column) -> Column:
@@ -130,10 +125,13 @@ def is_severe(level: Column) -> Column:
 def prediction_drift(
     alerts: DataFrame, time_col: str = "at", recent: str = "1 day", max_change: float = MAX_RATE_CHANGE
 ) -> DataFrame:
-    """Change of the severe-alert rate in the last day against all time before, scaled to [0, 1]."""
-    newest = alerts.agg(F.max(time_col).alias("t")).scalar()
-    is_recent = F.col(time_col) >= newest - F.expr(f"INTERVAL {recent}")
-    is_before = F.col(time_col) < newest - F.expr(f"INTERVAL {recent}")
+    """Change of the severe-alert rate in the last day against all time before, scaled to [0, 1].
+
+    The newest time is read first (one column, one value), so the cutoff is a literal in the counting pass.
+    """
+    newest = F.lit(alerts.agg(F.max(time_col)).first()[0]).cast("timestamp")
+    cutoff = newest - F.expr(f"INTERVAL {recent}")
+    is_recent, is_before = F.col(time_col) >= cutoff, F.col(time_col) < cutoff
     severe = is_severe(F.col("alert_level"))
     counts = alerts.agg(
         F.count_if(is_recent).alias("recent"),

@@ -6,11 +6,13 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from packetloom.functions.columns import ratio_or_zero
-from packetloom.operators.ordering import SLICE_ROWS, exact_quantiles, running_totals
+from packetloom.operators.ordering import SLICE_ROWS, exact_quantiles, running_totals, slice_scan
+from packetloom.schemas import record
 
 # Sweep grid and gate limits.
 SWEEP_FROM, SWEEP_TO, SWEEP_STEPS = 0.1, 50.0, 200
@@ -19,6 +21,8 @@ MAX_FAR_INCREASE = 0.005
 CANARY_MIN_F1 = 0.9
 ZERO_DAY_MIN_RECALL = 0.1
 
+MAX_CLASSES = 1000
+
 
 def confusion(df: DataFrame, truth: str = "y", predicted: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
     """tn, fp, fn, tp as one aggregate, optionally per group."""
@@ -128,32 +132,32 @@ def roc_auc(df: DataFrame, score: str, truth: str = "y", slice_rows: int = SLICE
     return totals.agg((F.sum(won) / F.nullif(pairs, F.lit(0.0))).alias("auc"))
 
 
+def class_counts(df: DataFrame, label: str = "y", limit: int = MAX_CLASSES) -> dict:
+    """Rows per class, without NULL. More than ``limit`` classes is an error: the column is no class label."""
+    counted = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    rows = counted.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"{label} has more than {limit} classes")
+    return {r[label]: r["n"] for r in rows}
+
+
 def class_balance(df: DataFrame, label: str = "y") -> DataFrame:
-    """Count per class, the balanced weight n / (k * n_class) and, for two classes, the ratio negatives / positives."""
-    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(
-        F.sum("n").alias("total"), F.count(F.lit(1)).alias("classes"),
-        F.sum(F.when(F.col(label) == 0, F.col("n"))).alias("neg"),
-        F.sum(F.when(F.col(label) == 1, F.col("n"))).alias("pos"),
-    )
-    return counts.select(
-        label,
-        "n",
-        (total.select("total").scalar() / (total.select("classes").scalar() * F.col("n"))).alias("weight"),
-        (total.select("neg").scalar().cast("double") / F.nullif(total.select("pos").scalar(), F.lit(0))).alias("neg_pos_ratio"),
-    )
+    """Count per class, the balanced weight n / (k * n_class) and the ratio of class 0 to class 1."""
+    counts = class_counts(df, label)
+    total, positives = sum(counts.values()), counts.get(1, 0)
+    ratio = counts.get(0, 0) / positives if positives else None
+    rows = [(c, n, total / (len(counts) * n), ratio) for c, n in counts.items()]
+    schema = T.StructType([df.schema[label], *record(n="bigint", weight="double", neg_pos_ratio="double").fields])
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def with_class_weight(df: DataFrame, label: str = "y", name: str = "weight") -> DataFrame:
-    """Balanced weight as a column, for learners with ``weightCol``. Two classes or few: the weights become literals."""
-    from packetloom.operators.features import class_names
-
-    classes = class_names(df, label)
-    rows = df.where(F.col(label).isNotNull()).groupBy(F.col(label).cast("string").alias("c")).count().limit(len(classes)).collect()
-    total = sum(r["count"] for r in rows)
+    """Balanced weight as a column, for learners with ``weightCol``; the few weights are literals."""
+    counts = class_counts(df, label)
+    total = sum(counts.values())
     weight: Column = F.lit(1.0)
-    for r in rows:
-        weight = F.when(F.col(label).cast("string") == r["c"], F.lit(total / (len(rows) * r["count"]))).otherwise(weight)
+    for c, n in counts.items():
+        weight = F.when(F.col(label) == F.lit(c), F.lit(total / (len(counts) * n))).otherwise(weight)
     return df.withColumn(name, weight)
 
 
@@ -193,11 +197,11 @@ def threshold_sweep(df: DataFrame, score: str, truth: str = "y", slice_rows: int
     below a threshold are a prefix sum. The table is not scanned once per threshold.
     """
     known = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
-    size = known.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(truth) == 1).alias("pos")).first()
-    n, positives = size["n"], size["pos"]
+    bounds, size = slice_scan(known, F.col(score), {"positives": F.count_if(F.col(truth) == 1)}, slice_rows)
+    n, positives = size["n"], size["positives"]
     ranks = [p / 100.0 * max(0, n - 1) for p in sweep_percentiles()]
     totals = running_totals(
-        known, score, {"rows": F.count(F.lit(1)), "pos": F.count_if(F.col(truth) == 1)}, slice_rows
+        known, score, {"rows": F.count(F.lit(1)), "pos": F.count_if(F.col(truth) == 1)}, bounds=bounds
     )
     spark = df.sparkSession
     wanted = [(i, part, float(f(r))) for i, r in enumerate(ranks) for part, f in (("low", math.floor), ("high", math.ceil))]
@@ -261,20 +265,17 @@ def flag_below(df: DataFrame, score: str, threshold: float, name: str = "predict
 
 def score_histogram(df: DataFrame, score: str, truth: str = "y", bins: int = 50) -> DataFrame:
     """Density histogram of the scores per class over a common range."""
-    span = df.agg(F.min(score).alias("lo"), F.max(score).alias("hi"))
-    lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
-    width = (hi - lo) / F.lit(float(bins))
-    index = F.when(hi == lo, F.lit(0)).otherwise(
-        F.least(F.floor((F.col(score) - lo) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))
-    )
+    span = df.agg(F.min(score).alias("lo"), F.max(score).alias("hi")).first()
+    lo, hi = (float(x) if x is not None else 0.0 for x in span)
+    width = (hi - lo) / bins
+    index = F.least(F.floor((F.col(score) - lo) / width), F.lit(bins - 1)) if width > 0 else F.lit(0)
     counts = df.where(F.col(score).isNotNull()).groupBy(truth, index.cast("int").alias("bin")).agg(
         F.count(F.lit(1)).alias("count")
     )
-    totals = counts.groupBy(truth).agg(F.sum("count").alias("total"))
-    # both sides are aggregates with one row per class and bin
-    return counts.join(totals, truth).select(
-        truth, "bin", "count", (F.col("count") / (F.col("total") * F.nullif(width, F.lit(0.0)))).alias("density")
-    )
+    # at most `bins` rows per class
+    total = F.sum("count").over(Window.partitionBy(truth))
+    density = F.col("count") / (total * F.lit(width)) if width > 0 else F.lit(None).cast("double")
+    return counts.withColumn("density", density)
 
 
 def promotion_gate(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetloom.functions.hashing import hash_uniform
+from packetloom.operators.ordering import smallest
 
 # Report sizes and texts.
 MAX_EXPLAINED = 2000
@@ -19,7 +20,7 @@ RISK_UP, RISK_DOWN = "Risk Increase", "Risk Decrease"
 
 def take_by_hash(df: DataFrame, key: Sequence[str], rows: int, salt: str = "explain") -> DataFrame:
     """Bounded, repeatable selection of rows to explain or to use as background."""
-    return df.orderBy(hash_uniform([F.col(k) for k in key], salt), *key).limit(rows)
+    return smallest(df, hash_uniform([F.col(k) for k in key], salt), key, rows)
 
 
 def feature_means(df: DataFrame, features: Sequence[str]) -> dict[str, float]:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from packetloom.functions.columns import epoch_seconds, has_flag, safe_rate
 from packetloom.operators.ordering import SLICE, SLICE_ROWS, slice_bounds, with_slice
 from packetloom.schemas import FIVE_TUPLE
+from packetloom.session import settle
 
 WINDOW = "5 seconds"
 
@@ -185,6 +186,23 @@ def flow_sessions(
         .groupBy(*keys, SLICE, "opened")
         .agg(*merged_measures())
     )
+    if bounds:
+        started = _stitched(settle(fragments, "fragments"), keys, gap_micros)
+    else:
+        started = fragments.withColumn("session_start", F.coalesce("opened", "first_ts"))
+    return (
+        started.groupBy(*keys, "session_start")
+        .agg(*merged_measures())
+        .withColumn("session_end", F.col("last_ts"))
+        .withColumn("duration", epoch_seconds(F.col("last_ts")) - epoch_seconds(F.col("first_ts")))
+    )
+
+
+def _stitched(fragments: DataFrame, keys: list[str], gap_micros: Column) -> DataFrame:
+    """Give the first fragment of every slice the start of the session it continues.
+
+    ``fragments`` is a written table, because it is read twice: as a whole and for one summary row per key and slice.
+    """
     across = Window.partitionBy(*keys).orderBy(SLICE)
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
     heads = (
@@ -204,11 +222,4 @@ def flow_sessions(
     )
     # null-safe, so that sessions of an unknown address are kept
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"head_{k}")) for k in [*keys, SLICE]])
-    return (
-        fragments.join(heads, same)
-        .withColumn("session_start", F.coalesce("opened", "head_start"))
-        .groupBy(*keys, "session_start")
-        .agg(*merged_measures())
-        .withColumn("session_end", F.col("last_ts"))
-        .withColumn("duration", epoch_seconds(F.col("last_ts")) - epoch_seconds(F.col("first_ts")))
-    )
+    return fragments.join(heads, same).withColumn("session_start", F.coalesce("opened", "head_start"))

@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 SLICE = "__slice"
@@ -23,25 +23,36 @@ SLICE_ROWS = 2_000_000
 MAX_SLICES = 8192
 SKETCH_ACCURACY = 20_000
 EXACT_VALUES = 1_000_000
+TOP_K_ROWS = 1_000
+MERGE_ROWS = 1_000_000
 
 
 def slice_bounds(df: DataFrame, order: Column, slice_rows: int = SLICE_ROWS) -> list[float]:
-    """Inner borders that cut ``order`` into slices of about ``slice_rows`` rows (empty list: one slice).
+    """Inner borders that cut ``order`` into slices of about ``slice_rows`` rows (empty list: one slice)."""
+    return slice_scan(df, order, {}, slice_rows)[0]
 
-    One aggregate pass. At most ``MAX_SLICES`` numbers reach the driver.
+
+def slice_scan(
+    df: DataFrame, order: Column, extra: Mapping[str, Column], slice_rows: int = SLICE_ROWS
+) -> tuple[list[float], Row]:
+    """Slice borders together with other aggregates of the same pass.
+
+    At most ``MAX_SLICES`` numbers reach the driver.
     """
     # the grid is one foldable text literal: thousands of separate literals would be slow to plan
     grid = F.expr(f"cast(split('{','.join(repr(i / MAX_SLICES) for i in range(1, MAX_SLICES))}', ',') as array<double>)")
     value = order.cast("double")
     row = df.agg(
-        F.count(value).alias("n"), F.percentile_approx(value, grid, F.lit(SKETCH_ACCURACY)).alias("grid")
+        F.count(value).alias("n"),
+        F.percentile_approx(value, grid, F.lit(SKETCH_ACCURACY)).alias("grid"),
+        *[total.alias(name) for name, total in extra.items()],
     ).first()
     slices = min(MAX_SLICES, math.ceil(row["n"] / slice_rows))
     if slices <= 1:
-        return []
+        return [], row
     step = MAX_SLICES / slices
     picked = {row["grid"][min(MAX_SLICES - 2, round(step * i) - 1)] for i in range(1, slices)}
-    return sorted(picked)
+    return sorted(picked), row
 
 
 def with_slice(df: DataFrame, order: Column, bounds: Sequence[float], name: str = SLICE) -> DataFrame:
@@ -59,15 +70,20 @@ def with_slice(df: DataFrame, order: Column, bounds: Sequence[float], name: str
 
 
 def running_totals(
-    df: DataFrame, value: str, sums: Mapping[str, Column], slice_rows: int = SLICE_ROWS
+    df: DataFrame,
+    value: str,
+    sums: Mapping[str, Column],
+    slice_rows: int = SLICE_ROWS,
+    bounds: Sequence[float] | None = None,
 ) -> DataFrame:
     """Per distinct ``value``: each sum of ``sums`` and ``<name>_before``, its total over all smaller values.
 
     Equal values are added up before the shuffle, slices are summed in parallel, and only the totals of the slices
-    (at most ``MAX_SLICES`` rows) are accumulated in one place.
+    (at most ``MAX_SLICES`` rows) are accumulated in one place. ``bounds`` are slice borders found before.
     """
     known = df.where(F.col(value).isNotNull())
-    bounds = slice_bounds(known, F.col(value), slice_rows)
+    if bounds is None:
+        bounds = slice_bounds(known, F.col(value), slice_rows)
     grouped = known.groupBy(value).agg(*[total.alias(name) for name, total in sums.items()])
     sliced = with_slice(grouped, F.col(value), bounds)
     before = Window.partitionBy(SLICE).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
@@ -212,6 +228,52 @@ def order_statistics(
     return {(t.column, t.rank): t.found for t in targets}
 
 
+def smallest(
+    df: DataFrame,
+    order: Column,
+    tie: Sequence[str],
+    n: int,
+    top_k_rows: int = TOP_K_ROWS,
+    merge_rows: int = MERGE_ROWS,
+) -> DataFrame:
+    """The ``n`` rows with the smallest ``order``, ties by ``tie``; all rows when there are not more than ``n``.
+
+    A top-k sends up to ``n`` rows of *every* partition to one task. That is fine for a short list only. For a larger
+    ``n`` a cut value is found first that about ``n`` rows reach in the whole table, so little more than the result is
+    merged; beyond ``merge_rows`` the exact border is located and becomes a filter, and no task merges anything.
+    """
+    keyed = df.withColumn("__order", order.cast("double"))
+    if n <= top_k_rows:
+        return keyed.orderBy("__order", *tie).limit(n).drop("__order")
+    size = keyed.agg(F.count("__order").alias("n")).first()["n"]
+    if size <= n:
+        return df
+    if n > merge_rows:
+        border = order_statistics(keyed, {"__order": [n - 1]}, {"__order": size})["__order", n - 1]
+        below = keyed.where(F.col("__order") < F.lit(border))
+        room = n - below.count()
+        at_border = keyed.where(F.col("__order") == F.lit(border)).orderBy(*tie).limit(room)
+        return below.unionByName(at_border).drop("__order")
+    cut = _cut_above(keyed, n, size, merge_rows)
+    near = keyed if cut is None else keyed.where(F.col("__order") <= F.lit(cut))
+    return near.orderBy("__order", *tie).limit(n).drop("__order")
+
+
+def _cut_above(keyed: DataFrame, n: int, size: int, slack: int) -> float | None:
+    """A value that at least ``n`` and, unless values repeat heavily, at most ``n + slack`` rows do not exceed."""
+    x = F.col("__order")
+    cut, reached = None, size
+    while reached - n > slack:
+        held = x if cut is None else F.when(x <= F.lit(cut), x)
+        share = min(1.0, n / reached + 2.0 / SKETCH_ACCURACY)
+        proposed = keyed.agg(F.percentile_approx(held, share, F.lit(SKETCH_ACCURACY)).alias("c")).first()["c"]
+        count = keyed.agg(F.count_if(x <= F.lit(proposed)).alias("n")).first()["n"]
+        if not n <= count < reached:
+            break
+        cut, reached = proposed, count
+    return cut
+
+
 def _number(df: DataFrame, name: str) -> Column:
     as_double = F.col(f"`{name}`").cast("double")
     return F.when(~F.isnan(as_double), as_double)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetloom.functions.hashing import hash_uniform
-from packetloom.operators.ordering import order_statistics
+from packetloom.operators.ordering import smallest
 from packetloom.schemas import NORMAL_NAMES, column_or
 
 # Sampling policy.
@@ -30,7 +30,6 @@ OUTLIER_MIN_ROWS = 100
 LOCAL_SOURCES = ("local_normal", "local_attack")
 HOLDOUT_MIN_ROWS = 50
 
-TOP_K_ROWS = 200_000
 RANK_CELLS = 1024
 
 
@@ -89,36 +88,17 @@ def sanitize(df: DataFrame) -> DataFrame:
     return drop_outliers(drop_weak_pseudo_labels(tagged))
 
 
-def smallest(df: DataFrame, order: Column, tie: Sequence[str], n: int, top_k_rows: int = TOP_K_ROWS) -> DataFrame:
-    """The ``n`` rows with the smallest ``order``, ties by ``tie``; all rows when there are not more than ``n``.
-
-    Small ``n`` is a top-k. A larger ``n`` must not pass through one task: the n-th smallest value is located exactly
-    and becomes a filter, which every partition applies on its own.
-    """
-    keyed = df.withColumn("__order", order)
-    if n <= top_k_rows:
-        return keyed.orderBy("__order", *tie).limit(n).drop("__order")
-    size = keyed.agg(F.count("__order").alias("n")).first()["n"]
-    if size <= n:
-        return df
-    border = order_statistics(keyed, {"__order": [n - 1]}, {"__order": size})["__order", n - 1]
-    below = keyed.where(F.col("__order") < border)
-    room = n - below.count()
-    at_border = keyed.where(F.col("__order") == border).orderBy(*tie).limit(room)
-    return below.unionByName(at_border).drop("__order")
-
-
-def uniform_sample(df: DataFrame, key: Sequence[str], n: int, salt: str = "uniform", top_k_rows: int = TOP_K_ROWS) -> DataFrame:
-    """``n`` rows without replacement."""
-    return smallest(df, hash_uniform([F.col(k) for k in key], salt), key, n, top_k_rows)
+def uniform_sample(df: DataFrame, key: Sequence[str], n: int, salt: str = "uniform", **how) -> DataFrame:
+    """``n`` rows without replacement (``how``: limits of ``smallest``)."""
+    return smallest(df, hash_uniform([F.col(k) for k in key], salt), key, n, **how)
 
 
 def weighted_sample(
-    df: DataFrame, key: Sequence[str], weight: Column, n: int, salt: str = "weighted", top_k_rows: int = TOP_K_ROWS
+    df: DataFrame, key: Sequence[str], weight: Column, n: int, salt: str = "weighted", **how
 ) -> DataFrame:
     """``n`` rows without replacement, heavier rows more likely (exponential keys, Efraimidis and Spirakis 2006)."""
     u = hash_uniform([F.col(k) for k in key], salt)
-    return smallest(df, -F.ln(u) / weight, key, n, top_k_rows)
+    return smallest(df, -F.ln(u) / weight, key, n, **how)
 
 
 def weighted_sample_with_replacement(

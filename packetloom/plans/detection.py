@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.functions.rules import ANOMALY_THRESHOLD, fuse
+from packetloom.functions.rules import ANOMALY_THRESHOLD, with_fusion
 from packetloom.operators.flows import WINDOW, flow_rollup
 from packetloom.schemas import FIVE_TUPLE, LEVELS, column_or
 
@@ -19,11 +19,10 @@ def to_alerts(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Scored flows (``xgb_label, xgb_prob, anomaly_score``) to alert records at or above ``min_level``."""
-    verdict = fuse(F.col("xgb_label"), F.col("xgb_prob"), F.col("anomaly_score"), threshold)
-    fused = scored.withColumn("verdict", verdict)
+    fused = with_fusion(scored, threshold=threshold)
     levels = LEVELS[LEVELS.index(min_level) :]
     if len(levels) < len(LEVELS):
-        fused = fused.where(F.col("verdict.alert_level").isin(*levels))
+        fused = fused.where(F.col("alert_level").isin(*levels))
     return fused.select(
         *keep,
         F.format_string("%.6f", F.col("timestamp")).alias("timestamp"),
@@ -34,10 +33,10 @@ def to_alerts(
         F.col("protocol").alias("proto"),
         F.col("xgb_prob").cast("double").alias("xgb_prob"),
         F.col("anomaly_score").cast("double").alias("anomaly_score"),
-        "verdict.final_label",
-        "verdict.risk_score",
-        "verdict.alert_level",
-        "verdict.reasons",
+        "final_label",
+        "risk_score",
+        "alert_level",
+        "reasons",
     )
 
 

@@ -7,7 +7,7 @@ header fields of all packets are then read as numpy arrays.
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -30,31 +30,47 @@ ETHERTYPE_IP, ETHERTYPE_VLAN = 0x0800, 0x8100
 TCP, UDP, ICMP = 6, 17, 1
 TCP_FLAG_LETTERS = "FSRPAUEC"  # bit 0 upwards
 BATCH = 20_000
+GROUP_BYTES = 32 * 1024 * 1024
 
 
-def _records(content: bytes, endian: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Start of data, captured and original length and time parts of every complete record."""
-    header = struct.Struct(endian + "IIII")
+def _records(content: bytes, endian: str) -> np.ndarray:
+    """Start of data, captured length and the two time parts of every complete record."""
+    header = struct.Struct(endian + "III")
     rows = []
     at, end = GLOBAL_HEADER, len(content)
     while at + RECORD_HEADER <= end:
-        seconds, fraction, captured, original = header.unpack_from(content, at)
+        seconds, fraction, captured = header.unpack_from(content, at)
         at += RECORD_HEADER
         if at + captured > end:
             break
-        rows.append((at, captured, seconds, fraction, original))
+        rows.append((at, captured, seconds, fraction))
         at += captured
-    table = np.array(rows, dtype=np.int64).reshape(-1, 5)
-    return table[:, 0], table[:, 1], table[:, 2], table[:, 3]
+    return np.array(rows, dtype=np.int64).reshape(-1, 4)
+
+
+def _index(content: bytes) -> tuple[np.ndarray, float, int] | None:
+    """Records, time unit and link type of a capture; None for anything else."""
+    if len(content) < GLOBAL_HEADER or content[:4] not in MAGIC:
+        return None
+    endian, unit = MAGIC[content[:4]]
+    (link,) = struct.unpack_from(endian + "I", content, 20)
+    return (_records(content, endian), unit, link) if link in LINK_OFFSET else None
 
 
 def _u16(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Big-endian 16-bit numbers; positions behind the end of the data are read at its end and masked by the caller."""
+    at = np.minimum(at, len(data) - 2)
     return data[at].astype(np.int32) << 8 | data[at + 1]
 
 
-def _addresses(data: np.ndarray, at: np.ndarray) -> list[str]:
-    parts = [data[at + i] for i in range(4)]
-    return [f"{a}.{b}.{c}.{d}" for a, b, c, d in zip(*parts)]
+def _addresses(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Dotted addresses; every distinct address is formatted once."""
+    packed = np.zeros(len(at), dtype=np.uint32)
+    for i in range(4):
+        packed = packed << np.uint32(8) | data[at + i]
+    distinct, position = np.unique(packed, return_inverse=True)
+    texts = np.array([f"{a >> 24}.{a >> 16 & 255}.{a >> 8 & 255}.{a & 255}" for a in distinct.tolist()], dtype=object)
+    return texts[position] if len(at) else np.array([], dtype=object)
 
 
 def _flag_text(bits: int) -> str:
@@ -64,46 +80,52 @@ def _flag_text(bits: int) -> str:
 FLAG_TEXT = [_flag_text(bits) for bits in range(256)]
 
 
-def decode(path: str, content: bytes, label: int) -> Iterator[pd.DataFrame]:
-    """Packet rows of one capture. Packets without an IPv4 header are left out; ``length`` is the captured length."""
-    if content[:4] not in MAGIC:
-        return
-    endian, unit = MAGIC[content[:4]]
-    (link,) = struct.unpack_from(endian + "I", content, 20)
-    if link not in LINK_OFFSET:
+def decode(paths: Sequence[str], contents: Sequence[bytes], label: int) -> Iterator[pd.DataFrame]:
+    """Packet rows of some captures. Packets without an IPv4 header are left out; ``length`` is the captured length.
+
+    The header fields of all captures are read together as arrays, so many small captures cost no more than one big one.
+    """
+    parts, names, base = [], [], 0
+    for path, content in zip(paths, contents):
+        found = _index(content)
+        if found is not None:
+            records, unit, link = found
+            whole = np.empty((len(records), 5), dtype=np.int64)
+            whole[:, 0] = records[:, 0] + base
+            whole[:, 1] = records[:, 1]
+            whole[:, 2] = np.arange(len(records))
+            whole[:, 3] = link
+            whole[:, 4] = len(names)
+            parts.append((whole, records[:, 2] + records[:, 3] * unit))
+            names.append(path)
+        base += len(content)
+    if not parts:
         return
-    data = np.frombuffer(content, dtype=np.uint8)
-    starts, lengths, seconds, fractions = _records(content, endian)
-    numbers = np.arange(len(starts), dtype=np.int64)
-    for first in range(0, len(starts), BATCH):
+    data = np.frombuffer(contents[0] if len(contents) == 1 else b"".join(contents), dtype=np.uint8)
+    table = np.concatenate([p[0] for p in parts])
+    times = np.concatenate([p[1] for p in parts])
+    known = np.array(names, dtype=object)
+    for first in range(0, len(table), BATCH):
         part = slice(first, first + BATCH)
-        yield _decode_batch(
-            path, data, starts[part], lengths[part], seconds[part] + fractions[part] * unit, numbers[part], link, label
-        )
-
-
-def _decode_batch(path, data, start, length, time, number, link, label) -> pd.DataFrame:
-    limit = len(data)
-
-    def inside(at: np.ndarray) -> np.ndarray:
-        """Positions outside the packet are read at its first byte and masked afterwards."""
-        return np.minimum(at, limit - 1)
-
-    ip = start + LINK_OFFSET[link]
-    if link == LINK_ETHERNET:
-        kind = _u16(data, inside(np.minimum(start + 12, limit - 2)))
-        vlan = kind == ETHERTYPE_VLAN
-        ip = ip + np.where(vlan, 4, 0)
-        inner = _u16(data, np.minimum(start + 16, limit - 2))
-        is_ip = np.where(vlan, inner, kind) == ETHERTYPE_IP
-    elif link == LINK_SLL:
-        is_ip = _u16(data, np.minimum(start + 14, limit - 2)) == ETHERTYPE_IP
-    else:
-        is_ip = np.ones(len(start), dtype=bool)
+        yield _decode_records(data, table[part], times[part], known, label)
+
+
+def _decode_records(data: np.ndarray, table: np.ndarray, time: np.ndarray, names: np.ndarray, label: int) -> pd.DataFrame:
+    start, length, number, link, owner = table.T
     end = start + length
+    offset = np.zeros(len(start), dtype=np.int64)
+    for kind, size in LINK_OFFSET.items():
+        offset[link == kind] = size
+    ether = link == LINK_ETHERNET
+    kind = _u16(data, start + 12)
+    tagged = ether & (kind == ETHERTYPE_VLAN)
+    ip = start + offset + np.where(tagged, 4, 0)
+    carried = np.where(tagged, _u16(data, start + 16), kind)
+    is_ip = np.where(ether, carried == ETHERTYPE_IP, True)
+    is_ip &= np.where(link == LINK_SLL, _u16(data, start + 14) == ETHERTYPE_IP, True)
     is_ip &= ip + 20 <= end
-    is_ip &= (data[inside(ip)] >> 4) == 4
-    start, length, time, number, ip, end = (x[is_ip] for x in (start, length, time, number, ip, end))
+    is_ip &= (data[np.minimum(ip, len(data) - 1)] >> 4) == 4
+    length, time, number, owner, ip, end = (x[is_ip] for x in (length, time, number, owner, ip, end))
     protocol = data[ip + 9]
     transport = ip + (data[ip] & 15).astype(np.int64) * 4
     fragment = (_u16(data, ip + 6) & 0x1FFF) != 0
@@ -116,7 +138,7 @@ def _decode_batch(path, data, start, length, time, number, link, label) -> pd.Da
     bits = data[np.where(tcp, transport + 13, ip)]
     return pd.DataFrame(
         {
-            "path": path,
+            "path": names[owner],
             "packet_no": number,
             "timestamp": time,
             "src_ip": _addresses(data, ip + 12),
@@ -132,13 +154,29 @@ def _decode_batch(path, data, start, length, time, number, link, label) -> pd.Da
     )
 
 
+def _groups(batch: pd.DataFrame) -> Iterator[tuple[list[str], list[bytes]]]:
+    """Captures of a batch in groups of bounded size; a bigger capture is a group of its own."""
+    paths: list[str] = []
+    contents: list[bytes] = []
+    size = 0
+    for path, content in zip(batch["path"], batch["content"]):
+        if contents and size + len(content) > GROUP_BYTES:
+            yield paths, contents
+            paths, contents, size = [], [], 0
+        paths.append(path)
+        contents.append(bytes(content))
+        size += len(content)
+    if contents:
+        yield paths, contents
+
+
 def decode_captures(files: DataFrame, label: int = 0) -> DataFrame:
     """Rows ``(path, content)`` to packet rows; every file gets the same label."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                yield from decode(path, content, label)
+            for paths, contents in _groups(batch):
+                yield from decode(paths, contents, label)
 
     return files.select("path", "content").mapInPandas(run, CAPTURED_PACKET)
 

@@ -30,7 +30,7 @@ def capture(packets, magic=b"\xd4\xc3\xb2\xa1", endian="<", link=1):
 
 
 def rows(content, label=0):
-    return [r for part in captures.decode("f", content, label) for r in part.to_dict("records")]
+    return [r for part in captures.decode(["f"], [content], label) for r in part.to_dict("records")]
 
 
 def test_mixed_capture():
@@ -83,3 +83,11 @@ def test_read_folder(spark, tmp_path):
     assert df.count() == 150
     first = df.orderBy("path", "packet_no").first()
     assert (first["flags"], first["label"], str(first["ts"])) == ("S", 1, "2024-01-01 00:00:00")
+
+
+def test_many_captures_are_decoded_together():
+    one = capture([(1, 0, ethernet(ipv4(6, tcp(1, 2, 2))))])
+    other = capture([(9, 250_000_000, ipv4(17, udp(5, 6)))], b"\xa1\xb2\x3c\x4d", ">", link=101)
+    parts = list(captures.decode(["a", "junk", "b", "a2"], [one, b"junk", other, one], 0))
+    got = [(r["path"], r["timestamp"], r["dst_port"]) for p in parts for r in p.to_dict("records")]
+    assert got == [("a", 1.0, 2), ("b", 9.25, 6), ("a2", 1.0, 2)]

@@ -18,15 +18,25 @@ def keys(df):
     return sorted(r["key"] for r in df.select("key").collect())
 
 
-@pytest.mark.parametrize("n", [0, 1, 3000, 11_999, 12_000, 50_000])
-def test_large_samples_equal_top_k(rows, n):
+WAYS = [{"top_k_rows": 0}, {"top_k_rows": 0, "merge_rows": 50}, {"top_k_rows": 0, "merge_rows": 0}]
+
+
+@pytest.mark.parametrize("how", WAYS)
+@pytest.mark.parametrize("n", [1, 3000, 11_999, 12_000, 50_000])
+def test_large_samples_equal_top_k(rows, n, how):
     weight = F.when(F.col("kind") == "rare", 5.0).otherwise(1.0)
-    top_k = sampling.weighted_sample(rows, ["key"], weight, n)
-    if n:
-        assert keys(sampling.weighted_sample(rows, ["key"], weight, n, top_k_rows=0)) == keys(top_k)
+    top_k = sampling.weighted_sample(rows, ["key"], weight, n, top_k_rows=100_000)
+    assert keys(sampling.weighted_sample(rows, ["key"], weight, n, **how)) == keys(top_k)
     assert top_k.count() == min(n, 12_000)
 
 
+@pytest.mark.parametrize("how", WAYS)
+def test_samples_with_repeated_order_values(rows, how):
+    order = F.when(F.col("kind") == "hot", 1.0).otherwise(F.length("key").cast("double"))
+    want = keys(rows.orderBy(order, "key").limit(5000))
+    assert keys(sampling.smallest(rows, order, ["key"], 5000, **how)) == want
+
+
 def test_uniform_numbers(rows):
     u = np.array([r[0] for r in rows.select(hash_uniform(F.col("key"), "s")).collect()])
     assert 0 < u.min() and u.max() < 1 and abs(u.mean() - 0.5) < 0.02
