@@ -124,7 +124,7 @@ def label_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {learning._JUDGED_SQL} SELECT flow_id, round(least(100.0, CASE WHEN prediction = 1 THEN probability * 60.0 ELSE 0.0 END
     + CASE WHEN anomaly_score < -0.12 THEN least(70.0, abs(anomaly_score + 0.12) * 200.0 + 30.0) ELSE 0.0 END), 7) AS risk,
   round(1 - 2 * abs(probability - 0.5), 7) AS unsure,
-  CASE WHEN prediction = 1 AND probability > 0.8 THEN 1.0 ELSE 0.0 END AS conflict FROM judged""")
+  CASE WHEN prediction = 1 AND probability > 0.8 THEN 1.0 ELSE 0.0 END::DOUBLE AS conflict FROM judged""")
 def sql_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rules called as SQL functions."""
     register_sql_functions(spark)

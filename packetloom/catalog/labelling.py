@@ -21,11 +21,11 @@ ruled AS (SELECT *, CASE WHEN src IN ('192.168.1.100', '10.0.0.1') THEN 'RULE_WH
   WHEN model_score < 0.001 THEN 'RULE_LOW_RISK_MODEL' WHEN model_score > 0.999 THEN 'RULE_HIGH_RISK_MODEL' END AS annotator_id FROM imported),
 store AS (SELECT flow_id, src, dst, proto, alert_level, model_score, annotator_id,
   CASE annotator_id WHEN 'RULE_WHITELIST' THEN 'NORMAL' WHEN 'RULE_NMAP' THEN 'PortScan' WHEN 'RULE_LOW_RISK_MODEL' THEN 'NORMAL' WHEN 'RULE_HIGH_RISK_MODEL' THEN 'Attack' END AS label,
-  CASE annotator_id WHEN 'RULE_WHITELIST' THEN 1.0 WHEN 'RULE_NMAP' THEN 0.9 WHEN 'RULE_LOW_RISK_MODEL' THEN 0.8 WHEN 'RULE_HIGH_RISK_MODEL' THEN 0.8 ELSE 0.0 END AS label_confidence,
+  CASE annotator_id WHEN 'RULE_WHITELIST' THEN 1.0 WHEN 'RULE_NMAP' THEN 0.9 WHEN 'RULE_LOW_RISK_MODEL' THEN 0.8 WHEN 'RULE_HIGH_RISK_MODEL' THEN 0.8 ELSE 0.0 END::DOUBLE AS label_confidence,
   CASE WHEN annotator_id IS NULL THEN 'UNLABELED' ELSE 'PSEUDO_LABELED' END AS label_status
   FROM ruled),
 prioritised AS (SELECT *, 1 - 2 * abs(model_score - 0.5) AS uncertainty,
-  CASE WHEN label = 'NORMAL' AND model_score > 0.8 THEN 1.0 WHEN label <> 'NORMAL' AND model_score < 0.2 THEN 1.0 ELSE 0.0 END AS conflict_score FROM store),
+  CASE WHEN label = 'NORMAL' AND model_score > 0.8 THEN 1.0 WHEN label <> 'NORMAL' AND model_score < 0.2 THEN 1.0 ELSE 0.0 END::DOUBLE AS conflict_score FROM store),
 hard AS (SELECT *, round(conflict_score * 2 + uncertainty, 9) AS review_priority FROM prioritised ORDER BY round(conflict_score * 2 + uncertainty, 9) DESC, flow_id LIMIT 50),
 marked AS (SELECT store.* REPLACE (CASE WHEN hard.flow_id IS NOT NULL THEN 'HUMAN_REVIEW_NEEDED' ELSE store.label_status END AS label_status) FROM store LEFT JOIN hard USING (flow_id)),
 updates AS (SELECT flow_id, 'DoS' AS new_label, 'analyst' AS annotator_id FROM alerts WHERE alert_level = 'CRITICAL' UNION ALL SELECT 'unknown', 'DoS', 'analyst')"""

@@ -46,7 +46,7 @@ def numeric_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"WITH {v.FLOWS_SQL} SELECT flow_id, bytes_total, 0.0 AS unseen_feature, syn_count, pkts_total FROM flows")
+@query(f"WITH {v.FLOWS_SQL} SELECT flow_id, bytes_total, 0.0::DOUBLE AS unseen_feature, syn_count, pkts_total FROM flows")
 def align_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     expected = ["bytes_total", "unseen_feature", "syn_count", "pkts_total"]
     return features.align_columns(v.flows(spark, sf_dir), expected, keep=["flow_id"])
@@ -82,8 +82,8 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.CategoryEncoder(inputCols=["service", "protocol"]).fit(rows).transform(rows)
 
 
-@query(f"""WITH {_NUMBERS_SQL} SELECT flow_id, 'service_' || coalesce(service, 'missing') AS feature, 1.0 AS value FROM numbers
-UNION ALL SELECT flow_id, 'protocol_' || protocol, 1.0 FROM numbers""")
+@query(f"""WITH {_NUMBERS_SQL} SELECT flow_id, 'service_' || coalesce(service, 'missing') AS feature, 1.0::DOUBLE AS value FROM numbers
+UNION ALL SELECT flow_id, 'protocol_' || protocol, 1.0::DOUBLE FROM numbers""")
 def one_hot_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.sparse_categories(_flow_numbers(spark, sf_dir), "flow_id", ["service", "protocol"])
 
@@ -185,7 +185,7 @@ rated AS (SELECT class, support, hits, CASE WHEN predicted = 0 THEN 0 ELSE hits
 
 
 @query(f"""WITH {_VECTORS_SQL} SELECT round(sum(hits) / sum(support)::DOUBLE, 9) AS accuracy, round(avg(precision), 9) AS precision,
-  round(avg(recall), 9) AS recall, round(avg(f1), 9) AS f1, 0.0 AS far, 0.0 AS dr FROM rated""")
+  round(avg(recall), 9) AS recall, round(avg(f1), 9) AS f1, 0.0::DOUBLE AS far, 0.0::DOUBLE AS dr FROM rated""")
 def metrics_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(evaluation.macro_metrics(classified_vectors(spark, sf_dir)), "accuracy", "precision", "recall", "f1")
 

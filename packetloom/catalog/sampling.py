@@ -109,7 +109,7 @@ _REPLACE_DRAWS = 20_000
 
 
 @query(f"""WITH {_POOL_SQL}, rare AS (SELECT row_key, {_weight()} AS w FROM pool WHERE attack IN ('worm', 'botnet')),
-ends AS (SELECT row_key, sum(w) OVER (ORDER BY row_key ROWS UNBOUNDED PRECEDING) AS e, w FROM rare),
+ends AS (SELECT row_key, sum(w) OVER (ORDER BY {_u('row_key', 'replace-order')}, row_key ROWS UNBOUNDED PRECEDING) AS e, w FROM rare),
 draws AS (SELECT i AS draw, {_u('i::VARCHAR', 'replace')} * (SELECT sum(w) FROM rare) AS a FROM (SELECT unnest(range(1, {_REPLACE_DRAWS} + 1)) AS i) r)
 SELECT row_key, count(*) AS draws FROM draws, ends WHERE a >= e - w AND a < e GROUP BY row_key""")
 def weighted_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,18 +102,28 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-@query()
+@query(f"""WITH {v.PACKETS_SQL},
+marked AS (SELECT *, coalesce(epoch_us(ts) - lag(epoch_us(ts)) OVER w > 7200000000, true) AS opens FROM packets
+  WINDOW w AS (PARTITION BY src_ip, dst_ip, protocol ORDER BY ts, packet_id)),
+numbered AS (SELECT *, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY src_ip, dst_ip, protocol ORDER BY ts, packet_id) AS nr FROM marked),
+sessions AS (SELECT src_ip, dst_ip, protocol, nr, epoch_us(min(ts)) AS start_us, max(ts) AS ended, count(*) AS packets, CAST(sum(length) AS BIGINT) AS bytes
+  FROM numbered GROUP BY src_ip, dst_ip, protocol, nr),
+followed AS (SELECT *, lead(nr) OVER (PARTITION BY src_ip, dst_ip, protocol ORDER BY nr) IS NOT NULL AS f FROM sessions)
+SELECT src_ip, dst_ip, protocol, start_us, packets, bytes FROM followed
+WHERE f OR ended + INTERVAL 2 hour < (SELECT max(ts) FROM packets) - INTERVAL 1 hour""")
 def stream_stateful_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flows ended by idle or active timeout. The last flow of each key is still open when the data ends."""
+    """Flows ended by the idle timeout: followed by a later packet or passed by the watermark when the data ends."""
     conf = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(conf, None)
     spark.conf.set(conf, ROCKSDB)
     try:
         ended = tracker.track_flows(
-            packet_stream(spark, sf_dir), ("src_ip", "dst_ip", "protocol"), idle=7200.0, active=86400.0, delay="1 hour", tick=60.0
+            packet_stream(spark, sf_dir), ("src_ip", "dst_ip", "protocol"), idle=7200.0, active=4e6, delay="1 hour", tick=60.0
         )
         path = shared_path(spark, "ended")
         jobs.append_to(ended, path, file_format="parquet").awaitTermination()
     finally:
         spark.conf.set(conf, before) if before else spark.conf.unset(conf)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).select(
+        "src_ip", "dst_ip", "protocol", F.round(F.col("first") * 1e6).cast("bigint").alias("start_us"), "packets", "bytes"
+    )

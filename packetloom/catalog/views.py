@@ -101,11 +101,11 @@ flows AS (
     protocol AS proto, bytes AS length,
     CASE WHEN r THEN 'RST' WHEN s AND NOT a THEN 'SYN' WHEN f THEN 'FIN' WHEN a THEN 'ACK' ELSE 'normal' END AS flags,
     CASE WHEN protocol = 'TCP' THEN 'http' ELSE 'dns' END AS service, CASE WHEN f THEN 'SF' ELSE 'S0' END AS conn_state,
-    last_us / 1e6 - first_us / 1e6 AS duration, packets AS orig_pkts, 0 AS resp_pkts, packets AS pkts_total,
-    bytes AS orig_bytes, 0 AS resp_bytes, bytes AS bytes_total,
+    last_us / 1e6 - first_us / 1e6 AS duration, packets AS orig_pkts, 0::BIGINT AS resp_pkts, packets AS pkts_total,
+    bytes AS orig_bytes, 0::BIGINT AS resp_bytes, bytes AS bytes_total,
     packets / (last_us / 1e6 - first_us / 1e6 + 1e-6) AS pkts_per_sec,
     bytes / (last_us / 1e6 - first_us / 1e6 + 1e-6) AS bytes_per_sec,
-    0.0 AS iat_mean, 0.0 AS iat_std, CAST(s AS INTEGER) AS syn_count, CAST(a AS INTEGER) AS ack_count,
+    0.0::DOUBLE AS iat_mean, 0.0::DOUBLE AS iat_std, CAST(s AS INTEGER) AS syn_count, CAST(a AS INTEGER) AS ack_count,
     CAST(r AS INTEGER) AS rst_count, 0 AS risk_hint,
     md5(concat_ws('|', window_us, src_ip, dst_ip, protocol, dst_port)) AS flow_id
   FROM flow_sums

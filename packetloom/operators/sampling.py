@@ -31,6 +31,7 @@ LOCAL_SOURCES = ("local_normal", "local_attack")
 HOLDOUT_MIN_ROWS = 50
 
 RANK_CELLS = 1024
+CELL_ROWS = 5_000_000
 
 
 def sample_weight(
@@ -102,27 +103,41 @@ def weighted_sample(
 
 
 def weighted_sample_with_replacement(
-    df: DataFrame, key: Sequence[str], weight: Column, n: int, salt: str = "replace"
+    df: DataFrame, key: Sequence[str], weight: Column, n: int, salt: str = "replace", cells: int = RANK_CELLS
 ) -> DataFrame:
-    """``n`` draws with replacement. Row i owns an interval of the total weight; draw j falls into one interval.
+    """``n`` draws with replacement, numbered by ``__draw``.
 
-    Meant for pools smaller than ``n``. Intervals and draws meet in equal cells of the weight axis, so the lookup is an
-    equi-join; a heavy row covers many cells instead of collecting all draws.
+    Rows in hash order own consecutive intervals of the total weight, and draw j falls into one of them. The running sum
+    is taken per hash cell, with the totals of the cells before added. Intervals and draws meet in equal pieces of the
+    weight axis, so the lookup is an equi-join; a heavy row covers many pieces instead of collecting all draws.
     """
-    weighted = df.withColumn("__w", weight)
-    cells = max(1, min(n, 1 << 20))
-    ends = Window.orderBy(*key).rowsBetween(Window.unboundedPreceding, 0)
-    # the pool is smaller than n by contract, so this running sum covers a bounded number of rows
-    pool = weighted.withColumn("__end", F.sum("__w").over(ends)).withColumn("__start", F.col("__end") - F.col("__w"))
-    total = weighted.agg(F.sum("__w").alias("t")).scalar()
-    cell = lambda position: F.floor(position / total * F.lit(float(cells))).cast("int")
-    covered = pool.withColumn("__cell", F.explode(F.sequence(cell(F.col("__start")), cell(F.col("__end")))))
+    weighted = df.withColumns({"__w": weight, "__u": hash_uniform([F.col(k) for k in key], f"{salt}-order")})
+    placed = weighted.withColumn("__cell", F.floor(F.col("__u") * cells).cast("int"))
+    total = placed.agg(F.sum("__w").alias("t")).first()["t"]
+    if not total:
+        return df.limit(0).withColumn("__draw", F.lit(0).cast("bigint"))
+    earlier = Window.orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per cell
+    offsets = placed.groupBy("__cell").agg(F.sum("__w").alias("__sum")).select(
+        "__cell", F.coalesce(F.sum("__sum").over(earlier), F.lit(0.0)).alias("__offset")
+    )
+    upto = Window.partitionBy("__cell").orderBy("__u", *key).rowsBetween(Window.unboundedPreceding, 0)
+    ends = placed.withColumn("__inner", F.sum("__w").over(upto)).join(F.broadcast(offsets), "__cell")
+    owned = ends.withColumn("__end", F.col("__inner") + F.col("__offset")).withColumn("__start", F.col("__end") - F.col("__w"))
+
+    pieces = max(1, min(n, 1 << 20))
+
+    def piece(position: Column) -> Column:
+        return F.least(F.floor(position / F.lit(total) * F.lit(float(pieces))), F.lit(pieces)).cast("int")
+
+    covered = owned.withColumn("__piece", F.explode(F.sequence(piece(F.col("__start")), piece(F.col("__end")))))
     draws = df.sparkSession.range(1, n + 1).select(
-        F.col("id").alias("__draw"), (hash_uniform(F.col("id"), salt) * total).alias("__at")
+        F.col("id").alias("__draw"), (hash_uniform(F.col("id"), salt) * F.lit(total)).alias("__at")
     )
-    draws = draws.withColumn("__cell", cell(F.col("__at")))
     inside = (F.col("__at") >= F.col("__start")) & (F.col("__at") < F.col("__end"))
-    return covered.join(draws, "__cell").where(inside).select(*df.columns, "__draw")
+    return (
+        covered.join(draws.withColumn("__piece", piece(F.col("__at"))), "__piece").where(inside).select(*df.columns, "__draw")
+    )
 
 
 def oversample_small_classes(
@@ -154,41 +169,64 @@ def oversample_small_classes(
 
 
 def stratified_split(
-    df: DataFrame, label: str, key: Sequence[str], test_share: float = 0.2, salt: str = "split", cells: int = RANK_CELLS
+    df: DataFrame,
+    label: str,
+    key: Sequence[str],
+    test_share: float = 0.2,
+    salt: str = "split",
+    cells: int = RANK_CELLS,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Add ``is_test``: in every class the ``round(share * n)`` rows with the smallest hash are test rows.
 
-    The border row of each class is found in three steps: count per class and hash cell (a hash spreads a hot class
-    evenly over the cells), pick the cell that holds the border, rank only the rows of that cell. Rows are then
-    compared with the border of their class; no class is sorted as a whole.
+    The border row of each class is found by counting per class and hash cell (a hash spreads a hot class evenly),
+    picking the cell that holds the border, and ranking only the rows of that cell; a very large table gets a second,
+    finer round of cells first. All rows are then compared with the border of their class, so no class is sorted as a whole.
     """
     u = hash_uniform([F.col(k) for k in key], salt)
     marked = df.where(F.col(label).isNotNull()).withColumn("__u", u)
-    keyed = marked.withColumn("__cell", F.floor(F.col("__u") * cells).cast("int"))
-    counts = keyed.groupBy(label, "__cell").agg(F.count(F.lit(1)).alias("n"))
-    # at most `cells` rows per class
-    upto = Window.partitionBy(label).orderBy("__cell").rowsBetween(Window.unboundedPreceding, 0)
-    border_cell = (
-        counts.withColumns({"reached": F.sum("n").over(upto), "total": F.sum("n").over(Window.partitionBy(label))})
-        .withColumn("wanted", F.floor(F.col("total") * test_share + 0.5))
-        .where((F.col("reached") >= F.col("wanted")) & (F.col("reached") - F.col("n") < F.col("wanted")))
-        .select(label, "__cell", (F.col("wanted") - F.col("reached") + F.col("n")).alias("__nth"))
+    keyed = marked.select(label, *key, "__u")
+    sizes = keyed.groupBy(label, F.floor(F.col("__u") * cells).cast("int").alias("__cell")).agg(
+        F.count(F.lit(1)).alias("n")
     )
-    in_cell = Window.partitionBy(label, "__cell").orderBy("__u", *key)
-    border = (
-        keyed.join(border_cell, [label, "__cell"])
-        .withColumn("__rank", F.row_number().over(in_cell))
+    total = F.sum("n").over(Window.partitionBy(label))
+    wanted = sizes.withColumn("__nth", F.floor(total * test_share + 0.5))
+    border = _border_cells(wanted, [label])
+    held = keyed.withColumn("__cell", F.floor(F.col("__u") * cells).cast("int")).join(border, [label, "__cell"])
+    groups = [label, "__cell"]
+    if marked.count() > cells * cell_rows:
+        finer = held.withColumnRenamed("__cell", "__coarse").withColumn(
+            "__cell", F.floor(F.col("__u") * (cells * cells)).cast("int")
+        )
+        sizes = finer.groupBy(label, "__cell").agg(F.count(F.lit(1)).alias("n"), F.first("__nth").alias("__nth"))
+        held = finer.drop("__nth").join(_border_cells(sizes, [label]), groups)
+    in_cell = Window.partitionBy(*groups).orderBy("__u", *key)
+    rank = F.row_number().over(in_cell)
+    last_test = (
+        held.withColumn("__rank", rank)
         .where(F.col("__rank") == F.col("__nth"))
         .select(F.col(label).alias("__class"), F.struct("__u", *key).alias("__border"))
     )
     at_or_before = F.coalesce(F.struct("__u", *key) <= F.col("__border"), F.lit(False))
     return (
-        marked.join(border, F.col(label) == F.col("__class"), "left")
+        marked.join(last_test, F.col(label) == F.col("__class"), "left")
         .withColumn("is_test", at_or_before)
         .drop("__u", "__class", "__border")
     )
 
 
+def _border_cells(sizes: DataFrame, group: list[str]) -> DataFrame:
+    """Per group the cell that holds the ``__nth`` row, with the position inside that cell as the new ``__nth``.
+
+    ``sizes`` has one row per group and cell, so a window over a group is short.
+    """
+    upto = Window.partitionBy(*group).orderBy("__cell").rowsBetween(Window.unboundedPreceding, 0)
+    reached = sizes.withColumn("__reached", F.sum("n").over(upto))
+    holds = (F.col("__reached") >= F.col("__nth")) & (F.col("__reached") - F.col("n") < F.col("__nth"))
+    inside = F.col("__nth") - F.col("__reached") + F.col("n")
+    return reached.where(holds).select(*group, "__cell", inside.alias("__nth"))
+
+
 def fraction_split(df: DataFrame, key: Sequence[str], share: float = 0.2, salt: str = "fraction") -> tuple[DataFrame, DataFrame]:
     """(sample, complement) by the hash of the key: no shuffle, no count."""
     u = hash_uniform([F.col(k) for k in key], salt)

@@ -57,8 +57,9 @@ def test_weights(spark):
         assert r["w"] == pytest.approx(r["expected"])
 
 
-def test_stratified_split_sizes(rows):
-    got = sampling.stratified_split(rows, "kind", ["key"]).groupBy("kind").agg(F.count_if("is_test"), F.count("*")).collect()
+@pytest.mark.parametrize("how", [{}, {"cells": 4}, {"cells": 16, "cell_rows": 1}])
+def test_stratified_split_sizes(rows, how):
+    got = sampling.stratified_split(rows, "kind", ["key"], **how).groupBy("kind").agg(F.count_if("is_test"), F.count("*")).collect()
     assert {r[0]: (r[1], r[2]) for r in got} == {"rare": (8, 40), "some": (792, 3960), "hot": (1600, 8000)}
 
 
@@ -81,6 +82,16 @@ def test_oversampling_drops_null_classes(spark):
     assert sampling.oversample_small_classes(df, "kind", ["key"], 5).count() == 5
 
 
+def test_stratified_split_is_the_same_for_all_cell_sizes(rows):
+    fine = sampling.stratified_split(rows, "kind", ["key"], cells=16, cell_rows=1).where("is_test")
+    assert keys(fine) == keys(sampling.stratified_split(rows, "kind", ["key"]).where("is_test"))
+
+
+def test_replacement_from_an_empty_pool(rows):
+    got = sampling.weighted_sample_with_replacement(rows.limit(0), ["key"], F.lit(1.0), 5)
+    assert got.count() == 0 and got.columns[-1] == "__draw"
+
+
 def test_sampling_with_replacement(rows):
     rare = rows.where("kind = 'rare'")
     weight = F.when(F.col("key") == "7", 40.0).otherwise(1.0)
