@@ -222,9 +222,9 @@ def date_level_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alert_output(found)
 
 
-@query(f"""WITH {v.ALERTS_SQL} SELECT {_ALERT_SQL_OUTPUT} FROM alerts ORDER BY "at" DESC, flow_id LIMIT 500""")
+@query(f"""WITH {v.ALERTS_SQL} SELECT {_ALERT_SQL_OUTPUT} FROM alerts ORDER BY "at" DESC, flow_id LIMIT 2000""")
 def tail_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _alert_output(analytics.tail(v.alerts(spark, sf_dir), 500, "at", "flow_id"))
+    return _alert_output(analytics.tail(v.alerts(spark, sf_dir), 2000, "at", "flow_id"))
 
 
 @query(f"""WITH {v.ALERTS_SQL} SELECT flow_id, strftime("at", '%H:%M:%S') || ' | ' || coalesce(src, '?') || ' -> ' || coalesce(dst, '?')

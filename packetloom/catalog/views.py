@@ -25,8 +25,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def packets_from(events: DataFrame) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
-    kind = F.col("event_type")
+    # the counter is parsed in a step of its own, once per row
+    parsed = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    k, kind = F.col("k"), F.col("event_type")
     protocol = (
         F.when(kind.isin("click", "view"), "TCP").when(kind == "purchase", "UDP").when(kind == "signup", "ICMP").otherwise("OTHER")
     )
@@ -39,7 +40,7 @@ def packets_from(events: DataFrame) -> DataFrame:
         .when(is_tcp & (k % 5 == 4), "RA")
     )
     ts = F.col("ts").cast("timestamp")
-    return events.select(
+    return parsed.select(
         F.col("event_id").alias("packet_id"),
         ts.alias("ts"),
         (F.unix_micros(ts) / F.lit(1e6)).alias("timestamp"),

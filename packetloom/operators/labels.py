@@ -135,11 +135,14 @@ def label_stats(store: DataFrame) -> DataFrame:
 def update_labels(store: DataFrame, updates: DataFrame, at: str | Column) -> DataFrame:
     """Human verdicts ``(flow_id, new_label, annotator_id)``; ids the store does not hold are ignored.
 
+    Of several verdicts on one id the largest (label, annotator) counts, so a row is never multiplied and reruns agree.
     The join side is left to the optimizer: a short review list is broadcast, a bulk import is shuffled.
     """
     at_time = F.lit(at) if isinstance(at, str) else at
-    verdicts = updates.select(
-        "flow_id", F.col("new_label").alias("__new"), F.col("annotator_id").alias("__by"), F.lit(True).alias("__hit")
+    verdicts = (
+        updates.groupBy("flow_id")
+        .agg(F.max(F.struct(F.col("new_label").alias("__new"), F.col("annotator_id").alias("__by"))).alias("v"))
+        .select("flow_id", "v.*", F.lit(True).alias("__hit"))
     )
     entry = audit_entry(at_time, "MANUAL_UPDATE", F.col("label"), F.col("__new"), F.col("__by"))
     hit = F.col("__hit").isNotNull()

@@ -236,7 +236,7 @@ def smallest(
     top_k_rows: int = TOP_K_ROWS,
     merge_rows: int = MERGE_ROWS,
 ) -> DataFrame:
-    """The ``n`` rows with the smallest ``order``, ties by ``tie``; all rows when there are not more than ``n``.
+    """The ``n`` rows with the smallest ``order`` (never NULL), ties by ``tie``; all rows when there are not more.
 
     A top-k sends up to ``n`` rows of *every* partition to one task. That is fine for a short list only. For a larger
     ``n`` a cut value is found first that about ``n`` rows reach in the whole table, so little more than the result is
@@ -245,7 +245,7 @@ def smallest(
     keyed = df.withColumn("__order", order.cast("double"))
     if n <= top_k_rows:
         return keyed.orderBy("__order", *tie).limit(n).drop("__order")
-    size = keyed.agg(F.count("__order").alias("n")).first()["n"]
+    size = df.count()
     if size <= n:
         return df
     if n > merge_rows:

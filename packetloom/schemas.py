@@ -23,15 +23,27 @@ def record(**fields: str) -> T.StructType:
 
 
 # Field names and types of the exchanged records.
-PACKET = record(timestamp="double", src_ip="string", dst_ip="string", protocol="string", length="int", flags="string", ttl="int", label="int")
+PACKET = record(
+    timestamp="double", src_ip="string", dst_ip="string", protocol="string", length="int", flags="string",
+    ttl="int", label="int",
+)
 
-CAPTURED_PACKET = record(path="string", packet_no="bigint", timestamp="double", src_ip="string", dst_ip="string", protocol="string", src_port="int", dst_port="int", length="int", flags="string", ttl="int", label="int")
+CAPTURED_PACKET = record(
+    path="string", packet_no="bigint", timestamp="double", src_ip="string", dst_ip="string",
+    protocol="string", src_port="int", dst_port="int", length="int", flags="string", ttl="int", label="int",
+)
 
-SCORING_REQUEST = record(timestamp="double", src_ip="string", dst_ip="string", protocol="string", length="int", flags="string")
+SCORING_REQUEST = record(
+    timestamp="double", src_ip="string", dst_ip="string", protocol="string", length="int", flags="string",
+)
 
 EXPLAINED_FEATURE = record(feature="string", value="double", shap_value="double", impact="string")
 
-_ALERT = record(timestamp="string", src="string", dst="string", src_port="int", dst_port="int", proto="string", xgb_prob="double", anomaly_score="double", final_label="int", risk_score="double", alert_level="string", reasons="string")
+_ALERT = record(
+    timestamp="string", src="string", dst="string", src_port="int", dst_port="int", proto="string",
+    xgb_prob="double", anomaly_score="double", final_label="int", risk_score="double", alert_level="string",
+    reasons="string",
+)
 
 ALERT = T.StructType([*_ALERT.fields, T.StructField("shap_explanation", T.ArrayType(EXPLAINED_FEATURE))])
 
@@ -39,7 +51,12 @@ AUDIT_ENTRY = record(ts="string", action="string", old_label="string", new_label
 AUDIT_LOG = T.ArrayType(AUDIT_ENTRY)
 
 LABEL_ROW = T.StructType(
-    record(flow_id="string", timestamp="string", src="string", dst="string", src_ip="string", dst_ip="string", proto="string", dst_port="int", duration="double", model_score="double", reasons="string", label="string", label_status="string", label_confidence="double", annotator_id="string").fields
+    record(
+        flow_id="string", timestamp="string", src="string", dst="string", src_ip="string",
+        dst_ip="string", proto="string", dst_port="int", duration="double", model_score="double",
+        reasons="string", label="string", label_status="string", label_confidence="double",
+        annotator_id="string",
+    ).fields
     + [T.StructField("audit_log", AUDIT_LOG)]
 )
 
@@ -60,7 +77,13 @@ MODEL_FEATURES = [
     "rst_count",
 ]
 
-FLOW = record(timestamp="double", ts="double", src_ip="string", dst_ip="string", src_port="int", dst_port="int", protocol="string", proto="string", length="bigint", flags="string", service="string", conn_state="string", duration="double", orig_pkts="bigint", resp_pkts="bigint", pkts_total="bigint", orig_bytes="bigint", resp_bytes="bigint", bytes_total="bigint", pkts_per_sec="double", bytes_per_sec="double", iat_mean="double", iat_std="double", syn_count="int", ack_count="int", rst_count="int", risk_hint="int")
+FLOW = record(
+    timestamp="double", ts="double", src_ip="string", dst_ip="string", src_port="int", dst_port="int",
+    protocol="string", proto="string", length="bigint", flags="string", service="string", conn_state="string",
+    duration="double", orig_pkts="bigint", resp_pkts="bigint", pkts_total="bigint", orig_bytes="bigint",
+    resp_bytes="bigint", bytes_total="bigint", pkts_per_sec="double", bytes_per_sec="double",
+    iat_mean="double", iat_std="double", syn_count="int", ack_count="int", rst_count="int", risk_hint="int",
+)
 
 FIVE_TUPLE = ("src_ip", "dst_ip", "protocol", "src_port", "dst_port")
 LEVELS = ("LOW", "MEDIUM", "HIGH", "CRITICAL")

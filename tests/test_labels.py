@@ -51,6 +51,14 @@ def test_human_updates(spark):
     ]
 
 
+def test_repeated_verdicts_do_not_multiply_rows(spark):
+    base = store(spark)
+    target = base.where("timestamp = '2'").first()["flow_id"]
+    updates = spark.createDataFrame([(target, "DoS", "a"), (target, "Malware", "b")], "flow_id string, new_label string, annotator_id string")
+    got = labels.update_labels(base, updates, AT)
+    assert got.count() == 4 and got.where("timestamp = '2'").first()["label"] == "Malware"
+
+
 def test_update_of_a_store_without_audit_column(spark):
     base = spark.createDataFrame([("a", "NORMAL", "UNLABELED")], "flow_id string, label string, label_status string")
     updates = spark.createDataFrame([("a", "DoS", "eve")], "flow_id string, new_label string, annotator_id string")
