@@ -6,6 +6,7 @@ column expressions, so nothing is joined and a stream can use the fitted step as
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark import keyword_only
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from packetloom.functions.columns import binary_label, finite_or_zero, log1p_length
-from packetloom.operators.ordering import exact_quantiles
+from packetloom.operators.ordering import quantile_scan
 from packetloom.schemas import NORMAL_NAMES, is_numeric
 
 # Columns that are never model input.
@@ -151,7 +152,7 @@ class NumericScaler(Estimator, DefaultParamsReadable, DefaultParamsWritable):
 
     ``ml.Imputer`` takes an approximate median and ``ml.StandardScaler`` the sample deviation, hence this step. The
     moments of the imputed column follow from the moments of the present values and the median, so the table is
-    read once for the counts and once for the median.
+    read once for the moments and, while it is small, once for the median.
     """
 
     inputCols = Param(Params._dummy(), "inputCols", "numeric columns", TypeConverters.toListString)
@@ -164,20 +165,26 @@ class NumericScaler(Estimator, DefaultParamsReadable, DefaultParamsWritable):
 
     def _fit(self, dataset: DataFrame) -> NumericScalerModel:
         columns = self.getOrDefault(self.inputCols)
-        medians = exact_quantiles(dataset, {c: [0.5] for c in columns})
-        filled = {c: (medians[c][0] if medians[c][0] is not None else 0.0) for c in columns}
-        imputed = {c: F.coalesce(_number(c), F.lit(filled[c])) for c in columns}
-        stats = dataset.agg(
-            *[F.avg(imputed[c]).alias(f"m{i}") for i, c in enumerate(columns)],
-            *[F.stddev_pop(imputed[c]).alias(f"s{i}") for i, c in enumerate(columns)],
-        ).first()
+        moments = {"rows": F.count(F.lit(1))}
+        for i, c in enumerate(columns):
+            moments |= {
+                f"known{i}": F.count(_number(c)),
+                f"mean{i}": F.avg(_number(c)),
+                f"var{i}": F.var_pop(_number(c)),
+            }
+        quantiles, row = quantile_scan(dataset, {c: [0.5] for c in columns}, moments)
+        medians, means, deviations = [], [], []
+        for i, c in enumerate(columns):
+            rows, known = row["rows"], row[f"known{i}"]
+            median = quantiles[c][0] if known else 0.0
+            mean = ((row[f"mean{i}"] or 0.0) * known + median * (rows - known)) / max(1, rows)
+            spread = known * ((row[f"var{i}"] or 0.0) + ((row[f"mean{i}"] or 0.0) - mean) ** 2)
+            spread += (rows - known) * (median - mean) ** 2
+            medians.append(float(median))
+            means.append(float(mean))
+            deviations.append(math.sqrt(spread / max(1, rows)))
         model = NumericScalerModel()
-        model._set(
-            inputCols=columns,
-            medians=[float(filled[c]) for c in columns],
-            means=[float(stats[f"m{i}"] or 0.0) for i in range(len(columns))],
-            deviations=[float(stats[f"s{i}"] or 0.0) for i in range(len(columns))],
-        )
+        model._set(inputCols=columns, medians=medians, means=means, deviations=deviations)
         return model
 
 

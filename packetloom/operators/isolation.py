@@ -94,9 +94,9 @@ class Forest:
         scale = float(average_path(self.sample_size))
         offset = self.offset
 
-        def decide(rows: pd.Series) -> pd.Series:
+        def decide(rows: pd.DataFrame) -> pd.Series:
             feature, threshold, left, right, path = shared.value
-            x = np.vstack(rows.to_numpy()) if len(rows) else np.zeros((0, 1))
+            x = rows.to_numpy(dtype=float)
             total = np.zeros(len(x))
             line = np.arange(len(x))
             for t in range(feature.shape[0]):
@@ -112,7 +112,7 @@ class Forest:
             return pd.Series(-np.exp2(-(total / feature.shape[0]) / scale) - offset)
 
         run = F.pandas_udf(decide, T.DoubleType())
-        vector = F.array(*[finite_or_zero(F.col(f"`{f}`")) for f in self.features])
+        vector = F.struct(*[finite_or_zero(F.col(f"`{f}`")).alias(f"x{i}") for i, f in enumerate(self.features)])
         return df.withColumn(name, run(vector))
 
     def save(self, spark: SparkSession, path: str) -> None:

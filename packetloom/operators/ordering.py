@@ -139,14 +139,27 @@ class _Target:
 def exact_quantiles(
     df: DataFrame, probabilities: Mapping[str, Sequence[float]], exact_values: int = EXACT_VALUES
 ) -> dict[str, list[float | None]]:
-    """Exact quantiles with linear interpolation; NULL and NaN are skipped, an empty column gives ``None``.
+    """Exact quantiles with linear interpolation; NULL and NaN are skipped, an empty column gives ``None``."""
+    return quantile_scan(df, probabilities, {}, exact_values)[0]
+
+
+def quantile_scan(
+    df: DataFrame,
+    probabilities: Mapping[str, Sequence[float]],
+    extra: Mapping[str, Column],
+    exact_values: int = EXACT_VALUES,
+) -> tuple[dict[str, list[float | None]], Row]:
+    """Exact quantiles, and other aggregates taken in the pass that counts the values.
 
     Up to ``exact_values`` rows the built-in exact aggregate answers in one pass. Beyond that its value map would
     outgrow a task, so each wanted rank is located by ``order_statistics``.
     """
     names = list(probabilities)
     value = {n: _number(df, n) for n in names}
-    counted = df.agg(*[F.count(value[n]).alias(f"n{i}") for i, n in enumerate(names)]).first()
+    counted = df.agg(
+        *[F.count(value[n]).alias(f"n{i}") for i, n in enumerate(names)],
+        *[total.alias(name) for name, total in extra.items()],
+    ).first()
     sizes = {n: counted[f"n{i}"] for i, n in enumerate(names)}
     result: dict[str, list[float | None]] = {n: [None] * len(probabilities[n]) for n in names}
 
@@ -168,7 +181,7 @@ def exact_quantiles(
         for n, ranks in large.items():
             lower_upper = [(found[n, math.floor(x)], found[n, math.ceil(x)], x - math.floor(x)) for x in ranks]
             result[n] = [low + (high - low) * part for low, high, part in lower_upper]
-    return result
+    return result, counted
 
 
 def order_statistics(

@@ -25,16 +25,19 @@ _SUMS = record(first="double", last="double", packets="bigint", bytes="bigint")
 _ENDED = record(duration="double", ended_by="string")
 
 
-def _partial_sums(keys: Sequence[str], tick: float):
-    by = [*keys, "tick"]
+def _summed(parts: pd.DataFrame, by: Sequence[str], tick: float) -> pd.DataFrame:
+    """Partial sums of one key and tick added up."""
+    ticked = parts.assign(tick=(parts["first"] // tick).astype("int64"))
+    sums = ticked.groupby([*by, "tick"], dropna=False, as_index=False).agg(
+        first=("first", "min"), last=("last", "max"), packets=("packets", "sum"), bytes=("bytes", "sum")
+    )
+    return sums.drop(columns="tick")
 
+
+def _partial_sums(keys: Sequence[str], tick: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch["tick"] = (batch["at"] // tick).astype("int64")
-            sums = batch.groupby(by, dropna=False, as_index=False).agg(
-                first=("at", "min"), last=("at", "max"), packets=("at", "size"), bytes=("length", "sum")
-            )
-            yield sums.drop(columns="tick")
+            yield _summed(batch.assign(last=batch["first"], packets=1), keys, tick)
 
     return run
 
@@ -42,8 +45,8 @@ def _partial_sums(keys: Sequence[str], tick: float):
 class FlowTimeouts(StatefulProcessor):
     """Keeps the open flow of a key; merges partial sums in time order and emits ended flows."""
 
-    def __init__(self, keys: Sequence[str], idle: float, active: float):
-        self.keys, self.idle, self.active = list(keys), idle, active
+    def __init__(self, keys: Sequence[str], idle: float, active: float, tick: float):
+        self.keys, self.idle, self.active, self.tick = list(keys), idle, active, tick
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -52,8 +55,11 @@ class FlowTimeouts(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         flow = tuple(self.open.get()) if self.open.exists() else None
         ended = []
-        parts = pd.concat(list(rows)).sort_values(["first", "last"])
-        for first, last, packets, size in parts[["first", "last", "packets", "bytes"]].itertuples(index=False):
+        parts = None
+        for batch in rows:
+            # partial sums of other tasks are merged batch by batch: memory holds one row per tick of the micro-batch
+            parts = _summed(batch if parts is None else pd.concat([parts, batch]), [], self.tick)
+        for first, last, packets, size in parts.sort_values("first")[["first", "last", "packets", "bytes"]].itertuples(index=False):
             if flow is not None and first - flow[1] > self.idle:
                 ended.append((*flow, "idle"))
                 flow = None
@@ -109,12 +115,12 @@ def track_flows(
         raise ValueError("tick must not exceed the idle timeout")
     key_fields = [packets.schema[k] for k in keys]
     at = F.unix_micros("ts").cast("double") / F.lit(1e6)
-    sums = packets.select(*keys, at.alias("at"), F.col("length").cast("bigint").alias("length")).mapInPandas(
+    sums = packets.select(*keys, at.alias("first"), F.col("length").cast("bigint").alias("bytes")).mapInPandas(
         _partial_sums(keys, tick), T.StructType([*key_fields, *_SUMS.fields])
     )
     timed = sums.withColumn("ts", F.timestamp_micros((F.col("last") * 1e6).cast("bigint"))).withWatermark("ts", delay)
     return timed.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=FlowTimeouts(keys, idle, active),
+        statefulProcessor=FlowTimeouts(keys, idle, active, tick),
         outputStructType=T.StructType([*key_fields, *_SUMS.fields, *_ENDED.fields]),
         outputMode="Append",
         timeMode="EventTime",
