@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetloom.functions.columns import epoch_seconds, has_flag, safe_rate
-from packetloom.operators.ordering import SLICE, SLICE_ROWS, slice_bounds, with_slice
+from packetloom.operators.ordering import SLICE, SLICE_ROWS, repeats_heavily, slice_scan, with_slice
 from packetloom.schemas import FIVE_TUPLE
 from packetloom.session import settle
 
@@ -30,6 +30,31 @@ def packet_measures(time_col: str) -> list[Column]:
     ]
 
 
+def instant_rows(
+    packets: DataFrame, keys: Sequence[str], time_col: str, slice_rows: int
+) -> tuple[DataFrame, list[float]]:
+    """Partial measures in time slices, ready for windows over (key, slice), and the slice borders.
+
+    Usually every packet is one row. Only when single instants hold a large share of the packets (copies, coarse clocks)
+    are the packets of one key and instant added up first, which costs a shuffle of its own.
+    """
+    micros = F.unix_micros(F.col(time_col))
+    bounds, scan = slice_scan(packets, micros, {}, slice_rows)
+    if bounds and repeats_heavily(scan):
+        rows = packets.groupBy(*keys, time_col).agg(*packet_measures(time_col))
+    else:
+        rows = packets.select(
+            *keys,
+            time_col,
+            F.lit(1).cast("bigint").alias("packets"),
+            F.col("length").cast("bigint").alias("bytes"),
+            F.col(time_col).alias("first_ts"),
+            F.col(time_col).alias("last_ts"),
+            *[has_flag(F.col("flags"), f).alias(f"saw_{f.lower()}") for f in _FLAGS],
+        )
+    return with_slice(rows, micros, bounds), bounds
+
+
 def merged_measures() -> list[Column]:
     """The same aggregates over partial results."""
     return [
@@ -119,19 +144,12 @@ def flow_rollup(
 def _rollup_with_iat(
     packets: DataFrame, window: str | None, keys: Sequence[str], time_col: str, slice_rows: int
 ) -> DataFrame:
-    """Gaps are taken inside time slices first and across slice borders second.
-
-    A flow that holds a large share of the table is spread over many slices, and packets with one time stamp are added
-    up before the shuffle (their gaps are 0).
+    """Gaps are taken inside time slices first and across slice borders second, so a flow that holds a large share
+    of the table is spread over many slices.
     """
     group = (["window"] if window else []) + list(keys)
-    bounds = slice_bounds(packets, F.unix_micros(F.col(time_col)), slice_rows)
-    instants = (
-        packets.withColumns({"window": _window_key(window, time_col)[0]} if window else {})
-        .groupBy(*group, time_col)
-        .agg(*packet_measures(time_col))
-    )
-    sliced = with_slice(instants, F.unix_micros(F.col(time_col)), bounds)
+    windowed = packets.withColumns({"window": _window_key(window, time_col)[0]} if window else {})
+    sliced, _ = instant_rows(windowed, group, time_col, slice_rows)
     within = Window.partitionBy(*group, SLICE).orderBy(time_col)
     gap = epoch_seconds(F.col(time_col)) - epoch_seconds(F.lag(time_col).over(within))
     per_slice = (
@@ -175,9 +193,7 @@ def flow_sessions(
     keys = list(keys)
     gap_micros = F.lit(round(gap_seconds * 1_000_000))
     micros = F.unix_micros(F.col(time_col))
-    bounds = slice_bounds(packets, micros, slice_rows)
-    instants = packets.groupBy(*keys, time_col).agg(*packet_measures(time_col))
-    sliced = with_slice(instants, micros, bounds)
+    sliced, bounds = instant_rows(packets, keys, time_col, slice_rows)
     within = Window.partitionBy(*keys, SLICE).orderBy(time_col)
     starts = F.when(micros - F.unix_micros(F.lag(time_col).over(within)) > gap_micros, F.col(time_col))
     fragments = (

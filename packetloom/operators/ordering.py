@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 SLICE = "__slice"
-SLICE_ROWS = 2_000_000
+SLICE_ROWS = 8_000_000
 MAX_SLICES = 8192
 SKETCH_ACCURACY = 20_000
 EXACT_VALUES = 1_000_000
@@ -55,6 +55,14 @@ def slice_scan(
     return sorted(picked), row
 
 
+def repeats_heavily(scan: Row) -> bool:
+    """Whether one value may fill more than a slice of its own.
+
+    A value with at least two grid steps of the rows shows up twice in the quantile grid of ``slice_scan``.
+    """
+    return any(a == b for a, b in zip(scan["grid"], scan["grid"][1:]))
+
+
 def with_slice(df: DataFrame, order: Column, bounds: Sequence[float], name: str = SLICE) -> DataFrame:
     """Add the slice number of ``order``; borders belong to the upper slice."""
     if not bounds:

@@ -47,6 +47,25 @@ def test_rollup_without_window_covers_the_table(spark):
     assert (row["pkts_total"], row["flags"], row["conn_state"], row["iat_mean"]) == (2, "normal", "S0", 0.0)
 
 
+def test_heavy_instants_are_added_up_before_slicing(hot):
+    with_copies, _ = flows.instant_rows(hot, ["src_ip"], "ts", 150)
+    assert with_copies.count() < hot.count()
+    spread = hot.where(F.col("ts") != F.lit("2024-01-01 00:08:20").cast("timestamp"))
+    assert flows.instant_rows(spread, ["src_ip"], "ts", 150)[0].count() == spread.count()
+
+
+@pytest.fixture(scope="module")
+def spread(hot):
+    return hot.where(F.col("ts") != F.lit("2024-01-01 00:08:20").cast("timestamp")).cache()
+
+
+@pytest.mark.parametrize("gap", [0.5, 5.0])
+def test_sessions_without_copies(spread, gap):
+    got = flows.flow_sessions(spread, gap, keys=("src_ip",), slice_rows=150)
+    built_in = spread.groupBy("src_ip", F.session_window("ts", f"{gap} seconds").alias("w")).agg(F.count("*").alias("n"))
+    assert sorted(r["packets"] for r in got.collect()) == sorted(r["n"] for r in built_in.collect())
+
+
 @pytest.mark.parametrize("slice_rows", [10_000_000, 150])
 def test_inter_arrival_times(hot, slice_rows):
     got = flows.flow_rollup(hot, window=None, keys=("src_ip",), with_iat=True, slice_rows=slice_rows).toPandas()
