@@ -10,7 +10,9 @@ from packetloom.catalog.common import Catalog
 from packetloom.functions.hashing import hash_uniform
 from packetloom.operators import explain, isolation, learners
 from packetloom.operators.sampling import stratified_split
-from packetloom.session import settle
+from packetloom.plans import supervised
+from packetloom.session import settle, shared_path
+from packetloom.sources import writers
 
 query = Catalog()
 
@@ -68,6 +70,24 @@ def ml_batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learners.score_batch(model, test.select("flow_id", *FEATURES)).select("flow_id", "class", "confidence")
 
 
+@query()
+def ml_tune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = split_flows(spark, sf_dir)
+    ranges = {"maxIter": (3, 6), "maxDepth": (2, 4), "stepSize": (0.05, 0.3)}
+    _, params, f1 = learners.tune(train, FEATURES, ranges, trials=3)
+    return spark.createDataFrame([(str(sorted(params.items())), f1)], "params string, f1 double")
+
+
+@query()
+def ml_packet_detector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packets scored by a saved detector that was fitted on packets: the training and the request path share its steps."""
+    packets = v.packets(spark, sf_dir).select("packet_id", "src_ip", "dst_ip", "protocol", "length", "flags", "label")
+    detector = supervised.fit_detector(packets, ["packet_id"], params=SMALL["wide"])
+    path = shared_path(spark, "detector")
+    writers.save_fitted(detector.model, path)
+    return supervised.predict(writers.load_fitted(path), packets.drop("label"))
+
+
 @query()
 def isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flows scored by a forest fitted on the flows without an attack label."""

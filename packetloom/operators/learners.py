@@ -21,14 +21,16 @@ from pyspark.ml.tuning import CrossValidator, TrainValidationSplit
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from packetloom.functions.columns import finite_or_zero
 from packetloom.operators.evaluation import (
     binary_metrics,
     comparison_row,
     macro_metrics,
     roc_auc,
+    soft_vote,
     with_class_weight,
 )
-from packetloom.operators.features import clean_numeric, require_classes, strict_select
+from packetloom.operators.features import require_classes, strict_select
 
 VECTOR = "features"
 LABEL = "y"
@@ -53,8 +55,10 @@ SEED = 42
 def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Model input vector; a missing feature is an error, missing and infinite values become 0."""
     strict_select(df, features)
-    cleaned = clean_numeric(df, features)
-    return VectorAssembler(inputCols=list(features), outputCol=VECTOR).transform(cleaned)
+    # plain working names, because feature names may hold dots
+    names = [f"__x{i}" for i in range(len(features))]
+    cleaned = df.withColumns({n: finite_or_zero(F.col(f"`{f}`")) for n, f in zip(names, features)})
+    return VectorAssembler(inputCols=names, outputCol=VECTOR).transform(cleaned).drop(*names)
 
 
 def estimator(kind: str, params: Mapping | None = None, task: str = "binary", seed: int = SEED, weight: str | None = None):
@@ -253,8 +257,6 @@ def train_ensemble(
     seed: int = SEED,
 ) -> tuple[list[TrafficModel], DataFrame]:
     """Both boosted-tree models, their soft vote, and the comparison table of all three."""
-    from packetloom.operators.evaluation import soft_vote
-
     params = params or {}
     models = [train(kind, train_rows, features, params.get(kind), seed=seed) for kind in TREE_DEFAULTS]
     report = None

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,9 +28,12 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="packetloom-")
-    spark.conf.set(CHECKPOINT_CONF, root)
-    return root
+    return _local_root(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"packetloom-{application}-")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

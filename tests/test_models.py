@@ -149,3 +149,27 @@ def test_detection_with_fitted_models(spark, data, small_model):
     alerts = detection.to_alerts(score(flows))
     assert alerts.count() == 900 and alerts.where("alert_level = 'LOW'").count() < 900
     assert detection.to_alerts(score(flows), min_level="HIGH").where("alert_level = 'LOW'").count() == 0
+
+
+def test_detector_round_trip(spark, tmp_path):
+    from packetloom.plans import supervised
+    from packetloom.sources import writers
+
+    kind = F.when(F.col("id") % 3 == 0, "UDP").otherwise("TCP")
+    packets = spark.range(600).select(
+        F.col("id").alias("packet_id"), F.lit("1.1.1.1").alias("src_ip"), kind.alias("protocol"),
+        F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.lit("S")).alias("flags"), (F.col("id") % 90 + 40).cast("int").alias("length"),
+    ).withColumn("label", ((F.col("protocol") == "UDP") & (F.col("length") > 80)).cast("int"))
+    detector = supervised.fit_detector(packets, ["packet_id"], params={"maxIter": 3, "maxDepth": 3})
+    assert {r["class"]: r["f1"] for r in detector.report.collect()}["1"] > 0.95
+    writers.save_fitted(detector.model, str(tmp_path / "detector"))
+    requests = packets.drop("label").unionByName(packets.drop("label").limit(1).withColumn("protocol", F.lit("GRE")))
+    scored = supervised.predict(writers.load_fitted(str(tmp_path / "detector")), requests)
+    assert scored.columns == [*requests.columns, "class", "confidence"] and scored.count() == 601
+    assert scored.where("class = 1").count() == packets.where("label = 1").count()
+
+
+def test_feature_names_may_hold_dots(data):
+    dotted = data.withColumnRenamed("a", "id.a")
+    model = learners.train("logistic", dotted, ["id.a", "b"])
+    assert learners.evaluate(model, dotted).first()["Accuracy"] > 0.95
