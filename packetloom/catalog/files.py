@@ -105,7 +105,7 @@ def partitioned_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts stored below one folder per day, then filtered by date and level."""
     path = shared_path(spark, "alerts")
     alerts = v.alerts(spark, sf_dir)
-    writers.append_alerts(alerts.repartition("proto", F.to_date("at")), path)
+    writers.append_alerts(alerts, path)
     stored = spark.read.parquet(path).where(F.col("dt").between("2024-01-05", "2024-01-12")).drop("dt")
     return traffic._alert_output(filter_dates_levels(stored, "2024-01-05", "2024-01-12", ["HIGH", "CRITICAL"]))
 

@@ -30,16 +30,23 @@ def stable_id(*columns: Column) -> Column:
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Order-insensitive fingerprint: row count and four exact sums over md5 slices of the rows."""
+    """Order-insensitive fingerprint: row count and four exact sums over 32-bit md5 slices of the rows.
+
+    The slices are added as BIGINT within each input partition, which is fast and cannot overflow there, and as decimals
+    across partitions.
+    """
     names = list(columns or df.columns)
     digest = F.md5(joined_text([F.col(f"`{n}`") for n in names]).cast("binary"))
-    slices = [
-        F.sum(F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("decimal(20,0)")).alias(f"slice_{i}")
-        for i in range(4)
-    ]
-    return df.select(F.count(F.lit(1)).alias("n_rows"), *slices).select(
+    parts = [f"slice_{i}" for i in range(4)]
+    slices = [F.conv(F.substring("digest", 1 + 8 * i, 8), 16, 10).cast("bigint").alias(p) for i, p in enumerate(parts)]
+    rows = df.select(F.spark_partition_id().alias("partition"), digest.alias("digest")).select("partition", *slices)
+    local = rows.groupBy("partition").agg(F.count(F.lit(1)).alias("n"), *[F.sum(p).alias(p) for p in parts])
+    total = local.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), *[F.sum(F.col(p).cast("decimal(20,0)")).alias(p) for p in parts]
+    )
+    return total.select(
         "n_rows",
-        F.sha2(
-            F.concat_ws("|", F.col("n_rows").cast("string"), *[F.col(f"slice_{i}").cast("string") for i in range(4)]), 256
-        ).alias("fingerprint"),
+        F.sha2(F.concat_ws("|", F.col("n_rows").cast("string"), *[F.col(p).cast("string") for p in parts]), 256).alias(
+            "fingerprint"
+        ),
     )

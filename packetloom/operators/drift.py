@@ -45,8 +45,7 @@ def _value(name: str) -> Column:
 
 def bin_of(value: Column, edges: Sequence[float]) -> Column:
     """Half-open bins, the last one closed; NULL outside. Repeated edges leave empty bins."""
-    listed = F.array(*[F.lit(e) for e in edges])
-    passed = F.size(F.filter(listed, lambda e: e <= value))
+    passed = sum(((value >= F.lit(e)).cast("int") for e in edges[1:]), F.lit(1))
     inside = (value >= edges[0]) & (value <= edges[-1])
     return F.when(inside, F.least(F.lit(len(edges) - 2), passed - F.lit(1)))
 

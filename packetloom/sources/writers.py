@@ -26,8 +26,12 @@ def append_jsonl(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def append_alerts(alerts: DataFrame, path: str, time_col: str = "at", file_format: str = "parquet") -> None:
-    """Append alerts below ``dt=<date>``, so that date filters skip whole folders."""
-    alerts.withColumn("dt", F.to_date(time_col)).write.mode("append").partitionBy("dt").format(file_format).save(path)
+    """Append alerts below ``dt=<date>``, so that date filters skip whole folders.
+
+    The rebalance hint gathers the rows of a date into few files and splits a date that got most of the alerts.
+    """
+    dated = alerts.withColumn("dt", F.to_date(time_col)).hint("rebalance", "dt")
+    dated.write.mode("append").partitionBy("dt").format(file_format).save(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:
@@ -47,8 +51,8 @@ class SnapshotTable:
     that fails half-way leaves the old version valid.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, file_format: str = "json"):
+        self.spark, self.path, self.schema, self.file_format = spark, path.rstrip("/"), schema, file_format
 
     def versions(self) -> list[str]:
         """Announced versions, oldest first."""
@@ -65,12 +69,12 @@ class SnapshotTable:
         found = self.versions()
         if not found:
             return empty(self.spark, self.schema)
-        return self.spark.read.schema(self.schema).json(f"{self.path}/{found[-1]}")
+        return self.spark.read.schema(self.schema).format(self.file_format).load(f"{self.path}/{found[-1]}")
 
     def save(self, df: DataFrame) -> str:
         number = len(self.versions()) + 1
         version = f"version-{number:06d}-{uuid.uuid4().hex[:8]}"
-        df.write.json(f"{self.path}/{version}")
+        df.write.format(self.file_format).save(f"{self.path}/{version}")
         commit = self.spark.range(1).select(F.lit(version).alias("version"), F.lit(number).cast("bigint").alias("number"))
         commit.coalesce(1).write.mode("append").json(f"{self.path}/commits")
         return version

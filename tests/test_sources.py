@@ -67,6 +67,19 @@ def test_append_and_reports(spark, tmp_path):
     assert counts == [2, 2, 1]
 
 
+def test_parquet_snapshots(spark, tmp_path):
+    store = writers.SnapshotTable(spark, str(tmp_path / "labels"), PACKET, "parquet")
+    store.save(spark.createDataFrame([(1.5, "a", None, "TCP", 60, None, 64, 0)], PACKET))
+    assert store.load().first()["src_ip"] == "a"
+
+
+def test_alert_folders_have_few_files(spark, tmp_path):
+    rows = spark.range(0, 4000, 1, 16).select(F.timestamp_seconds(F.col("id") * 60).alias("at"), "id")
+    writers.append_alerts(rows, str(tmp_path / "alerts"))
+    folders = [f for f in (tmp_path / "alerts").iterdir() if f.name.startswith("dt=")]
+    assert len(folders) == 3 and all(len(list(f.glob("*.parquet"))) <= 2 for f in folders)
+
+
 def test_snapshot_table_reads_only_committed_versions(spark, tmp_path):
     store = writers.SnapshotTable(spark, str(tmp_path / "labels"), LABEL_ROW)
     base = ensure_columns(spark.createDataFrame([("f1",)], "flow_id string"), {"label": ("string", "NORMAL")})
