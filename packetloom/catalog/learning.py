@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from packetloom.catalog import views as v
 from packetloom.catalog.common import Catalog
 from packetloom.operators import drift, evaluation, explain, features
+from packetloom.schemas import MODEL_FEATURES
 
 query = Catalog()
 
@@ -46,10 +47,15 @@ def numeric_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"WITH {v.FLOWS_SQL} SELECT flow_id, bytes_total, 0.0::DOUBLE AS unseen_feature, syn_count, pkts_total FROM flows")
+_ROUNDED = ("duration", "pkts_per_sec", "bytes_per_sec")
+_ALIGNED = ", ".join(f"round({f}, 5) AS {f}" if f in _ROUNDED else f for f in MODEL_FEATURES)
+
+
+@query(f"WITH {v.FLOWS_SQL} SELECT flow_id, 0.0::DOUBLE AS unseen_feature, {_ALIGNED} FROM flows")
 def align_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    expected = ["bytes_total", "unseen_feature", "syn_count", "pkts_total"]
-    return features.align_columns(v.flows(spark, sf_dir), expected, keep=["flow_id"])
+    """The fourteen model features and one the flows lack."""
+    aligned = features.align_columns(v.flows(spark, sf_dir), ["unseen_feature", *MODEL_FEATURES], keep=["flow_id"])
+    return _rounded(aligned, *_ROUNDED, digits=5)
 
 
 @query(f"""WITH {v.FLOWS_SQL} SELECT flow_id, length, round(duration, 5) AS duration, orig_pkts, resp_pkts, pkts_total, orig_bytes, resp_bytes, bytes_total,

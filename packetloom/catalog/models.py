@@ -9,8 +9,9 @@ from packetloom.catalog import views as v
 from packetloom.catalog.common import Catalog
 from packetloom.functions.hashing import hash_uniform
 from packetloom.operators import explain, isolation, learners
+from packetloom.operators.evaluation import flag_below
 from packetloom.operators.sampling import stratified_split
-from packetloom.plans import supervised
+from packetloom.plans import anomaly, supervised
 from packetloom.session import settle, shared_path
 from packetloom.sources import writers
 
@@ -96,6 +97,22 @@ def isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.score(rows).select("flow_id", "y", "anomaly_score")
 
 
+@query()
+def anomaly_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forest fitted on normal flows, threshold chosen and judged on labelled flows: one row of test metrics."""
+    rows = settle(labelled_flows(spark, sf_dir).withColumnRenamed("y", "label"), "flows")
+    detector = anomaly.train_and_tune(rows.where("label = 0"), rows, ["flow_id"])
+    return detector.test
+
+
+@query()
+def anomaly_retraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flows below the percentile threshold of a forest retrained on normal flows."""
+    rows = settle(labelled_flows(spark, sf_dir).withColumnRenamed("y", "label"), "flows")
+    forest, threshold = anomaly.retrain_on_normal(rows.where("label = 0"), ["flow_id"])
+    return flag_below(forest.score(rows), anomaly.SCORE, threshold).select("flow_id", anomaly.SCORE, "prediction")
+
+
 @query()
 def sampled_shapley(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attributions of the boosted trees for a bounded set of flows."""

@@ -10,7 +10,6 @@ from packetloom.catalog.common import Catalog
 from packetloom.functions.columns import flag_names, log1p_length
 from packetloom.functions.rules import risk_band
 from packetloom.operators import analytics, flows
-from packetloom.schemas import MODEL_FEATURES
 
 query = Catalog()
 

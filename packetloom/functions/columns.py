@@ -11,10 +11,6 @@ FLAG_LETTERS = {"SYN": "S", "ACK": "A", "FIN": "F", "RST": "R", "PSH": "P"}
 RATE_EPSILON = 1e-6
 
 
-def or_null(value: Column, keep: Column) -> Column:
-    return F.when(keep, value)
-
-
 def present(value: Column, floating: bool = True) -> Column:
     """Neither NULL nor, for floating types, NaN."""
     return value.isNotNull() & ~F.isnan(value) if floating else value.isNotNull()

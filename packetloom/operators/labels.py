@@ -16,7 +16,7 @@ from packetloom.functions.rules import (
     review_priority,
     uncertainty,
 )
-from packetloom.schemas import AUDIT_LOG, column_or, ensure_columns
+from packetloom.schemas import AUDIT_LOG, LABEL_STATUSES, column_or, ensure_columns
 
 ALERT_KEY = ("timestamp", "src", "dst", "src_port", "dst_port", "proto")
 
@@ -115,10 +115,12 @@ def mark_for_review(store: DataFrame, top_k: int = 50) -> DataFrame:
 
 
 def review_queue(store: DataFrame, status: str = "HUMAN_REVIEW_NEEDED", first: int = 10) -> DataFrame:
-    return store.where(F.col("label_status") == status).orderBy("flow_id").limit(first)
+    return by_status(store, status).orderBy("flow_id").limit(first)
 
 
 def by_status(store: DataFrame, status: str) -> DataFrame:
+    if status not in LABEL_STATUSES:
+        raise ValueError(f"unknown label status {status}")
     return store.where(F.col("label_status") == status)
 
 

@@ -96,10 +96,6 @@ def is_numeric(field: T.StructField) -> bool:
     return isinstance(field.dataType, T.NumericType)
 
 
-def is_floating(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType))
-
-
 def column_or(df: DataFrame, name: str, default: object, data_type: str) -> Column:
     """The column when the table has it, else a typed literal."""
     if name in df.columns:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packetloom.schemas import ALERT, PACKET
+from packetloom.schemas import ALERT, PACKET, SCORING_REQUEST
 
 CORRUPT = "_corrupt_record"
 FILE_TIME = "__timestamp"
@@ -95,6 +95,11 @@ def read_jsonl_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.json(path)
 
 
+def read_requests(spark: SparkSession, path: str) -> DataFrame:
+    """Scoring requests as JSON lines."""
+    return read_jsonl(spark, path, SCORING_REQUEST)
+
+
 def packet_stream(spark: SparkSession, path: str, file_format: str = "json", schema: T.StructType = PACKET, **options) -> DataFrame:
     """Packets arriving as files, with the event time ``ts``. Another connector only changes this reader."""
     rows = spark.readStream.schema(schema).options(**options).format(file_format).load(path)

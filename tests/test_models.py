@@ -173,3 +173,24 @@ def test_feature_names_may_hold_dots(data):
     dotted = data.withColumnRenamed("a", "id.a")
     model = learners.train("logistic", dotted, ["id.a", "b"])
     assert learners.evaluate(model, dotted).first()["Accuracy"] > 0.95
+
+
+def test_anomaly_training_finds_odd_rows(spark, data):
+    from packetloom.plans import anomaly
+
+    normal = data.select("id", *FEATURES)
+    odd = normal.limit(200).select(
+        F.concat(F.lit("odd-"), "id").alias("id"), *[(F.col(f) * 0.3 + 6).alias(f) for f in FEATURES]
+    )
+    mixed = normal.withColumn("label", F.lit(0)).unionByName(odd.withColumn("label", F.lit(1)))
+    detector = anomaly.train_and_tune(normal, mixed, ["id"], trees=40)
+    assert detector.test.first()["f1"] > 0.9
+    assert detector.flag(odd).where("prediction = 1").count() > 180
+    forest, threshold = anomaly.retrain_on_normal(normal, ["id"])
+    assert abs(threshold) < 0.01 and forest.features == FEATURES
+
+
+def test_retraining_needs_more_than_the_threshold(spark):
+    report = spark.createDataFrame([(0.5,)], "final_score double")
+    assert retraining.retrain_needed(report) is False
+    assert retraining.retrain_needed(report, 0.4) is True

@@ -94,3 +94,9 @@ def test_shared_folder_comes_from_the_session(spark):
     df = spark.range(10)
     assert settle(df).count() == 10
 
+
+
+def test_requests(spark, tmp_path):
+    path = tmp_path / "r.jsonl"
+    path.write_text('{"timestamp": 1.0, "src_ip": "a", "dst_ip": "b", "protocol": "TCP", "length": 60, "flags": "S"}\n')
+    assert readers.read_requests(spark, str(path)).first()["length"] == 60
