@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 
@@ -203,9 +204,12 @@ def threshold_sweep(df: DataFrame, score: str, truth: str = "y", slice_rows: int
     totals = running_totals(
         known, score, {"rows": F.count(F.lit(1)), "pos": F.count_if(F.col(truth) == 1)}, bounds=bounds
     )
-    spark = df.sparkSession
-    wanted = [(i, part, float(f(r))) for i, r in enumerate(ranks) for part, f in (("low", math.floor), ("high", math.ceil))]
-    marks = sorted({w for _, _, w in wanted})
+    wanted = [
+        (i, part, float(f(r)), r - math.floor(r))
+        for i, r in enumerate(ranks)
+        for part, f in (("low", math.floor), ("high", math.ceil))
+    ]
+    marks = sorted({rank for _, _, rank, _ in wanted})
     # which wanted ranks fall into [rows_before, rows_before + rows): a binary search over the fixed list of marks
     splits = [-math.inf, *marks, math.inf]
     first_mark = Bucketizer(splits=splits, inputCol="from_rank", outputCol="first_mark")
@@ -216,22 +220,19 @@ def threshold_sweep(df: DataFrame, score: str, truth: str = "y", slice_rows: int
             "to_rank": (F.col("rows_before") + F.col("rows")).cast("double") - 0.5,
         }
     )
-    hits = (
+    # the steps that ask for a mark, as one constant looked up by mark number: no join
+    asked = [[{"step": i, "part": part, "fraction": x} for i, part, rank, x in wanted if rank == m] for m in marks]
+    lookup = F.from_json(F.lit(json.dumps(asked)), "array<array<struct<step: int, part: string, fraction: double>>>")
+    hit = F.sequence(F.col("first_mark").cast("int"), F.col("last_mark").cast("int") - 1)
+    found = (
         last_mark.transform(first_mark.transform(ranged))
         .where(F.col("last_mark") > F.col("first_mark"))
-        .withColumn("mark", F.explode(F.sequence(F.col("first_mark").cast("int"), F.col("last_mark").cast("int") - 1)))
+        .select(F.col(score).cast("double").alias("value"), "rows", "pos", "rows_before", "pos_before", F.explode(hit).alias("mark"))
+        .select("*", F.inline(F.get(lookup, F.col("mark"))))
     )
-    position = {w: i for i, w in enumerate(marks)}
-    fraction = {i: r - math.floor(r) for i, r in enumerate(ranks)}
-    targets = spark.createDataFrame(
-        [(i, part, position[w], fraction[i]) for i, part, w in wanted], "step int, part string, mark int, fraction double"
-    )
-    # at most 2 * SWEEP_STEPS rows on either side of this join
-    found = hits.select("mark", F.col(score).cast("double").alias("value"), "rows", "pos", "rows_before", "pos_before")
     low, high = F.col("part") == "low", F.col("part") == "high"
     steps = (
-        targets.join(found, "mark")
-        .groupBy("step")
+        found.groupBy("step")
         .agg(
             F.max(F.when(low, F.col("value"))).alias("low"),
             F.max(F.when(high, F.col("value"))).alias("high"),
