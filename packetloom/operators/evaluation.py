@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from packetloom.functions.columns import ratio_or_zero
-from packetloom.operators.ordering import SLICE_ROWS, exact_quantiles, running_totals, slice_scan
+from packetloom.operators.ordering import TOTAL_ROWS, exact_quantiles, running_totals, slice_scan
 from packetloom.schemas import record
 
 # Sweep grid and gate limits.
@@ -124,7 +124,7 @@ def class_report(df: DataFrame, truth: str = "y", predicted: str = "prediction")
     return rows.unionByName(macro).unionByName(weighted)
 
 
-def roc_auc(df: DataFrame, score: str, truth: str = "y", slice_rows: int = SLICE_ROWS) -> DataFrame:
+def roc_auc(df: DataFrame, score: str, truth: str = "y", slice_rows: int = TOTAL_ROWS) -> DataFrame:
     """Exact area under the ROC curve; equal scores count half."""
     y = F.col(truth)
     totals = running_totals(df, score, {"pos": F.count_if(y == 1), "neg": F.count_if(y == 0)}, slice_rows)
@@ -191,7 +191,7 @@ def sweep_percentiles() -> list[float]:
     return [SWEEP_FROM + i * step for i in range(SWEEP_STEPS - 1)] + [SWEEP_TO]
 
 
-def threshold_sweep(df: DataFrame, score: str, truth: str = "y", slice_rows: int = SLICE_ROWS) -> DataFrame:
+def threshold_sweep(df: DataFrame, score: str, truth: str = "y", slice_rows: int = TOTAL_ROWS) -> DataFrame:
     """Confusion counts and rates for each of the 200 candidate thresholds (lower score: more abnormal).
 
     One global order answers everything: thresholds are interpolated between two neighbouring scores, and the rows
@@ -255,7 +255,7 @@ def threshold_sweep(df: DataFrame, score: str, truth: str = "y", slice_rows: int
     return with_rates(counted)
 
 
-def best_threshold(df: DataFrame, score: str, truth: str = "y", slice_rows: int = SLICE_ROWS) -> DataFrame:
+def best_threshold(df: DataFrame, score: str, truth: str = "y", slice_rows: int = TOTAL_ROWS) -> DataFrame:
     """The first threshold with the highest F1."""
     return threshold_sweep(df, score, truth, slice_rows).orderBy(F.col("f1").desc(), "step").limit(1)
 

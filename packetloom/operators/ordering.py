@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 SLICE = "__slice"
 SLICE_ROWS = 8_000_000
+TOTAL_ROWS = 1_000_000
 MAX_SLICES = 8192
 SKETCH_ACCURACY = 20_000
 EXACT_VALUES = 1_000_000
@@ -81,15 +82,15 @@ def running_totals(
     df: DataFrame,
     value: str,
     sums: Mapping[str, Column],
-    slice_rows: int = SLICE_ROWS,
+    slice_rows: int = TOTAL_ROWS,
     bounds: Sequence[float] | None = None,
 ) -> DataFrame:
-    """Per distinct ``value``: each sum of ``sums`` and ``<name>_before``, its total over all smaller values.
+    """Per distinct ``value`` (NULL and NaN left out): each sum of ``sums`` and ``<name>_before``, its total over all smaller values.
 
     Equal values are added up before the shuffle, slices are summed in parallel, and only the totals of the slices
     (at most ``MAX_SLICES`` rows) are accumulated in one place. ``bounds`` are slice borders found before.
     """
-    known = df.where(F.col(value).isNotNull())
+    known = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     if bounds is None:
         bounds = slice_bounds(known, F.col(value), slice_rows)
     grouped = known.groupBy(value).agg(*[total.alias(name) for name, total in sums.items()])

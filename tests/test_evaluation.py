@@ -102,3 +102,10 @@ def test_zero_day_recall(spark):
 def test_histogram_of_equal_scores(spark):
     df = spark.createDataFrame([(1.0, 0), (1.0, 1)], "s double, y int")
     assert {r["bin"] for r in evaluation.score_histogram(df, "s").collect()} == {0}
+
+
+def test_missing_scores_are_left_out(spark):
+    df = spark.createDataFrame([(1, 0.9), (0, 0.1), (1, None), (0, float("nan"))], "y int, s double")
+    assert evaluation.roc_auc(df, "s", slice_rows=1).first()["auc"] == 1.0
+    assert evaluation.threshold_sweep(df, "s").count() == 200
+    assert evaluation.threshold_sweep(df.limit(0), "s").count() == 0
