@@ -5,12 +5,73 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from packetloom.catalog.common import Catalog
-from packetloom.llm import sharding, tokens
+from packetloom.llm import mixing, sharding, tokens, warc
 from packetloom.llm.common import table
 from packetloom.session import shared_path
 
 query = Catalog()
 
+MIX_SQL = f"""
+WITH docs AS (
+    SELECT doc_id, source, md5(concat_ws('|', '7', coalesce(doc_id::VARCHAR, 'null'), text)) AS key,
+           coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size
+    FROM documents
+), ranked AS (
+    SELECT *, 1 + source_rank % 3 AS weight, 3 * source_size AS cap FROM (
+        SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS source_rank
+        FROM docs GROUP BY source)
+), levels AS (
+    SELECT *, sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0) AS left_over,
+           sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS weight_left
+    FROM ranked
+    WINDOW before AS (ORDER BY cap / weight, source_rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), stops AS (
+    SELECT *, min((cap * weight_left <= weight * left_over)::INT) OVER (
+        ORDER BY cap / weight, source_rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stopped
+    FROM levels
+), sources AS (
+    SELECT source, source_rank, source_size,
+           CASE WHEN stopped = 1 THEN cap::DOUBLE
+                ELSE (weight * max(CASE WHEN stopped = 0 THEN left_over END) OVER ())::DOUBLE
+                     / (max(CASE WHEN stopped = 0 THEN weight_left END) OVER ())::DOUBLE END AS target
+    FROM stops
+), shape AS (
+    SELECT sum(source_size)::BIGINT AS total,
+           greatest(1, ceil(sum(source_size) / ({mixing.SLOTS} + {mixing.SLOTS_PER_SOURCE} * count(*))))::BIGINT AS block
+    FROM sources
+), edges AS (
+    SELECT source_rank, ceil(source_size / block)::BIGINT AS blocks, round(target)::BIGINT AS part,
+           (sum(round(target)::BIGINT) OVER (ORDER BY source_rank))::BIGINT AS edge,
+           (sum(round(target)::BIGINT) OVER ())::BIGINT AS last
+    FROM sources, shape
+), slots AS (
+    SELECT slot, (slot * {mixing.GOLDEN}::DOUBLE) % 1.0::DOUBLE AS point
+    FROM (SELECT unnest(range(ceil(total / block)::BIGINT)) AS slot FROM shape)
+), named AS (
+    SELECT source_rank, (row_number() OVER (PARTITION BY source_rank ORDER BY slot) - 1) % blocks AS block_no
+    FROM slots JOIN edges ON floor(point * last) < edge AND floor(point * last) >= edge - part
+), uses AS (
+    SELECT source_rank, block_no, least(3, count(*)) AS uses FROM named GROUP BY ALL
+), placed AS (
+    SELECT d.doc_id, d.size, s.source_rank, s.source_size, s.target,
+           coalesce(sum(d.size) OVER (PARTITION BY s.source_rank ORDER BY d.key
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
+    FROM docs d JOIN sources s ON d.source IS NOT DISTINCT FROM s.source
+), numbered AS (SELECT *, row_number() OVER () AS id FROM placed)
+SELECT any_value(doc_id) AS doc_id, any_value(size) AS size, any_value(source_size) AS source_size,
+       any_value(target) AS target,
+       coalesce(sum(uses * (least(begins + size, (block_no + 1) * block) - greatest(begins, block_no * block))), 0)::BIGINT AS taken
+FROM numbered n CROSS JOIN shape
+LEFT JOIN uses u ON u.source_rank = n.source_rank AND block_no * block < begins + size AND (block_no + 1) * block > begins
+GROUP BY id
+"""
+
+
+@query(MIX_SQL)
+def op6_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return mixing.mix_sources(docs).documents.select("doc_id", "size", "source_size", "target", "taken")
+
 
 @query()
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,3 +86,9 @@ def op8_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     placed = sharding.write_shards(sharding.two_pass_shuffle(docs), shared_path(spark, "shards"))
     return sharding.shard_digest(placed)
+
+
+@query()
+def op10_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archive(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
