@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from packetloom.catalog.common import Catalog
-from packetloom.llm import mixing, sharding, tokens, warc
+from packetloom.llm import jaccard, mixing, sharding, tokens, warc
 from packetloom.llm.common import table
 from packetloom.session import shared_path
 
@@ -92,3 +92,8 @@ def op8_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.archive(table(spark, sf_dir, "pages", "page_id", "url", "html"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op4_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text")).drop("text_key")
