@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from packetloom.catalog.common import Catalog
-from packetloom.llm import jaccard, mixing, sharding, tokens, warc
+from packetloom.llm import jaccard, mixing, sharding, tokens, toxicity, warc
 from packetloom.llm.common import table
 from packetloom.session import shared_path
 
@@ -97,3 +97,9 @@ def op10_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text")).drop("text_key")
+
+
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.toxicity_scores(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
