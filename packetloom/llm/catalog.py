@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from packetloom.catalog.common import Catalog
-from packetloom.llm import jaccard, mixing, sharding, tokens, toxicity, warc
+from packetloom.llm import decontaminate, jaccard, mixing, sharding, tokens, toxicity, warc
 from packetloom.llm.common import table
 from packetloom.session import shared_path
 
@@ -103,3 +103,54 @@ def op4_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return toxicity.toxicity_scores(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
+def _template_sql(name: str, key: str, select: str) -> str:
+    bare = "trim(regexp_replace(regexp_replace(text, '[^\\p{L}\\p{M}\\p{N}\\x09-\\x0D\\x20]+', '', 'g'), '[\\x09-\\x0D\\x20]+', ' ', 'g'))"
+    numbers = "regexp_replace(plain, '[^\\x09-\\x0D\\x20]*\\p{N}[^\\x09-\\x0D\\x20]*', '#n', 'g')"
+    units = f"regexp_replace({numbers}, '#n ({decontaminate.UNITS})( |$)', '#n #u\\2', 'g')"
+    names = f"lower(regexp_replace({units}, '(^| )\\p{{Lu}}\\p{{Ll}}+', '\\1#p', 'g'))"
+    return f"""{name} AS (
+    SELECT *, len(shape) AS n FROM (
+        SELECT {key}, string_split(plain, ' ') AS words, string_split({names}, ' ') AS shape
+        FROM (SELECT {key}, {bare} AS plain FROM {select}) WHERE plain != ''))"""
+
+
+_LITERAL = f"len(list_filter(piece, lambda w: w NOT IN ('#n', '#p', '#u'))) >= {decontaminate.LITERALS}"
+LEAK_SQL = f"""
+WITH {_template_sql("docs", "doc_id", "documents")},
+{_template_sql("items", "item_id", "benchmark")},
+sized AS (SELECT *, least({decontaminate.WINDOW}, n) AS width FROM items),
+item_windows AS (
+    SELECT item_id, width, k AS item_at, piece, n - width + 1 AS item_windows FROM (
+        SELECT item_id, width, n, k, shape[k + 1 : k + width] AS piece FROM (SELECT *, unnest(range(n - width + 1)) AS k FROM sized))
+    WHERE {_LITERAL}
+), doc_windows AS (
+    SELECT doc_id, width, k AS place, shape[k + 1 : k + width] AS piece
+    FROM (SELECT docs.*, width, unnest(range(n - width + 1)) AS k FROM docs, (SELECT DISTINCT width FROM sized))
+), aligned AS (
+    SELECT doc_id, item_id, place - item_at AS shift, count(DISTINCT item_at) AS hits, max(item_windows) AS item_windows
+    FROM doc_windows JOIN item_windows USING (width, piece) GROUP BY ALL
+    HAVING hits >= {decontaminate.COVERAGE} * max(item_windows)
+), faced AS (
+    SELECT doc_id, item_id, shift, hits, item_windows, i.words[k + 1] AS a, d.words[shift + k + 1] AS b
+    FROM aligned JOIN docs d USING (doc_id) JOIN items i USING (item_id), unnest(range(i.n)) AS r(k)
+    WHERE shift + k >= 0 AND shift + k < d.n AND i.shape[k + 1] IN ('#n', '#p', '#u') AND i.shape[k + 1] = d.shape[shift + k + 1]
+), judged AS (
+    SELECT doc_id, item_id, shift, any_value(aligned.hits) AS hits, any_value(aligned.item_windows) AS item_windows,
+           count(DISTINCT (a, b)) FILTER (a IS NOT NULL) AS slots,
+           2 * count(DISTINCT (a, b)) FILTER (a IS NOT NULL) - count(DISTINCT a) - count(DISTINCT b) AS conflicts,
+           coalesce(bool_or(a != b), false) AS changed
+    FROM aligned LEFT JOIN faced USING (doc_id, item_id, shift) GROUP BY ALL
+)
+SELECT doc_id, item_id, hits::INT AS hits, item_windows::INT AS item_windows, slots::INT AS slots,
+       conflicts::INT AS conflicts, changed
+FROM judged WHERE conflicts <= {decontaminate.CONFLICTS} * slots
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY hits DESC, shift) = 1
+"""
+
+
+@query(LEAK_SQL)
+def op9_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text")).drop("text_key")
