@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from packetloom.catalog.common import Catalog
-from packetloom.llm import decontaminate, jaccard, mixing, sharding, tokens, toxicity, warc
+from packetloom.llm import decontaminate, jaccard, mixing, pseudonyms, sharding, tokens, toxicity, warc
 from packetloom.llm.common import table
 from packetloom.session import shared_path
 
@@ -154,3 +154,9 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY hits DESC, shif
 def op9_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text")).drop("text_key")
+
+
+@query()
+def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return pseudonyms.pseudonymize(docs, key="corpus-release-1")
