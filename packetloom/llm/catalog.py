@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from packetloom.catalog.common import Catalog
-from packetloom.llm import decontaminate, jaccard, mixing, pseudonyms, sharding, tokens, toxicity, warc
+from packetloom.llm import decontaminate, jaccard, lattice, mixing, pseudonyms, sharding, tokens, toxicity, warc
 from packetloom.llm.common import table
 from packetloom.session import shared_path
 
@@ -160,3 +160,27 @@ def op9_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return pseudonyms.pseudonymize(docs, key="corpus-release-1")
+
+
+VECTOR_SQL = """
+WITH RECURSIVE ready AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND label IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x != 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM ready a JOIN ready b ON a.label = b.label AND a.vec_id != b.vec_id
+    WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE links.a = e.vec_id) AS n_links,
+       min(reach.b) AS component_id, e.vec_id = min(reach.b) AS kept
+FROM embeddings e JOIN reach ON reach.a = e.vec_id GROUP BY e.vec_id
+"""
+
+
+@query(VECTOR_SQL)
+def op1_lattice_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.lattice_near_copies(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
