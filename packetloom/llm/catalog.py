@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from packetloom.catalog.common import Catalog
-from packetloom.llm import decontaminate, jaccard, lattice, mixing, pseudonyms, sharding, tokens, toxicity, warc
+from packetloom.llm import decontaminate, jaccard, lattice, lm, mixing, pseudonyms, sharding, tokens, toxicity, warc
 from packetloom.llm.common import table
 from packetloom.session import shared_path
 
@@ -184,3 +184,8 @@ FROM embeddings e JOIN reach ON reach.a = e.vec_id GROUP BY e.vec_id
 @query(VECTOR_SQL)
 def op1_lattice_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.lattice_near_copies(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+@query()
+def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.context_mixing_scores(table(spark, sf_dir, "documents", "doc_id", "text"))
