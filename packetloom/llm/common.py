@@ -22,6 +22,14 @@ def text_of(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def spare(rows: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as make it new among the columns of ``rows``."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def word_count(column: str | Column) -> Column:
     return F.regexp_count(text_of(column), F.lit(WORD)).cast("long")
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import text_of
+from packetloom.llm.common import spare, text_of
 from packetloom.session import settle
 
 WINDOW = 8
@@ -154,6 +154,8 @@ def leaks(
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item."""
-    bad = leaks(docs, benchmark, id_col, text_col, **options).select(F.col(id_col).alias("_id"), F.col("text_key").alias("_bad")).distinct()
-    keyed = docs.withColumn("_key", F.xxhash64(text_of(text_col)))
-    return keyed.join(bad, keyed[id_col].eqNullSafe(bad["_id"]) & (keyed["_key"] == bad["_bad"]), "left_anti").drop("_key")
+    key = spare(docs, "key")
+    bad = leaks(docs.select(id_col, text_col), benchmark, id_col, text_col, **options)
+    bad = bad.select(F.col(id_col).alias("bad_id"), F.col("text_key").alias("bad_key")).distinct()
+    keyed = docs.withColumn(key, F.xxhash64(text_of(text_col)))
+    return keyed.alias("d").join(bad.alias("b"), F.expr(f"d.`{id_col}` <=> b.bad_id AND d.`{key}` = b.bad_key"), "left_anti").drop(key)

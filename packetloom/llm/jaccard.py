@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import extend, rows_of, text_of
+from packetloom.llm.common import extend, rows_of, spare, text_of
 from packetloom.llm.graph import components
 from packetloom.session import settle
 
@@ -281,11 +281,11 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Rows of equal id and text count as one document, unless they hold no word.
     """
-    kept = jaccard_join(docs, id_col, text_col, **options).filter("kept")
-    kept = kept.select(F.col(id_col).alias("_id"), F.col("text_key").alias("_text_key")).distinct()
-    keyed = docs.withColumn("_key", F.xxhash64(text_of(text_col)))
-    same = keyed[id_col].eqNullSafe(kept["_id"]) & (keyed["_key"] == kept["_text_key"])
-    found = keyed.join(kept, same, "left_semi")
-    blank = F.trim(F.regexp_replace(text_of(text_col), r"[\x20\x09-\x0D]+", "")) == ""
-    once = found.filter(~blank).dropDuplicates([id_col, "_key"])
-    return once.unionByName(found.filter(blank)).drop("_key")
+    key = spare(docs, "key")
+    kept = jaccard_join(docs.select(id_col, text_col), id_col, text_col, **options).filter("kept")
+    kept = kept.select(F.col(id_col).alias("kept_id"), F.col("text_key").alias("kept_key")).distinct()
+    keyed = docs.withColumn(key, F.xxhash64(text_of(text_col)))
+    found = keyed.alias("d").join(kept.alias("k"), F.expr(f"d.`{id_col}` <=> k.kept_id AND d.`{key}` = k.kept_key"), "left_semi")
+    blank = F.regexp_replace(text_of(text_col), r"[\x20\x09-\x0D]+", "") == ""
+    once = found.filter(~blank).dropDuplicates([id_col, key])
+    return once.unionByName(found.filter(blank)).drop(key)

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import word_count
+from packetloom.llm.common import spare, word_count
 from packetloom.session import settle
 
 #: The fractional part of the golden ratio.
@@ -117,6 +117,10 @@ def shuffled_places(docs: DataFrame, key: Column) -> DataFrame:
     return placed.withColumn("begins", F.col("_ahead") + F.col("_inside")).drop("_ahead", "_inside", "_cell", "_key")
 
 
+def shuffle_key(id_col: str, text_col: str, seed: int) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.col(text_col)))
+
+
 def mix_sources(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -136,7 +140,7 @@ def mix_sources(
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).alias("source"),
-        F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.col(text_col))).alias("key"),
+        shuffle_key(id_col, text_col, seed).alias("key"),
         word_count(text_col).alias("size"),
     )
     rows = settle(rows, "mix-rows")  # narrow: the texts are read once
@@ -188,3 +192,20 @@ def mix_sources(
         F.coalesce("begin_uses", F.lit(0)).cast("int").alias("first_use"),
     )
     return Mix(sources, schedule, documents)
+
+
+def mixed_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7
+) -> DataFrame:
+    """``docs`` as the mix uses them: each row as often as the schedule takes the block with its first word.
+
+    Rows of equal id and text are numbered to tell them apart; all others are alone with their key.
+    """
+    key, number, uses = spare(docs, "key"), spare(docs, "number"), spare(docs, "uses")
+    plan = mix_sources(docs.select(id_col, text_col, source_col), id_col, text_col, source_col, seed).documents
+    again = F.row_number().over(Window.partitionBy("key").orderBy("begins"))
+    plan = plan.select(F.col("key").alias(key), again.alias(number), F.col("first_use").alias(uses)).filter(F.col(uses) > 0)
+    keyed = docs.withColumn(key, shuffle_key(id_col, text_col, seed))
+    keyed = keyed.withColumn(number, F.row_number().over(Window.partitionBy(key).orderBy(id_col)))
+    taken = keyed.join(plan, [key, number])
+    return taken.withColumn(uses, F.explode(F.sequence(F.lit(1), F.col(uses)))).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -8,9 +8,11 @@ digests, equal for equal addresses.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from packetloom.llm.common import spare
+
 ROUNDS = 8
 
 #: Patterns of each kind, tried in this order at each place. Digits or letters never touch a match.
@@ -191,18 +193,14 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text", restore: boo
     digit, octets, calendar) are no personal data and stay. Works row by row without a shuffle, so repeated rows, null
     ids and empty tables need no care; columns named like the counts are replaced.
     """
-    text = F.col(text_col)
+    text, matches, renewed = F.col(text_col), spare(docs, "matches"), spare(docs, "renewed")
     holds = F.coalesce(text.rlike(ANY), F.lit(False))
     found = F.when(holds, F.regexp_extract_all(text, F.lit(ANY), 0)).otherwise(F.array().cast("array<string>"))
-    rows = docs.withColumn("_found", found)
-    rows = rows.withColumn("_new", F.expr(f"transform(_found, m -> {pseudonym('m', key, restore)})"))
+    rows = docs.withColumn(matches, found)
+    rows = rows.withColumn(renewed, F.expr(f"transform(`{matches}`, m -> {pseudonym('m', key, restore)})"))
     pieces = F.split(text, ANY, -1)
-    joined = F.concat_ws("", F.flatten(F.zip_with(pieces, F.col("_new"), lambda p, n: F.array(p, F.coalesce(n, F.lit(""))))))
-    changed = {f"private_{kind}": _count(kind) for kind in KINDS}
-    rows = rows.withColumns({text_col: F.when(F.size("_found") > 0, joined).otherwise(text)} | changed)
-    total = sum((F.col(c) for c in changed), F.lit(0))
-    return rows.withColumn("n_private", total).drop("_found", "_new")
-
-
-def _count(kind: str) -> Column:
-    return F.expr(f"size(filter(arrays_zip(_found, _new), z -> z._found != z._new AND {_is('z._found', kind)}))")
+    joined = F.concat_ws("", F.flatten(F.zip_with(pieces, F.col(renewed), lambda p, n: F.array(p, F.coalesce(n, F.lit(""))))))
+    both = f"zip_with(`{matches}`, `{renewed}`, (a, b) -> named_struct('a', a, 'b', b))"
+    counts = {f"private_{k}": F.expr(f"size(filter({both}, z -> z.a != z.b AND {_is('z.a', k)}))") for k in KINDS}
+    rows = rows.withColumns({text_col: F.when(F.size(matches) > 0, joined).otherwise(text)} | counts)
+    return rows.withColumn("n_private", sum((F.col(c) for c in counts), F.lit(0))).drop(matches, renewed)

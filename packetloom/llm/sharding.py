@@ -14,8 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from packetloom.llm.common import extend, text_of
+from packetloom.llm.common import extend, spare, text_of
 
 #: Cells of the hash range; buckets are runs of cells, so the driver sees so many counts at most.
 CELLS = 1 << 16
@@ -40,15 +41,17 @@ def two_pass_shuffle(
     The key hashes seed, id and text, so null ids and one repeated id spread over all buckets. Rows equal in both are
     interchangeable, and which of them gets which place carries no meaning. Reruns and retried tasks give the same
     places, whatever the partitions of the input. A worker keeps eight bytes per row of the bucket at hand; rows
-    stream past it. An empty table gives no rows; a null text has size 1.
+    stream past it. An empty table gives no rows; a null text has size 1. Columns named like the new ones are replaced.
     """
+    docs = docs.drop("place_size", "place_shard", "place_slot")
+    key, part, place = spare(docs, "key"), spare(docs, "bucket"), spare(docs, "place")
     keyed = docs.withColumns(
         {
             "place_size": byte_size(text_col),
-            "place_key": F.xxhash64(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), text_of(text_col)),
+            key: F.xxhash64(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), text_of(text_col)),
         }
     )
-    cell = F.shiftrightunsigned("place_key", 48)
+    cell = F.shiftrightunsigned(key, 48)
     counted = keyed.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.sum("place_size").alias("size")).collect()
     buckets = max(1, min(CELLS, -(-sum(r["size"] for r in counted) // bucket_bytes)))
     rows = [0] * buckets
@@ -56,10 +59,10 @@ def two_pass_shuffle(
         rows[r["cell"] * buckets // CELLS] += r["n"]
     starts = [0, *accumulate(rows)]
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shuffle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, order, seen = -1, np.empty(0, np.int64), 0
         for batch in batches:
-            bucket = batch.column("place_bucket").to_numpy(zero_copy_only=False)
+            bucket = batch.column(part).to_numpy(zero_copy_only=False)
             places = np.empty(len(bucket), np.int64)
             for b in np.unique(bucket):
                 mine = np.flatnonzero(bucket == b)
@@ -68,19 +71,15 @@ def two_pass_shuffle(
                     np.random.default_rng([seed, int(b)]).shuffle(order)  # Fisher-Yates
                 places[mine] = starts[b] + order[seen : seen + len(mine)]
                 seen += len(mine)
-            yield extend(batch, place=places)
-
-    keyed = keyed.withColumn("place_bucket", (F.expr("shiftrightunsigned(place_key, 48)") * buckets / CELLS).cast("int"))
-    # every executor of the second pass sees a bucket's rows in the order of their keys, whatever order they arrived in
-    scattered = keyed.repartition(buckets, "place_bucket").sortWithinPartitions("place_bucket", "place_key", id_col)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in scattered.schema)
-    placed = scattered.mapInArrow(place, f"{schema}, place long").sortWithinPartitions("place")
-    return placed.withColumns(
-        {
-            "place_shard": (F.col("place") % shards).cast("int"),
-            "place_slot": F.expr(f"place div {shards}"),
-        }
-    ).drop("place_key", "place_bucket", "place")
+            yield extend(batch, **{place: places})
+
+    keyed = keyed.withColumn(part, F.floor(cell * buckets / CELLS).cast("int"))
+    # every attempt at the second pass sees a bucket's rows in the order of their keys, whatever order they arrived in
+    scattered = keyed.repartition(buckets, part).sortWithinPartitions(part, key, id_col)
+    schema = T.StructType([*scattered.schema.fields, T.StructField(place, T.LongType())])
+    placed = scattered.mapInArrow(shuffle, schema).sortWithinPartitions(place)
+    shard, slot = (F.col(place) % shards).cast("int"), F.floor(F.col(place) / shards).cast("long")
+    return placed.withColumns({"place_shard": shard, "place_slot": slot}).drop(key, part, place)
 
 
 def write_shards(placed: DataFrame, path: str) -> DataFrame:

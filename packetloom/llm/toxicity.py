@@ -20,6 +20,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from packetloom.llm.common import extend, fold, rows_of, text_of
 from packetloom.session import settle
@@ -148,7 +149,7 @@ def feature_matrix(texts: list[str], codes: Codes) -> np.ndarray:
 def with_features(rows: DataFrame, lexicons: dict[int, dict[str, float]]) -> DataFrame:
     """``rows`` (text, half, ...) without the text, with an array of features by the lexicon of the row's half."""
     shared = rows.sparkSession.sparkContext.broadcast(lexicons)
-    kept = [c for c in rows.columns if c != "text"]
+    kept = [f for f in rows.schema if f.name != "text"]
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = {half: Codes(weights) for half, weights in shared.value.items()}
@@ -159,10 +160,9 @@ def with_features(rows: DataFrame, lexicons: dict[int, dict[str, float]]) -> Dat
             for h in np.unique(half):
                 mine = np.flatnonzero(half == h)
                 found[mine] = feature_matrix([texts[i] for i in mine], codes[int(h)])
-            yield extend(batch.select(kept), features=pa.array(list(found), pa.list_(pa.float64())))
+            yield extend(batch.select([f.name for f in kept]), features=pa.array(list(found), pa.list_(pa.float64())))
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(compute, f"{schema}, features array<double>")
+    return rows.mapInArrow(compute, T.StructType([*kept, T.StructField("features", T.ArrayType(T.DoubleType()))]))
 
 
 def unit_counts(sample: DataFrame) -> DataFrame:
@@ -220,18 +220,17 @@ class ToxicityModel:
     trees: GBTClassificationModel | None = None
     calibration: IsotonicRegressionModel | None = None
 
-    def score(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """id, the rest of ``docs`` but the text, and score (0 to 1) for every row; a null text counts as empty."""
-        rest = [c for c in docs.columns if c != text_col]
-        rows = docs.select(*rest, text_of(text_col).alias("text"), F.lit(2).alias("half"))
+    def score(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
+        """row (all columns of ``docs``) and score (0 to 1) of every row; a null text counts as empty."""
+        rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), text_of(text_col).alias("text"))
         if self.trees is None:
-            return rows.drop("text", "half").withColumn("score", F.lit(self.prior))
-        rows = with_features(rows, {2: self.lexicon}).drop("half")
+            return rows.drop("text").withColumn("score", F.lit(self.prior))
+        rows = with_features(rows.withColumn("half", F.lit(2)), {2: self.lexicon})
         scored = self.trees.transform(rows.withColumn("features", array_to_vector("features")))
-        scored = scored.withColumn("raw", vector_to_array("probability")[1]).select(*rest, "raw")
+        scored = scored.select("row", vector_to_array("probability")[1].alias("raw"))
         scored = self.calibration.transform(scored)
         # the calibration is a staircase; a thousandth of the raw score keeps the order within a step
-        return scored.select(*rest, (F.col("prediction") * 0.999 + F.col("raw") * 0.001).alias("score"))
+        return scored.select("row", (F.col("prediction") * 0.999 + F.col("raw") * 0.001).alias("score"))
 
 
 def fit_toxicity(
@@ -268,9 +267,18 @@ def fit_toxicity(
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: int = 0) -> DataFrame:
-    """doc_id, held_out, score, predicted of every document; rows of the held-out fold never teach the model."""
+    """doc_id, held_out, score, predicted of every document; rows of the held-out fold never teach the model.
+
+    A null or empty text has a score as any other. Null ids are scored and teach nothing; repeated rows are scored by
+    themselves; an empty table gives no rows.
+    """
     model = fit_toxicity(docs, labels.filter(~fold("doc_id", held_out)))
     scored = model.score(docs.select("doc_id", "text"))
-    return scored.select(
-        "doc_id", fold("doc_id", held_out).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
-    )
+    score, doc_id = F.col("score"), F.col("row.doc_id")
+    return scored.select(doc_id, fold(doc_id, held_out).alias("held_out"), "score", (score >= 0.5).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the model does not predict toxic, with all their columns."""
+    model = fit_toxicity(docs, labels, id_col, text_col)
+    return model.score(docs, text_col).filter("score < 0.5").select("row.*")
