@@ -108,11 +108,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _template_sql(name: str, key: str, select: str) -> str:
     bare = "trim(regexp_replace(regexp_replace(text, '[^\\p{L}\\p{M}\\p{N}\\x09-\\x0D\\x20]+', '', 'g'), '[\\x09-\\x0D\\x20]+', ' ', 'g'))"
     numbers = "regexp_replace(plain, '[^\\x09-\\x0D\\x20]*\\p{N}[^\\x09-\\x0D\\x20]*', '#n', 'g')"
-    units = f"regexp_replace({numbers}, '#n ({decontaminate.UNITS})( |$)', '#n #u\\2', 'g')"
-    names = f"lower(regexp_replace({units}, '(^| )\\p{{Lu}}\\p{{Ll}}+', '\\1#p', 'g'))"
+    names = f"lower(regexp_replace({numbers}, '(^| )\\p{{Lu}}\\p{{Ll}}+', '\\1#p', 'g'))"
+    units = f"regexp_replace({names}, '#n ({decontaminate.UNITS})( |$)', '#n #u\\2', 'g')"
     return f"""{name} AS (
     SELECT *, len(shape) AS n FROM (
-        SELECT {key}, string_split(plain, ' ') AS words, string_split({names}, ' ') AS shape
+        SELECT {key}, string_split(plain, ' ') AS words, string_split({units}, ' ') AS shape
         FROM (SELECT {key}, {bare} AS plain FROM {select}) WHERE plain != ''))"""
 
 

@@ -44,31 +44,35 @@ def plain_words(text: Column) -> Column:
 
 def template(plain: Column) -> Column:
     """``plain`` in lower case with #n, #u, #p for numbers, units after numbers and capitalised words."""
-    numbers = F.regexp_replace(plain, rf"{NOT_BLANK}*\p{{N}}{NOT_BLANK}*", "#n")
-    units = F.regexp_replace(numbers, f"#n ({UNITS})( |$)", "#n #u$2")
-    return F.lower(F.regexp_replace(units, r"(^| )\p{Lu}\p{Ll}+", "$1#p"))
+    digits = plain.rlike(r"\p{N}")
+    numbers = F.when(digits, F.regexp_replace(plain, rf"{NOT_BLANK}*\p{{N}}{NOT_BLANK}*", "#n")).otherwise(plain)
+    names = F.lower(F.regexp_replace(numbers, r"(^| )\p{Lu}\p{Ll}+", "$1#p"))
+    return F.when(digits, F.regexp_replace(names, f"#n ({UNITS})( |$)", "#n #u$2")).otherwise(names)
 
 
 def canonical(rows: DataFrame, text: Column) -> DataFrame:
-    """``rows`` with arrays words and shape: the words of the text and their template, of equal length."""
+    """``rows`` with arrays words and shape: the words of the text and their template, of equal length.
+
+    A text without words has one empty word.
+    """
     rows = rows.withColumn("_plain", plain_words(text))
-    split = {"words": F.split("_plain", " "), "shape": F.split(template(F.col("_plain")), " ")}
-    return rows.filter("_plain != ''").withColumns(split).drop("_plain")
+    return rows.withColumns({"words": F.split("_plain", " "), "shape": F.split(template(F.col("_plain")), " ")}).drop("_plain")
 
 
 def windows(shape: str, size: int) -> Column:
-    """Hashes of all windows of ``size`` template words, null where too few words are literal."""
-    slots = ", ".join(f"'{s}'" for s in SLOTS)
-    piece = f"slice({shape}, i + 1, {size})"
-    literal = f"size(filter({piece}, w -> w NOT IN ({slots})))"
-    # placeholders are rare: the count is only taken where a window has one
+    """Hashes of all windows of ``size`` template words."""
     return F.expr(
-        f"CASE WHEN size({shape}) >= {size} THEN transform(sequence(0, size({shape}) - {size}), i -> "
-        f"CASE WHEN NOT exists({piece}, w -> w IN ({slots})) OR {literal} >= {min(LITERALS, size)} "
-        f"THEN xxhash64(concat_ws(' ', {piece})) END) ELSE array() END"
+        f"CASE WHEN size({shape}) >= {size} THEN "
+        f"transform(sequence(0, size({shape}) - {size}), i -> xxhash64(slice({shape}, i + 1, {size}))) ELSE array() END"
     )
 
 
+def literals(shape: str, start: str, size: int) -> Column:
+    """Words of a window that are no placeholders."""
+    slots = ", ".join(f"'{s}'" for s in SLOTS)
+    return F.expr(f"size(filter(slice({shape}, {start} + 1, {size}), w -> w NOT IN ({slots})))")
+
+
 def window_hits(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     """id, text_key, item_id, shift, hits, item_windows: alignments of rows with items and the windows they share."""
     items = settle(
@@ -83,14 +87,15 @@ def window_hits(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame
     for width in widths:
         if width < LITERALS:
             continue
+        # only the item's windows are tested for literal words: a window of a row that meets one has the same words
         own = items.filter(F.col("width") == width).select(
-            "item_id", F.posexplode(windows("shape", width)).alias("item_at", "hash"), (F.size("shape") - width + 1).alias("item_windows")
+            "item_id", "shape", F.posexplode(windows("shape", width)).alias("item_at", "hash"), (F.size("shape") - width + 1).alias("item_windows")
         )
-        own = settle(own.filter("hash IS NOT NULL"), "item-windows")
+        own = settle(own.filter(literals("shape", "item_at", width) >= LITERALS).drop("shape"), "item-windows")
         if own.count() <= BROADCAST_WINDOWS:
             own = F.broadcast(own)
         seen = shapes.select("id", "text_key", F.posexplode(windows("shape", width)).alias("at", "hash"))
-        parts.append(seen.filter("hash IS NOT NULL").join(own, "hash"))
+        parts.append(seen.join(own, "hash"))
     if not parts:
         parts = [docs.limit(0).selectExpr("id", "text_key", "0 AS at", "0L AS item_id", "0 AS item_at", "0 AS item_windows")]
     met = parts[0].select("id", "text_key", "at", "item_id", "item_at", "item_windows")
