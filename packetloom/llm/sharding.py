@@ -75,7 +75,7 @@ def two_pass_shuffle(
 
     keyed = keyed.withColumn(part, F.floor(cell * buckets / CELLS).cast("int"))
     # every attempt at the second pass sees a bucket's rows in the order of their keys, whatever order they arrived in
-    scattered = keyed.repartition(buckets, part).sortWithinPartitions(part, key, id_col)
+    scattered = keyed.repartitionById(buckets, F.col(part)).sortWithinPartitions(part, key, id_col)
     schema = T.StructType([*scattered.schema.fields, T.StructField(place, T.LongType())])
     placed = scattered.mapInArrow(shuffle, schema).sortWithinPartitions(place)
     shard, slot = (F.col(place) % shards).cast("int"), F.floor(F.col(place) / shards).cast("long")
