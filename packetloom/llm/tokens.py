@@ -77,21 +77,28 @@ def count_text(text: str, lengths: Lengths, special: re.Pattern | None) -> int:
 def frequent_lengths(
     docs: DataFrame, tokenizer_path: str, text_col: str = "text", sample: int = SAMPLE_TEXTS, entries: int = TABLE_ENTRIES
 ) -> dict[str, int]:
-    """The frequent pre-tokens of at most ``sample`` texts; at most ``entries`` of them come to the driver."""
+    """Frequent pre-tokens of the first texts; at most ``entries`` of them come to the driver.
+
+    A partition tells those of its first ``sample`` texts, most frequent first. The limit reads one partition, and more
+    only while there are too few entries, so nothing is shuffled and the work does not grow with the table.
+    """
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
+        left = sample
         for batch in rows_of(batches):
             for text in batch.column(0).to_pylist():
                 if not UNSAFE.search(text):
                     seen.update(SPLIT.findall(text))
-        tokenizer = load(tokenizer_path)
-        pieces = [p for p, n in seen.most_common(entries) if n > 1]
-        sizes = [len(e.ids) for e in tokenizer.encode_batch(pieces, add_special_tokens=False)]
+            left -= batch.num_rows
+            if left <= 0:
+                break
+        pieces = [p for p, _ in seen.most_common(entries)]
+        sizes = [len(e.ids) for e in load(tokenizer_path).encode_batch(pieces, add_special_tokens=False)]
         yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.string()), pa.array(sizes, pa.int32())], names=["piece", "n"])
 
-    texts = docs.select(text_of(text_col).alias("text")).limit(sample)
-    return {r["piece"]: r["n"] for r in texts.mapInArrow(tally, "piece string, n int").collect()}
+    texts = docs.select(text_of(text_col).alias("text"))
+    return {r["piece"]: r["n"] for r in texts.mapInArrow(tally, "piece string, n int").limit(entries).collect()}
 
 
 def token_counts(
