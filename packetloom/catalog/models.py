@@ -115,10 +115,9 @@ def anomaly_retraining(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def sampled_shapley(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Attributions of the boosted trees for a bounded set of flows."""
+    """Attributions of the boosted trees for every test flow."""
     train, test = split_flows(spark, sf_dir)
     model = learners.train("wide", train, FEATURES, SMALL["wide"])
-    rows = explain.take_by_hash(test, ["flow_id"], explain.MAX_EXPLAINED)
-    background = explain.take_by_hash(train, ["flow_id"], explain.MAX_BACKGROUND, "background")
+    background = explain.take_by_hash(train, ["flow_id"], explain.BACKGROUND, "background")
     score = lambda mixed: model.with_probability(mixed, "score")
-    return explain.sampled_shapley(rows, "flow_id", FEATURES, settle(background, "background"), score, permutations=8)
+    return explain.sampled_shapley(test, "flow_id", FEATURES, settle(background, "background"), score, permutations=8)

@@ -53,7 +53,7 @@ pool AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) A
 
 
 def _u(key: str, salt: str) -> str:
-    return f"((CAST('0x' || substr(md5({key} || '|{salt}'), 1, 8) AS BIGINT) + 0.5) / 4294967296.0)"
+    return f"((CAST('0x' || substr(md5({key} || '|{salt}'), 1, 13) AS BIGINT) + 0.5::DOUBLE) / {float(1 << 52)!r}::DOUBLE)"
 
 
 def _weight(alias: str = "") -> str:
@@ -166,20 +166,24 @@ def zero_day_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.zero_day_split(_named(spark, sf_dir)).report
 
 
-def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def mixed(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
     rows = pool(spark, sf_dir).withColumnRenamed("attack", "label")
     part = lambda flag: rows.where(F.col("flag") == flag).drop("flag")
-    return sampling.build_retrain_set(part("N"), part("R"), part("A"), KEY, NOW, MAX_SAMPLES)
+    return sampling.build_retrain_set(part("N"), part("R"), part("A"), KEY, NOW, MAX_SAMPLES, **how)
 
 
-_MIX_SQL = f"""{_POOL_SQL},
+def _mix_sql(normal: int, attack: int) -> str:
+    return f"""{_POOL_SQL},
 strong AS (SELECT * FROM pool WHERE NOT coalesce(label_status = 'PSEUDO_LABELED' AND model_score < 0.9, false)),
 sr AS (SELECT * FROM strong WHERE flag = 'R'), {_zscore_sql('sr', 'r')},
 sa AS (SELECT * FROM strong WHERE flag = 'A'), {_zscore_sql('sa', 'a')}, {_oversample_sql('a2', 100)},
 mix AS (
   (SELECT 'benchmark' AS source_type, row_key, attack AS label, 0 AS draw FROM pool WHERE flag = 'N' ORDER BY {_u('row_key', 'uniform')}, row_key LIMIT {MAX_SAMPLES // 2})
-  UNION ALL (SELECT 'local_normal', row_key, attack, 0 FROM r2 ORDER BY -ln({_u('row_key', 'weighted')}) / {_weight()}, row_key LIMIT {MAX_SAMPLES * 3 // 10})
-  UNION ALL (SELECT 'local_attack', row_key, attack, draw FROM filled ORDER BY -ln({_u("row_key || '|' || draw::VARCHAR", 'weighted')}) / {_weight()}, row_key, draw LIMIT {MAX_SAMPLES // 5}))"""
+  UNION ALL (SELECT 'local_normal', row_key, attack, 0 FROM r2 ORDER BY -ln({_u('row_key', 'weighted')}) / {_weight()}, row_key LIMIT {normal})
+  UNION ALL (SELECT 'local_attack', row_key, attack, draw FROM filled ORDER BY -ln({_u("row_key || '|' || draw::VARCHAR", 'weighted')}) / {_weight()}, row_key, draw LIMIT {attack}))"""
+
+
+_MIX_SQL = _mix_sql(MAX_SAMPLES * 3 // 10, MAX_SAMPLES // 5)
 
 
 @query(f"WITH {_MIX_SQL} SELECT source_type, row_key, label, CAST(draw AS BIGINT) AS draw FROM mix")
@@ -187,6 +191,13 @@ def retrain_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(spark, sf_dir).select("source_type", "row_key", "label", F.col("__draw").alias("draw"))
 
 
+@query(f"WITH {_mix_sql(MAX_SAMPLES * 24 // 100, MAX_SAMPLES * 16 // 100)} SELECT source_type, row_key, label, CAST(draw AS BIGINT) AS draw FROM mix")
+def retrain_mix_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix with at most 40 percent of new rows."""
+    mix = mixed(spark, sf_dir, max_new_ratio=0.4)
+    return mix.select("source_type", "row_key", "label", F.col("__draw").alias("draw"))
+
+
 @query(f"WITH {_MIX_SQL} SELECT source_type, label, count(*) AS count FROM mix GROUP BY ALL")
 def mix_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.composition(mixed(spark, sf_dir))

@@ -10,19 +10,21 @@ from packetloom.catalog import views as v
 from packetloom.catalog.common import Catalog
 from packetloom.functions.rules import WHITELIST
 from packetloom.session import shared_path
+from packetloom.sources import readers
 from packetloom.streaming import jobs, tracker
 
 query = Catalog()
 
-DELAY = "40 days"  # the whole sample month: no row of the check may come too late
+DELAY = "12 hours"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def packet_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # as a pattern, so that one file and a folder of part files both work as a stream source
-    path = f"{sf_dir}/{{events.parquet}}"
-    schema = v.table(spark, sf_dir, "events").schema
-    return v.packets_from(spark.readStream.schema(schema).parquet(path))
+    """The packet table as arriving files. The first micro-batch takes all that are there, so no row comes too late."""
+    path = shared_path(spark, "arrived")
+    packets = v.packets(spark, sf_dir).drop("ts")
+    packets.write.parquet(path)
+    return readers.packet_stream(spark, path, "parquet", packets.schema)
 
 
 def _current(stream: DataFrame, keys: list[str]) -> DataFrame:
@@ -42,28 +44,24 @@ def stream_flow_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(traffic.query.oracle["fuse_alerts"])
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from packetloom.plans.detection import to_alerts
-
-    rolled = jobs.flow_stream(packet_stream(spark, sf_dir), v.FLOW_WINDOW, v.FLOW_KEYS, DELAY)
-    scored = v.score_flows(v.with_flow_id(rolled))
-    return traffic._alert_output(_current(to_alerts(scored, keep=("flow_id",)), ["flow_id"]))
+    score = lambda rolled: v.score_flows(v.with_flow_id(rolled))
+    alerts = jobs.alert_stream(packet_stream(spark, sf_dir), score, v.FLOW_WINDOW, v.FLOW_KEYS, DELAY, keep=["flow_id"])
+    return traffic._alert_output(_current(alerts, ["flow_id"]))
 
 
-@query(traffic.query.oracle["flow_sessions"])
+@query(f"""WITH {v.PACKETS_SQL},
+marked AS (SELECT *, coalesce(epoch_us(ts) - lag(epoch_us(ts)) OVER w > 7200000000, true) AS opens FROM packets
+  WINDOW w AS (PARTITION BY src_ip, protocol ORDER BY ts, packet_id)),
+numbered AS (SELECT *, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY src_ip, protocol ORDER BY ts, packet_id) AS nr FROM marked)
+SELECT src_ip, protocol, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) AS end_us, count(*) AS packets, CAST(sum(length) AS BIGINT) AS bytes
+FROM numbered GROUP BY src_ip, protocol, nr
+HAVING max(ts) + INTERVAL 2 hour <= (SELECT max(ts) FROM packets) - INTERVAL 12 hour""")
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Session windows allow no update mode: finished sessions are appended, behind a closing delay of the sink."""
+    """Finished sessions are appended once the watermark has passed their gap; their state is dropped then."""
     sessions = jobs.session_stream(packet_stream(spark, sf_dir), "7200 seconds", ["src_ip", "protocol"], DELAY)
     path = shared_path(spark, "sessions")
-    offsets = shared_path(spark, "offsets")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    run = sessions.writeStream.outputMode("complete").option("checkpointLocation", offsets)
-    run.trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
-    rows = spark.read.parquet(path)
-    newest = rows.where(F.col("batch") == rows.agg(F.max("batch")).scalar())
-    return newest.select(
+    jobs.append_to(sessions, path, file_format="parquet").awaitTermination()
+    return spark.read.parquet(path).select(
         "src_ip", "protocol", F.unix_micros("session_start").alias("start_us"),
         F.unix_micros("session_end").alias("end_us"), "packets", "bytes",
     )

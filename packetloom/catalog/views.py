@@ -150,7 +150,7 @@ scored AS (
   SELECT *, CASE WHEN xgb_prob >= 0.5 THEN 1 ELSE 0 END AS xgb_label FROM (
     SELECT *, ln(1 + bytes_total) AS log_bytes,
       1.0 / (1.0 + exp(-(-7.0 + 1.1 * ln(1 + bytes_total) + 0.9 * syn_count + -0.7 * rst_count + 0.05 * pkts_total))) AS xgb_prob,
-      (CAST('0x' || substr(md5(flow_id || '|a'), 1, 8) AS BIGINT) + 0.5) / 4294967296.0 - 0.5 AS anomaly_score
+      (CAST('0x' || substr(md5(flow_id || '|a'), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE - 0.5 AS anomaly_score
     FROM flows) q
 )"""
 )

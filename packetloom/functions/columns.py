@@ -81,12 +81,12 @@ def alert_caption(at: Column, src: Column, dst: Column, level: Column) -> Column
 
 
 def binary_label(value: Column, normal: tuple[str, ...] = ("normal", "benign")) -> Column:
-    """0 for a normal class, 1 for any other; numbers and numeric texts keep their own value."""
+    """0 for a normal class and the number 0, 1 for any other class or number; NaN and NULL have no label."""
     text = F.lower(value.cast("string"))
     number = text.try_cast("double")
     return (
-        F.when(text.isNull(), F.lit(None).cast("int"))
-        .when(number.isNotNull(), number.cast("int"))
+        F.when(text.isNull() | F.isnan(number), F.lit(None).cast("int"))
+        .when(number.isNotNull(), (number != 0).cast("int"))
         .when(text.isin(*normal), F.lit(0))
         .otherwise(F.lit(1))
     )

@@ -16,13 +16,13 @@ def joined_text(columns: Sequence[Column], separator: str = "|") -> Column:
 
 
 def hash_uniform(key: Column | Sequence[Column], salt: str) -> Column:
-    """Repeatable uniform number in (0, 1) from the first 32 bits of an md5 digest.
+    """Repeatable uniform number in (0, 1) from the first 52 bits of an md5 digest, as many as a double keeps apart.
 
     Retried tasks draw the same number again, which ``rand()`` does not promise after a shuffle.
     """
     keys = [key] if isinstance(key, Column) else list(key)
     digest = F.md5(joined_text([*keys, F.lit(salt)]).cast("binary"))
-    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") + F.lit(0.5)) / F.lit(4294967296.0)
+    return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
 def stable_id(*columns: Column) -> Column:

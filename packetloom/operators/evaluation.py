@@ -9,11 +9,9 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from packetloom.functions.columns import ratio_or_zero
-from packetloom.operators.ordering import TOTAL_ROWS, exact_quantiles, running_totals, slice_scan
-from packetloom.schemas import record
+from packetloom.functions.columns import present, ratio_or_zero
+from packetloom.operators.ordering import TOTAL_ROWS, exact_quantiles, few, running_totals, slice_scan
 
 # Sweep grid and gate limits.
 SWEEP_FROM, SWEEP_TO, SWEEP_STEPS = 0.1, 50.0, 200
@@ -22,8 +20,6 @@ MAX_FAR_INCREASE = 0.005
 CANARY_MIN_F1 = 0.9
 ZERO_DAY_MIN_RECALL = 0.1
 
-MAX_CLASSES = 1000
-
 
 def confusion(df: DataFrame, truth: str = "y", predicted: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
     """tn, fp, fn, tp as one aggregate, optionally per group."""
@@ -133,33 +129,23 @@ def roc_auc(df: DataFrame, score: str, truth: str = "y", slice_rows: int = TOTAL
     return totals.agg((F.sum(won) / F.nullif(pairs, F.lit(0.0))).alias("auc"))
 
 
-def class_counts(df: DataFrame, label: str = "y", limit: int = MAX_CLASSES) -> dict:
-    """Rows per class, without NULL. More than ``limit`` classes is an error: the column is no class label."""
-    counted = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    rows = counted.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{label} has more than {limit} classes")
-    return {r[label]: r["n"] for r in rows}
-
-
 def class_balance(df: DataFrame, label: str = "y") -> DataFrame:
     """Count per class, the balanced weight n / (k * n_class) and the ratio of class 0 to class 1."""
-    counts = class_counts(df, label)
-    total, positives = sum(counts.values()), counts.get(1, 0)
-    ratio = counts.get(0, 0) / positives if positives else None
-    rows = [(c, n, total / (len(counts) * n), ratio) for c, n in counts.items()]
-    schema = T.StructType([df.schema[label], *record(n="bigint", weight="double", neg_pos_ratio="double").fields])
-    return df.sparkSession.createDataFrame(rows, schema)
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    everything = Window.partitionBy()  # one row per class
+    size = {
+        "weight": F.sum("n").over(everything) / (F.count(F.lit(1)).over(everything) * F.col("n")),
+        "neg_pos_ratio": F.max(F.when(F.col(label).cast("string") == "0", F.col("n"))).over(everything)
+        / F.max(F.when(F.col(label).cast("string") == "1", F.col("n"))).over(everything),
+    }
+    return counts.withColumns(size)
 
 
 def with_class_weight(df: DataFrame, label: str = "y", name: str = "weight") -> DataFrame:
-    """Balanced weight as a column, for learners with ``weightCol``; the few weights are literals."""
-    counts = class_counts(df, label)
-    total = sum(counts.values())
-    weight: Column = F.lit(1.0)
-    for c, n in counts.items():
-        weight = F.when(F.col(label) == F.lit(c), F.lit(total / (len(counts) * n))).otherwise(weight)
-    return df.withColumn(name, weight)
+    """Balanced weight as a column, for learners with ``weightCol``; 1 for rows without a class."""
+    weights = few(class_balance(df, label).select(F.col(label).alias("__class"), F.col("weight").alias("__weight")))
+    joined = df.join(weights, F.col(label) == F.col("__class"), "left")
+    return joined.withColumn(name, F.coalesce("__weight", F.lit(1.0))).drop("__class", "__weight")
 
 
 def soft_vote(df: DataFrame, probabilities: Sequence[str], threshold: float = 0.5) -> DataFrame:
@@ -265,14 +251,14 @@ def flag_below(df: DataFrame, score: str, threshold: float, name: str = "predict
 
 
 def score_histogram(df: DataFrame, score: str, truth: str = "y", bins: int = 50) -> DataFrame:
-    """Density histogram of the scores per class over a common range."""
+    """Density histogram of the finite scores per class over a common range; NULL, NaN and infinities are left out."""
+    as_double = F.col(score).cast("double")
+    df = df.where(present(as_double) & (F.abs(as_double) < F.lit(float("inf"))))
     span = df.agg(F.min(score).alias("lo"), F.max(score).alias("hi")).first()
     lo, hi = (float(x) if x is not None else 0.0 for x in span)
     width = (hi - lo) / bins
     index = F.least(F.floor((F.col(score) - lo) / width), F.lit(bins - 1)) if width > 0 else F.lit(0)
-    counts = df.where(F.col(score).isNotNull()).groupBy(truth, index.cast("int").alias("bin")).agg(
-        F.count(F.lit(1)).alias("count")
-    )
+    counts = df.groupBy(truth, index.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     # at most `bins` rows per class
     total = F.sum("count").over(Window.partitionBy(truth))
     density = F.col("count") / (total * F.lit(width)) if width > 0 else F.lit(None).cast("double")
@@ -290,7 +276,8 @@ def promotion_gate(
 ) -> DataFrame:
     """Compare two one-row metric tables; ``strict`` demands more than the limits instead of at least.
 
-    The rows are tagged, stacked and folded by one aggregate, so no join is needed. An empty champion passes.
+    The rows are tagged, stacked and folded by one aggregate, so no join is needed. A missing champion passes, since
+    there is nothing to lose; a missing challenger or a demanded canary without a row fails, for want of evidence.
     """
     tagged = [challenger.select(F.lit("new").alias("who"), "f1", "far"), champion.select(F.lit("old").alias("who"), "f1", "far")]
     if canary is not None:
@@ -310,7 +297,8 @@ def promotion_gate(
         pick("canary", "f1").alias("canary_f1"),
     )
     gain, increase = F.col("new_f1") - F.col("old_f1"), F.col("new_far") - F.col("old_far")
-    safe = F.coalesce(F.col("canary_f1") >= F.lit(canary_min_f1), F.lit(True))
+    unsafe = F.lit(canary is None)
+    safe = F.coalesce(F.col("canary_f1") >= F.lit(canary_min_f1), unsafe)
     better = (
         (gain > min_f1_gain) & (increase < max_far_increase)
         if strict
@@ -320,7 +308,7 @@ def promotion_gate(
         gain.alias("f1_gain"),
         increase.alias("far_increase"),
         safe.alias("canary_passed"),
-        (F.coalesce(better, F.lit(True)) & safe).alias("promoted"),
+        (F.coalesce(better, F.col("old_f1").isNull()) & F.col("new_f1").isNotNull() & safe).alias("promoted"),
     )
 
 

@@ -11,15 +11,14 @@ from packetloom.functions.hashing import hash_uniform
 from packetloom.operators.ordering import smallest
 
 # Report sizes and texts.
-MAX_EXPLAINED = 2000
-MAX_BACKGROUND = 2000
+BACKGROUND = 2000
 TOP_REPORT = 10
 TOP_LOCAL = 5
 RISK_UP, RISK_DOWN = "Risk Increase", "Risk Decrease"
 
 
 def take_by_hash(df: DataFrame, key: Sequence[str], rows: int, salt: str = "explain") -> DataFrame:
-    """Bounded, repeatable selection of rows to explain or to use as background."""
+    """Repeatable selection of rows, for instance as background."""
     return smallest(df, hash_uniform([F.col(k) for k in key], salt), key, rows)
 
 
@@ -74,17 +73,20 @@ def sampled_shapley(
 
     Returns the long form. For each explained row and permutation the features are switched one by one from a background row to the explained
     row. ``score`` adds the column ``score`` to all these mixed rows at once, so the model runs distributed. A mixed row
-    counts for the feature switched last and against the feature switched next. Rows and background are bounded
-    (``take_by_hash``); each permutation looks up one background row by number.
+    counts for the feature switched last and against the feature switched next. Every given row is explained; its cost
+    is ``permutations`` times the number of features. The background is a sample (``take_by_hash``), whose rows are
+    numbered and looked up by number.
     """
     features = list(features)
     n_bg = background.count()
-    if n_bg == 0 or n_bg > MAX_BACKGROUND:
-        raise ValueError(f"background must hold 1 to {MAX_BACKGROUND} rows, not {n_bg}")
+    if n_bg == 0:
+        raise ValueError("the background is empty")
     numbered = background.select(
         (F.row_number().over(Window.orderBy(*features)) - 1).alias("__bg"),
         F.array(*[F.col(f).cast("double") for f in features]).alias("__from"),
     )
+    if n_bg <= BACKGROUND:
+        numbered = F.broadcast(numbered)
     keyed = rows.select(key, F.array(*[F.col(f).cast("double") for f in features]).alias("__to"))
     draws = keyed.withColumn("__perm", F.explode(F.sequence(F.lit(1), F.lit(permutations)))).withColumn(
         "__bg", F.floor(hash_uniform([F.col(key), F.col("__perm")], f"{salt}-bg") * n_bg).cast("int")
@@ -97,9 +99,8 @@ def sampled_shapley(
         ]
     )
     order = F.transform(F.array_sort(lots), lambda lot: lot["i"])
-    # numbered holds at most MAX_BACKGROUND rows
     steps = (
-        draws.join(F.broadcast(numbered), "__bg")
+        draws.join(numbered, "__bg")
         .withColumn("__order", order)
         .withColumn("__step", F.explode(F.sequence(F.lit(0), F.lit(len(features)))))
     )

@@ -13,7 +13,7 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,18 +85,22 @@ def with_binary_label(df: DataFrame, name: str = "y") -> DataFrame:
     return df.withColumn(name, binary_label(F.col(source), NORMAL_NAMES))
 
 
-def class_names(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> list[str]:
-    """Sorted distinct values. More than ``limit`` is an error, not a cut: such a column is no class column."""
+def class_names(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> list[str] | None:
+    """Sorted distinct values, None where there are more than ``limit``: they are too many for a list of literals."""
     rows = df.select(F.col(f"`{column}`").cast("string").alias("v")).where("v IS NOT NULL").distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} distinct values")
-    return sorted(r["v"] for r in rows)
+    return sorted(r["v"] for r in rows) if len(rows) <= limit else None
 
 
-def with_label_index(df: DataFrame, column: str, name: str = "y") -> DataFrame:
-    """Position of the class in the sorted list of classes."""
-    classes = class_names(df, column)
-    return df.withColumn(name, index_of(F.col(column), classes))
+def with_label_index(df: DataFrame, column: str, name: str = "y", limit: int = MAX_CATEGORIES) -> DataFrame:
+    """Position of the class in the sorted list of classes: a literal list, or a join where there are many classes."""
+    classes = class_names(df, column, limit)
+    if classes is not None:
+        return df.withColumn(name, index_of(F.col(column), classes))
+    ordered = df.select(F.col(column).cast("string").alias("__class")).where("__class IS NOT NULL").distinct()
+    # one row per class
+    ordered = ordered.withColumn("__index", F.row_number().over(Window.orderBy("__class")) - 1)
+    joined = df.join(ordered, F.col(column).cast("string") == F.col("__class"), "left")
+    return joined.withColumn(name, F.col("__index").cast("int")).drop("__class", "__index")
 
 
 def index_of(value: Column, ordered: Sequence[str]) -> Column:
@@ -127,9 +131,9 @@ class PacketFeatures(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     def _fit(self, dataset: DataFrame) -> PacketFeaturesModel:
         means: dict[str, float] = {}
         if {"protocol", "length"} <= set(dataset.columns):
-            protocols = class_names(dataset, "protocol")
+            # protocols are a number of eight bits
             rows = dataset.groupBy("protocol").agg(F.avg("length").alias("m")).where(F.col("protocol").isNotNull())
-            means = {r["protocol"]: r["m"] for r in rows.limit(len(protocols)).collect() if r["m"] is not None}
+            means = {r["protocol"]: r["m"] for r in rows.orderBy("protocol").limit(MAX_CATEGORIES).collect() if r["m"] is not None}
         model = PacketFeaturesModel()
         model._set(protocols=list(means), meanLengths=list(means.values()))
         return model
@@ -233,6 +237,8 @@ class CategoryEncoder(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         names, values = [], []
         for c in columns:
             found = class_names(filled, c, limit)
+            if found is None:
+                raise ValueError(f"{c} has more than {limit} categories, encode it in sparse form")
             names += [c] * len(found)
             values += found
         model = CategoryEncoderModel()
@@ -272,16 +278,38 @@ def sparse_categories(df: DataFrame, key: str, columns: Sequence[str]) -> DataFr
 
 
 def split_types(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[list[str], list[str]]:
-    """Numeric and text columns as the preprocessing step takes them: BIGINT and DOUBLE, and STRING; others are ignored."""
+    """Numeric columns of any width and text columns, as the preprocessing step takes them; other types are ignored."""
     fields = [f for f in df.schema.fields if f.name not in exclude]
-    numeric = [f.name for f in fields if isinstance(f.dataType, (T.LongType, T.DoubleType))]
+    numeric = [f.name for f in fields if is_numeric(f)]
     text = [f.name for f in fields if isinstance(f.dataType, T.StringType)]
     return numeric, text
 
 
-def fit_preprocessing(df: DataFrame, exclude: Sequence[str] = ()):
-    """Extractor, scaler and encoder as one fitted ``PipelineModel``; ``exclude`` names key and target columns."""
+class DropColumns(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    inputCols = Param(Params._dummy(), "inputCols", "columns to leave out", TypeConverters.toListString)
+
+    @keyword_only
+    def __init__(self, *, inputCols: list[str] | None = None):
+        super().__init__()
+        if inputCols is not None:
+            self._set(inputCols=inputCols)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return dataset.drop(*self.getOrDefault(self.inputCols))
+
+
+def model_inputs(prepared: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
+    """Columns of a prepared table that go into the feature vector: scaled numbers, 0/1 columns and sparse vectors."""
+    return [f.name for f in prepared.schema.fields if f.name not in exclude and f.dataType.simpleString() in ("double", "vector")]
+
+
+def fit_preprocessing(df: DataFrame, exclude: Sequence[str] = (), max_categories: int = MAX_CATEGORIES):
+    """Extractor, scaler and encoder as one fitted ``PipelineModel``; ``exclude`` names key and target columns.
+
+    A text column of more than ``max_categories`` values becomes one sparse vector ``<column>_sparse``.
+    """
     from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
 
     extractor = PacketFeatures().fit(df)
     featured = extractor.transform(df)
@@ -289,6 +317,13 @@ def fit_preprocessing(df: DataFrame, exclude: Sequence[str] = ()):
     stages: list[Model] = [extractor]
     if numeric:
         stages.append(NumericScaler(inputCols=numeric).fit(featured))
-    if text:
-        stages.append(CategoryEncoder(inputCols=text).fit(featured))
+    wide = [c for c in text if class_names(featured, c, max_categories) is None]
+    for c in wide:
+        index = StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep", stringOrderType="alphabetAsc")
+        index = index.fit(featured.where(F.col(f"`{c}`").isNotNull()))
+        encoder = OneHotEncoder(inputCol=f"{c}_index", outputCol=f"{c}_sparse", dropLast=False).fit(index.transform(featured))
+        stages += [index, encoder, DropColumns(inputCols=[c, f"{c}_index"])]
+    narrow = [c for c in text if c not in wide]
+    if narrow:
+        stages.append(CategoryEncoder(inputCols=narrow, maxCategories=max_categories).fit(featured))
     return PipelineModel(stages)

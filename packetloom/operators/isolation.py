@@ -17,10 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from packetloom.functions.columns import finite_or_zero
-from packetloom.functions.hashing import hash_uniform
 from packetloom.operators.ordering import exact_quantiles
-from packetloom.operators.sampling import uniform_sample
 from packetloom.schemas import record
+from packetloom.session import settle
 
 TREES = 100
 SAMPLE_SIZE = 256
@@ -129,17 +128,23 @@ class Forest:
         return cls(nodes, [r["feature"] for r in meta], meta[0]["sample_size"], meta[0]["offset"])
 
 
-def _tree_rows(df: DataFrame, key: Sequence[str], trees: int, sample_size: int, salt: str) -> DataFrame:
-    """Rows tagged with the tree they are drawn for, at most ``sample_size`` per tree, without replacement."""
-    pool = uniform_sample(df, key, trees * sample_size, salt)
-    order = [hash_uniform([F.col(k) for k in key], f"{salt}-order"), *key]
-    numbered = pool.withColumn("__n", F.row_number().over(Window.orderBy(*order)) - 1)  # a bounded pool
-    if pool.count() >= trees * sample_size:
-        return numbered.withColumn("tree", (F.col("__n") % trees).cast("int"))
-    # a small table: every tree draws its own subset of the whole pool
-    per_tree = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    lot = Window.partitionBy("tree").orderBy(hash_uniform([*[F.col(k) for k in key], F.col("tree")], salt), *key)
-    return per_tree.withColumn("__n", F.row_number().over(lot) - 1).where(F.col("__n") < sample_size)
+def _tree_rows(df: DataFrame, key: Sequence[str], rows: int, trees: int, sample_size: int, salt: str) -> DataFrame:
+    """Rows tagged with the tree they are drawn for: every tree draws ``sample_size`` of all rows without replacement.
+
+    A row's lot for a tree is a hash of its key and the tree. Lots below a cut that nearly always leaves enough rows go on,
+    and each tree keeps its smallest ones, so little more than the samples is shuffled.
+    """
+    cut = min(1.0, (sample_size + 8 * math.sqrt(sample_size) + 8) / max(1, rows))
+    lots = F.transform(
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda t: F.struct(t.alias("tree"), F.xxhash64(*[F.col(k) for k in key], t, F.lit(salt)).alias("lot")),
+    )
+    low = -(1 << 63)
+    chosen = F.filter(lots, lambda x: x["lot"] <= F.lit(min((1 << 63) - 1, low + int(cut * (1 << 64)))))
+    drawn = df.withColumn("__lots", chosen).where(F.size("__lots") > 0)
+    drawn = drawn.withColumn("__lot", F.explode("__lots")).withColumns({"tree": F.col("__lot.tree"), "__n": F.col("__lot.lot")})
+    rank = F.row_number().over(Window.partitionBy("tree").orderBy("__n", *key))
+    return drawn.drop("__lots", "__lot").withColumn("__rank", rank).where(F.col("__rank") <= sample_size).drop("__rank")
 
 
 def fit_forest(
@@ -154,7 +159,8 @@ def fit_forest(
     """Fit on normal rows. ``contamination`` sets the offset so that this share of them scores below 0."""
     features = list(features)
     cleaned = df.select(*key, *[finite_or_zero(F.col(f"`{f}`")).alias(f"x{i}") for i, f in enumerate(features)])
-    drawn = _tree_rows(cleaned, key, trees, sample_size, f"forest-{seed}")
+    total = cleaned.count()
+    drawn = _tree_rows(cleaned, key, total, trees, sample_size, f"forest-{seed}")
     columns = [f"x{i}" for i in range(len(features))]
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
@@ -165,9 +171,10 @@ def fit_forest(
         return pd.DataFrame([(tree, *n) for n in nodes], columns=NODES.names)
 
     nodes = drawn.groupBy("tree").applyInPandas(build, NODES).toPandas()
-    drawn_size = min(sample_size, cleaned.limit(sample_size).count())
+    drawn_size = min(sample_size, total)
     forest = Forest(nodes, features, drawn_size)
     if contamination is not None:
-        raw = Forest(nodes, features, drawn_size, 0.0).score(df, "__score").select("__score")
+        # the quantile takes several passes, the trees are walked once
+        raw = settle(Forest(nodes, features, drawn_size, 0.0).score(df, "__score").select("__score"), "forest-scores")
         forest.offset = exact_quantiles(raw, {"__score": [contamination]})["__score"][0]
     return forest

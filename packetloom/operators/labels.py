@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from packetloom.functions.columns import append_audit, audit_entry
 from packetloom.functions.hashing import stable_id
@@ -137,14 +138,23 @@ def label_stats(store: DataFrame) -> DataFrame:
 def update_labels(store: DataFrame, updates: DataFrame, at: str | Column) -> DataFrame:
     """Human verdicts ``(flow_id, new_label, annotator_id)``; ids the store does not hold are ignored.
 
-    Of several verdicts on one id the largest (label, annotator) counts, so a row is never multiplied and reruns agree.
-    The join side is left to the optimizer: a short review list is broadcast, a bulk import is shuffled.
+    Of several verdicts on one id the newest by the optional column ``verdict_time`` counts, without one or in a tie the
+    largest (label, annotator), so a row is never multiplied and reruns agree. The store must not hold an id twice, see
+    ``duplicate_keys``. The join side is left to the optimizer: a short review list is broadcast, a bulk import is shuffled.
     """
     at_time = F.lit(at) if isinstance(at, str) else at
     verdicts = (
         updates.groupBy("flow_id")
-        .agg(F.max(F.struct(F.col("new_label").alias("__new"), F.col("annotator_id").alias("__by"))).alias("v"))
-        .select("flow_id", "v.*", F.lit(True).alias("__hit"))
+        .agg(
+            F.max(
+                F.struct(
+                    column_or(updates, "verdict_time", None, "timestamp").alias("__when"),
+                    F.col("new_label").alias("__new"),
+                    F.col("annotator_id").alias("__by"),
+                )
+            ).alias("v")
+        )
+        .select("flow_id", "v.__new", "v.__by", F.lit(True).alias("__hit"))
     )
     entry = audit_entry(at_time, "MANUAL_UPDATE", F.col("label"), F.col("__new"), F.col("__by"))
     hit = F.col("__hit").isNotNull()
@@ -166,9 +176,15 @@ def update_labels(store: DataFrame, updates: DataFrame, at: str | Column) -> Dat
     return full.join(verdicts, "flow_id", "left").withColumns(changed).drop("__new", "__by", "__hit")
 
 
-def upsert(store: DataFrame, changes: DataFrame, key: str = "flow_id") -> DataFrame:
-    """Rows of ``changes`` replace rows with the same key and are added where the key is new."""
-    return store.join(changes, key, "left_anti").unionByName(changes, allowMissingColumns=True)
+def upsert(store: DataFrame, changes: DataFrame, key: str = "flow_id", order: Sequence[str] | None = None) -> DataFrame:
+    """Rows of ``changes`` replace rows with the same key and are added where the key is new.
+
+    Of several changes of one key the last by ``order`` enters the store (default: by all other columns that have an order).
+    """
+    rest = [c for c in changes.columns if c != key]
+    ordering = order or [c for c in rest if not isinstance(changes.schema[c].dataType, (T.MapType, T.VariantType))]
+    newest = changes.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*ordering)).alias("__row")).select(key, "__row.*")
+    return store.join(newest, key, "left_anti").unionByName(newest.select(*changes.columns), allowMissingColumns=True)
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:

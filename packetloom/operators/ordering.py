@@ -250,6 +250,15 @@ def order_statistics(
     return {(t.column, t.rank): t.found for t in targets}
 
 
+def few(df: DataFrame, rows: int = 10_000) -> DataFrame:
+    """``df`` marked for broadcast where it is counted to have at most ``rows`` rows, else as it is.
+
+    For tables with one row per class or cell that are joined to large tables: without the mark the large table would
+    be shuffled by a key that may be hot.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def smallest(
     df: DataFrame,
     order: Column,

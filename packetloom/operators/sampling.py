@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetloom.functions.hashing import hash_uniform
-from packetloom.operators.ordering import smallest
+from packetloom.operators.ordering import few, smallest
 from packetloom.schemas import NORMAL_NAMES, column_or
+from packetloom.session import settle
 
 # Sampling policy.
 MAX_SAMPLES = 100_000
@@ -71,15 +72,16 @@ def drop_outliers(
     """Remove local rows beyond ``z_limit`` sample deviations, column after column.
 
     Each column is judged by the rows that survived the ones before, so there is one aggregate per column; it reads
-    only the checked columns and returns three numbers.
+    only the checked columns and returns three numbers. NULL and NaN have no deviation: they stay and do not count.
     """
     kept = df
     local = F.col("source_type").isin(*LOCAL_SOURCES)
     for c in [c for c in columns if c in df.columns]:
-        x = F.when(local, F.col(c).cast("double"))
+        value = F.col(c).cast("double")
+        x = F.when(local & ~F.isnan(value), value)
         stats = kept.agg(F.count_if(local).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std")).first()
         if stats["n"] > min_rows and stats["std"] is not None and stats["std"] > 0:
-            z = F.abs((F.col(c) - F.lit(stats["mean"])) / F.lit(stats["std"]))
+            z = F.abs((x - F.lit(stats["mean"])) / F.lit(stats["std"]))
             kept = kept.where(~F.coalesce(local & (z > F.lit(z_limit)), F.lit(False)))
     return kept
 
@@ -146,17 +148,19 @@ def oversample_small_classes(
     """Classes below ``least`` rows are replaced by ``least`` draws with replacement; larger ones are kept whole.
 
     Adds ``__draw`` (0: an original row). Rows of the class NULL are dropped. Only rows of small classes are ranked, and a
-    small class has fewer than ``least`` rows, so no task holds a large class.
+    small class has fewer than ``least`` rows, so no task holds a large class. The list of small classes is broadcast, so
+    the large ones do not move.
     """
     counts = df.where(F.col(class_col).isNotNull()).groupBy(class_col).agg(F.count(F.lit(1)).alias("__n"))
-    small = counts.where(F.col("__n") < least)
+    small = settle(counts.where(F.col("__n") < least), "small-classes")
+    names = few(small.select(class_col))
     whole = (
         df.where(F.col(class_col).isNotNull())
-        .join(small.select(class_col), class_col, "left_anti")
+        .join(names, class_col, "left_anti")
         .withColumn("__draw", F.lit(0).cast("bigint"))
     )
     order = Window.partitionBy(class_col).orderBy(*key)
-    ranked = df.join(small.select(class_col), class_col, "left_semi").withColumn("__rank", F.row_number().over(order))
+    ranked = df.join(names, class_col, "left_semi").withColumn("__rank", F.row_number().over(order))
     draws = small.withColumn("__draw", F.explode(F.sequence(F.lit(1), F.lit(least)))).select(
         class_col,
         F.col("__draw").cast("bigint").alias("__draw"),
@@ -191,25 +195,27 @@ def stratified_split(
     )
     total = F.sum("n").over(Window.partitionBy(label))
     wanted = sizes.withColumn("__nth", F.floor(total * test_share + 0.5))
-    border = _border_cells(wanted, [label])
-    held = keyed.withColumn("__cell", F.floor(F.col("__u") * cells).cast("int")).join(border, [label, "__cell"])
+    # one row per class, read by the size check and by the join
+    border = settle(_border_cells(wanted, [label]), "border-cells")
+    held = keyed.withColumn("__cell", F.floor(F.col("__u") * cells).cast("int")).join(few(border), [label, "__cell"])
     groups = [label, "__cell"]
     if marked.count() > cells * cell_rows:
         finer = held.withColumnRenamed("__cell", "__coarse").withColumn(
             "__cell", F.floor(F.col("__u") * (cells * cells)).cast("int")
         )
         sizes = finer.groupBy(label, "__cell").agg(F.count(F.lit(1)).alias("n"), F.first("__nth").alias("__nth"))
-        held = finer.drop("__nth").join(_border_cells(sizes, [label]), groups)
+        held = finer.drop("__nth").join(few(_border_cells(sizes, [label])), groups)
     in_cell = Window.partitionBy(*groups).orderBy("__u", *key)
     rank = F.row_number().over(in_cell)
-    last_test = (
+    last_test = settle(
         held.withColumn("__rank", rank)
         .where(F.col("__rank") == F.col("__nth"))
-        .select(F.col(label).alias("__class"), F.struct("__u", *key).alias("__border"))
+        .select(F.col(label).alias("__class"), F.struct("__u", *key).alias("__border")),
+        "borders",
     )
     at_or_before = F.coalesce(F.struct("__u", *key) <= F.col("__border"), F.lit(False))
     return (
-        marked.join(last_test, F.col(label) == F.col("__class"), "left")
+        marked.join(few(last_test), F.col(label) == F.col("__class"), "left")
         .withColumn("is_test", at_or_before)
         .drop("__u", "__class", "__border")
     )
@@ -311,6 +317,8 @@ def build_retrain_set(
         "local_normal": sanitize(normal.withColumn("source_type", F.lit("local_normal"))),
         "local_attack": sanitize(attack.withColumn("source_type", F.lit("local_attack"))),
     }
+    # the samples take several passes; the pools are computed once
+    tagged = {source: settle(rows, f"pool-{source}") for source, rows in tagged.items()}
     no_draw = F.lit(0).cast("bigint")
     bench = uniform_sample(tagged["benchmark"], key, targets["benchmark"]).withColumn("__draw", no_draw)
     pool = tagged["local_normal"]

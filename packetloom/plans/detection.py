@@ -47,6 +47,7 @@ def detect(
     keys: Sequence[str] = FIVE_TUPLE,
     threshold: float = ANOMALY_THRESHOLD,
     min_level: str = "LOW",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Packets to alerts. ``score`` adds ``xgb_label, xgb_prob, anomaly_score`` to the flow rows."""
-    return to_alerts(score(flow_rollup(packets, window, keys)), threshold, min_level)
+    """Packets to alerts. ``score`` adds ``xgb_label, xgb_prob, anomaly_score`` (and columns to ``keep``) to the flow rows."""
+    return to_alerts(score(flow_rollup(packets, window, keys)), threshold, min_level, keep)

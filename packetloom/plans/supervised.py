@@ -15,6 +15,7 @@ from packetloom.operators.evaluation import class_report
 from packetloom.operators.features import (
     drop_leakage,
     fit_preprocessing,
+    model_inputs,
     require_classes,
     with_binary_label,
 )
@@ -50,8 +51,7 @@ def fit_detector(
     train, test = split.where(~F.col("is_test")).drop("is_test"), split.where("is_test").drop("is_test")
     steps = fit_preprocessing(train, exclude=[*key, LABEL])
     prepared = steps.transform(train)
-    names = [f.name for f in prepared.schema.fields if f.dataType.simpleString() == "double"]
-    assembler = VectorAssembler(inputCols=names, outputCol=VECTOR, handleInvalid="keep")
+    assembler = VectorAssembler(inputCols=model_inputs(prepared, [*key, LABEL]), outputCol=VECTOR, handleInvalid="keep")
     classifier = estimator(kind, params, seed=seed).fit(assembler.transform(prepared))
     model = PipelineModel([*steps.stages, assembler, classifier])
     judged = model.transform(test).select(LABEL, F.col("prediction").cast("int").alias("prediction"))

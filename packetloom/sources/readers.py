@@ -64,17 +64,19 @@ def read_pool(
 
 
 def _newest(spark: SparkSession, reader, folder: str, max_files: int) -> DataFrame | None:
-    """Read only the newest files, picked from the folder listing (one short row per file)."""
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .load(folder)
-        .select("path", "modificationTime")
-        .orderBy(F.col("modificationTime").desc(), "path")
-        .limit(max_files)
-    )
-    paths = [r["path"] for r in listing.collect()]
-    return reader.csv(paths) if paths else None
+    """Rows of the newest files; of files with one time the smaller paths count as newer.
+
+    The listing is ordered as a table and only the border, the last file that still counts, comes to the driver. Files
+    are then left out by their metadata, so no list of paths is carried around.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select("path", "modificationTime")
+    border = files.orderBy(F.col("modificationTime").desc(), "path").limit(max_files)
+    border = border.orderBy("modificationTime", F.col("path").desc()).first()
+    if border is None:
+        return None
+    at, path = F.col("_metadata.file_modification_time"), F.col("_metadata.file_path")
+    last = F.lit(border["modificationTime"])
+    return reader.csv(folder).where((at > last) | ((at == last) & (path <= F.lit(border["path"]))))
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = ALERT) -> DataFrame:
@@ -107,5 +109,5 @@ def packet_stream(spark: SparkSession, path: str, file_format: str = "json", sch
 
 
 def with_packet_time(packets: DataFrame) -> DataFrame:
-    return packets.withColumn("ts", F.timestamp_micros((F.col("timestamp") * 1e6).cast("bigint")))
+    return packets.withColumn("ts", F.timestamp_micros(F.round(F.col("timestamp") * 1e6).cast("bigint")))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from packetloom.functions.columns import epoch_seconds
 from packetloom.functions.rules import ANOMALY_THRESHOLD
@@ -57,9 +57,10 @@ def alert_stream(
     delay: str = DELAY,
     threshold: float = ANOMALY_THRESHOLD,
     min_level: str = "LOW",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Packets to alerts: windowed flows, then the stateless scoring and fusion of the batch job."""
-    return detect(event_stream(packets, delay), score, window, keys, threshold, min_level)
+    return detect(event_stream(packets, delay), score, window, keys, threshold, min_level, keep)
 
 
 def live_counts(alerts: DataFrame, time_col: str = "at", width: str = "10 minutes", delay: str = DELAY) -> DataFrame:
@@ -137,7 +138,27 @@ def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
 
 
 def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Rows that came too late, over the recent progress reports of a query."""
+    """Rows that came too late, over the progress reports that a query still keeps (the last hundred by default)."""
     return sum(
         operator["numRowsDroppedByWatermark"] for report in query.recentProgress for operator in report["stateOperators"]
     )
+
+
+class LateRows(StreamingQueryListener):
+    """Counts the rows that came too late over the whole life of every query: ``spark.streams.addListener(LateRows())``."""
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(operator.numRowsDroppedByWatermark for operator in event.progress.stateOperators)
+        self.dropped[str(event.progress.id)] = self.dropped.get(str(event.progress.id), 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

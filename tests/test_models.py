@@ -69,12 +69,13 @@ def test_isolation_forest(spark, data, tmp_path):
     assert again == pytest.approx(lowest["anomaly_score"])
 
 
-def test_forest_uses_disjoint_rows_of_a_large_table(spark):
-    big = spark.range(3000).select(F.col("id").cast("string").alias("id"), (F.col("id") % 97).cast("double").alias("a"))
-    drawn = isolation._tree_rows(big, ["id"], trees=10, sample_size=64, salt="s").cache()
-    assert drawn.count() == 640 and drawn.select("id").distinct().count() == 640
-    small = isolation._tree_rows(big.limit(100), ["id"], trees=10, sample_size=64, salt="s")
-    assert {r["count"] for r in small.groupBy("tree").count().collect()} == {64}
+@pytest.mark.parametrize("rows", [100, 3000, 50_000])
+def test_every_tree_draws_its_own_rows_at_any_size(spark, rows):
+    table = spark.range(rows).select(F.col("id").cast("string").alias("id"), (F.col("id") % 97).cast("double").alias("a"))
+    drawn = isolation._tree_rows(table, ["id"], rows, trees=10, sample_size=64, salt="s").cache()
+    assert {r["count"] for r in drawn.groupBy("tree").count().collect()} == {64}
+    assert drawn.select("tree", "id").distinct().count() == 640
+    assert drawn.select("id").distinct().count() < 640 or rows > 3000
 
 
 def test_average_path():
