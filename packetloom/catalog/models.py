@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from packetloom.catalog import views as v
 from packetloom.catalog.common import Catalog
+from packetloom.catalog.sampling import _u as hash_sql
 from packetloom.functions.hashing import hash_uniform
 from packetloom.operators import explain, isolation, learners
 from packetloom.operators.evaluation import flag_below
@@ -36,88 +40,182 @@ def split_flows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return rows.where(~F.col("is_test")), rows.where("is_test")
 
 
-@query()
+_LABELLED_SQL = v.SCORED_SQL + f""",
+labelled AS (SELECT *, CASE WHEN {hash_sql("flow_id", "noise")} < 0.05 THEN 1 - xgb_label ELSE xgb_label END AS y FROM scored),
+parted AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {hash_sql("flow_id", "split")}, flow_id) AS k, count(*) OVER (PARTITION BY y) AS n FROM labelled),
+test AS (SELECT * FROM parted WHERE k <= floor(n * 0.2 + 0.5))"""
+
+# Fitted models are not SQL. These queries return what must hold of them, row by row; the SQL states it.
+
+
+@query("SELECT unnest(['LogisticRegression', 'RandomForest', 'LinearSVC']) AS model, true AS ranks_well, true AS separates, true AS consistent")
 def ml_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per baseline: AUC and F1 above chance, rates within 0 and 1."""
     train, test = split_flows(spark, sf_dir)
-    return learners.train_baselines(
+    report = learners.train_baselines(
         train, test, FEATURES, {"forest": FOREST, "logistic": {"maxIter": 30}, "svc": {"maxIter": 20}}
     )
+    rates = [F.col(c).between(0, 1) for c in ("Precision", "Recall", "F1", "AUC", "FAR")]
+    return report.select(
+        F.col("Model").alias("model"), (F.col("AUC") > 0.65).alias("ranks_well"), (F.col("F1") > 0.3).alias("separates"),
+        reduce(and_, rates).alias("consistent"),
+    )
 
 
-@query()
+@query("SELECT unnest(['deep', 'wide', 'Ensemble']) AS model, true AS separates, true AS consistent")
 def ml_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both boosted models and their vote: F1 above chance, detection rate equal to recall."""
     train, test = split_flows(spark, sf_dir)
-    return learners.train_ensemble(train, test, FEATURES, SMALL)[1]
+    report = learners.train_ensemble(train, test, FEATURES, SMALL)[1]
+    return report.select(
+        F.col("Model").alias("model"), (F.col("F1_Score") > 0.3).alias("separates"), (F.col("DR") == F.col("Recall")).alias("consistent")
+    )
 
 
-@query()
+@query("SELECT unnest(range(1, 4))::INT AS rank, true AS known, true AS ordered")
 def ml_top_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three most important features of a forest, ranked."""
     train, _ = split_flows(spark, sf_dir)
-    return learners.feature_importance(learners.train("forest", train, FEATURES, FOREST), spark, 3)
+    top = learners.feature_importance(learners.train("forest", train, FEATURES, FOREST), spark, 3)
+    by_rank = Window.orderBy(F.col("importance").desc(), "feature")  # three rows
+    ranked = top.withColumns({"rank": F.row_number().over(by_rank), "next": F.lead("importance").over(by_rank)})
+    ordered = (F.col("importance") >= F.coalesce("next", F.lit(0.0))) & F.col("importance").between(1e-9, 1)
+    return ranked.select("rank", F.col("feature").isin(*FEATURES).alias("known"), ordered.alias("ordered"))
+
+
+@query("SELECT unnest(['log_bytes', 'pkts_total', 'syn_count', 'ack_count', 'rst_count', 'duration']) AS feature, true AS counted")
+def ml_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importances of boosted trees for all features add up to one."""
+    train, _ = split_flows(spark, sf_dir)
+    found = learners.feature_importance(learners.train("wide", train, FEATURES, SMALL["wide"]), spark)
+    total = F.sum("importance").over(Window.partitionBy())  # one row per feature
+    return found.select("feature", ((F.abs(total - 1) < 1e-6) & F.col("importance").between(0, 1)).alias("counted"))
+
+
+@query("SELECT 2::BIGINT AS selected, true AS useful")
+def ml_feature_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model on the two features that a forest selects still separates the classes."""
+    train, test = split_flows(spark, sf_dir)
+    chosen = learners.select_features(train, FEATURES, 2, params=FOREST)
+    row = learners.evaluate(learners.train("wide", train, chosen, SMALL["wide"]), test)
+    return row.select(F.lit(len(set(chosen) & set(FEATURES))).cast("bigint").alias("selected"), (F.col("F1_Score") > 0.3).alias("useful"))
+
+
+def _search_row(spark: SparkSession, params: dict, f1: float, allowed) -> DataFrame:
+    inside = set(params) == set(allowed) and all(allowed[n](x) for n, x in params.items())
+    return spark.createDataFrame([(inside, 0.3 < f1 <= 1.0)], "inside boolean, separates boolean")
 
 
-@query()
+@query("SELECT true AS inside, true AS separates")
 def ml_random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The winner of a cross-validated search is one of the listed combinations."""
     train, _ = split_flows(spark, sf_dir)
     grid = {"maxIter": [3, 5], "maxDepth": [2, 3], "stepSize": [0.1, 0.3]}
     _, params, f1 = learners.random_search(train, FEATURES, grid, draws=3)
-    return spark.createDataFrame([(str(sorted(params.items())), f1)], "params string, f1 double")
+    return _search_row(spark, params, f1, {n: values.__contains__ for n, values in grid.items()})
 
 
-@query()
+@query(f"WITH {_LABELLED_SQL} SELECT flow_id, true AS class_valid, true AS confidence_valid FROM test")
 def ml_batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test flow gets one of the classes and a confidence of at least a half."""
     train, test = split_flows(spark, sf_dir)
     model = learners.train("wide", train, FEATURES, SMALL["wide"])
-    return learners.score_batch(model, test.select("flow_id", *FEATURES)).select("flow_id", "class", "confidence")
+    scored = learners.score_batch(model, test.select("flow_id", *FEATURES))
+    return scored.select(
+        "flow_id", F.col("class").isin(0, 1).alias("class_valid"), F.col("confidence").between(0.5, 1).alias("confidence_valid")
+    )
 
 
-@query()
+@query("SELECT true AS inside, true AS separates")
 def ml_tune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The winner of a search over ranges lies inside them."""
     train, _ = split_flows(spark, sf_dir)
     ranges = {"maxIter": (3, 6), "maxDepth": (2, 4), "stepSize": (0.05, 0.3)}
-    _, params, f1 = learners.tune(train, FEATURES, ranges, trials=3)
-    return spark.createDataFrame([(str(sorted(params.items())), f1)], "params string, f1 double")
+    _, params, f1 = learners.tune(train, FEATURES, ranges, trials=3, key=["flow_id"])
+    return _search_row(spark, params, f1, {n: lambda x, r=r: r[0] <= x <= r[1] for n, r in ranges.items()})
 
 
-@query()
+@query(f"WITH {v.PACKETS_SQL} SELECT packet_id, true AS class_valid, true AS confidence_valid FROM packets")
 def ml_packet_detector(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packets scored by a saved detector that was fitted on packets: the training and the request path share its steps."""
     packets = v.packets(spark, sf_dir).select("packet_id", "src_ip", "dst_ip", "protocol", "length", "flags", "label")
     detector = supervised.fit_detector(packets, ["packet_id"], params=SMALL["wide"])
     path = shared_path(spark, "detector")
     writers.save_fitted(detector.model, path)
-    return supervised.predict(writers.load_fitted(path), packets.drop("label"))
+    scored = supervised.predict(writers.load_fitted(path), packets.drop("label"))
+    return scored.select(
+        "packet_id", F.col("class").isin(0, 1).alias("class_valid"), F.col("confidence").between(0.5, 1).alias("confidence_valid")
+    )
 
 
-@query()
-def isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flows scored by a forest fitted on the flows without an attack label."""
-    rows = settle(labelled_flows(spark, sf_dir), "flows")
-    forest = isolation.fit_forest(rows.where("y = 0"), FEATURES, ["flow_id"], contamination=0.01)
-    return forest.score(rows).select("flow_id", "y", "anomaly_score")
+@query(f"""WITH picked AS (SELECT vec_id, row_number() OVER (PARTITION BY label ORDER BY {hash_sql("vec_id::VARCHAR", "split")}, vec_id) AS k,
+  count(*) OVER (PARTITION BY label) AS n FROM embeddings WHERE label IS NOT NULL)
+SELECT vec_id, 10::INT AS classes, true AS sums_to_one, true AS class_valid FROM picked WHERE k <= floor(n * 0.2 + 0.5)""")
+def ml_multiclass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 64 values, ten classes: boosted trees per class and a forest vote by their class probabilities."""
+    names = [f"x{i}" for i in range(64)]
+    rows = v.table(spark, sf_dir, "embeddings").where(F.col("label").isNotNull())
+    rows = rows.select("vec_id", F.col("label").alias("y"), *[F.get("embedding", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    rows = settle(stratified_split(rows, "y", ["vec_id"]), "vectors")
+    train, test = rows.where(~F.col("is_test")), rows.where("is_test")
+    small = {"wide": {"maxIter": 2, "maxDepth": 2}, "forest": {"numTrees": 10, "maxDepth": 4}}
+    models = [learners.train(kind, train, names, small[kind], "multiclass") for kind in small]
+    voted = learners.ensemble_vote(models, test.select("vec_id", *names), "multiclass")
+    total = F.aggregate("probability_mean", F.lit(0.0), lambda a, b: a + b)
+    return voted.select(
+        "vec_id", F.size("probability_mean").alias("classes"), (F.abs(total - 1) < 1e-6).alias("sums_to_one"),
+        F.col("prediction").between(0, 9).alias("class_valid"),
+    )
 
 
-@query()
+@query(f"WITH {_LABELLED_SQL} SELECT flow_id, y, true AS in_range, true AS share_as_asked FROM labelled")
+def isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flows scored by a forest fitted on the flows without an attack label: one in a hundred of those is below 0."""
+    rows = settle(labelled_flows(spark, sf_dir), "flows")
+    normal = rows.where("y = 0")
+    forest = isolation.fit_forest(normal, FEATURES, ["flow_id"], contamination=0.01)
+    scored = settle(forest.score(rows).select("flow_id", "y", "anomaly_score"), "scores")
+    counts = scored.where("y = 0").agg(F.count_if(F.col("anomaly_score") < 0).alias("below"), F.count(F.lit(1)).alias("n")).first()
+    asked = abs(counts["below"] - 0.01 * counts["n"]) <= 1 + 0.01 * counts["n"]  # equal scores share a side
+    return scored.select("flow_id", "y", F.col("anomaly_score").between(-1, 1).alias("in_range"), F.lit(asked).alias("share_as_asked"))
+
+
+@query(f"""WITH {v.SCORED_SQL},
+labelled AS (SELECT flow_id, CASE WHEN {hash_sql("flow_id", "noise")} < 0.05 THEN 1 - xgb_label ELSE xgb_label END AS y FROM scored),
+parted AS (SELECT y, row_number() OVER (PARTITION BY y ORDER BY {hash_sql("flow_id", "split")}, flow_id) AS k, count(*) OVER (PARTITION BY y) AS n FROM labelled)
+SELECT count(*) FILTER (WHERE y = 0) AS normal, count(*) FILTER (WHERE y = 1) AS attacks, true AS consistent FROM parted WHERE k <= floor(n * 0.5 + 0.5)""")
 def anomaly_training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forest fitted on normal flows, threshold chosen and judged on labelled flows: one row of test metrics."""
+    """Forest fitted on normal flows, threshold chosen and judged on labelled flows: every test row is judged once."""
     rows = settle(labelled_flows(spark, sf_dir).withColumnRenamed("y", "label"), "flows")
     detector = anomaly.train_and_tune(rows.where("label = 0"), rows, ["flow_id"])
-    return detector.test
+    rates = [F.col(c).between(0, 1) for c in ("accuracy", "precision", "recall", "f1", "far", "dr")]
+    return detector.test.select(
+        (F.col("tn") + F.col("fp")).alias("normal"), (F.col("tp") + F.col("fn")).alias("attacks"), reduce(and_, rates).alias("consistent")
+    )
 
 
-@query()
+@query(f"WITH {_LABELLED_SQL} SELECT flow_id, true AS flagged_below, true AS one_in_a_hundred FROM labelled")
 def anomaly_retraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flows below the percentile threshold of a forest retrained on normal flows."""
     rows = settle(labelled_flows(spark, sf_dir).withColumnRenamed("y", "label"), "flows")
     forest, threshold = anomaly.retrain_on_normal(rows.where("label = 0"), ["flow_id"])
-    return flag_below(forest.score(rows), anomaly.SCORE, threshold).select("flow_id", anomaly.SCORE, "prediction")
+    flagged = settle(flag_below(forest.score(rows), anomaly.SCORE, threshold).select("flow_id", "label", anomaly.SCORE, "prediction"), "flagged")
+    counts = flagged.where("label = 0").agg(F.sum("prediction").alias("below"), F.count(F.lit(1)).alias("n")).first()
+    share = abs(counts["below"] - 0.01 * counts["n"]) <= 1 + 0.01 * counts["n"]
+    below = (F.col(anomaly.SCORE) < threshold) == (F.col("prediction") == 1)
+    return flagged.select("flow_id", below.alias("flagged_below"), F.lit(share).alias("one_in_a_hundred"))
 
 
-@query()
+@query(f"WITH {_LABELLED_SQL} SELECT flow_id, 6::BIGINT AS features, true AS bounded FROM test")
 def sampled_shapley(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Attributions of the boosted trees for every test flow."""
+    """Attributions of the boosted trees for every test flow: they add up to a difference of two probabilities."""
     train, test = split_flows(spark, sf_dir)
     model = learners.train("wide", train, FEATURES, SMALL["wide"])
     background = explain.take_by_hash(train, ["flow_id"], explain.BACKGROUND, "background")
     score = lambda mixed: model.with_probability(mixed, "score")
-    return explain.sampled_shapley(test, "flow_id", FEATURES, settle(background, "background"), score, permutations=8)
+    found = explain.sampled_shapley(test, "flow_id", FEATURES, settle(background, "background"), score, permutations=8)
+    scores = score(test.select("flow_id", *FEATURES)).select("flow_id", "score")
+    added = found.groupBy("flow_id").agg(F.count(F.lit(1)).alias("features"), F.sum("attribution").alias("total")).join(scores, "flow_id")
+    # the difference of the row's own probability and a mean of others'
+    bounded = (F.col("score") - F.col("total")).between(-1e-9, 1 + 1e-9)
+    return added.select("flow_id", "features", bounded.alias("bounded"))

@@ -12,12 +12,13 @@ from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
     OneVsRest,
+    OneVsRestModel,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,9 +29,12 @@ from packetloom.operators.evaluation import (
     macro_metrics,
     roc_auc,
     soft_vote,
+    soft_vote_classes,
     with_class_weight,
 )
 from packetloom.operators.features import require_classes, strict_select
+from packetloom.operators.sampling import stratified_split
+from packetloom.session import settle
 
 VECTOR = "features"
 LABEL = "y"
@@ -99,6 +103,23 @@ class TrafficModel:
         scored = self.transform(df).withColumn(column, positive_probability())
         return scored.select(*df.columns, column)
 
+    def with_class_probabilities(self, df: DataFrame, column: str) -> DataFrame:
+        """Adds the probabilities of all classes as an array and nothing else.
+
+        Of one model per class each gives the probability of its own class; they are scaled to a sum of one.
+        """
+        if not isinstance(self.model, OneVsRestModel):
+            scored = self.transform(df).withColumn(column, vector_to_array("probability"))
+            return scored.select(*df.columns, column)
+        rows, parts = assemble(df, self.features), []
+        for i, one in enumerate(self.model.models):
+            parts.append(f"__p{i}")
+            rows = one.transform(rows).withColumn(parts[-1], positive_probability())
+            rows = rows.drop("probability", "rawPrediction", "prediction")
+        total = sum((F.col(p) for p in parts[1:]), F.col(parts[0]))
+        scaled = F.array(*[F.when(total > 0, F.col(p) / total).otherwise(F.lit(1.0 / len(parts))) for p in parts])
+        return rows.withColumn(column, scaled).select(*df.columns, column)
+
 
 def positive_probability(column: str = "probability") -> Column:
     return F.get(vector_to_array(F.col(column)), F.lit(1))
@@ -215,28 +236,45 @@ def tune(
     trials: int = 20,
     kind: str = "wide",
     task: str = "binary",
-    parallelism: int = 4,
+    key: Sequence[str] | None = None,
     seed: int = SEED,
 ) -> tuple[TrafficModel, dict[str, object], float]:
-    """Random search on one 80/20 split maximising F1."""
-    learner = estimator(kind, seed=seed)
-    candidates = sampled_ranges(learner, ranges, trials, seed)
-    search = TrainValidationSplit(
-        estimator=learner, estimatorParamMaps=candidates, evaluator=f1_evaluator(task), trainRatio=0.8,
-        parallelism=parallelism, seed=seed,
-    ).fit(assemble(df, features).select(LABEL, VECTOR))
-    return _best(search.bestModel, search.validationMetrics, candidates, features, kind)
+    """Random search on one 80/20 split, stratified by class, maximising F1: (best model, its parameters, its F1).
+
+    The split is by a hash of ``key`` (default: of the features), so it does not depend on the partitions.
+    """
+    learner = estimator(kind, task=task, seed=seed)
+    base = learner.getClassifier() if isinstance(learner, OneVsRest) else learner
+    candidates = sampled_ranges(base, ranges, trials, seed)
+    split = settle(stratified_split(df, LABEL, list(key or features), 0.2, salt=f"tune-{seed}"), "tuning")
+    rows = assemble(split, features).select(LABEL, VECTOR, "is_test")
+    fitting, judging = rows.where(~F.col("is_test")).cache(), rows.where("is_test").cache()
+    measure, found = f1_evaluator(task), []
+    for params in candidates:
+        model = learner.copy() if isinstance(learner, OneVsRest) else learner
+        if isinstance(learner, OneVsRest):
+            model = model.setClassifier(base.copy(params)).fit(fitting)
+        else:
+            model = model.fit(fitting, params)
+        found.append((measure.evaluate(model.transform(judging)), model))
+    fitting.unpersist()
+    judging.unpersist()
+    return _best([m for _, m in found], [f1 for f1, _ in found], candidates, features, kind)
 
 
 def _best(model, metrics, candidates, features, kind):
     position = max(range(len(metrics)), key=metrics.__getitem__)
     params = {p.name: value for p, value in candidates[position].items()}
-    return TrafficModel(model, list(features), kind), params, float(metrics[position])
+    best = model[position] if isinstance(model, list) else model
+    return TrafficModel(best, list(features), kind), params, float(metrics[position])
 
 
 def feature_importance(model: TrafficModel, spark: SparkSession, k: int | None = None) -> DataFrame:
-    """Built-in importances, largest first."""
-    values = model.model.featureImportances.toArray() if hasattr(model.model, "featureImportances") else [1.0] * len(model.features)
+    """Built-in importances, largest first; of one model per class their mean. Other models have none."""
+    parts = model.model.models if isinstance(model.model, OneVsRestModel) else [model.model]
+    if not all(hasattr(m, "featureImportances") for m in parts):
+        raise ValueError(f"{model.name} has no feature importances")
+    values = sum(m.featureImportances.toArray() for m in parts) / len(parts)
     rows = spark.createDataFrame(
         [(f, float(x)) for f, x in zip(model.features, values)], "feature string, importance double"
     ).orderBy(F.col("importance").desc(), "feature")
@@ -255,25 +293,35 @@ def train_ensemble(
     features: Sequence[str],
     params: Mapping[str, Mapping] | None = None,
     seed: int = SEED,
+    task: str = "binary",
+    kinds: Sequence[str] = tuple(TREE_DEFAULTS),
 ) -> tuple[list[TrafficModel], DataFrame]:
-    """Both boosted-tree models, their soft vote, and the comparison table of all three."""
+    """Models of several kinds (default: both boosted-tree ones), their soft vote, and the comparison table of all."""
     params = params or {}
-    models = [train(kind, train_rows, features, params.get(kind), seed=seed) for kind in TREE_DEFAULTS]
+    models = [train(kind, train_rows, features, params.get(kind), task, seed) for kind in kinds]
     report = None
-    voted = test
     for model in models:
-        row = evaluate(model, test)
+        row = evaluate(model, test, task)
         report = row if report is None else report.unionByName(row)
-        voted = model.with_probability(voted, f"p_{model.name}")
-    ensemble = soft_vote(voted, [f"p_{m.name}" for m in models])
-    return models, report.unionByName(comparison_row(binary_metrics(ensemble, LABEL), "Ensemble"))
+    voted = ensemble_vote(models, test, task)
+    metrics = binary_metrics(voted, LABEL) if task == "binary" else macro_metrics(voted, LABEL)
+    return models, report.unionByName(comparison_row(metrics, "Ensemble"))
+
+
+def ensemble_vote(models: Sequence[TrafficModel], rows: DataFrame, task: str = "binary") -> DataFrame:
+    """Mean probability of the models and their verdict; for several classes the mean of every class and the largest."""
+    names = [f"p_{m.name}" for m in models]
+    for model, name in zip(models, names):
+        rows = model.with_probability(rows, name) if task == "binary" else model.with_class_probabilities(rows, name)
+    return soft_vote(rows, names) if task == "binary" else soft_vote_classes(rows, names)
 
 
 def score_batch(model: TrafficModel, rows: DataFrame) -> DataFrame:
     """Class and confidence (largest class probability) for every row."""
-    scored = model.transform(rows)
-    confidence = F.array_max(vector_to_array("probability"))
-    return scored.select(*rows.columns, F.col("prediction").alias("class"), confidence.alias("confidence"))
+    scored = model.with_class_probabilities(rows, "__classes")
+    best = F.array_max("__classes")
+    chosen = (F.array_position("__classes", best) - 1).cast("int")
+    return scored.select(*rows.columns, chosen.alias("class"), best.alias("confidence"))
 
 
 def scorer(model: TrafficModel, anomaly: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:

@@ -23,6 +23,8 @@ class RetrainingResult:
     comparison: DataFrame
     gate: DataFrame
     dataset_report: DataFrame
+    zero_day: DataFrame | None
+    drift: DataFrame
 
 
 def retrain(
@@ -36,11 +38,14 @@ def retrain(
     canary: DataFrame | None = None,
     top_k: int = 20,
     params: Mapping[str, Mapping] | None = None,
+    monitored: Sequence[str] = drift.MONITORED,
     **mix,
 ) -> RetrainingResult:
     """Mix the pools, hold out a zero-day class, train the ensemble and compare it with the champion's metrics.
 
-    The mixed set is read by several training passes, so it is written to the shared folder once.
+    The mixed set is read by several training passes, so it is written to the shared folder once. The result also has the
+    recall on the held-out class, which no model has seen (none when no class qualifies), and the drift of the
+    ``monitored`` columns of the new normal traffic against the benchmark.
     """
     mixed = settle(sampling.build_retrain_set(benchmark, normal, attack, key, now, **mix), "mix")
     split = sampling.zero_day_split(mixed)
@@ -51,12 +56,13 @@ def retrain(
     challenger = ensemble_metrics(models, test)
     canary_metrics = ensemble_metrics(models, canary) if canary is not None else None
     gate = evaluation.promotion_gate(challenger, champion_metrics, canary_metrics)
-    return RetrainingResult(models, comparison, gate, split.report)
+    zero_day = None
+    if split.held_out_class is not None:
+        unseen = with_binary_label(sampling.finish_retrain_set(split.held_out))
+        zero_day = evaluation.zero_day_recall(learners.ensemble_vote(models, unseen))
+    return RetrainingResult(models, comparison, gate, split.report, zero_day, drift.psi(benchmark, normal, monitored))
 
 
 def ensemble_metrics(models: Sequence[learners.TrafficModel], rows: DataFrame) -> DataFrame:
     """Binary metrics of the soft vote of the models."""
-    voted = rows
-    for model in models:
-        voted = model.with_probability(voted, f"p_{model.name}")
-    return evaluation.binary_metrics(evaluation.soft_vote(voted, [f"p_{m.name}" for m in models]), learners.LABEL)
+    return evaluation.binary_metrics(learners.ensemble_vote(models, rows), learners.LABEL)

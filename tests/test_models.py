@@ -138,7 +138,41 @@ def test_retraining(spark, data):
         max_samples=500,
     )
     assert result.gate.first()["promoted"] is True and result.comparison.count() == 3
-    assert result.dataset_report.first()["zero_day_holdout"] is None
+    assert result.dataset_report.first()["zero_day_holdout"] is None and result.zero_day is None
+    assert result.drift.count() == 0  # none of the monitored columns is there
+
+
+def test_retraining_judges_the_held_out_class(spark, data):
+    from packetloom.plans import retraining
+
+    kind = F.when(F.col("y") == 0, "normal").when(F.crc32("id") % 3 == 0, "worm").otherwise("dos")
+    rows = data.withColumn("attack_type", kind).drop("y").withColumn("__timestamp", F.lit(0.0)).withColumn("duration", F.col("a"))
+    small = {k: {"maxIter": 2, "maxDepth": 3} for k in ("deep", "wide")} | {"forest": {"numTrees": 5}}
+    champion = spark.createDataFrame([], "f1 double, far double")
+    result = retraining.retrain(rows, rows, rows, data.withColumn("duration", F.col("a")), ["id"], 1000.0, champion, top_k=3, params=small, max_samples=900)
+    assert result.dataset_report.first()["zero_day_holdout"] == "worm"
+    judged = result.zero_day.first()
+    assert judged["n"] > 0 and 0 <= judged["recall"] <= 1
+    assert [r["feature"] for r in result.drift.collect()] == ["duration"]
+
+
+def test_multiclass_models_vote_and_score(spark):
+    rows = spark.range(300).select(
+        F.col("id").cast("string").alias("id"), (F.col("id") % 3).cast("int").alias("y"),
+        *[((F.col("id") % 3 == i).cast("double") * 4 + F.rand(i)).alias(f"f{i}") for i in range(3)],
+    ).cache()
+    names = ["f0", "f1", "f2"]
+    params = {k: {"maxIter": 2, "maxDepth": 2} for k in ("deep", "wide")}
+    models, report = learners.train_ensemble(rows, rows, names, params, task="multiclass")
+    assert {r["Model"] for r in report.where("Accuracy > 0.95").collect()} == {"deep", "wide", "Ensemble"}
+    scored = learners.score_batch(models[0], rows)
+    assert scored.where("class = y AND confidence BETWEEN 0.33 AND 1").count() > 285
+    assert learners.feature_importance(models[0], spark).agg(F.sum("importance")).first()[0] == pytest.approx(1)
+    svc = learners.train("svc", rows.where("y < 2"), names)
+    with pytest.raises(ValueError):
+        learners.feature_importance(svc, spark)
+    best, found, f1 = learners.tune(rows, names, {"maxIter": (1, 2), "maxDepth": (2, 3)}, trials=2, task="multiclass", key=["id"])
+    assert f1 > 0.9 and best.transform(rows).count() == 300
 
 
 def test_detection_with_fitted_models(spark, data, small_model):
