@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -29,32 +30,110 @@ LINK_OFFSET = {LINK_ETHERNET: 14, LINK_RAW: 0, LINK_RAW_OLD: 0, LINK_SLL: 16}
 ETHERTYPE_IP, ETHERTYPE_VLAN = 0x0800, 0x8100
 TCP, UDP, ICMP = 6, 17, 1
 TCP_FLAG_LETTERS = "FSRPAUEC"  # bit 0 upwards
+# Fixed values of the block format.
+SECTION = b"\x0a\x0d\x0d\x0a"
+BLOCK_INTERFACE, BLOCK_SIMPLE, BLOCK_PACKET = 1, 3, 6
+OPTION_RESOLUTION = 9
+UNKNOWN_FORMAT, UNKNOWN_LINK, CUT_OFF = "unknown format", "unknown link type", "cut off"
 BATCH = 20_000
 GROUP_BYTES = 32 * 1024 * 1024
 
 
-def _records(content: bytes, endian: str) -> np.ndarray:
-    """Start of data, captured length and the two time parts of every complete record."""
+@dataclass(frozen=True)
+class Found:
+    """Packets of a capture: place, captured length, number, link type and time of each; ``problem`` names what was lost."""
+
+    at: np.ndarray
+    time: np.ndarray
+    problem: str | None
+
+    @classmethod
+    def of(cls, rows: list[tuple[int, int, int, int, float]], problems: list[str]) -> Found:
+        table = np.array([r[:4] for r in rows], dtype=np.int64).reshape(-1, 4)
+        return cls(table, np.array([r[4] for r in rows], dtype=float), ", ".join(dict.fromkeys(problems)) or None)
+
+
+def _classic(content: bytes) -> Found:
+    """Complete records of a capture with one header for the file."""
+    endian, unit = MAGIC[content[:4]]
+    (link,) = struct.unpack_from(endian + "I", content, 20)
+    if link not in LINK_OFFSET:
+        return Found.of([], [UNKNOWN_LINK])
     header = struct.Struct(endian + "III")
-    rows = []
+    rows, problems = [], []
     at, end = GLOBAL_HEADER, len(content)
-    while at + RECORD_HEADER <= end:
+    while at < end:
+        if at + RECORD_HEADER > end:
+            problems.append(CUT_OFF)
+            break
         seconds, fraction, captured = header.unpack_from(content, at)
         at += RECORD_HEADER
         if at + captured > end:
+            problems.append(CUT_OFF)
             break
-        rows.append((at, captured, seconds, fraction))
+        rows.append((at, captured, len(rows), link, seconds + fraction * unit))
         at += captured
-    return np.array(rows, dtype=np.int64).reshape(-1, 4)
+    return Found.of(rows, problems)
 
 
-def _index(content: bytes) -> tuple[np.ndarray, float, int] | None:
-    """Records, time unit and link type of a capture; None for anything else."""
-    if len(content) < GLOBAL_HEADER or content[:4] not in MAGIC:
-        return None
-    endian, unit = MAGIC[content[:4]]
-    (link,) = struct.unpack_from(endian + "I", content, 20)
-    return (_records(content, endian), unit, link) if link in LINK_OFFSET else None
+def _ticks_per_second(options: bytes, endian: str) -> int:
+    """As the options of an interface say; a million without the option."""
+    at = 0
+    while at + 4 <= len(options):
+        code, size = struct.unpack_from(endian + "HH", options, at)
+        if code == 0:
+            break
+        if code == OPTION_RESOLUTION and size == 1:
+            value = options[at + 4]
+            return 1 << (value & 127) if value & 128 else 10**value
+        at += 4 + (size + 3) // 4 * 4
+    return 1_000_000
+
+
+def _blocks(content: bytes) -> Found:
+    """Packets of a capture in blocks: sections in either byte order, several interfaces, times in their own units."""
+    rows, problems, interfaces, endian = [], [], [], "<"
+    at, end, number = 0, len(content), 0
+    while at < end:
+        if at + 12 > end:
+            problems.append(CUT_OFF)
+            break
+        if content[at : at + 4] == SECTION:
+            endian = "<" if content[at + 8 : at + 12] == b"\x4d\x3c\x2b\x1a" else ">"
+            interfaces = []
+        kind, size = struct.unpack_from(endian + "II", content, at)
+        if size < 12 or at + size > end:
+            problems.append(CUT_OFF)
+            break
+        body = at + 8
+        if kind == BLOCK_INTERFACE and size >= 20:
+            (link,) = struct.unpack_from(endian + "H", content, body)
+            interfaces.append((link, _ticks_per_second(content[body + 8 : at + size - 4], endian)))
+        elif kind in (BLOCK_PACKET, BLOCK_SIMPLE):
+            if kind == BLOCK_PACKET:
+                interface, high, low, captured = struct.unpack_from(endian + "IIII", content, body)
+                data, ticks = body + 20, high << 32 | low
+            else:
+                # a simple block has no time and was taken at the first interface
+                interface, captured, data, ticks = 0, size - 16, body + 4, 0
+                captured = min(captured, struct.unpack_from(endian + "I", content, body)[0])
+            if interface < len(interfaces) and interfaces[interface][0] in LINK_OFFSET and data + captured <= at + size:
+                link, per_second = interfaces[interface]
+                rows.append((data, captured, number, link, ticks // per_second + ticks % per_second / per_second))
+            else:
+                problems.append(UNKNOWN_LINK)
+            number += 1
+        at += size
+    return Found.of(rows, problems)
+
+
+def index(content: bytes) -> Found:
+    """Where the packets of a capture are."""
+    if content[:4] == SECTION:
+        return _blocks(content)
+    if len(content) >= GLOBAL_HEADER and content[:4] in MAGIC:
+        return _classic(content)
+    return Found.of([], [UNKNOWN_FORMAT])
 
 
 def _u16(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -87,16 +166,13 @@ def decode(paths: Sequence[str], contents: Sequence[bytes], label: int) -> Itera
     """
     parts, names, base = [], [], 0
     for path, content in zip(paths, contents):
-        found = _index(content)
-        if found is not None:
-            records, unit, link = found
-            whole = np.empty((len(records), 5), dtype=np.int64)
-            whole[:, 0] = records[:, 0] + base
-            whole[:, 1] = records[:, 1]
-            whole[:, 2] = np.arange(len(records))
-            whole[:, 3] = link
+        found = index(content)
+        if len(found.at):
+            whole = np.empty((len(found.at), 5), dtype=np.int64)
+            whole[:, :4] = found.at
+            whole[:, 0] += base
             whole[:, 4] = len(names)
-            parts.append((whole, records[:, 2] + records[:, 3] * unit))
+            parts.append((whole, found.time))
             names.append(path)
         base += len(content)
     if not parts:
@@ -181,12 +257,26 @@ def decode_captures(files: DataFrame, label: int = 0) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, CAPTURED_PACKET)
 
 
-def read_captures(spark: SparkSession, folder: str, label: int = 0, pattern: str = "*.pcap") -> DataFrame:
-    """Decode all captures below a folder in parallel, largest files first.
+def capture_report(files: DataFrame) -> DataFrame:
+    """Rows ``(path, content)`` to ``(path, packets, problem)``: what could be read of every file, and what was lost."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [index(bytes(content)) for content in batch["content"]]
+            yield pd.DataFrame({"path": batch["path"], "packets": [len(f.at) for f in found], "problem": [f.problem for f in found]})
+
+    return files.select("path", "content").mapInPandas(run, "path string, packets bigint, problem string")
+
+
+def capture_files(spark: SparkSession, folder: str, pattern: str = "*.pcap*") -> DataFrame:
+    """Files of both capture formats below a folder as rows ``(path, content)``."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
+
+
+def read_captures(spark: SparkSession, folder: str, label: int = 0, pattern: str = "*.pcap*") -> DataFrame:
+    """Decode all captures below a folder in parallel, largest files first; ``capture_report`` tells what cannot be read.
 
     A file is one row and one task, which Spark bounds at 2 GB; longer recordings are rotated by the capture tool.
     """
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
-    )
-    return decode_captures(files, label).withColumn("ts", F.timestamp_micros((F.col("timestamp") * 1e6).cast("bigint")))
+    decoded = decode_captures(capture_files(spark, folder, pattern), label)
+    return decoded.withColumn("ts", F.timestamp_micros(F.round(F.col("timestamp") * 1e6).cast("bigint")))

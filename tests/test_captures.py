@@ -91,3 +91,56 @@ def test_many_captures_are_decoded_together():
     parts = list(captures.decode(["a", "junk", "b", "a2"], [one, b"junk", other, one], 0))
     got = [(r["path"], r["timestamp"], r["dst_port"]) for p in parts for r in p.to_dict("records")]
     assert got == [("a", 1.0, 2), ("b", 9.25, 6), ("a2", 1.0, 2)]
+
+
+def block(kind, body, endian="<"):
+    body += b"\0" * (-len(body) % 4)
+    size = struct.pack(endian + "I", len(body) + 12)
+    return struct.pack(endian + "I", kind) + size + body + size
+
+
+def section(endian="<"):
+    return block(0x0A0D0D0A, struct.pack(endian + "IHHq", 0x1A2B3C4D, 1, 0, -1), endian)
+
+
+def interface(link=1, endian="<", options=b""):
+    return block(1, struct.pack(endian + "HHI", link, 0, 65535) + options, endian)
+
+
+def packet(ticks, data, number=0, endian="<"):
+    return block(6, struct.pack(endian + "IIIII", number, ticks >> 32, ticks & 0xFFFFFFFF, len(data), len(data)) + data, endian)
+
+
+def test_block_capture():
+    frame = ethernet(ipv4(17, udp(53, 5353)))
+    nano = struct.pack("<HHB3xHH", 9, 1, 9, 0, 0)
+    content = section() + interface() + interface(link=101, options=nano) + block(5, b"statistics")
+    content += packet(1_700_000_000_123_456, frame) + packet(1_700_000_000_000_000_100, ipv4(6, tcp(1, 2, 0x02)), 1)
+    content += block(3, struct.pack("<I", len(frame)) + frame)
+    content += section(">") + interface(endian=">") + packet(2_000_000, frame, endian=">")
+    got = rows(content)
+    assert [(r["packet_no"], r["protocol"], r["src_port"]) for r in got] == [(0, "UDP", 53), (1, "TCP", 1), (2, "UDP", 53), (3, "UDP", 53)]
+    assert [round(r["timestamp"], 6) for r in got] == [1_700_000_000.123456, 1_700_000_000.0, 0.0, 2.0]
+    assert captures.index(content).problem is None
+
+
+def test_report_counts_what_cannot_be_read(spark, tmp_path):
+    frame = ethernet(ipv4(6, tcp(1, 2, 0x02)))
+    good = capture([(1, 0, frame), (2, 0, frame)])
+    files = {
+        "a.pcap": good,
+        "b.pcap": good[:-3],
+        "c.pcapng": section() + interface() + packet(5, frame) + packet(6, frame)[:-8],
+        "d.pcap": capture([(1, 0, frame)], link=147),
+        "e.pcap": b"no capture",
+        "f.pcapng": section() + interface(link=147) + packet(5, frame),
+    }
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    found = captures.capture_report(captures.capture_files(spark, str(tmp_path)))
+    got = {r["path"].rsplit("/", 1)[1]: (r["packets"], r["problem"]) for r in found.collect()}
+    assert got == {
+        "a.pcap": (2, None), "b.pcap": (1, "cut off"), "c.pcapng": (1, "cut off"), "d.pcap": (0, "unknown link type"),
+        "e.pcap": (0, "unknown format"), "f.pcapng": (0, "unknown link type"),
+    }
+    assert captures.read_captures(spark, str(tmp_path)).count() == 4
