@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import math
 from collections.abc import Sequence
 
@@ -11,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetloom.functions.columns import present, ratio_or_zero
-from packetloom.operators.ordering import TOTAL_ROWS, exact_quantiles, few, running_totals, slice_scan
+from packetloom.operators.ordering import EXACT_VALUES, TOTAL_ROWS, exact_quantiles, few, quantile_scan, running_totals
+from packetloom.schemas import record
 
 # Sweep grid and gate limits.
 SWEEP_FROM, SWEEP_TO, SWEEP_STEPS = 0.1, 50.0, 200
@@ -19,6 +19,7 @@ MIN_F1_GAIN = 0.0
 MAX_FAR_INCREASE = 0.005
 CANARY_MIN_F1 = 0.9
 ZERO_DAY_MIN_RECALL = 0.1
+SWEEP = record(step="int", threshold="double", tp="bigint", fp="bigint", fn="bigint", tn="bigint")
 
 
 def confusion(df: DataFrame, truth: str = "y", predicted: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
@@ -177,73 +178,44 @@ def sweep_percentiles() -> list[float]:
     return [SWEEP_FROM + i * step for i in range(SWEEP_STEPS - 1)] + [SWEEP_TO]
 
 
-def threshold_sweep(df: DataFrame, score: str, truth: str = "y", slice_rows: int = TOTAL_ROWS) -> DataFrame:
+def threshold_sweep(df: DataFrame, score: str, truth: str = "y", exact_values: int = EXACT_VALUES) -> DataFrame:
     """Confusion counts and rates for each of the 200 candidate thresholds (lower score: more abnormal).
 
-    One global order answers everything: thresholds are interpolated between two neighbouring scores, and the rows
-    below a threshold are a prefix sum. The table is not scanned once per threshold.
+    The thresholds are quantiles, found without moving rows. One aggregate then counts the rows between neighbouring
+    thresholds on the map side, so only counts per bin are shuffled; rows below a threshold are sums of bins. Rows
+    without a score are left out.
     """
-    known = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
-    bounds, size = slice_scan(known, F.col(score), {"positives": F.count_if(F.col(truth) == 1)}, slice_rows)
-    n, positives = size["n"], size["positives"]
-    ranks = [p / 100.0 * max(0, n - 1) for p in sweep_percentiles()]
-    totals = running_totals(
-        known, score, {"rows": F.count(F.lit(1)), "pos": F.count_if(F.col(truth) == 1)}, bounds=bounds
+    known = df.where(present(F.col(score).cast("double")))
+    found, size = quantile_scan(
+        known,
+        {score: [p / 100.0 for p in sweep_percentiles()]},
+        {"rows": F.count(F.lit(1)), "positives": F.count_if(F.col(truth) == 1)},
+        exact_values,
     )
-    wanted = [
-        (i, part, float(f(r)), r - math.floor(r))
-        for i, r in enumerate(ranks)
-        for part, f in (("low", math.floor), ("high", math.ceil))
-    ]
-    marks = sorted({rank for _, _, rank, _ in wanted})
-    # which wanted ranks fall into [rows_before, rows_before + rows): a binary search over the fixed list of marks
-    splits = [-math.inf, *marks, math.inf]
-    first_mark = Bucketizer(splits=splits, inputCol="from_rank", outputCol="first_mark")
-    last_mark = Bucketizer(splits=splits, inputCol="to_rank", outputCol="last_mark")
-    ranged = totals.withColumns(
-        {
-            "from_rank": F.col("rows_before").cast("double") - 0.5,
-            "to_rank": (F.col("rows_before") + F.col("rows")).cast("double") - 0.5,
-        }
-    )
-    # the steps that ask for a mark, as one constant looked up by mark number: no join
-    asked = [[{"step": i, "part": part, "fraction": x} for i, part, rank, x in wanted if rank == m] for m in marks]
-    lookup = F.from_json(F.lit(json.dumps(asked)), "array<array<struct<step: int, part: string, fraction: double>>>")
-    hit = F.sequence(F.col("first_mark").cast("int"), F.col("last_mark").cast("int") - 1)
-    found = (
-        last_mark.transform(first_mark.transform(ranged))
-        .where(F.col("last_mark") > F.col("first_mark"))
-        .select(F.col(score).cast("double").alias("value"), "rows", "pos", "rows_before", "pos_before", F.explode(hit).alias("mark"))
-        .select("*", F.inline(F.get(lookup, F.col("mark"))))
-    )
-    low, high = F.col("part") == "low", F.col("part") == "high"
-    steps = (
-        found.groupBy("step")
-        .agg(
-            F.max(F.when(low, F.col("value"))).alias("low"),
-            F.max(F.when(high, F.col("value"))).alias("high"),
-            F.max("fraction").alias("fraction"),
-            *[F.max(F.when(low, F.col(c))).alias(c) for c in ("rows", "pos", "rows_before", "pos_before")],
-        )
-        .withColumn("threshold", F.col("low") + (F.col("high") - F.col("low")) * F.col("fraction"))
-    )
-    above = F.col("threshold") > F.col("low")
-    flagged = F.col("rows_before") + F.when(above, F.col("rows")).otherwise(F.lit(0))
-    tp = F.col("pos_before") + F.when(above, F.col("pos")).otherwise(F.lit(0))
-    counted = steps.select(
-        "step",
-        "threshold",
-        tp.alias("tp"),
-        (flagged - tp).alias("fp"),
-        (F.lit(positives) - tp).alias("fn"),
-        (F.lit(n - positives) - (flagged - tp)).alias("tn"),
-    )
-    return with_rates(counted)
-
-
-def best_threshold(df: DataFrame, score: str, truth: str = "y", slice_rows: int = TOTAL_ROWS) -> DataFrame:
+    thresholds = [t for t in found[score] if t is not None]
+    if not thresholds:
+        return with_rates(df.sparkSession.createDataFrame([], SWEEP))
+    edges = sorted(set(thresholds))
+    cut = Bucketizer(splits=[-math.inf, *edges, math.inf], inputCol="__score", outputCol="__bin")
+    binned = cut.transform(known.select(F.col(score).cast("double").alias("__score"), truth))
+    counted = binned.groupBy("__bin").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(truth) == 1).alias("pos"))
+    bins = {int(r["__bin"]): (r["n"], r["pos"]) for r in counted.collect()}  # at most one more than thresholds
+    below, flagged, hits = {}, 0, 0
+    for i, edge in enumerate(edges):
+        n, pos = bins.get(i, (0, 0))
+        flagged, hits = flagged + n, hits + pos
+        below[edge] = flagged, hits
+    rows, positives = size["rows"], size["positives"]
+    steps = []
+    for step, t in enumerate(thresholds):
+        flagged, tp = below[t]
+        steps.append((step, t, tp, flagged - tp, positives - tp, rows - positives - (flagged - tp)))
+    return with_rates(df.sparkSession.createDataFrame(steps, SWEEP))
+
+
+def best_threshold(df: DataFrame, score: str, truth: str = "y", exact_values: int = EXACT_VALUES) -> DataFrame:
     """The first threshold with the highest F1."""
-    return threshold_sweep(df, score, truth, slice_rows).orderBy(F.col("f1").desc(), "step").limit(1)
+    return threshold_sweep(df, score, truth, exact_values).orderBy(F.col("f1").desc(), "step").limit(1)
 
 
 def flag_below(df: DataFrame, score: str, threshold: float, name: str = "prediction") -> DataFrame:

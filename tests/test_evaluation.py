@@ -39,11 +39,11 @@ def test_auc_equals_rank_formula_and_mllib(scored, slice_rows):
     assert BinaryClassificationEvaluator(rawPredictionCol="s", labelCol="y", numBins=0).evaluate(df) == pytest.approx(want, abs=1e-9)
 
 
-@pytest.mark.parametrize("slice_rows", [10_000_000, 100])
-def test_sweep_equals_a_loop_over_thresholds(scored, slice_rows):
+@pytest.mark.parametrize("exact_values", [10_000_000, 100])
+def test_sweep_equals_a_loop_over_thresholds(scored, exact_values):
     pdf, df = scored
     thresholds = np.percentile(pdf["s"], np.linspace(0.1, 50, 200))
-    got = evaluation.threshold_sweep(df, "s", slice_rows=slice_rows).toPandas().sort_values("step")
+    got = evaluation.threshold_sweep(df, "s", exact_values=exact_values).toPandas().sort_values("step")
     assert got["step"].tolist() == list(range(200))
     best, best_f1 = None, -1.0
     for i, t in enumerate(thresholds):
