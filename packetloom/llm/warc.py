@@ -178,11 +178,10 @@ class Bundle:
 def with_references(pages: DataFrame) -> DataFrame:
     """row, page_id, url, html of every page, with the row and page id of the response of its payload.
 
-    The pages are stored with a number per row first: the number settles ties of page ids and names the record, so it
-    must not change between passes. Rows meet per payload only as partial maxima; the join back may be split by
-    adaptive execution where one payload has very many rows.
+    The number of a row settles ties of page ids and names its record. Rows meet per payload only as partial maxima; the
+    join back may be split by adaptive execution where one payload has very many rows.
     """
-    numbered = settle(pages.withColumn("row", F.monotonically_increasing_id()), "warc-pages")
+    numbered = pages.withColumn("row", F.monotonically_increasing_id())
     payload = F.sha1(text_of("html").cast("binary"))
     first = numbered.select(payload.alias("payload"), "page_id", "row")
     first = first.groupBy("payload").agg(F.max(F.struct("page_id", "row")).alias("first"))
@@ -196,13 +195,19 @@ def write_bundles(
     date: str = "2024-01-01T00:00:00Z",
     frame_bytes: int = FRAME_BYTES,
     bundle_bytes: int = BUNDLE_BYTES,
+    stored: bool = False,
 ) -> DataFrame:
     """Write a record per row of ``pages`` (page_id, url, html) below ``path``; give the index back, stored beside them.
 
     A null html is an empty payload, a null url has no target header, a null page id is smaller than any other. Rows
     that repeat a page become records of their own. File names follow from partition and number, so a task that runs
     again replaces its files by equal ones. An empty table writes no bundle and an empty index.
+
+    Rows are numbered twice and must get the same numbers: ``stored`` says that ``pages`` is read from files as they are;
+    anything else is written to the shared folder first.
     """
+    pages = pages.select("page_id", "url", "html")
+    pages = pages if stored else settle(pages, "warc-pages")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -228,7 +233,7 @@ def write_bundles(
             yield index()
 
     # the order within a partition is fixed, so that a second attempt writes the same bytes
-    ordered = with_references(pages.select("page_id", "url", "html")).sortWithinPartitions("row")
+    ordered = with_references(pages).sortWithinPartitions("row")
     ordered.mapInArrow(write, INDEX).write.parquet(f"{path}/index")
     return pages.sparkSession.read.schema(INDEX).parquet(f"{path}/index")
 
@@ -290,6 +295,6 @@ def lookup(index: DataFrame, record_ids: DataFrame) -> DataFrame:
     return index.join(record_ids.select("record_id").distinct(), "record_id").mapInArrow(fetch, RECORD)
 
 
-def archive(pages: DataFrame) -> DataFrame:
+def archive(pages: DataFrame, stored: bool = False) -> DataFrame:
     """Write ``pages`` to bundles in the shared folder and read them back."""
-    return read_bundles(write_bundles(pages, shared_path(pages.sparkSession, "warc")))
+    return read_bundles(write_bundles(pages, shared_path(pages.sparkSession, "warc"), stored=stored))
