@@ -88,13 +88,53 @@ def op8_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(placed)
 
 
-@query()
+WARC_SQL = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS payload, unhex(sha1(coalesce(html, '')))::BIT::VARCHAR AS bits FROM pages
+), digests AS (
+    SELECT page_id, payload, max(page_id) OVER (PARTITION BY payload) AS first, list_aggregate(list_transform(range(32),
+        lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(5),
+            lambda k: substr(bits, 5 * i + k + 1, 1)::INT * (1 << (4 - k)::INT)))::INT, 1)), 'string_agg', '') AS payload_digest
+    FROM payloads
+)
+SELECT page_id, strlen(payload) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id != first THEN first END AS refers_to
+FROM digests
+"""
+
+
+@query(WARC_SQL)
 def op10_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = warc.archive(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    records = warc.archive(table(spark, sf_dir, "pages", "page_id", "url", "html"), stored=True)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-@query()
+JACCARD_SQL = """
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), sets AS (
+    SELECT doc_id, words, list_distinct(CASE WHEN len(words) >= 5
+        THEN list_transform(range(len(words) - 4), lambda i: array_to_string(words[i + 1 : i + 5], ' '))
+        WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS pieces
+    FROM worded
+), spread AS (
+    SELECT doc_id, len(pieces) AS n, unnest(pieces) AS piece FROM sets
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM spread a JOIN spread b USING (piece) WHERE a.doc_id != b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), heads AS (SELECT a, min(b) AS head FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT doc_id, CASE WHEN len(words) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY words) END AS class_id,
+       coalesce(n_links, 0) AS n_links, head AS component_id, doc_id = head AS kept
+FROM sets JOIN heads ON heads.a = doc_id LEFT JOIN counts ON counts.a = doc_id
+"""
+
+
+@query(JACCARD_SQL)
 def op4_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text")).drop("text_key")
 
