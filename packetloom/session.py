@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,12 +43,36 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables settled inside the block when it ends. What is to last must be written within it.
+
+    ``with scratch(spark): retrain(...).comparison.write.parquet(path)``
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def settle(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used where several later passes read one expensive intermediate result: the written table survives the loss of
-    executors, which cached blocks do not, and cuts the lineage.
+    executors, which cached blocks do not, and cuts the lineage. It stays until the ``scratch`` block around it ends.
     """
     path = shared_path(df.sparkSession, name)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

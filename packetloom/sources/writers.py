@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from packetloom.schemas import record
-from packetloom.session import shared_path
+from packetloom.session import delete, shared_path
 from packetloom.sources.readers import empty
 
 
@@ -55,7 +55,7 @@ class SnapshotTable:
         self.spark, self.path, self.schema, self.file_format = spark, path.rstrip("/"), schema, file_format
 
     def versions(self) -> list[str]:
-        """Announced versions, oldest first."""
+        """Announced versions, oldest first; their number stays small with ``prune``."""
         commits = record(version="string", number="bigint")
         try:
             rows = self.spark.read.schema(commits).json(f"{self.path}/commits")
@@ -63,7 +63,7 @@ class SnapshotTable:
             if "PATH_NOT_FOUND" in (error.getCondition() or ""):
                 return []
             raise
-        return [r["version"] for r in rows.orderBy("number", "version").collect()]
+        return [r["version"] for r in rows.orderBy("number").collect()]
 
     def load(self) -> DataFrame:
         found = self.versions()
@@ -71,14 +71,40 @@ class SnapshotTable:
             return empty(self.spark, self.schema)
         return self.spark.read.schema(self.schema).format(self.file_format).load(f"{self.path}/{found[-1]}")
 
-    def save(self, df: DataFrame) -> str:
-        number = len(self.versions()) + 1
+    def save(self, df: DataFrame, base: str | None = None) -> str:
+        """Write and announce a new version. ``base`` names the version ``df`` was made from (default: the newest now).
+
+        When another save has been announced since, this one fails before it announces anything, so no change is lost in
+        silence: load again and repeat the change. Each number has a commit folder of its own that is never written twice.
+        """
+        before = self.versions()
+        if base is not None and before[-1:] != [base]:
+            raise SaveConflict(f"{base} is not the newest version of {self.path}")
+        number = int(before[-1].split("-")[1]) + 1 if before else 1
         version = f"version-{number:06d}-{uuid.uuid4().hex[:8]}"
         df.write.format(self.file_format).save(f"{self.path}/{version}")
+        if self.versions() != before:
+            raise SaveConflict(f"another save of {self.path} was announced first")
         commit = self.spark.range(1).select(F.lit(version).alias("version"), F.lit(number).cast("bigint").alias("number"))
-        commit.coalesce(1).write.mode("append").json(f"{self.path}/commits")
+        try:
+            commit.coalesce(1).write.mode("errorifexists").json(f"{self.path}/commits/save={number:06d}")
+        except AnalysisException as error:
+            raise SaveConflict(f"another save of {self.path} was announced first") from error
         return version
 
+    def prune(self, keep: int = 2) -> list[str]:
+        """Delete all announced versions but the newest ``keep``; tables loaded from them can no longer be read."""
+        old = self.versions()[: -max(1, keep)]
+        for version in old:
+            # the announcement goes first: a version without one is never read
+            delete(self.spark, f"{self.path}/commits/save={version.split('-')[1]}")
+            delete(self.spark, f"{self.path}/{version}")
+        return old
+
+
+class SaveConflict(RuntimeError):
+    """Two saves of one table at a time."""
+
 
 def save_fitted(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)

@@ -100,3 +100,45 @@ def test_class_label_never_moves_the_large_side(spark):
             assert "BroadcastHashJoin" in plan and not re.search(r"SortMergeJoin \[attack#\d+\]", plan)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_concurrent_saves_and_pruning(spark, tmp_path):
+    from packetloom.schemas import record
+    from packetloom.sources.writers import SaveConflict, SnapshotTable
+
+    path = str(tmp_path / "store")
+    table = SnapshotTable(spark, path, record(a="int"))
+    rows = lambda x: spark.createDataFrame([(x,)], "a int")
+    first = table.save(rows(1))
+    second = table.save(rows(2), base=first)
+    with pytest.raises(SaveConflict):
+        table.save(rows(3), base=first)
+    # a save that is overtaken while it writes
+    other = SnapshotTable(spark, path, record(a="int"))
+    seen = iter([[first, second], [first, second, "version-000003-other"]])
+    other.versions = lambda: next(seen)
+    with pytest.raises(SaveConflict):
+        other.save(rows(4))
+    third = table.save(rows(5))
+    assert table.load().first()["a"] == 5 and table.versions() == [first, second, third]
+    assert table.prune(keep=1) == [first, second]
+    assert table.versions() == [third] and table.load().first()["a"] == 5
+    assert table.save(rows(6)).startswith("version-000004-")
+
+
+def test_settled_tables_go_with_their_scope(spark, tmp_path):
+    from pathlib import Path
+
+    from packetloom.session import scratch, settle, shared_root
+
+    root = Path(shared_root(spark).removeprefix("file:"))
+    kept = settle(spark.range(3), "kept")
+    before = set(root.iterdir())
+    with scratch(spark):
+        inner = settle(spark.range(5), "inner")
+        with scratch(spark):
+            settle(spark.range(7), "innermost")
+        assert len(set(root.iterdir()) - before) == 1
+        inner.write.parquet(str(tmp_path / "result"))
+    assert set(root.iterdir()) == before and kept.count() == 3
+    assert spark.read.parquet(str(tmp_path / "result")).count() == 5
