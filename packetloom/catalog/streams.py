@@ -77,12 +77,14 @@ def stream_live_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {v.PACKETS_SQL} SELECT epoch_us(date_trunc('hour', ts) - to_hours(i)) AS window_us, count(*) AS alerts,
-  count(*) FILTER (WHERE label = 1) AS severe FROM packets, (SELECT unnest(range(0, 24)) AS i) r GROUP BY 1""")
+  count(*) FILTER (WHERE label = 1) AS severe FROM packets, (SELECT unnest(range(0, 24)) AS i) r GROUP BY date_trunc('hour', ts) - to_hours(i)
+HAVING date_trunc('hour', ts) - to_hours(i) + INTERVAL 24 hour <= (SELECT max(ts) FROM packets) - INTERVAL 12 hour""")
 def stream_severe_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     level = F.when(F.col("label") == 1, "HIGH").otherwise("LOW")
     alerts = packet_stream(spark, sf_dir).select(F.col("ts").alias("at"), level.alias("alert_level"))
-    current = _current(jobs.severe_rate_stream(alerts, delay=DELAY), ["window_start"])
-    return current.select(F.unix_micros("window_start").alias("window_us"), "alerts", "severe")
+    path = shared_path(spark, "rates")
+    jobs.append_to(jobs.severe_rate_stream(alerts, delay=DELAY), path, file_format="parquet").awaitTermination()
+    return spark.read.parquet(path).select(F.unix_micros("window_start").alias("window_us"), "alerts", "severe")
 
 
 _LIST = ", ".join(f"'{ip}'" for ip in WHITELIST)

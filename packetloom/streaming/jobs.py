@@ -76,11 +76,19 @@ def live_counts(alerts: DataFrame, time_col: str = "at", width: str = "10 minute
 def severe_rate_stream(
     alerts: DataFrame, time_col: str = "at", span: str = "24 hours", step: str = "1 hour", delay: str = DELAY
 ) -> DataFrame:
-    """Severe share over a sliding window."""
-    return (
+    """Severe share over a sliding window, for an ``append`` sink.
+
+    Alerts are counted per step first; only those counts enter the windows that contain them, so an alert is not copied
+    once per window. A window is emitted, and its state dropped, when the watermark has passed its end.
+    """
+    counted = (
         alerts.withWatermark(time_col, delay)
-        .groupBy(F.window(time_col, span, step).alias("w"))
-        .agg(F.count(F.lit(1)).alias("alerts"), F.count_if(is_severe(F.col("alert_level"))).alias("severe"))
+        .groupBy(F.window(time_col, step).alias("part"))
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(is_severe(F.col("alert_level"))).alias("bad"))
+    )
+    return (
+        counted.groupBy(F.window(F.window_time("part"), span, step).alias("w"))
+        .agg(F.sum("n").alias("alerts"), F.sum("bad").alias("severe"))
         .select(
             F.col("w.start").alias("window_start"), "alerts", "severe", (F.col("severe") / F.col("alerts")).alias("severe_rate")
         )
