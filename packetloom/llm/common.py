@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,3 +52,24 @@ def extend(batch: pa.RecordBatch, **columns) -> pa.RecordBatch:
     """The batch with further columns."""
     names = [*batch.schema.names, *columns]
     return pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(v) for v in columns.values())], names=names)
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of the consecutive rows with equal ``keys`` (whole numbers); one group at a time is held across batches.
+
+    For partitions that are sorted by their keys. Many small groups cost far less so than one call of a function each.
+    """
+    held: pa.Table | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
+        changed = np.zeros(max(0, rows.num_rows - 1), bool)
+        for key in keys:
+            values = rows.column(key).to_numpy()
+            changed |= values[1:] != values[:-1]
+        edges = [0, *(np.flatnonzero(changed) + 1).tolist()]
+        for low, high in zip(edges, edges[1:]):
+            yield rows.slice(low, high - low)
+        held = rows.slice(edges[-1])
+    if held is not None and held.num_rows:
+        yield held

@@ -13,11 +13,11 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from packetloom.llm.common import runs
 from packetloom.llm.graph import components
 from packetloom.llm.jaccard import constants, mixed, roots
 from packetloom.session import settle
@@ -145,21 +145,25 @@ def meets(cell: np.ndarray, node: np.ndarray) -> np.ndarray:
     return hit & (node[:, None] < node[None, :])
 
 
-def compare_cell(group: pd.DataFrame, cosine: float, shape: Lattice) -> pd.DataFrame:
-    """Links of the homes with the lookers of one block of one cell, without those that met in an earlier table."""
-    values = np.asarray(group["vector"].tolist(), np.float64)
+def compare_cell(group: pa.Table, cosine: float, shape: Lattice) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Nodes, links and roots of one block of one cell: homes against lookers, without those that met in an earlier table."""
+    if group.num_rows < 2:
+        return None
+    values = group.column("vector").combine_chunks()
+    values = values.flatten().to_numpy().reshape(group.num_rows, -1)
     norm = np.linalg.norm(values, axis=1)
-    node, home = group["node"].to_numpy(), group["home"].to_numpy()
     linked = values @ values.T / (norm[:, None] * norm[None, :]) >= cosine
-    linked &= (node[:, None] < node[None, :]) & home[:, None] & group["looks"].to_numpy()[None, :]
-    if linked.any():
-        unit = values / norm[:, None]
-        for earlier in range(int(group["table"].iloc[0])):
-            linked &= ~meets(cells(unit, earlier, shape), node)
+    node = group.column("node").to_numpy()
+    home, looks = (group.column(k).to_numpy() for k in ("home", "looks"))
+    linked &= (node[:, None] < node[None, :]) & home[:, None] & looks[None, :]
+    if not linked.any():
+        return None
+    unit = values / norm[:, None]
+    for earlier in range(group.column("table")[0].as_py()):
+        linked &= ~meets(cells(unit, earlier, shape), node)
     linked |= linked.T
-    copies = group["copies"].to_numpy()
-    out = pd.DataFrame({"node": node, "links": linked @ copies, "root": node[roots(linked)]})
-    return out[linked.any(axis=1)]
+    has = linked.any(axis=1)
+    return node[has], (linked @ group.column("copies").to_numpy())[has], node[roots(linked)][has]
 
 
 def lattice_near_copies(
@@ -210,11 +214,17 @@ def lattice_near_copies(
     faced = faced.withColumn("looks", ~F.col("only_home")).drop("only_home")
     loaded = faced.join(classes.select("node", "vector", "copies"), "node")
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        return compare_cell(group, cosine, shape)
+    keys_of_block = [*place, "i", "j"]
 
-    found = loaded.groupBy(*place, "i", "j").applyInPandas(compare, "node long, links long, root long")
-    found = settle(found, "vector-links")
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in runs(batches, keys_of_block):
+            links = compare_cell(group, cosine, shape)
+            if links is not None:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in links], names=["node", "links", "root"])
+
+    # a block has at most some hundred rows
+    blocks = loaded.repartition(*keys_of_block).sortWithinPartitions(*keys_of_block)
+    found = settle(blocks.mapInArrow(compare, "node long, links long, root long"), "vector-links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     joined = components(found.select("node", "root").withColumnRenamed("node", "a").withColumnRenamed("root", "b"))
 
