@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetloom.catalog import views as v
@@ -167,23 +167,28 @@ def anomaly_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(evaluation.binary_metrics(flagged), *_RATE_NAMES)
 
 
-def classified_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embeddings with their class and two sets of ten class scores."""
-    rows = v.table(spark, sf_dir, "embeddings")
-    first, second = F.slice("embedding", 1, 10), F.slice("embedding", 11, 10)
-    as_double = "array<double>"
-    return rows.select(
-        "vec_id",
-        F.col("label").alias("y"),
-        first.cast(as_double).alias("first"),
-        second.cast(as_double).alias("second"),
-        (F.array_position(first, F.array_max(first)) - 1).cast("int").alias("prediction"),
+def _class_scores(part: Column) -> Column:
+    """Ten class scores from any number of values: every tenth value adds to one class."""
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(9)),
+        lambda c: F.aggregate(F.filter(part, lambda _, i: i % 10 == c), F.lit(0.0), lambda total, x: total + x),
     )
 
 
+def classified_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings with their class and two sets of ten class scores, from the first and the second half of the values."""
+    rows = v.table(spark, sf_dir, "embeddings").withColumn("values", F.col("embedding").cast("array<double>"))
+    half = F.floor(F.size("values") / 2).cast("int")
+    first, second = F.slice("values", F.lit(1), half), F.slice("values", half + 1, F.size("values"))
+    scored = rows.select("vec_id", F.col("label").alias("y"), _class_scores(first).alias("first"), _class_scores(second).alias("second"))
+    return scored.withColumn("prediction", (F.array_position("first", F.array_max("first")) - 1).cast("int"))
+
+
 _VECTORS_SQL = """
-vectors AS (SELECT vec_id, label AS y, CAST(list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS INTEGER) AS prediction,
-  embedding[1:10]::DOUBLE[] AS a, embedding[11:20]::DOUBLE[] AS b FROM embeddings),
+halves AS (SELECT vec_id, label AS y, embedding[1 : len(embedding) // 2]::DOUBLE[] AS f, embedding[len(embedding) // 2 + 1 :]::DOUBLE[] AS g FROM embeddings),
+sums AS (SELECT vec_id, y, list_transform(range(10), lambda c: list_sum(list_filter(f, lambda x, i: (i - 1) % 10 = c))) AS a,
+  list_transform(range(10), lambda c: list_sum(list_filter(g, lambda x, i: (i - 1) % 10 = c))) AS b FROM halves),
+vectors AS (SELECT *, CAST(list_position(a, list_max(a)) - 1 AS INTEGER) AS prediction FROM sums),
 cells AS (SELECT y AS class, 1 AS t, 0 AS p, 0 AS hit FROM vectors UNION ALL SELECT prediction, 0, 1, CAST(y = prediction AS INTEGER) FROM vectors),
 classes AS (SELECT class, sum(t) AS support, sum(p) AS predicted, sum(hit) AS hits FROM cells GROUP BY class),
 rated AS (SELECT class, support, hits, CASE WHEN predicted = 0 THEN 0 ELSE hits / predicted::DOUBLE END AS precision,
