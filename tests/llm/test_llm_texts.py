@@ -201,6 +201,25 @@ def test_better_than_the_base_on_held_out_texts(spark):
     assert (found["score"] > found["base_score"]).mean() > 0.8
 
 
+def test_every_slice_of_a_block_teaches(monkeypatch):
+    monkeypatch.setattr(lm, "SLICE_BYTES", 200_000)
+    plain = [" ".join(f"w{(i * 7 + k) % 300}" for k in range(100)) for i in range(1500)]
+    echo = [" ".join(f"w{(i * 7 + k // 2) % 300}" for k in range(100)) for i in range(1500)]
+    held = [" ".join(f"w{(i * 11 + k // 2) % 300}" for k in range(100)) for i in range(50)]
+    names = [lm.END, *(f"w{k}".encode() for k in range(300))]
+    words = {"word": np.array(names, object), "group": np.array([0] + [1] * 300), "c": np.full(301, 1000), "df": np.full(301, 999)}
+    words["part"] = np.log10(words["df"] / words["df"].sum())
+    group_df = np.bincount(words["group"], words["df"], minlength=lm.GROUPS).astype(float)
+
+    def score(train):
+        texts = [*train, *held]
+        taught = np.array([True] * len(train) + [False] * len(held))
+        return lm.score_block(texts, taught, words, group_df, 301_000, 301)["score"][len(train) :].sum()
+
+    alone = score(plain)
+    assert score(plain + echo) > alone + 0.02 * abs(alone)  # what comes late in the block teaches as well
+
+
 def test_no_training_rows_and_no_rows(spark):
     ids = [i for i in range(40) if held(i)]
     found = lm.context_mixing_scores(frame(spark, [(i, "some words") for i in ids])).collect()
