@@ -121,6 +121,33 @@ def shuffle_key(id_col: str, text_col: str, seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.col(text_col)))
 
 
+def placed_rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Sources with their targets, and the rows (without text) with their place in their source."""
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.col(source_col).alias("source"),
+        shuffle_key(id_col, text_col, seed).alias("key"),
+        word_count(text_col).alias("size"),
+    )
+    rows = settle(rows, "mix-rows")  # narrow: the texts are read once
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    sources = settle(source_targets(sizes), "mix-sources")
+    named = rows.join(sources, rows["source"].eqNullSafe(sources["source"])).drop(sources["source"])
+    return sources, shuffled_places(named, F.col("key"))
+
+
+def whole_uses() -> Column:
+    """How often a mix of whole documents takes a document, whatever the size of its source.
+
+    The target is spread exactly over the words of the source: all are used as often as the target holds the source, and
+    what is left of the target is a prefix of the shuffled words, used once more. A document goes by its first word.
+    """
+    target, size = F.round("target").cast("long"), F.col("source_size")
+    whole = F.expr("CAST(round(target) AS BIGINT) div nullif(source_size, 0)")
+    more = (F.col("begins") < target - whole * size).cast("long")
+    return F.when(size > 0, whole + more).otherwise(0).cast("int")
+
+
 def mix_sources(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -132,20 +159,12 @@ def mix_sources(
     """Plan the mix of all ``docs``.
 
     documents: doc_id, key, size, source_rank, source_size, target, begins, taken (words the mix takes of the document)
-    and first_use (how often it takes the block with the document's first word). A document has at most MOST_REPEATS
+    and first_use (how often a mix of whole documents takes it, see ``whole_uses``). A document has at most MOST_REPEATS
     times its size taken. A null text has size 0 and nothing taken; a null source is a source of its own, ordered last.
     Repeated ids are separate rows; equal rows may swap places. An empty table gives an empty mix.
     """
     spark = docs.sparkSession
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.col(source_col).alias("source"),
-        shuffle_key(id_col, text_col, seed).alias("key"),
-        word_count(text_col).alias("size"),
-    )
-    rows = settle(rows, "mix-rows")  # narrow: the texts are read once
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    sources = settle(source_targets(sizes), "mix-sources")
+    sources, placed = placed_rows(docs, id_col, text_col, source_col, seed)
     total, count = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.count(F.lit(1))).first()
     block_words = max(1, -(-total // (slots + SLOTS_PER_SOURCE * count)))
     schedule = golden_schedule(spark, sources, block_words, total)
@@ -163,8 +182,7 @@ def mix_sources(
     )
     used = settle(used.select("source_rank", "block", "uses", "used_before"), "mix-blocks")
 
-    named = rows.join(sources, rows["source"].eqNullSafe(sources["source"])).drop(sources["source"])
-    placed = shuffled_places(named, F.col("key")).join(whole, "source_rank", "left")
+    placed = placed.join(whole, "source_rank", "left")
     placed = placed.withColumns(
         {
             "ends": F.col("begins") + F.col("size"),
@@ -189,7 +207,7 @@ def mix_sources(
     documents = placed.select(
         "doc_id", "key", "size", "source", "source_rank", "source_size", "target", "begins",
         F.coalesce(taken, F.lit(0)).cast("long").alias("taken"),
-        F.coalesce("begin_uses", F.lit(0)).cast("int").alias("first_use"),
+        whole_uses().alias("first_use"),
     )
     return Mix(sources, schedule, documents)
 
@@ -197,12 +215,13 @@ def mix_sources(
 def mixed_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7
 ) -> DataFrame:
-    """``docs`` as the mix uses them: each row as often as the schedule takes the block with its first word.
+    """``docs`` as a mix of whole documents uses them, each source to its target but for a part of one document.
 
     Rows of equal id and text are numbered to tell them apart; all others are alone with their key.
     """
     key, number, uses = spare(docs, "key"), spare(docs, "number"), spare(docs, "uses")
-    plan = mix_sources(docs.select(id_col, text_col, source_col), id_col, text_col, source_col, seed).documents
+    _, plan = placed_rows(docs.select(id_col, text_col, source_col), id_col, text_col, source_col, seed)
+    plan = plan.withColumn("first_use", whole_uses())
     again = F.row_number().over(Window.partitionBy("key").orderBy("begins"))
     plan = plan.select(F.col("key").alias(key), again.alias(number), F.col("first_use").alias(uses)).filter(F.col(uses) > 0)
     keyed = docs.withColumn(key, shuffle_key(id_col, text_col, seed))

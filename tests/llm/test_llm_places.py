@@ -78,6 +78,21 @@ def test_mixed_documents_repeat_whole_rows(spark):
     assert mixed.count() == plan.agg(F.sum("first_use")).first()[0]
 
 
+def test_sources_below_one_block_are_mixed_to_their_target(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLOTS", 16)
+    monkeypatch.setattr(mixing, "SLOTS_PER_SOURCE", 0)
+    monkeypatch.setattr(mixing.mix_sources, "__defaults__", (*mixing.mix_sources.__defaults__[:-1], 16))
+    rows = [(i, "w " * 50, "hot" if i < 2000 else f"s{i % 12:02d}") for i in range(2480)]
+    sizes = Counter()
+    for _, text, source in rows:
+        sizes[source] += len(text.split())
+    wanted = filled(dict(sizes))
+    taken = Counter()
+    for r in mixing.mixed_documents(frame(spark, rows)).collect():
+        taken[r["source"]] += 50
+    assert all(abs(taken[s] - wanted[s]) <= 50 for s in sizes)
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mix_sources(frame(spark, [(1, "a", "s")]).limit(0)).documents.count() == 0
     blank = mixing.mix_sources(frame(spark, [(1, None, None), (2, "", "s")])).documents.collect()
