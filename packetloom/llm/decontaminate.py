@@ -7,7 +7,7 @@ document with an item are put together, and what fills the placeholders must map
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetloom.llm.common import spare, text_of
@@ -73,38 +73,52 @@ def literals(shape: str, start: str, size: int) -> Column:
     return F.expr(f"size(filter(slice({shape}, {start} + 1, {size}), w -> w NOT IN ({slots})))")
 
 
-def window_hits(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
-    """id, text_key, item_id, shift, hits, item_windows: alignments of rows with items and the windows they share."""
+def lower_words(rows: DataFrame, text: Column) -> DataFrame:
+    """``rows`` with an array shape: the words of the text in lower case, without placeholders."""
+    return rows.withColumn("shape", F.split(F.lower(plain_words(text)), " "))
+
+
+def window_hits(docs: DataFrame, benchmark: DataFrame, window: int, exact: bool = False) -> DataFrame:
+    """id, text_key, item_id, shift, hits, item_windows, joinable: alignments of rows with items, the windows they share,
+    and how many of the item's windows can meet one of a row.
+
+    exact: windows of the words themselves in lower case, of which all can meet, in place of template windows.
+    """
+    shaped = lower_words if exact else canonical
+    least = 0 if exact else LITERALS
     items = settle(
-        canonical(benchmark.select("item_id", text_of("text").alias("_t")).filter("item_id IS NOT NULL"), F.col("_t"))
+        shaped(benchmark.select("item_id", text_of("text").alias("_t")).filter("item_id IS NOT NULL"), F.col("_t"))
         .drop("_t")
+        .filter("shape[0] != ''")
         .withColumn("width", F.least(F.lit(window), F.size("shape"))),
         "items",
     )
     widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # at most ``window`` values
-    shapes = canonical(docs, F.col("text")).select("id", "text_key", "shape")
+    shapes = shaped(docs, F.col("text")).select("id", "text_key", "shape")
     parts = []
     for width in widths:
-        if width < LITERALS:
+        if width < least:
             continue
         # only the item's windows are tested for literal words: a window of a row that meets one has the same words
         own = items.filter(F.col("width") == width).select(
             "item_id", "shape", F.posexplode(windows("shape", width)).alias("item_at", "hash"), (F.size("shape") - width + 1).alias("item_windows")
         )
-        own = settle(own.filter(literals("shape", "item_at", width) >= LITERALS).drop("shape"), "item-windows")
+        own = own.filter(literals("shape", "item_at", width) >= least).drop("shape")
+        spots = F.collect_set("item_at").over(Window.partitionBy("item_id"))
+        own = settle(own.withColumn("joinable", F.size(spots)), "item-windows")
         if own.count() <= BROADCAST_WINDOWS:
             own = F.broadcast(own)
         seen = shapes.select("id", "text_key", F.posexplode(windows("shape", width)).alias("at", "hash"))
         parts.append(seen.join(own, "hash"))
     if not parts:
-        parts = [docs.limit(0).selectExpr("id", "text_key", "0 AS at", "0L AS item_id", "0 AS item_at", "0 AS item_windows")]
-    met = parts[0].select("id", "text_key", "at", "item_id", "item_at", "item_windows")
+        parts = [docs.limit(0).selectExpr("id", "text_key", "0 AS at", "0L AS item_id", "0 AS item_at", "0 AS item_windows", "0 AS joinable")]
+    met = parts[0].select("id", "text_key", "at", "item_id", "item_at", "item_windows", "joinable")
     for part in parts[1:]:
         met = met.unionByName(part.select(met.columns))
     # windows of one alignment: at most as many as the item has
     return met.groupBy("id", "text_key", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(
-        F.collect_set("item_at").alias("spots"), F.max("item_windows").alias("item_windows")
-    ).select("id", "text_key", "item_id", "shift", F.size("spots").alias("hits"), "item_windows")
+        F.collect_set("item_at").alias("spots"), F.max("item_windows").alias("item_windows"), F.max("joinable").alias("joinable")
+    ).select("id", "text_key", "item_id", "shift", F.size("spots").alias("hits"), "item_windows", "joinable")
 
 
 def leaks(
@@ -114,17 +128,19 @@ def leaks(
     text_col: str = "text",
     window: int = WINDOW,
     coverage: float = COVERAGE,
+    of: str = "item_windows",
 ) -> DataFrame:
     """Rows that hold a benchmark item: id, text_key, item_id, hits, item_windows, slots, conflicts, changed.
 
     A row leaks an item (item_id, text) if one alignment shares ``coverage`` of the item's template windows and at most
     CONFLICTS of its slot pairs contradict another. Of several alignments the one with most windows is given (ties: the
     first). changed tells items whose slots hold other values. Items of fewer words than ``window`` are one window;
-    those of fewer than LITERALS literal words never match. Rows that are null, empty or without words leak nothing;
+    those of fewer than LITERALS literal words never match (``copies`` finds them). ``of``: with "joinable", the coverage
+    is asked of the windows that have enough literal words. Rows that are null, empty or without words leak nothing;
     rows of equal id and text appear once; null ids stay. Empty tables give no rows.
     """
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).withColumn("text_key", F.xxhash64("text"))
-    found = window_hits(rows, benchmark, window).filter(F.col("hits") >= coverage * F.col("item_windows"))
+    found = window_hits(rows, benchmark, window).filter(F.col("hits") >= coverage * F.col(of)).drop("joinable")
     found = settle(found, "alignments")
 
     item_text = benchmark.select("item_id", text_of("text").alias("_t")).filter("item_id IS NOT NULL")
@@ -157,10 +173,22 @@ def leaks(
     )
 
 
+def copies(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
+    """id, text_key of rows that share ``coverage`` of an item's windows word by word, whatever the case.
+
+    An item of any length and with any share of numbers and names is found; one of fewer words than ``window`` as a whole.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).withColumn("text_key", F.xxhash64("text"))
+    found = window_hits(rows, benchmark, window, exact=True).filter(F.col("hits") >= coverage * F.col("item_windows"))
+    return found.select("id", "text_key")
+
+
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark item."""
+    """``docs`` without the rows that hold a benchmark item, as a template or word by word."""
     key = spare(docs, "key")
-    bad = leaks(docs.select(id_col, text_col), benchmark, id_col, text_col, **options)
-    bad = bad.select(F.col(id_col).alias("bad_id"), F.col("text_key").alias("bad_key")).distinct()
+    narrow = docs.select(id_col, text_col)
+    bad = leaks(narrow, benchmark, id_col, text_col, of="joinable", **options).select(F.col(id_col).alias("id"), "text_key")
+    bad = bad.unionByName(copies(narrow, benchmark, id_col, text_col, **options))
+    bad = bad.select(F.col("id").alias("bad_id"), F.col("text_key").alias("bad_key")).distinct()
     keyed = docs.withColumn(key, F.xxhash64(text_of(text_col)))
     return keyed.alias("d").join(bad.alias("b"), F.expr(f"d.`{id_col}` <=> b.bad_id AND d.`{key}` = b.bad_key"), "left_anti").drop(key)

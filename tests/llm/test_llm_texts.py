@@ -104,6 +104,20 @@ def test_drop_leaks_keeps_the_rest(spark):
     assert decontaminate.drop_leaks(docs.limit(0), bench).count() == 0
 
 
+def test_short_dense_and_lower_case_copies_are_dropped(spark):
+    dense = "Anna 12 Boris 7 Clara 9 Dora 11 Emil 30 Frida 2 Gustav 5 Hanna 8 how many"
+    mostly = "The red fox sold seven old hats Anna 12 Boris 7 Clara 9 Dora 11 Emil 30 Frida 2 Gustav 5 Hanna 8 Ida 4 Jan 6"
+    items = [(1, "What is 17 * 23?"), (2, dense), (3, ITEM), (4, "Why 42?"), (5, mostly), (6, None), (7, "...")]
+    bad = [
+        "well, What is 17 * 23? I ask", f"a {dense} b", f"a {dense.lower()} b", f"a {ITEM.lower()} b", "and why 42 then",
+        mostly.replace("12", "13").replace("Clara", "Carl"),
+    ]
+    good = ["What is 18 * 23?", "why 43", "Anna 12", "", None, "the old market while", "nothing here " * 40]
+    docs = frame(spark, list(enumerate(bad + good)))
+    kept = decontaminate.drop_leaks(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(len(bad), len(bad) + len(good)))
+
+
 # toxicity
 
 @pytest.fixture(scope="module")
