@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from packetloom.catalog.common import Catalog
-from packetloom.llm import decontaminate, jaccard, lattice, lm, mixing, pseudonyms, sharding, tokens, toxicity, warc
+from packetloom.llm import decontaminate, jaccard, lattice, lm, mixing, pseudonyms, repair, sharding, tokens, toxicity, warc
 from packetloom.llm.common import table
 from packetloom.session import shared_path
 
@@ -229,3 +229,70 @@ def op1_lattice_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.context_mixing_scores(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+REPAIR_SQL = """
+WITH RECURSIVE named AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)) AS bytes
+    FROM conversations
+), coded AS (
+    SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(bytes, lambda b: [b::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+        lambda c, b: xor(xor(c, b) // 2, 3988292384 * (xor(c, b) % 2))), 4294967295) % 20 AS kind
+    FROM named
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END))
+    FROM coded WHERE kind != 0
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i, left(role, 1) AS initial,
+           NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut
+    FROM damaged
+), turns AS (
+    SELECT *, NOT blank AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS repeated,
+           lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before
+    FROM numbered
+), facts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
+           count(*) FILTER (blank) AS blank, count(*) FILTER (repeated) AS duplicate,
+           count(*) FILTER (cut AND NOT blank AND NOT repeated) AS truncated,
+           count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM turns GROUP BY conv_id
+), moves(state, inserts, reached, added) AS (VALUES
+    (0, '', 0, []), (0, 'I', 2, ['user:']), (0, 'II', 3, ['user:', 'assistant:']),
+    (1, '', 1, []), (1, 'I', 2, ['user:']), (1, 'II', 3, ['user:', 'assistant:']),
+    (2, '', 2, []), (2, 'I', 3, ['assistant:']), (3, '', 3, []), (3, 'I', 2, ['user:'])
+), path AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS state, 0 AS cost, '' AS audit, []::VARCHAR[] AS lines FROM turns
+    UNION ALL
+    SELECT conv_id, i, state, cost, audit, lines FROM (
+        SELECT p.conv_id, t.i, CASE e.edit WHEN 'D' THEN m.reached WHEN 'R' THEN CASE m.reached WHEN 2 THEN 3 ELSE 2 END
+                   ELSE CASE t.initial WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END END AS state,
+               p.cost + 3 * len(m.inserts) + e.cost + CASE WHEN t.cut AND e.edit != 'D' THEN 3 ELSE 0 END AS cost,
+               p.audit || m.inserts || e.edit AS audit,
+               list_concat(list_concat(p.lines, m.added), CASE e.edit WHEN 'D' THEN [] WHEN 'K' THEN [t.role || ':' || t.text]
+                   ELSE [CASE m.reached WHEN 2 THEN 'assistant:' ELSE 'user:' END || t.text] END) AS lines
+        FROM path p JOIN turns t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.i = p.i + 1
+        JOIN moves m ON m.state = p.state JOIN (VALUES ('D', 4), ('R', 3), ('K', 0)) e(edit, cost)
+            ON e.edit = 'D' OR (NOT t.blank AND NOT t.repeated AND (e.edit = 'R' OR (t.initial = 's' AND m.reached = 0)
+               OR (t.initial = 'u' AND m.reached IN (0, 1, 3)) OR (t.initial = 'a' AND m.reached = 2))))
+    QUALIFY row_number() OVER (PARTITION BY conv_id, state ORDER BY cost, audit) = 1
+), ended AS (
+    SELECT p.conv_id, p.cost + 3 * len(m.inserts) AS cost, p.audit || m.inserts AS audit, list_concat(p.lines, m.added) AS lines
+    FROM path p JOIN facts f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND p.i = f.n
+    JOIN moves m ON m.state = p.state AND m.reached = CASE p.state WHEN 0 THEN 0 ELSE 3 END
+    QUALIFY row_number() OVER (PARTITION BY p.conv_id ORDER BY p.cost + 3 * len(m.inserts), p.audit || m.inserts) = 1
+)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(e.cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+@query(REPAIR_SQL)
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return repair.repair_conversations(turns, damaged=True)
