@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from packetloom.catalog.common import Catalog
-from packetloom.llm import decontaminate, jaccard, lattice, lm, mixing, pseudonyms, repair, sharding, tokens, toxicity, warc
+from packetloom.llm import decontaminate, jaccard, lattice, licenses, lm, mixing, pseudonyms, repair, sharding, shallot, tokens, toxicity, warc
 from packetloom.llm.common import table
 from packetloom.session import shared_path
 
@@ -296,3 +296,80 @@ LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     return repair.repair_conversations(turns, damaged=True)
+
+
+def _kmeans_sql() -> str:
+    """The plain method, one step after the other, over one row per vector and component."""
+    k, dims, scale, seed = shallot.CLUSTERS, shallot.DIMENSIONS, shallot.SCALE, shallot.SEED
+    steps = [
+        f"""parts AS MATERIALIZED (
+    SELECT id, vec_id, place, floor({scale} * x)::BIGINT AS x
+    FROM (SELECT row_number() OVER () AS id, vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS place
+          FROM embeddings WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+), drawn AS (
+    SELECT id, row_number() OVER (ORDER BY sha256('{seed}:' || coalesce(vec_id::VARCHAR, 'null'))) - 1 AS cluster
+    FROM (SELECT DISTINCT id, vec_id FROM parts) QUALIFY cluster < {k}
+), centroids0 AS MATERIALIZED (SELECT cluster, place, x FROM drawn JOIN parts USING (id))"""
+    ]
+    for step in range(shallot.ROUNDS + 1):
+        steps.append(f"""assigned{step} AS MATERIALIZED (
+    SELECT id, cluster, distance FROM (
+        SELECT id, cluster, sum((p.x - c.x) * (p.x - c.x)) AS distance FROM parts p JOIN centroids{step} c USING (place) GROUP BY id, cluster)
+    QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, cluster) = 1)""")
+        if step < shallot.ROUNDS:
+            steps.append(f"""centroids{step + 1} AS MATERIALIZED (
+    SELECT cluster, place, coalesce(m.x, c.x) AS x FROM centroids{step} c LEFT JOIN (
+        SELECT cluster, place, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS x
+        FROM assigned{step} JOIN parts USING (id) GROUP BY cluster, place) m USING (cluster, place))""")
+    return f"""WITH {", ".join(steps)}, named AS (
+    SELECT cluster, sha256(string_agg(x::BIGINT::VARCHAR, ',' ORDER BY place)) AS centroid_sha256 FROM centroids{shallot.ROUNDS} GROUP BY cluster)
+SELECT vec_id, cluster::INT AS cluster, distance::BIGINT AS distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM assigned{shallot.ROUNDS} JOIN named USING (cluster) JOIN (SELECT DISTINCT id, vec_id FROM parts) USING (id)"""
+
+
+@query(_kmeans_sql())
+def op11_shallot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shallot.shallot_kmeans(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def _license_sql() -> str:
+    quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    rows = ", ".join(
+        f"({i}, '{t.label}', {t.phrase}, {quoted(t.words)}, {t.gram}, {t.slack}, {t.needed})" for i, t in enumerate(licenses.TEMPLATES)
+    )
+    gram = lambda words, at: f"array_to_string({words}[{at} + 1 : {at} + size], ' ')"
+    return f"""WITH templates(template, label, phrase, words, size, slack, needed) AS (VALUES {rows}
+), docs AS (
+    SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), known AS (
+    SELECT template, size, slack, place, {gram("words", "place")} AS gram
+    FROM (SELECT *, unnest(range(len(words) - size + 1)) AS place FROM templates)
+), seen AS (
+    SELECT id, size, spot, {gram("words", "spot")} AS gram
+    FROM (SELECT id, words, size, unnest(range(len(words) - size + 1)) AS spot FROM docs, (SELECT DISTINCT size FROM templates))
+), hits AS (
+    SELECT id, template, slack, size, place, spot, spot - place AS diagonal FROM seen JOIN known USING (size, gram)
+), opened AS (
+    SELECT id, template, diagonal, coalesce((diagonal - lag(diagonal) OVER along > slack)::INT, 1) AS opens
+    FROM (SELECT DISTINCT id, template, slack, diagonal FROM hits) WINDOW along AS (PARTITION BY id, template ORDER BY diagonal)
+), numbered AS (
+    SELECT *, sum(opens) OVER (PARTITION BY id, template ORDER BY diagonal) AS span FROM opened
+), spans AS (
+    SELECT id, template, span, min(spot) AS first, count(DISTINCT place + step) AS covered
+    FROM (SELECT *, unnest(range(size)) AS step FROM hits JOIN numbered USING (id, template, diagonal)) GROUP BY ALL
+), kept AS (
+    SELECT id, template, first, label, phrase, covered::DOUBLE / len(words) AS share FROM spans JOIN templates USING (template) WHERE covered >= needed
+)
+SELECT any_value(doc_id) AS doc_id, len(any_value(words))::BIGINT AS n_words, count(*) FILTER (phrase) AS n_base,
+       (min(first) FILTER (phrase))::BIGINT AS first_word, (max(first) FILTER (phrase))::BIGINT AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (phrase), '') AS base_labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(share), 0.0)::DOUBLE AS score
+FROM docs LEFT JOIN kept USING (id) GROUP BY id"""
+
+
+@query(_license_sql())
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents", "doc_id", "text"))
