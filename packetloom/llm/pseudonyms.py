@@ -18,7 +18,7 @@ ROUNDS = 8
 #: Patterns of each kind, tried in this order at each place. Digits or letters never touch a match.
 _BEFORE, _AFTER = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}" + _AFTER,
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++){0,125}\.\p{L}{2,}+" + _AFTER,
     "date": _BEFORE + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})" + _AFTER,
     "ip": _BEFORE + r"(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}" + _AFTER + r"(?!\.[0-9])",
     "ssn": _BEFORE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _AFTER,
@@ -34,7 +34,7 @@ PATTERNS = {
 KINDS = tuple(PATTERNS)
 ANY = "|".join(PATTERNS.values())
 
-#: Days before 1970 of 1600-01-01 and days of a calendar cycle, which is 339 times 431.
+#: Days between 1600-01-01 and 1970, and days of a calendar cycle, which is 339 times 431.
 CYCLE_START, CYCLE_DAYS, CYCLE_LEFT, CYCLE_RIGHT = 135_140, 146_097, 339, 431
 
 
@@ -113,31 +113,75 @@ def phone(value: str, key: str, restore: bool) -> str:
 
 
 def ssn(value: str, key: str, restore: bool) -> str:
-    return bind(digits_of(value), "d", bind(permuted_digits("d", key, "ssn", restore), "n", laid_out(value, "n")))
+    """Numbers that can be given out: area 1 to 899 but 666, group and serial not zero; the same goes for the pseudonym."""
+    area, group, serial = (f"cast(substr(d, {at}, {n}) AS int)" for at, n in ((1, 3), (4, 2), (6, 4)))
+    valid = f"{area} BETWEEN 1 AND 899 AND {area} != 666 AND {group} > 0 AND {serial} > 0"
+    left = f"({area} - if({area} > 666, 2, 1)) * 99 + {group} - 1"
+    parts = feistel(left, f"{serial} - 1", str(898 * 99), "9999", key, "ssn", restore)
+    renewed_area = "f.l div 99 + if(f.l div 99 >= 665, 2, 1)"
+    padded = ", ".join(f"lpad(cast({x} AS string), {n}, '0')" for x, n in ((renewed_area, 3), ("f.l % 99 + 1", 2), ("f.r + 1", 4)))
+    renewed = bind(bind(parts, "f", f"concat({padded})"), "n", laid_out(value, "n"))
+    return bind(digits_of(value), "d", f"if({valid}, {renewed}, {value})")
 
 
 def ip(value: str, key: str, restore: bool) -> str:
     octet = [f"cast(o[{k}] AS bigint)" for k in range(4)]
     parts = feistel(f"{octet[0]} * 256 + {octet[1]}", f"{octet[2]} * 256 + {octet[3]}", "65536", "65536", key, "ip", restore)
     renewed = bind(parts, "f", "concat_ws('.', f.l div 256, f.l % 256, f.r div 256, f.r % 256)")
-    return bind(f"split({value}, '[.]')", "o", f"if(exists(o, x -> cast(x AS int) > 255), {value}, {renewed})")
+    wrong = "exists(o, x -> cast(x AS int) > 255 OR (x LIKE '0%' AND x != '0'))"
+    return bind(f"split({value}, '[.]')", "o", f"if({wrong}, {value}, {renewed})")
 
 
 def date(value: str, key: str, restore: bool) -> str:
-    """ISO dates, day.month.year, and month/day/year; a date is permuted within its calendar cycle of 400 years."""
-    parts = bind(
+    """ISO dates, day.month.year, and month/day/year from 1600 on, permuted within their calendar cycle of 400 years.
+
+    Dates whose day or month is written with one digit are permuted among those that can be written so: the layout
+    stays, and the inverse finds the text again.
+    """
+    fields = bind(
         f"split({value}, '[-/.]')",
         "o",
-        f"CASE WHEN {value} LIKE '%-%' THEN concat_ws('-', o[0], o[1], o[2])"
-        f" WHEN {value} LIKE '%/%' THEN concat_ws('-', o[2], lpad(o[0], 2, '0'), lpad(o[1], 2, '0'))"
-        " ELSE concat_ws('-', o[2], lpad(o[1], 2, '0'), lpad(o[0], 2, '0')) END",
+        f"CASE WHEN {value} LIKE '%-%' THEN named_struct('y', o[0], 'm', o[1], 'd', o[2])"
+        f" WHEN {value} LIKE '%/%' THEN named_struct('y', o[2], 'm', o[0], 'd', o[1])"
+        " ELSE named_struct('y', o[2], 'm', o[1], 'd', o[0]) END",
     )
-    day = f"cast(try_to_timestamp({parts}, 'yyyy-MM-dd') AS date)"
+    padded = "concat_ws('-', p.y, lpad(p.m, 2, '0'), lpad(p.d, 2, '0'))"
+    day = f"cast(try_to_timestamp({padded}, 'yyyy-MM-dd') AS date)"
+
     index = f"pmod(unix_date(t) + {CYCLE_START}, {CYCLE_DAYS})"
     moved = feistel(f"{index} div {CYCLE_RIGHT}", f"{index} % {CYCLE_RIGHT}", str(CYCLE_LEFT), str(CYCLE_RIGHT), key, "date", restore)
-    renewed = bind(moved, "f", f"date_from_unix_date(cast(unix_date(t) - {index} + f.l * {CYCLE_RIGHT} + f.r AS int))")
-    form = f"CASE WHEN {value} LIKE '%-%' THEN 'yyyy-MM-dd' WHEN {value} LIKE '%/%' THEN 'MM/dd/yyyy' ELSE 'dd.MM.yyyy' END"
-    return bind(day, "t", f"if(t IS NULL, {value}, date_format({renewed}, {form}))")
+    any_day = bind(moved, "f", f"date_from_unix_date(cast(unix_date(t) - {index} + f.l * {CYCLE_RIGHT} + f.r AS int))")
+
+    year = "pmod(year(t), 400)"
+    base = f"year(t) - {year}"
+
+    def within(kind: str, size: int, number: str, month: str, of_month: str) -> str:
+        """A day of the year out of ``size``, and the year, of the cycle."""
+        parts = feistel(number, year, str(size), "400", key, kind, restore)
+        return bind(parts, "f", f"make_date(cast({base} + f.r AS int), cast({month} AS int), cast({of_month} AS int))")
+
+    short_day = "(month(t) - 1) * 9 + day(t) - 1"
+    single = within("date-1-1", 81, short_day, "f.l div 9 + 1", "f.l % 9 + 1")
+    single_day = within("date-2-1", 108, short_day, "f.l div 9 + 1", "f.l % 9 + 1")
+    common = "date_add(DATE'2001-01-01', cast(f.l AS int))"
+    single_month = within(
+        "date-1-2", 273, "datediff(make_date(2001, month(t), day(t)), DATE'2001-01-01')", f"month({common})", f"day({common})"
+    )
+    # the 29th of February stays one, in another of the 97 leap years of a cycle
+    leap = f"({year} div 4 - {year} div 100)"
+    turned = f"pmod({leap} {'-' if restore else '+'} {keyed_number(key, 'date-leap', '0', '0')}, 97)"
+    leap_day = bind(turned, "i", f"make_date(cast({base} + 4 * (i + greatest(i - 1, 0) div 24) AS int), 2, 29)")
+    renewed = (
+        f"CASE WHEN length(p.m) = 2 AND length(p.d) = 2 THEN {any_day} WHEN length(p.m) = 2 THEN {single_day}"
+        f" WHEN length(p.d) = 1 THEN {single} WHEN month(t) = 2 AND day(t) = 29 THEN {leap_day} ELSE {single_month} END"
+    )
+    y, m, d = (f"lpad(cast({part}(r) AS string), {size}, '0')" for part, size in (("year", 4), ("month", "length(p.m)"), ("day", "length(p.d)")))
+    written = (
+        f"CASE WHEN {value} LIKE '%-%' THEN concat_ws('-', {y}, {m}, {d}) WHEN {value} LIKE '%/%' THEN concat_ws('/', {m}, {d}, {y})"
+        f" ELSE concat_ws('.', {d}, {m}, {y}) END"
+    )
+    body = bind(day, "t", f"if(t IS NULL OR year(t) < 1600, {value}, {bind(renewed, 'r', written)})")
+    return bind(fields, "p", body)
 
 
 def iban(value: str, key: str, restore: bool) -> str:
@@ -188,9 +232,10 @@ def _is(value: str, kind: str) -> str:
 def pseudonymize(docs: DataFrame, key: str, text_col: str = "text", restore: bool = False) -> DataFrame:
     """``docs`` with the text pseudonymised, and private_<kind> counts and n_private of what was replaced.
 
-    ``restore`` reverses numbers and dates under the same key; mail digests stay. Texts without personal data come back
-    unchanged, a null text stays null with counts of 0. Values that match a pattern but fail their validation (check
-    digit, octets, calendar) are no personal data and stay. Works row by row without a shuffle, so repeated rows, null
+    ``restore`` reverses numbers and dates under the same key, to the very text; mail digests stay. Texts without personal
+    data come back unchanged, a null text stays null with counts of 0. Values that match a pattern but fail their
+    validation (check digit, octets without leading zeros, calendar from 1600 on, numbers that are given out) are no
+    personal data and stay. Host names have at most 127 parts; texts and words of any length are read in linear time. Works row by row without a shuffle, so repeated rows, null
     ids and empty tables need no care; columns named like the counts are replaced.
     """
     text, matches, renewed = F.col(text_col), spare(docs, "matches"), spare(docs, "renewed")
