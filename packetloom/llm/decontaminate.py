@@ -45,7 +45,8 @@ def plain_words(text: Column) -> Column:
 def template(plain: Column) -> Column:
     """``plain`` in lower case with #n, #u, #p for numbers, units after numbers and capitalised words."""
     digits = plain.rlike(r"\p{N}")
-    numbers = F.when(digits, F.regexp_replace(plain, rf"{NOT_BLANK}*\p{{N}}{NOT_BLANK}*", "#n")).otherwise(plain)
+    # matches begin where words begin: a long word without digits is read once
+    numbers = F.when(digits, F.regexp_replace(plain, rf"(?<!{NOT_BLANK}){NOT_BLANK}*\p{{N}}{NOT_BLANK}*", "#n")).otherwise(plain)
     names = F.lower(F.regexp_replace(numbers, r"(^| )\p{Lu}\p{Ll}+", "$1#p"))
     return F.when(digits, F.regexp_replace(names, f"#n ({UNITS})( |$)", "#n #u$2")).otherwise(names)
 
