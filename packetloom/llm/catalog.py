@@ -145,48 +145,68 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
-def _template_sql(name: str, key: str, select: str) -> str:
-    bare = "trim(regexp_replace(regexp_replace(text, '[^\\p{L}\\p{M}\\p{N}\\x09-\\x0D\\x20]+', '', 'g'), '[\\x09-\\x0D\\x20]+', ' ', 'g'))"
-    numbers = "regexp_replace(plain, '[^\\x09-\\x0D\\x20]*\\p{N}[^\\x09-\\x0D\\x20]*', '#n', 'g')"
-    names = f"lower(regexp_replace({numbers}, '(^| )\\p{{Lu}}\\p{{Ll}}+', '\\1#p', 'g'))"
-    units = f"regexp_replace({names}, '#n ({decontaminate.UNITS})( |$)', '#n #u\\2', 'g')"
+def _template_sql(name: str, key: str, select: str, widths: str) -> str:
+    flat = lambda c: f"string_split(trim(regexp_replace({c}, ' ?\\x01', '', 'g')), ' ')"
     return f"""{name} AS (
-    SELECT *, len(shape) AS n FROM (
-        SELECT {key}, string_split(plain, ' ') AS words, string_split({units}, ' ') AS shape
-        FROM (SELECT {key}, {bare} AS plain FROM {select}) WHERE plain != ''))"""
+    SELECT *, len(shape) AS n, list_transform(words, lambda w: lower(w)) AS lowered FROM (
+        SELECT {key}, {flat("plain")} AS words, {flat("whole")} AS shape,
+               list_filter(list_transform(string_split(whole, chr(1)), lambda s: trim(s)), lambda s: s != '') AS sentences
+        FROM (SELECT *, regexp_replace(lower(regexp_replace(regexp_replace(plain, '[^\\x09-\\x0D\\x20]*\\p{{N}}[^\\x09-\\x0D\\x20]*', '#n', 'g'),
+                     '(^| )\\p{{Lu}}\\p{{Ll}}+', '\\1#p', 'g')), '#n ({decontaminate.UNITS})( |$)', '#n #u\\2', 'g') AS whole
+              FROM (SELECT {key}, trim(regexp_replace(regexp_replace(regexp_replace(replace(text, chr(1), ''),
+                       '[.!?]+([\\x09-\\x0D\\x20]|\\z)|[\\x0A\\x0D]+', ' ' || chr(1) || ' ', 'g'),
+                       '[^\\p{{L}}\\p{{M}}\\p{{N}}\\x01\\x09-\\x0D\\x20]+', '', 'g'), '[\\x09-\\x0D\\x20]+', ' ', 'g')) AS plain FROM {select})))
+    WHERE shape[1] != ''), {name}_windows AS (
+    SELECT {key}, kind, width, k, piece FROM (
+        SELECT {key}, kind, width, k, (CASE kind WHEN 'template' THEN shape ELSE lowered END)[k + 1 : k + width] AS piece
+        FROM (SELECT *, unnest(range(greatest(0, n - width + 1))) AS k FROM {name}, {widths}))
+    UNION ALL
+    SELECT {key}, 'sentence', 0, unnest(range(len(sentences))), unnest(list_transform(sentences, lambda s: [s])) FROM {name}
+    UNION ALL
+    SELECT {key}, 'whole', 0, 0, lowered FROM {name} WHERE n < {decontaminate.FEWEST_WORDS})"""
 
 
-_LITERAL = f"len(list_filter(piece, lambda w: w NOT IN ('#n', '#p', '#u'))) >= {decontaminate.LITERALS}"
+_LITERAL = "len(list_filter({0}, lambda w: w NOT IN ('#n', '#p', '#u')))"
 LEAK_SQL = f"""
-WITH {_template_sql("docs", "doc_id", "documents")},
-{_template_sql("items", "item_id", "benchmark")},
-sized AS (SELECT *, least({decontaminate.WINDOW}, n) AS width FROM items),
-item_windows AS (
-    SELECT item_id, width, k AS item_at, piece, n - width + 1 AS item_windows FROM (
-        SELECT item_id, width, n, k, shape[k + 1 : k + width] AS piece FROM (SELECT *, unnest(range(n - width + 1)) AS k FROM sized))
-    WHERE {_LITERAL}
-), doc_windows AS (
-    SELECT doc_id, width, k AS place, shape[k + 1 : k + width] AS piece
-    FROM (SELECT docs.*, width, unnest(range(n - width + 1)) AS k FROM docs, (SELECT DISTINCT width FROM sized))
-), aligned AS (
-    SELECT doc_id, item_id, place - item_at AS shift, count(DISTINCT item_at) AS hits, max(item_windows) AS item_windows
-    FROM doc_windows JOIN item_windows USING (width, piece) GROUP BY ALL
-    HAVING hits >= {decontaminate.COVERAGE} * max(item_windows)
+WITH widths AS (SELECT kind, unnest(range({decontaminate.FEWEST_WORDS}, {decontaminate.WINDOW} + 1)) AS width FROM (VALUES ('template'), ('words')) v(kind)),
+{_template_sql("items", "item_id", "benchmark", "widths")},
+rated AS (
+    SELECT item_id, w.kind, w.width, k AS item_at, piece, n, {_LITERAL.format("piece")} AS literals, {_LITERAL.format("shape")} AS all_literals
+    FROM items_windows w JOIN items USING (item_id)
+    WHERE item_id IS NOT NULL AND (w.kind IN ('sentence', 'whole') OR w.width = least({decontaminate.WINDOW}, n))
+), joinable AS (
+    SELECT * FROM rated WHERE CASE kind WHEN 'template' THEN literals >= {decontaminate.LITERALS} WHEN 'words' THEN true WHEN 'whole' THEN true
+        ELSE n >= {decontaminate.FEWEST_WORDS} AND all_literals > 0
+             AND item_id NOT IN (SELECT item_id FROM rated WHERE kind = 'template' AND literals >= {decontaminate.LITERALS}) END
+), pieces AS (
+    SELECT *, count(*) OVER (PARTITION BY item_id, kind) AS item_windows FROM joinable
+), used AS (
+    SELECT DISTINCT kind, width FROM pieces WHERE kind IN ('template', 'words')
+), {_template_sql("docs", "doc_id", "documents", "used")}, aligned AS (
+    SELECT doc_id, item_id, kind, k - item_at AS shift, count(DISTINCT item_at) AS hits, max(item_windows) AS item_windows
+    FROM docs_windows JOIN pieces USING (kind, width, piece) GROUP BY ALL
+    HAVING hits >= CASE kind WHEN 'sentence' THEN 1.0 WHEN 'whole' THEN 0.0 ELSE {decontaminate.COVERAGE} END * max(item_windows)
+), placed AS (
+    SELECT a.*, CASE a.kind WHEN 'sentence' THEN coalesce(list_sum(list_transform(d.sentences[1 : greatest(shift, 0)],
+           lambda s: len(string_split(s, ' ')))), 0)::BIGINT ELSE shift END AS begins
+    FROM aligned a JOIN docs d USING (doc_id)
 ), faced AS (
-    SELECT doc_id, item_id, shift, hits, item_windows, i.words[k + 1] AS a, d.words[shift + k + 1] AS b
-    FROM aligned JOIN docs d USING (doc_id) JOIN items i USING (item_id), unnest(range(i.n)) AS r(k)
-    WHERE shift + k >= 0 AND shift + k < d.n AND i.shape[k + 1] IN ('#n', '#p', '#u') AND i.shape[k + 1] = d.shape[shift + k + 1]
+    SELECT doc_id, item_id, kind, shift, i.words[k + 1] AS a, d.words[begins + k + 1] AS b
+    FROM placed JOIN docs d USING (doc_id) JOIN items i USING (item_id), unnest(range(i.n)) AS r(k)
+    WHERE kind IN ('template', 'sentence') AND begins + k >= 0 AND begins + k < d.n
+      AND i.shape[k + 1] IN ('#n', '#p', '#u') AND i.shape[k + 1] = d.shape[begins + k + 1]
 ), judged AS (
-    SELECT doc_id, item_id, shift, any_value(aligned.hits) AS hits, any_value(aligned.item_windows) AS item_windows,
+    SELECT doc_id, item_id, kind, shift, any_value(aligned.hits) AS hits, any_value(aligned.item_windows) AS item_windows,
            count(DISTINCT (a, b)) FILTER (a IS NOT NULL) AS slots,
            2 * count(DISTINCT (a, b)) FILTER (a IS NOT NULL) - count(DISTINCT a) - count(DISTINCT b) AS conflicts,
            coalesce(bool_or(a != b), false) AS changed
-    FROM aligned LEFT JOIN faced USING (doc_id, item_id, shift) GROUP BY ALL
+    FROM aligned LEFT JOIN faced USING (doc_id, item_id, kind, shift) GROUP BY ALL
 )
-SELECT doc_id, item_id, hits::INT AS hits, item_windows::INT AS item_windows, slots::INT AS slots,
+SELECT doc_id, item_id, kind, hits::INT AS hits, item_windows::INT AS item_windows, slots::INT AS slots,
        conflicts::INT AS conflicts, changed
 FROM judged WHERE conflicts <= {decontaminate.CONFLICTS} * slots
-QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY hits DESC, shift) = 1
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id
+    ORDER BY list_position(['template', 'words', 'sentence', 'whole'], kind), hits DESC, shift) = 1
 """
 
 

@@ -109,15 +109,57 @@ def test_short_dense_and_lower_case_copies_are_dropped(spark):
     mostly = "The red fox sold seven old hats Anna 12 Boris 7 Clara 9 Dora 11 Emil 30 Frida 2 Gustav 5 Hanna 8 Ida 4 Jan 6"
     items = [(1, "What is 17 * 23?"), (2, dense), (3, ITEM), (4, "Why 42?"), (5, mostly), (6, None), (7, "...")]
     bad = [
-        "well, What is 17 * 23? I ask", f"a {dense} b", f"a {dense.lower()} b", f"a {ITEM.lower()} b", "and why 42 then",
-        mostly.replace("12", "13").replace("Clara", "Carl"),
+        "well, What is 17 * 23? I ask", f"a {dense} b", f"a {dense.lower()} b", f"a {ITEM.lower()} b", "why 42",
+        mostly.replace("12", "13").replace("Clara", "Carl"), "Now think. What is 18 * 24?\nSay it.",
     ]
-    good = ["What is 18 * 23?", "why 43", "Anna 12", "", None, "the old market while", "nothing here " * 40]
+    good = ["and What is 18 * 23", "why 43", "and why 42 then", "Anna 12", "", None, "the old market while", "nothing here " * 40]
     docs = frame(spark, list(enumerate(bad + good)))
     kept = decontaminate.drop_leaks(docs, spark.createDataFrame(items, "item_id long, text string"))
     assert sorted(r["doc_id"] for r in kept.collect()) == list(range(len(bad), len(bad) + len(good)))
 
 
+def test_kinds_of_leaks(spark):
+    dense = "Anna 12 Boris 7 Clara 9 Dora 11 Emil 30 Frida 2 Gustav 5 Hanna 8 how many"
+    items = [(1, "What is 17 * 23?"), (2, dense), (3, ITEM), (4, "Paris"), (5, "Name it. Is 5 prime?")]
+    texts = [
+        "So. What is 5 * 6? Right.",
+        f"x {dense} y",
+        ITEM.replace("12", "13"),
+        ITEM.lower(),
+        "Paris.",
+        "paris",
+        "I saw Paris. Paris! It was nice",
+        "Well. Name it. Is 9 prime? Yes",
+        "Name it. Then. Is 9 prime?",
+        dense.replace("12", "13").replace("7", "8"),
+        "What is 5 * 6 and more?",
+    ]
+    found = leaked(spark, texts, items)
+    kinds = {k: r["kind"] for k, r in found.items()}
+    assert kinds == {
+        (0, 1): "sentence", (1, 2): "words", (2, 3): "template", (3, 3): "template", (4, 4): "whole", (5, 4): "whole", (7, 5): "sentence",
+        (9, 2): "words",
+    }
+    assert found[7, 5]["slots"] == 2 and found[7, 5]["changed"] and not found[1, 2]["changed"]
+
+
+def test_one_ordinary_word_does_not_empty_the_corpus(spark):
+    docs = frame(spark, [(1, "the cat sat on the mat"), (2, "The."), (3, "the the"), (4, "dog")])
+    kept = decontaminate.drop_leaks(docs, spark.createDataFrame([(1, "the"), (2, "on the")], "item_id long, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4]
+
+
+def test_long_words_take_linear_time(spark):
+    import time
+
+    items = [(1, ITEM), (2, "What is 17 * 23?")]
+    leaked(spark, [ITEM], items)
+    for text in ("a" * 1_000_000, "a." * 500_000, "1" * 1_000_000, "A" * 1_000_000, "!?" * 500_000, "\x01" * 1_000_000):
+        started = time.time()
+        assert set(leaked(spark, [f"1 {text} 2 {ITEM}"], items)) == {(0, 1)}
+        assert time.time() - started < 5, text[:2]
+
+
 # toxicity
 
 @pytest.fixture(scope="module")
