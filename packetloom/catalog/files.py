@@ -226,14 +226,17 @@ def label_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {learning._JUDGED_SQL} SELECT flow_id, round(least(100.0, CASE WHEN prediction = 1 THEN probability * 60.0 ELSE 0.0 END
     + CASE WHEN anomaly_score < -0.12 THEN least(70.0, abs(anomaly_score + 0.12) * 200.0 + 30.0) ELSE 0.0 END), 7) AS risk,
+  round(least(100.0, CASE WHEN prediction = 1 AND probability >= 0.9 THEN probability * 60.0 ELSE 0.0 END
+    + CASE WHEN anomaly_score < -0.12 THEN least(70.0, abs(anomaly_score + 0.12) * 200.0 + 30.0) ELSE 0.0 END), 7) AS risk_if_known,
   round(1 - 2 * abs(probability - 0.5), 7) AS unsure,
   CASE WHEN prediction = 1 AND probability > 0.8 THEN 1.0 ELSE 0.0 END::DOUBLE AS conflict FROM judged""")
 def sql_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rules called as SQL functions."""
+    """The rules called as SQL functions; risk_if_known takes uncertain probabilities as missing."""
     register_sql_functions(spark)
     learning.judged_flows(spark, sf_dir).createOrReplaceTempView("judged_flows")
     return spark.sql(
         """SELECT flow_id, round(fusion_risk(prediction, probability, anomaly_score), 7) AS risk,
+             round(fusion_risk(prediction, CASE WHEN probability >= 0.9 THEN probability END, anomaly_score), 7) AS risk_if_known,
              round(label_uncertainty(probability), 7) AS unsure,
              label_conflict(CASE WHEN prediction = 1 THEN 'NORMAL' END, probability) AS conflict
            FROM judged_flows"""

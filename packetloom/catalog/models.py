@@ -183,14 +183,19 @@ def isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {v.SCORED_SQL},
 labelled AS (SELECT flow_id, CASE WHEN {hash_sql("flow_id", "noise")} < 0.05 THEN 1 - xgb_label ELSE xgb_label END AS y FROM scored),
 parted AS (SELECT y, row_number() OVER (PARTITION BY y ORDER BY {hash_sql("flow_id", "split")}, flow_id) AS k, count(*) OVER (PARTITION BY y) AS n FROM labelled)
-SELECT count(*) FILTER (WHERE y = 0) AS normal, count(*) FILTER (WHERE y = 1) AS attacks, true AS consistent FROM parted WHERE k <= floor(n * 0.5 + 0.5)""")
+SELECT count(*) FILTER (WHERE y = 0) AS normal, count(*) FILTER (WHERE y = 1) AS attacks, true AS consistent, true AS same_when_loaded FROM parted WHERE k <= floor(n * 0.5 + 0.5)""")
 def anomaly_training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forest fitted on normal flows, threshold chosen and judged on labelled flows: every test row is judged once."""
+    """Forest fitted on normal flows, threshold chosen and judged on labelled flows: every test row is judged once, and the saved detector flags the same."""
     rows = settle(labelled_flows(spark, sf_dir).withColumnRenamed("y", "label"), "flows")
     detector = anomaly.train_and_tune(rows.where("label = 0"), rows, ["flow_id"])
+    path = shared_path(spark, "detector")
+    detector.save(spark, path)
+    verdicts = [d.flag(rows).select("flow_id", anomaly.SCORE, "prediction") for d in (detector, anomaly.AnomalyDetector.load(spark, path))]
+    same = verdicts[0].exceptAll(verdicts[1]).isEmpty()
     rates = [F.col(c).between(0, 1) for c in ("accuracy", "precision", "recall", "f1", "far", "dr")]
     return detector.test.select(
-        (F.col("tn") + F.col("fp")).alias("normal"), (F.col("tp") + F.col("fn")).alias("attacks"), reduce(and_, rates).alias("consistent")
+        (F.col("tn") + F.col("fp")).alias("normal"), (F.col("tp") + F.col("fn")).alias("attacks"), reduce(and_, rates).alias("consistent"),
+        F.lit(same).alias("same_when_loaded"),
     )
 
 

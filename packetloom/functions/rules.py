@@ -194,7 +194,7 @@ def register_sql_functions(spark: SparkSession) -> list[str]:
             f"WHEN label <> 'NORMAL' AND score < {CONFLICT_LOW}D THEN 1D ELSE 0D END"
         ),
         "fusion_risk(label INT, proba DOUBLE, anomaly DOUBLE) RETURNS DOUBLE": (
-            f"least({MAX_RISK}D, (CASE WHEN label = 1 THEN proba * {SIGNATURE_POINTS}D ELSE 0D END) + "
+            f"least({MAX_RISK}D, (CASE WHEN label = 1 THEN coalesce(proba, 0D) * {SIGNATURE_POINTS}D ELSE 0D END) + "
             f"(CASE WHEN anomaly < {ANOMALY_THRESHOLD}D THEN least({ANOMALY_MAX_POINTS}D, "
             f"abs(anomaly - ({ANOMALY_THRESHOLD}D)) * {ANOMALY_SLOPE}D + {ANOMALY_BASE_POINTS}D) ELSE 0D END))"
         ),

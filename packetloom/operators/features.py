@@ -6,6 +6,7 @@ column expressions, so nothing is joined and a stream can use the fitted step as
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 
@@ -13,12 +14,12 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from packetloom.functions.columns import binary_label, finite_or_zero, log1p_length
-from packetloom.operators.ordering import quantile_scan
+from packetloom.operators.ordering import join_classes, number_sorted, quantile_scan
 from packetloom.schemas import NORMAL_NAMES, is_numeric
 
 # Columns that are never model input.
@@ -39,6 +40,8 @@ METADATA = (
 ANOMALY_METADATA = ("label", "attack_type", "ts", "src_port", "dst_port")
 MISSING = "missing"
 MAX_CATEGORIES = 1000
+#: Width of the vector, and counts kept, for a text column of more values than that.
+HASHED_CATEGORIES, FREQUENCY_BUCKETS = 1 << 11, 1 << 14
 
 
 def drop_leakage(df: DataFrame, columns: Sequence[str] = LEAKAGE) -> DataFrame:
@@ -96,11 +99,9 @@ def with_label_index(df: DataFrame, column: str, name: str = "y", limit: int = M
     classes = class_names(df, column, limit)
     if classes is not None:
         return df.withColumn(name, index_of(F.col(column), classes))
-    ordered = df.select(F.col(column).cast("string").alias("__class")).where("__class IS NOT NULL").distinct()
-    # one row per class
-    ordered = ordered.withColumn("__index", F.row_number().over(Window.orderBy("__class")) - 1)
-    joined = df.join(ordered, F.col(column).cast("string") == F.col("__class"), "left")
-    return joined.withColumn(name, F.col("__index").cast("int")).drop("__class", "__index")
+    named = df.select(F.col(column).cast("string").alias("__class")).where("__class IS NOT NULL")
+    joined = join_classes(df.withColumn("__key", F.col(column).cast("string")), number_sorted(named, "__class", "__index"), "__key", "__class")
+    return joined.withColumn(name, F.col("__index").cast("int")).drop("__key", "__class", "__index")
 
 
 def index_of(value: Column, ordered: Sequence[str]) -> Column:
@@ -125,26 +126,35 @@ class LengthFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         return dataset.withColumn("length_log", log1p_length(F.col("length"))).drop("length")
 
 
+def mean_lengths(packets: DataFrame) -> DataFrame:
+    """Mean packet length of every protocol that has one, however many there are."""
+    return packets.groupBy("protocol").agg(F.avg("length").alias("mean_length")).where("protocol IS NOT NULL AND mean_length IS NOT NULL")
+
+
 class PacketFeatures(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """Learns the mean length per protocol and adds the length features."""
 
     def _fit(self, dataset: DataFrame) -> PacketFeaturesModel:
         means: dict[str, float] = {}
         if {"protocol", "length"} <= set(dataset.columns):
-            # protocols are a number of eight bits
-            rows = dataset.groupBy("protocol").agg(F.avg("length").alias("m")).where(F.col("protocol").isNotNull())
-            means = {r["protocol"]: r["m"] for r in rows.orderBy("protocol").limit(MAX_CATEGORIES).collect() if r["m"] is not None}
+            rows = mean_lengths(dataset).limit(MAX_CATEGORIES + 1).collect()
+            means = {r["protocol"]: r["mean_length"] for r in rows}
+        complete = len(means) <= MAX_CATEGORIES
         model = PacketFeaturesModel()
-        model._set(protocols=list(means), meanLengths=list(means.values()))
+        model._set(protocols=list(means) if complete else [], meanLengths=list(means.values()) if complete else [], complete=complete)
         return model
 
 
 class PacketFeaturesModel(Model, DefaultParamsReadable, DefaultParamsWritable):
     protocols = Param(Params._dummy(), "protocols", "protocols seen in fit", TypeConverters.toListString)
     meanLengths = Param(Params._dummy(), "meanLengths", "mean length per protocol", TypeConverters.toListFloat)
+    complete = Param(Params._dummy(), "complete", "whether the list has all protocols", TypeConverters.toBoolean)
 
     @property
     def mean_length(self) -> dict[str, float]:
+        """Means by protocol. More protocols than fit a list stay in a table, see ``mean_lengths``."""
+        if self.isSet("complete") and not self.getOrDefault("complete"):
+            raise ValueError(f"more than {MAX_CATEGORIES} protocols: use mean_lengths")
         return dict(zip(self.getOrDefault(self.protocols), self.getOrDefault(self.meanLengths)))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
@@ -298,32 +308,101 @@ class DropColumns(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         return dataset.drop(*self.getOrDefault(self.inputCols))
 
 
+class FillCategories(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """NULL becomes the category ``missing``."""
+
+    inputCols = Param(Params._dummy(), "inputCols", "text columns", TypeConverters.toListString)
+
+    @keyword_only
+    def __init__(self, *, inputCols: list[str] | None = None):
+        super().__init__()
+        if inputCols is not None:
+            self._set(inputCols=inputCols)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return dataset.withColumns({c: _category(c) for c in self.getOrDefault(self.inputCols)})
+
+
+def _bucket(name: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(_category(name)), F.lit(buckets)).cast("int")
+
+
+class FrequencyEncoder(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """One number ``<column>_frequency`` per text column: the logarithm of the share of rows with that value.
+
+    Values are counted by hash buckets, so a column may have any number of them and the model keeps a fixed number of
+    counts; values of one bucket count as one. A value that the fit has not seen is as rare as an empty bucket.
+    """
+
+    inputCols = Param(Params._dummy(), "inputCols", "text columns", TypeConverters.toListString)
+    buckets = Param(Params._dummy(), "buckets", "counts per column", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, *, inputCols: list[str] | None = None, buckets: int = FREQUENCY_BUCKETS):
+        super().__init__()
+        self._set(buckets=buckets)
+        if inputCols is not None:
+            self._set(inputCols=inputCols)
+
+    def _fit(self, dataset: DataFrame) -> FrequencyEncoderModel:
+        columns, buckets = self.getOrDefault(self.inputCols), self.getOrDefault(self.buckets)
+        cells = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _bucket(c, buckets).alias("b")) for i, c in enumerate(columns)]))
+        counts = [0] * (buckets * len(columns))
+        for row in dataset.select(cells.alias("cell")).groupBy("cell").count().collect():  # at most one row a bucket
+            counts[row["cell"]["i"] * buckets + row["cell"]["b"]] = row["count"]
+        model = FrequencyEncoderModel()
+        model._set(inputCols=columns, buckets=buckets, counts=counts)
+        return model
+
+
+class FrequencyEncoderModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+    inputCols = Param(Params._dummy(), "inputCols", "text columns", TypeConverters.toListString)
+    buckets = Param(Params._dummy(), "buckets", "counts per column", TypeConverters.toInt)
+    counts = Param(Params._dummy(), "counts", "rows per bucket, column after column", TypeConverters.toListInt)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        columns, buckets, counts = (self.getOrDefault(p) for p in (self.inputCols, self.buckets, self.counts))
+        total = sum(counts[:buckets])
+        added = {}
+        for i, c in enumerate(columns):
+            shares = [math.log((n + 1) / (total + buckets)) for n in counts[i * buckets : (i + 1) * buckets]]
+            listed = F.from_json(F.lit(json.dumps(shares)), "array<double>")
+            added[f"{c}_frequency"] = F.get(listed, _bucket(c, buckets))
+        return dataset.withColumns(added).drop(*columns)
+
+
 def model_inputs(prepared: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     """Columns of a prepared table that go into the feature vector: scaled numbers, 0/1 columns and sparse vectors."""
     return [f.name for f in prepared.schema.fields if f.name not in exclude and f.dataType.simpleString() in ("double", "vector")]
 
 
-def fit_preprocessing(df: DataFrame, exclude: Sequence[str] = (), max_categories: int = MAX_CATEGORIES):
+def fit_preprocessing(df: DataFrame, exclude: Sequence[str] = (), max_categories: int = MAX_CATEGORIES, wide: str = "sparse"):
     """Extractor, scaler and encoder as one fitted ``PipelineModel``; ``exclude`` names key and target columns.
 
-    A text column of more than ``max_categories`` values becomes one sparse vector ``<column>_sparse``.
+    A text column of more than ``max_categories`` values becomes one sparse vector ``<column>_sparse`` of hashed values,
+    or with ``wide="frequency"`` one number ``<column>_frequency``, for models that take numbers only. Neither gathers the
+    values.
     """
     from pyspark.ml import PipelineModel
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+    from pyspark.ml.feature import FeatureHasher
 
+    if wide not in ("sparse", "frequency"):
+        raise ValueError(f"wide columns become sparse or frequency, not {wide}")
     extractor = PacketFeatures().fit(df)
     featured = extractor.transform(df)
     numeric, text = split_types(featured, exclude)
     stages: list[Model] = [extractor]
     if numeric:
         stages.append(NumericScaler(inputCols=numeric).fit(featured))
-    wide = [c for c in text if class_names(featured, c, max_categories) is None]
-    for c in wide:
-        index = StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep", stringOrderType="alphabetAsc")
-        index = index.fit(featured.where(F.col(f"`{c}`").isNotNull()))
-        encoder = OneHotEncoder(inputCol=f"{c}_index", outputCol=f"{c}_sparse", dropLast=False).fit(index.transform(featured))
-        stages += [index, encoder, DropColumns(inputCols=[c, f"{c}_index"])]
-    narrow = [c for c in text if c not in wide]
+    many = [c for c in text if class_names(featured, c, max_categories) is None]
+    if many and wide == "frequency":
+        stages.append(FrequencyEncoder(inputCols=many).fit(featured))
+    elif many:
+        stages.append(FillCategories(inputCols=many))
+        for c in many:
+            stages.append(FeatureHasher(inputCols=[c], outputCol=f"{c}_sparse", categoricalCols=[c], numFeatures=HASHED_CATEGORIES))
+        stages.append(DropColumns(inputCols=many))
+    narrow = [c for c in text if c not in many]
     if narrow:
         stages.append(CategoryEncoder(inputCols=narrow, maxCategories=max_categories).fit(featured))
     return PipelineModel(stages)

@@ -18,6 +18,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from packetloom.session import settle
+
 SLICE = "__slice"
 SLICE_ROWS = 8_000_000
 TOTAL_ROWS = 1_000_000
@@ -259,6 +261,41 @@ def few(df: DataFrame, rows: int = 10_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def number_sorted(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Every distinct value of ``column`` with its 0-based place in their order; no task sees more than a range of them."""
+    values = df.select(column).distinct().repartitionByRange(column).sortWithinPartitions(column)
+    placed = settle(values.withColumn("__at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftrightunsigned("__at", 33)
+    sizes = sorted(placed.groupBy(part.alias("part")).count().collect())  # one row per partition
+    before, starts = 0, []
+    for row in sizes:
+        starts.append((row["part"], before - (row["part"] << 33)))
+        before += row["count"]
+    offsets = F.broadcast(df.sparkSession.createDataFrame(starts, "__part long, __start long"))
+    return placed.withColumn("__part", part).join(offsets, "__part").select(column, (F.col("__at") + F.col("__start")).alias(name))
+
+
+def join_classes(df: DataFrame, table: DataFrame, key: str, table_key: str, hot_share: float = 0.001) -> DataFrame:
+    """``df`` left-joined with a table of one row per class, whatever the shares of the classes.
+
+    A short table is broadcast. From a longer one the classes that hold at least ``hot_share`` of the rows, which are at
+    most its inverse in number, are broadcast; rows of the others are shuffled by their class.
+    """
+    short = table.limit(10_001).count() <= 10_000
+    if short:
+        return df.join(F.broadcast(table), F.col(key) == F.col(table_key), "left")
+    counted = df.groupBy(key).count().where(F.col(key).isNotNull())
+    least = max(1, math.ceil(df.count() * hot_share))
+    hot = counted.where(F.col("count") >= least).select(F.col(key).alias("__hot"))
+    frequent = F.broadcast(table.join(F.broadcast(hot), F.col(table_key) == F.col("__hot"), "left_semi"))
+    rare = table.join(F.broadcast(hot), F.col(table_key) == F.col("__hot"), "left_anti")
+    is_hot = df.join(F.broadcast(hot.withColumn("__is", F.lit(True))), F.col(key) == F.col("__hot"), "left")
+    marked = F.coalesce("__is", F.col(key).isNull())
+    first = is_hot.where(marked).drop("__is", "__hot").join(frequent, F.col(key) == F.col(table_key), "left")
+    rest = is_hot.where(~marked).drop("__is", "__hot").join(rare, F.col(key) == F.col(table_key), "left")
+    return first.unionByName(rest)
+
+
 def smallest(
     df: DataFrame,
     order: Column,

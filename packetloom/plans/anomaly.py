@@ -6,11 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetloom.operators.evaluation import best_threshold, binary_metrics, flag_below, percentile_threshold
-from packetloom.operators.features import anomaly_feature_names, drop_leakage, fit_preprocessing, with_binary_label
+from packetloom.operators.features import anomaly_feature_names, drop_leakage, fit_preprocessing, model_inputs, with_binary_label
 from packetloom.operators.isolation import SAMPLE_SIZE, TREES, Forest, fit_forest
 from packetloom.operators.sampling import stratified_split
 from packetloom.session import settle
@@ -38,9 +38,25 @@ class AnomalyDetector:
     steps: PipelineModel
     forest: Forest
     threshold: float
+    #: Results of the threshold choice and of the judgement; a loaded detector has those of its training.
     validation: DataFrame
     test: DataFrame
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Features, forest, threshold and the reports of the training below one folder."""
+        self.steps.write().overwrite().save(f"{path}/features")
+        self.forest.save(spark, f"{path}/forest")
+        self.validation.write.mode("overwrite").parquet(f"{path}/validation")
+        self.test.write.mode("overwrite").parquet(f"{path}/test")
+        # written last: a folder without it is not complete
+        spark.createDataFrame([(float(self.threshold),)], "threshold double").write.mode("overwrite").json(f"{path}/threshold")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> AnomalyDetector:
+        threshold = spark.read.schema("threshold double").json(f"{path}/threshold").first()["threshold"]
+        steps, forest = PipelineModel.load(f"{path}/features"), Forest.load(spark, f"{path}/forest")
+        return cls(steps, forest, threshold, spark.read.parquet(f"{path}/validation"), spark.read.parquet(f"{path}/test"))
+
     def flag(self, rows: DataFrame) -> DataFrame:
         """Score and verdict for every row of prepared-or-raw traffic columns."""
         return flag_below(self.forest.score(self.steps.transform(rows)), SCORE, self.threshold)
@@ -50,12 +66,12 @@ def train_and_tune(
     normal: DataFrame, mixed: DataFrame, key: Sequence[str], trees: int = TREES, sample_size: int = SAMPLE_SIZE
 ) -> AnomalyDetector:
     """Fit features and forest on ``normal``; half of the labelled ``mixed`` rows choose the threshold with the best F1,
-    the other half judges it.
+    the other half judges it. Text columns of many values count by how frequent their values are on normal traffic.
     """
     clean = drop_leakage(normal.drop("label"))
-    steps = fit_preprocessing(clean, exclude=key)
+    steps = fit_preprocessing(clean, exclude=key, wide="frequency")
     prepared = steps.transform(clean)
-    names = [f.name for f in prepared.schema.fields if f.dataType.simpleString() == "double" and f.name not in key]
+    names = model_inputs(prepared, key)
     forest = fit_forest(prepared, names, key, trees, sample_size)
     labelled = drop_leakage(with_binary_label(mixed)).drop("label")
     halves = stratified_split(labelled, "y", key, 0.5)

@@ -33,6 +33,7 @@ TCP_FLAG_LETTERS = "FSRPAUEC"  # bit 0 upwards
 # Fixed values of the block format.
 SECTION = b"\x0a\x0d\x0d\x0a"
 BLOCK_INTERFACE, BLOCK_SIMPLE, BLOCK_PACKET = 1, 3, 6
+LEAST_BLOCK = {BLOCK_INTERFACE: 20, BLOCK_SIMPLE: 16, BLOCK_PACKET: 32}
 OPTION_RESOLUTION = 9
 UNKNOWN_FORMAT, UNKNOWN_LINK, CUT_OFF = "unknown format", "unknown link type", "cut off"
 BATCH = 20_000
@@ -83,7 +84,7 @@ def _ticks_per_second(options: bytes, endian: str) -> int:
         code, size = struct.unpack_from(endian + "HH", options, at)
         if code == 0:
             break
-        if code == OPTION_RESOLUTION and size == 1:
+        if code == OPTION_RESOLUTION and size == 1 and at + 4 < len(options):
             value = options[at + 4]
             return 1 << (value & 127) if value & 128 else 10**value
         at += 4 + (size + 3) // 4 * 4
@@ -106,9 +107,12 @@ def _blocks(content: bytes) -> Found:
             problems.append(CUT_OFF)
             break
         body = at + 8
-        if kind == BLOCK_INTERFACE and size >= 20:
+        if kind == BLOCK_INTERFACE and size >= LEAST_BLOCK[kind]:
             (link,) = struct.unpack_from(endian + "H", content, body)
             interfaces.append((link, _ticks_per_second(content[body + 8 : at + size - 4], endian)))
+        elif size < LEAST_BLOCK.get(kind, 0):
+            problems.append(CUT_OFF)
+            number += kind != BLOCK_INTERFACE
         elif kind in (BLOCK_PACKET, BLOCK_SIMPLE):
             if kind == BLOCK_PACKET:
                 interface, high, low, captured = struct.unpack_from(endian + "IIII", content, body)

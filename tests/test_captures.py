@@ -144,3 +144,24 @@ def test_report_counts_what_cannot_be_read(spark, tmp_path):
         "e.pcap": (0, "unknown format"), "f.pcapng": (0, "unknown link type"),
     }
     assert captures.read_captures(spark, str(tmp_path)).count() == 4
+
+
+def test_blocks_shorter_than_their_header_are_named():
+    frame = ethernet(ipv4(6, tcp(1, 2, 0x02)))
+    start = section() + interface()
+    for damaged in (block(6, b"\0" * 8), block(3, b""), block(6, b""), block(1, b"\0" * 4)):
+        found = captures.index(start + damaged + packet(5, frame))
+        assert len(found.at) == 1 and found.problem == "cut off"
+    cut_option = interface(options=struct.pack("<HH", 9, 1))
+    assert len(captures.index(section() + cut_option + packet(5, frame)).at) == 1
+
+
+def test_no_cut_of_a_capture_ends_the_scan():
+    frame = ethernet(ipv4(17, udp(53, 5353)))
+    nano = struct.pack("<HHB3xHH", 9, 1, 9, 0, 0)
+    blocks = section() + interface(options=nano) + packet(5, frame) + block(3, struct.pack("<I", len(frame)) + frame)
+    for whole in (blocks, capture([(1, 0, frame), (2, 0, frame)])):
+        for end in range(len(whole)):
+            captures.index(whole[:end])
+            for at in range(0, end, 7):
+                captures.index(whole[:at] + b"\xff" + whole[at + 1 : end])

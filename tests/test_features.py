@@ -92,3 +92,22 @@ def test_column_functions(spark):
         "name": "TCP", "other": "OTHER", "number": "99", "flags": ["SYN", "ACK", "FIN"], "x": 0.0,
         "a": "2024-01-01 00:00:00.5", "b": None, "d": "2024-01-02 03:04:05", "r": 0.0,
     }
+
+
+def test_many_protocols_are_not_cut(spark):
+    rows = spark.range(2500).selectExpr("concat('p', id) AS protocol", "cast(id AS int) AS length")
+    model = features.PacketFeatures().fit(rows)
+    with pytest.raises(ValueError):
+        model.mean_length
+    assert features.mean_lengths(rows).count() == 2500
+    assert "length_log" in model.transform(rows).columns
+
+
+def test_hot_class_among_many_gets_its_number(spark):
+    rows = spark.range(60_000).selectExpr("concat('c', CASE WHEN id % 3 = 0 THEN 7 ELSE id END) AS c", "id").unionByName(
+        spark.range(5).selectExpr("cast(NULL AS string) AS c", "id")
+    )
+    names = sorted(r["c"] for r in rows.where("c IS NOT NULL").select("c").distinct().collect())
+    got = {(r["c"], r["y"]) for r in features.with_label_index(rows, "c", limit=10).select("c", "y").distinct().collect()}
+    assert got == {(n, i) for i, n in enumerate(names)} | {(None, None)}
+    assert features.with_label_index(rows, "c", limit=10).count() == 60_005

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from packetloom.operators import evaluation, explain, isolation, learners
+from packetloom.operators import evaluation, explain, features, isolation, learners
 from packetloom.plans import detection, retraining
 
 FEATURES = ["a", "b", "c"]
@@ -225,6 +225,27 @@ def test_anomaly_training_finds_odd_rows(spark, data):
     assert abs(threshold) < 0.01 and forest.features == FEATURES
 
 
+def test_anomaly_training_uses_a_wide_text_column_and_comes_back(spark, data, tmp_path):
+    from packetloom.plans import anomaly
+
+    normal = data.select("id", *FEATURES).withColumn("service", F.concat(F.lit("s"), F.pmod(F.xxhash64("id"), F.lit(1001))))
+    assert normal.select("service").distinct().count() > 10
+    mixed = normal.withColumn("label", F.pmod(F.xxhash64("id"), F.lit(2)).cast("int"))
+    for categories in (5, 100_000):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(anomaly, "fit_preprocessing", lambda df, **options: features.fit_preprocessing(df, max_categories=categories, **options))
+            detector = anomaly.train_and_tune(normal, mixed, ["id"], trees=5, sample_size=64)
+        used = [f for f in detector.forest.features if f.startswith("service")]
+        assert used == ["service_frequency"] if categories == 5 else len(used) > 100
+        if categories == 5:
+            detector.save(spark, str(tmp_path / "detector"))
+            again = anomaly.AnomalyDetector.load(spark, str(tmp_path / "detector"))
+            assert again.threshold == detector.threshold and again.forest.features == detector.forest.features
+            new = normal.limit(50).withColumn("service", F.lit("never seen"))
+            assert detector.flag(new).exceptAll(again.flag(new)).count() == 0
+            assert again.test.collect() == detector.test.collect()
+
+
 def test_retraining_needs_more_than_the_threshold(spark):
     report = spark.createDataFrame([(0.5,)], "final_score double")
     assert retraining.retrain_needed(report) is False
