@@ -183,6 +183,11 @@ def sliding_severe_rate(alerts: DataFrame, time_col: str = "at", span_hours: int
         .groupBy(F.date_trunc("hour", F.col(time_col)).alias("hour"))
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(is_severe(F.col("alert_level"))).alias("severe"))
     )
+    return rate_of_hours(hourly, span_hours)
+
+
+def rate_of_hours(hourly: DataFrame, span_hours: int = 24) -> DataFrame:
+    """Severe share of every window of ``span_hours`` hours that has alerts, from rows ``(hour, n, severe)``."""
     first = F.col("hour") - F.expr(f"INTERVAL {span_hours - 1} HOURS")
     return (
         hourly.withColumn("window_start", F.explode(F.sequence(first, F.col("hour"), F.expr("INTERVAL 1 HOUR"))))

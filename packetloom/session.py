@@ -65,6 +65,41 @@ def delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds, sorted; none where there is no folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in files.listStatus(target)) if files.exists(target) else []
+
+
+def put_text(spark: SparkSession, path: str, text: str, replace: bool = True) -> bool:
+    """Write a small file so that readers see all of it or none; False where it exists and must not be replaced."""
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+    target, draft = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.draft")
+    files = target.getFileSystem(hadoop)
+    if files.exists(target):
+        if not replace:
+            return False
+        files.delete(target, False)
+    out = files.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    # a rename fails where another writer was first
+    moved = files.rename(draft, target)
+    if not moved:
+        files.delete(draft, False)
+    return moved
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def settle(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -8,16 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from packetloom.functions.columns import epoch_seconds
 from packetloom.functions.rules import ANOMALY_THRESHOLD
 from packetloom.operators.drift import is_severe
 from packetloom.operators.flows import WINDOW, flow_rollup, packet_measures
 from packetloom.plans.detection import detect
 from packetloom.schemas import FIVE_TUPLE
 from packetloom.session import shared_path
+from packetloom.streaming.runs import KeyedRuns
 
 DELAY = "10 seconds"
-BATCH = "__batch"
 
 
 def event_stream(packets: DataFrame, delay: str = DELAY) -> DataFrame:
@@ -44,7 +43,7 @@ def session_stream(packets: DataFrame, gap: str, keys: Sequence[str] = FIVE_TUPL
             F.col("last_ts").alias("session_end"),
             "packets",
             "bytes",
-            (epoch_seconds(F.col("last_ts")) - epoch_seconds(F.col("first_ts"))).alias("duration"),
+            ((F.unix_micros("last_ts") - F.unix_micros("first_ts")) / 1e6).alias("duration"),
         )
     )
 
@@ -73,6 +72,14 @@ def live_counts(alerts: DataFrame, time_col: str = "at", width: str = "10 minute
     )
 
 
+def hourly_alerts(alerts: DataFrame, time_col: str = "at", delay: str = DELAY) -> DataFrame:
+    """Alerts and severe ones per hour, for an ``update`` sink by ``hour``: ``drift.rate_of_hours`` makes windows of them.
+
+    The current hour is among them as soon as it has an alert.
+    """
+    return live_counts(alerts, time_col, "1 hour", delay).select(F.col("bucket").alias("hour"), F.col("count").alias("n"), "severe")
+
+
 def severe_rate_stream(
     alerts: DataFrame, time_col: str = "at", span: str = "24 hours", step: str = "1 hour", delay: str = DELAY
 ) -> DataFrame:
@@ -117,32 +124,28 @@ def append_to(
     return writer.trigger(**trigger).start(path)
 
 
-def update_to(stream: DataFrame, path: str, checkpoint: str | None = None, every: str | None = None) -> StreamingQuery:
-    """Write every changed aggregate row, tagged with its micro-batch. ``latest`` reads the current state.
+def update_to(
+    stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str | None = None, every: str | None = None
+) -> StreamingQuery:
+    """Keep the newest row of every key of a changing aggregate (see ``KeyedRuns``); ``latest`` reads them.
 
-    A repeated micro-batch overwrites its own folder, so a restart leaves no duplicates.
+    A repeated micro-batch replaces its own run, so a restart leaves no duplicates, and the number of files stays bounded.
     """
     location = checkpoint or shared_path(stream.sparkSession, "offsets")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
-
+    sink = KeyedRuns(stream.sparkSession, path, keys)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         stream.writeStream.outputMode("update")
         .option("checkpointLocation", location)
         .trigger(**trigger)
-        .foreachBatch(write)
+        .foreachBatch(sink.absorb)
         .start()
     )
 
 
 def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """Newest version of every key written by ``update_to``."""
-    rows = spark.read.parquet(path)
-    rest = [c for c in rows.columns if c not in keys and c != BATCH]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), BATCH).alias("row"))
-    return newest.select(*keys, "row.*")
+    return KeyedRuns(spark, path, keys).read()
 
 
 def dropped_by_watermark(query: StreamingQuery) -> int:

@@ -1,8 +1,9 @@
 """Stateful flow tracker with idle and active timeouts, as flow exporters use them.
 
-A flow ends when nothing arrives for ``idle`` seconds or when it gets older than ``active`` seconds. Packets of one key
-and one tick are added up inside each Arrow batch before the shuffle, so that a hot flow reaches its state as a few
-partial sums instead of as packets.
+A flow ends when nothing arrives for ``idle`` seconds or when it gets older than ``active`` seconds, whichever comes
+first. Packets of one key and one tick are added up inside each Arrow batch before the shuffle, so that a hot flow reaches
+its state as a few partial sums instead of as packets. With no active timeout flows are idle-gap sessions. Flows that are
+still open stay in the state store, from where ``open_flows`` reads them.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -48,6 +49,11 @@ class FlowTimeouts(StatefulProcessor):
     def __init__(self, keys: Sequence[str], idle: float, active: float, tick: float):
         self.keys, self.idle, self.active, self.tick = list(keys), idle, active, tick
 
+    def deadline(self, flow) -> tuple[float, str]:
+        """When the flow ends unless it goes on, and which timeout ends it; a tie counts as idle."""
+        idle, active = flow[1] + self.idle, flow[0] + self.active
+        return (active, "active") if active < idle else (idle, "idle")
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.open = handle.getValueState("open", _SUMS)
@@ -60,11 +66,8 @@ class FlowTimeouts(StatefulProcessor):
             # partial sums of other tasks are merged batch by batch: memory holds one row per tick of the micro-batch
             parts = _summed(batch if parts is None else pd.concat([parts, batch]), [], self.tick)
         for first, last, packets, size in parts.sort_values("first")[["first", "last", "packets", "bytes"]].itertuples(index=False):
-            if flow is not None and first - flow[1] > self.idle:
-                ended.append((*flow, "idle"))
-                flow = None
-            elif flow is not None and last - flow[0] > self.active:
-                ended.append((*flow, "active"))
+            if flow is not None and (first - flow[1] > self.idle or last - flow[0] > self.active):
+                ended.append((*flow, self.deadline(flow)[1]))
                 flow = None
             if flow is None:
                 flow = (first, last, packets, size)
@@ -78,14 +81,15 @@ class FlowTimeouts(StatefulProcessor):
         if self.open.exists():
             flow = tuple(self.open.get())
             self.open.clear()
-            yield self._rows(key, [(*flow, "idle")])
+            yield self._rows(key, [(*flow, self.deadline(flow)[1])])
 
     def _keep(self, flow) -> None:
         first, last, packets, size = flow
         self.open.update((float(first), float(last), int(packets), int(size)))
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        self.handle.registerTimer(int((last + self.idle) * 1000) + 1)
+        # the earlier of both timeouts; a later packet moves it
+        self.handle.registerTimer(int(self.deadline(flow)[0] * 1000) + 1)
 
     def _rows(self, key, ended) -> pd.DataFrame:
         table = pd.DataFrame(ended, columns=["first", "last", "packets", "bytes", "ended_by"])
@@ -102,17 +106,18 @@ def track_flows(
     packets: DataFrame,
     keys: Sequence[str] = FIVE_TUPLE,
     idle: float = IDLE_SECONDS,
-    active: float = ACTIVE_SECONDS,
+    active: float | None = ACTIVE_SECONDS,
     delay: str = "10 seconds",
     tick: float = TICK_SECONDS,
 ) -> DataFrame:
     """Ended flows of a packet stream with event time ``ts``.
 
-    ``tick`` must not exceed ``idle``. The state store must be the RocksDB provider
+    ``tick`` must not exceed ``idle``. ``active=None`` never ends a flow by its age. The state store must be the RocksDB provider
     (``spark.sql.streaming.stateStore.providerClass``).
     """
     if tick > idle:
         raise ValueError("tick must not exceed the idle timeout")
+    active = float("inf") if active is None else active
     key_fields = [packets.schema[k] for k in keys]
     at = F.unix_micros("ts").cast("double") / F.lit(1e6)
     sums = packets.select(*keys, at.alias("first"), F.col("length").cast("bigint").alias("bytes")).mapInPandas(
@@ -125,3 +130,17 @@ def track_flows(
         outputMode="Append",
         timeMode="EventTime",
     )
+
+
+def track_sessions(packets: DataFrame, gap: float, keys: Sequence[str] = FIVE_TUPLE, delay: str = "10 seconds") -> DataFrame:
+    """Ended idle-gap sessions. Packets closer than the gap are one session anyway, so a task sends one row per key and gap."""
+    return track_flows(packets, keys, idle=gap, active=None, delay=delay, tick=gap)
+
+
+def open_flows(spark: SparkSession, checkpoint: str, keys: Sequence[str] = FIVE_TUPLE) -> DataFrame:
+    """Flows of ``track_flows`` that had not ended at the last micro-batch, read from the state store at its checkpoint."""
+    state = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "open").load()
+    return state.select(
+        *[F.col(f"key.{k}").alias(k) for k in keys], "value.*",
+        (F.col("value.last") - F.col("value.first")).alias("duration"), F.lit("open").alias("ended_by"),
+    )

@@ -8,9 +8,10 @@ from packetloom.functions.rules import WHITELIST
 from packetloom.operators import flows
 from packetloom.plans.detection import to_alerts
 from packetloom.schemas import PACKET
-from packetloom.session import shared_path
+from packetloom.session import names_in, shared_path
 from packetloom.sources.readers import packet_stream, with_packet_time
 from packetloom.streaming import jobs, tracker
+from packetloom.streaming.runs import KeyedRuns
 
 START = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp()
 KEYS = ("src_ip", "dst_ip", "protocol")
@@ -45,7 +46,7 @@ def stream(spark, path):
 
 def test_flow_stream_equals_batch(spark, arriving):
     path = shared_path(spark, "flows")
-    jobs.update_to(jobs.flow_stream(stream(spark, arriving), keys=KEYS), path).awaitTermination()
+    jobs.update_to(jobs.flow_stream(stream(spark, arriving), keys=KEYS), path, ["window_start", *KEYS]).awaitTermination()
     got = jobs.latest(spark, path, ["window_start", *KEYS])
     batch = flows.flow_rollup(with_packet_time(spark.read.schema(PACKET).json(arriving)), keys=KEYS)
     columns = ["window_start", *KEYS, "pkts_total", "bytes_total", "flags", "duration"]
@@ -78,7 +79,7 @@ def test_restart_continues_after_the_last_batch(spark, arriving, tmp_path):
 def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     write_files(tmp_path, [[packet(100)], [packet(200)], [packet(300), packet(5)], [packet(400)]])
     path = shared_path(spark, "flows")
-    query = jobs.update_to(jobs.flow_stream(stream(spark, str(tmp_path)), keys=KEYS), path)
+    query = jobs.update_to(jobs.flow_stream(stream(spark, str(tmp_path)), keys=KEYS), path, ["window_start", *KEYS])
     query.awaitTermination()
     assert jobs.dropped_by_watermark(query) == 1
     assert jobs.latest(spark, path, ["window_start", *KEYS]).agg(F.sum("pkts_total")).first()[0] == 4
@@ -121,3 +122,75 @@ def test_tracker_timeouts(spark, tmp_path):
 def test_tracker_checks_its_tick(spark, arriving):
     with pytest.raises(ValueError):
         tracker.track_flows(stream(spark, arriving), KEYS, idle=1, tick=5)
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@pytest.fixture
+def rocksdb(spark):
+    conf = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(conf, ROCKSDB)
+    yield
+    spark.conf.unset(conf)
+
+
+def test_open_flows_stay_readable(spark, tmp_path, rocksdb):
+    first = [packet(s) for s in range(0, 10)] + [packet(s, "b") for s in range(0, 61, 5)] + [packet(3, None)]
+    write_files(tmp_path, [first, [packet(s, "b") for s in range(65, 71, 5)] + [packet(66, "a")]])
+    path, checkpoint = shared_path(spark, "ended"), shared_path(spark, "tracker")
+    ended = tracker.track_flows(stream(spark, str(tmp_path)), KEYS, idle=15, active=60, delay="1 second")
+    jobs.append_to(ended, path, checkpoint, "parquet").awaitTermination()
+    rows = spark.read.schema(ended.schema).parquet(path).unionByName(tracker.open_flows(spark, checkpoint, KEYS))
+    got = {(r["src_ip"], r["first"] - START, r["packets"], r["ended_by"]) for r in rows.collect()}
+    assert got == {("a", 0.0, 10, "idle"), ("a", 66.0, 1, "open"), ("b", 0.0, 13, "active"), ("b", 65.0, 2, "open"), (None, 3.0, 1, "idle")}
+
+
+def test_tracked_sessions_equal_batch_sessions(spark, arriving, rocksdb):
+    path, checkpoint = shared_path(spark, "ended"), shared_path(spark, "tracker")
+    sessions = tracker.track_sessions(stream(spark, arriving), 1.0, KEYS, "1 second")
+    jobs.append_to(sessions, path, checkpoint, "parquet").awaitTermination()
+    rows = spark.read.schema(sessions.schema).parquet(path).unionByName(tracker.open_flows(spark, checkpoint, KEYS))
+    batch = flows.flow_sessions(with_packet_time(spark.read.schema(PACKET).json(arriving)), 1.0, KEYS)
+    got = sorted((r["src_ip"], r["first"], r["packets"]) for r in rows.collect())
+    assert got == sorted((r["src_ip"], r["session_start"].timestamp(), r["packets"]) for r in batch.collect())
+
+
+def test_a_hot_key_reaches_its_state_as_few_rows():
+    import pandas as pd
+
+    packets = pd.DataFrame({"k": ["a"] * 100_000, "first": [START + i / 1000 for i in range(100_000)], "bytes": 1})
+    sent = pd.concat(tracker._partial_sums(["k"], 10.0)(iter([packets[:50_000], packets[50_000:]])))
+    assert len(sent) <= 12 and sent["packets"].sum() == 100_000
+
+
+def test_runs_stay_few_and_hold_the_newest_rows(spark):
+    path = shared_path(spark, "runs")
+    sink = KeyedRuns(spark, path, ["k"], fan_in=4)
+    wanted = {}
+    for batch in range(50):
+        rows = [(k, batch * 100 + k) for k in range(batch % 7, 40, 5)]
+        wanted.update(dict(rows))
+        sink.absorb(spark.createDataFrame(rows, "k long, x long").coalesce(1), batch)
+        if batch % 10 == 3:  # the same micro-batch again, as after a failure
+            sink.absorb(spark.createDataFrame(rows, "k long, x long").coalesce(1), batch)
+    assert {r["k"]: r["x"] for r in sink.read().collect()} == wanted
+    assert len(sink.runs()) <= 3 * 3
+    assert len([n for n in names_in(spark, path) if n.startswith("run-")]) <= 2 * 9 and len(names_in(spark, f"{path}/manifests")) <= 4
+
+
+def test_a_failed_micro_batch_leaves_the_last_state(spark, monkeypatch):
+    from packetloom.streaming import runs
+
+    sink = KeyedRuns(spark, shared_path(spark, "runs"), ["k"], fan_in=2)
+    one = spark.createDataFrame([(1, "a")], "k long, x string")
+    sink.absorb(one, 0)
+    with monkeypatch.context() as patch:
+        patch.setattr(runs, "put_text", lambda *a, **o: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            sink.absorb(spark.createDataFrame([(1, "b")], "k long, x string"), 1)
+    assert [tuple(r) for r in sink.read().collect()] == [(1, "a")]
+    sink.absorb(spark.createDataFrame([(1, "b"), (None, "c")], "k long, x string"), 1)
+    assert sorted(map(str, (tuple(r) for r in sink.read().collect()))) == ["(1, 'b')", "(None, 'c')"]
+    with pytest.raises(FileNotFoundError):
+        KeyedRuns(spark, shared_path(spark, "runs"), ["k"]).read()
