@@ -18,6 +18,7 @@ from packetloom.operators.evaluation import confusion
 from packetloom.schemas import ALERT, FLOW, LABEL_ROW, PACKET
 from packetloom.session import shared_path
 from packetloom.sources import captures, readers, writers
+from packetloom.sources.buckets import BucketTable
 
 query = Catalog()
 
@@ -215,12 +216,10 @@ def partitioned_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(labelling.query.oracle["label_update_audit"])
 def label_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Label store saved, updated from its own contents and saved again."""
-    store = writers.SnapshotTable(spark, shared_path(spark, "labels"), LABEL_ROW)
-    first = v.label_store(spark, sf_dir)
-    store.save(first.select(*[c for c in LABEL_ROW.names if c in first.columns]))
-    verdicts = labelling.verdicts(spark, sf_dir)
-    store.save(labels.update_labels(store.load(), verdicts, at=v.NOW))
+    """Label store saved in buckets and updated from its own contents: only the buckets of the verdicts are rewritten."""
+    store = BucketTable(spark, shared_path(spark, "labels"), LABEL_ROW)
+    store.save(v.label_store(spark, sf_dir))
+    store.rewrite(labelling.verdicts(spark, sf_dir), lambda rows, verdicts: labels.update_labels(rows, verdicts, at=v.NOW))
     return store.load().select("flow_id", "label", "label_status", "label_confidence", "annotator_id")
 
 

@@ -12,6 +12,9 @@ from packetloom.catalog import views as v
 from packetloom.catalog.common import Catalog
 from packetloom.functions.rules import WHITELIST
 from packetloom.operators import labels
+from packetloom.schemas import LABEL_ROW
+from packetloom.session import shared_path
+from packetloom.sources.buckets import BucketTable
 
 query = Catalog()
 
@@ -120,7 +123,10 @@ def label_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = alerts.where("alert_level = 'MEDIUM'").select(
         F.md5(F.col("flow_id").cast("binary")).alias("flow_id"), F.lit("PortScan").alias("label"), verified
     )
-    return labels.upsert(v.label_store(spark, sf_dir), replaced.unionByName(added)).select("flow_id", "label", "label_status")
+    store = BucketTable(spark, shared_path(spark, "labels"), LABEL_ROW)
+    store.save(v.label_store(spark, sf_dir))
+    store.upsert(replaced.unionByName(added))
+    return store.load().select("flow_id", "label", "label_status")
 
 
 _LIST = ", ".join(f"'{ip}'" for ip in WHITELIST)
