@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import runs
+from packetloom.llm.common import extend, runs
 from packetloom.llm.graph import components
 from packetloom.llm.jaccard import constants, mixed, roots
 from packetloom.session import settle
@@ -29,7 +29,7 @@ BLOCK = 64
 
 @dataclass(frozen=True)
 class Lattice:
-    """Shape of the hash. A pair at cosine 0.98 meets in a table with probability 0.62, in 14 tables all but 1e-6."""
+    """Shape of the hash: tables, groups of eight projections, length of a lattice step, looked-into neighbours."""
 
     tables: int = 14
     groups: int = 3
@@ -38,6 +38,21 @@ class Lattice:
     seed: int = 41
 
 
+@lru_cache(maxsize=64)
+def shape_for(dim: int, cosine: float = COSINE) -> Lattice:
+    """The shape for unit vectors of ``dim`` components.
+
+    A projection of the difference of two vectors shrinks with the root of the dimension, and so does the step: a pair at
+    the cosine meets in a table with probability 0.62 whatever the dimension, in 14 tables all but 1e-6. Unrelated
+    vectors of 24 components and more meet in less than one table of a thousand. With fewer components there are fewer
+    groups and shorter steps; below eight many unrelated vectors are near each other anyway. At a lower cosine steps are longer and unrelated
+    vectors meet more often.
+    """
+    groups = 3 if dim >= 24 else 2 if dim >= 16 else 1
+    step = 2.4 if dim >= 24 else 1.8 if dim >= 16 else 1.2 if dim >= 8 else 0.8
+    return Lattice(groups=groups, scale=step / np.sqrt(dim) * np.sqrt((2 - 2 * cosine) / 0.04))
+
+
 @lru_cache(maxsize=1)
 def minimal_vectors() -> np.ndarray:
     """The 240 shortest vectors of E8: two entries of one, or eight halves with an even number of minus signs."""
@@ -109,34 +124,52 @@ def usable(vector: str) -> Column:
     return F.expr(f"{vector} IS NOT NULL AND NOT {bad} AND exists({vector}, x -> x != 0)")
 
 
-def keys_of(vectors: DataFrame, shape: Lattice) -> DataFrame:
-    """node, label, dim, table, key, home of every vector: its own cell of each table and the cells it looks into."""
+def with_cells(classes: DataFrame, cosine: float, shape: Lattice | None) -> DataFrame:
+    """``classes`` with dim and cells: the packed hashes of all tables, one row of own cell and looked-into cells each."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, label = batch.column("node"), batch.column("label")
-            sizes = np.asarray([len(v) for v in batch.column("vector").to_pylist()])
+            sizes = np.asarray([len(v) for v in batch.column("vector").to_pylist()], np.int32)
+            found = np.empty(batch.num_rows, object)
             for dim in np.unique(sizes):
-                mine = pa.array(np.flatnonzero(sizes == dim))
-                unit = unit_vectors(batch.take(mine))
-                width = shape.probes + 1
-                for t in range(shape.tables):
-                    n = len(mine) * width
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.repeat(node.take(mine).to_numpy(), width)),
-                            pa.array(np.repeat(label.take(mine).to_numpy(zero_copy_only=False), width)),
-                            pa.array(np.full(n, dim, np.int32)),
-                            pa.array(np.full(n, t, np.int32)),
-                            pa.array(cells(unit, t, shape).ravel()),
-                            pa.array(np.tile(np.arange(width) == 0, len(mine))),
-                        ],
-                        names=["node", "label", "dim", "table", "key", "home"],
-                    )
-
-    return vectors.select("node", "label", "vector").mapInArrow(
-        hashed, "node long, label long, dim int, table int, key long, home boolean"
-    )
+                mine = np.flatnonzero(sizes == dim)
+                unit = unit_vectors(batch.take(pa.array(mine)))
+                use = shape or shape_for(int(dim), cosine)
+                every = np.stack([cells(unit, t, use) for t in range(use.tables)], axis=1)
+                found[mine] = [x.tobytes() for x in every]
+            yield extend(batch, dim=pa.array(sizes), cells=pa.array(found.tolist(), pa.binary()))
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in classes.schema.fields)
+    return classes.mapInArrow(hashed, f"{kinds}, dim int, cells binary")
+
+
+def unpacked(column: pa.ChunkedArray | pa.Array, probes: int) -> np.ndarray:
+    """Cells as an array: vector, table, own cell and looked-into ones."""
+    values = column.to_pylist()
+    return np.frombuffer(b"".join(values), np.int64).reshape(len(values), -1, probes + 1)
+
+
+def keys_of(classes: DataFrame, probes: int) -> DataFrame:
+    """node, label, dim, table, key, home of every vector: its own cell of each table and the cells it looks into."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.asarray([len(c) for c in batch.column("cells").to_pylist()])
+            for size in np.unique(sizes):
+                part = batch.take(pa.array(np.flatnonzero(sizes == size)))
+                every = unpacked(part.column("cells"), probes)
+                rows, tables, width = every.shape
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(pa.array(np.repeat(part.column(c).to_numpy(zero_copy_only=False), tables * width)) for c in ("node", "label", "dim")),
+                        pa.array(np.tile(np.repeat(np.arange(tables, dtype=np.int32), width), rows)),
+                        pa.array(every.ravel()),
+                        pa.array(np.tile(np.arange(width) == 0, rows * tables)),
+                    ],
+                    names=["node", "label", "dim", "table", "key", "home"],
+                )
+
+    return classes.select("node", "label", "dim", "cells").mapInArrow(spread, "node long, label long, dim int, table int, key long, home boolean")
 
 
 def meets(cell: np.ndarray, node: np.ndarray) -> np.ndarray:
@@ -145,7 +178,7 @@ def meets(cell: np.ndarray, node: np.ndarray) -> np.ndarray:
     return hit & (node[:, None] < node[None, :])
 
 
-def compare_cell(group: pa.Table, cosine: float, shape: Lattice) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+def compare_cell(group: pa.Table, cosine: float, probes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """Nodes, links and roots of one block of one cell: homes against lookers, without those that met in an earlier table."""
     if group.num_rows < 2:
         return None
@@ -158,9 +191,9 @@ def compare_cell(group: pa.Table, cosine: float, shape: Lattice) -> tuple[np.nda
     linked &= (node[:, None] < node[None, :]) & home[:, None] & looks[None, :]
     if not linked.any():
         return None
-    unit = values / norm[:, None]
+    every = unpacked(group.column("cells"), probes)
     for earlier in range(group.column("table")[0].as_py()):
-        linked &= ~meets(cells(unit, earlier, shape), node)
+        linked &= ~meets(every[:, earlier], node)
     linked |= linked.T
     has = linked.any(axis=1)
     return node[has], (linked @ group.column("copies").to_numpy())[has], node[roots(linked)][has]
@@ -172,7 +205,7 @@ def lattice_near_copies(
     vector_col: str = "embedding",
     label_col: str = "label",
     cosine: float = COSINE,
-    shape: Lattice = Lattice(),
+    shape: Lattice | None = None,
 ) -> DataFrame:
     """id, n_links, component_id, kept of every vector.
 
@@ -182,6 +215,8 @@ def lattice_near_copies(
     of equal vector and label are one class and hashed once; a null id is never the smallest unless all are null. An
     empty table gives no rows.
 
+    The shape of the hash follows from the dimension and the cosine (``shape_for``) unless ``shape`` gives it.
+
     Keys travel without vectors first. Only cells in which a vector meets another one's look are kept, and those are
     compared in square blocks of bounded size, so a crowded cell is spread over many tasks; links are counted, never
     listed.
@@ -194,9 +229,11 @@ def lattice_near_copies(
     rows = settle(rows, "vectors")
     person = F.struct(F.col("id").isNull().alias("none"), "id")
     classes = rows.filter("ready").groupBy("label", "vector_key", "vector").agg(F.count(F.lit(1)).alias("copies"), F.min(person).alias("first"))
-    classes = settle(classes.withColumn("node", F.xxhash64("label", "vector")), "vector-classes")
+    # numbers of written rows, so no two classes share one
+    classes = settle(with_cells(classes, cosine, shape).withColumn("node", F.monotonically_increasing_id()), "vector-classes")
+    probes = (shape or Lattice()).probes
 
-    keys = settle(keys_of(classes, shape), "cells")
+    keys = settle(keys_of(classes, probes), "cells")
     place = ["label", "dim", "table", "key"]
     # a cell matters where some vector at home meets the look of a vector with a larger node
     crowd = keys.groupBy(*place).agg(
@@ -212,13 +249,13 @@ def lattice_near_copies(
         F.max("home").alias("home"), F.min("home").alias("only_home")
     )
     faced = faced.withColumn("looks", ~F.col("only_home")).drop("only_home")
-    loaded = faced.join(classes.select("node", "vector", "copies"), "node")
+    loaded = faced.join(classes.select("node", "vector", "cells", "copies"), "node")
 
     keys_of_block = [*place, "i", "j"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, keys_of_block):
-            links = compare_cell(group, cosine, shape)
+            links = compare_cell(group, cosine, probes)
             if links is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in links], names=["node", "links", "root"])
 

@@ -87,3 +87,42 @@ def test_crowded_cell_is_compared_in_blocks(spark):
 @pytest.mark.parametrize("rows", [[], [(1, None, None, None)]])
 def test_nothing_to_compare(spark, rows):
     assert result(spark, rows) == [(1, 0, 1, True)] * len(rows)
+
+
+def facing(dim, n, cosine, seed=3):
+    """Pairs of unit vectors at the cosine."""
+    rng = np.random.default_rng([seed, dim])
+    a = rng.normal(size=(n, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    c = rng.normal(size=(n, dim))
+    c -= (a * c).sum(axis=1, keepdims=True) * a
+    return a, cosine * a + np.sqrt(1 - cosine**2) * c / np.linalg.norm(c, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("dim", [8, 12, 16, 24, 64, 384, 768])
+@pytest.mark.parametrize("cosine", [0.98, 0.95])
+def test_recall_and_selectivity_in_any_dimension(dim, cosine):
+    a, b = facing(dim, 1200, cosine)
+    shape = lattice.shape_for(dim, cosine)
+    met, unrelated = np.zeros(len(a), bool), 0
+    for t in range(shape.tables):
+        own, looks = lattice.cells(a, t, shape)[:, :1], lattice.cells(b, t, shape)
+        met |= (looks == own).any(axis=1)
+        unrelated += (np.roll(looks, 1, axis=0) == own).any(axis=1).sum()
+    assert met.mean() >= 0.999
+    # at a lower cosine steps are longer and unrelated vectors meet more often
+    if cosine == 0.98:
+        assert unrelated / (len(a) * shape.tables) < 0.01
+
+
+def test_mixed_dimensions_are_compared_among_themselves(spark):
+    rows, wanted = [], {}
+    for k, dim in enumerate((8, 64, 384)):
+        a, b = facing(dim, 40, 0.985)
+        for i in range(40):
+            rows += [(1000 * k + 2 * i, a[i].tolist(), 1), (1000 * k + 2 * i + 1, b[i].tolist(), 1)]
+            wanted[1000 * k + 2 * i] = wanted[1000 * k + 2 * i + 1] = 1000 * k + 2 * i
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {r["vec_id"]: r["component_id"] for r in lattice.lattice_near_copies(frame).collect()}
+    wrong = {i for i in found if found[i] != wanted[i] and i >= 1000}
+    assert not wrong and set(found) == set(wanted)
