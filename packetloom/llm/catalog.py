@@ -35,35 +35,15 @@ WITH docs AS (
                 ELSE (weight * max(CASE WHEN stopped = 0 THEN left_over END) OVER ())::DOUBLE
                      / (max(CASE WHEN stopped = 0 THEN weight_left END) OVER ())::DOUBLE END AS target
     FROM stops
-), shape AS (
-    SELECT sum(source_size)::BIGINT AS total,
-           greatest(1, ceil(sum(source_size) / ({mixing.SLOTS} + {mixing.SLOTS_PER_SOURCE} * count(*))))::BIGINT AS block
-    FROM sources
-), edges AS (
-    SELECT source_rank, ceil(source_size / block)::BIGINT AS blocks, round(target)::BIGINT AS part,
-           (sum(round(target)::BIGINT) OVER (ORDER BY source_rank))::BIGINT AS edge,
-           (sum(round(target)::BIGINT) OVER ())::BIGINT AS last
-    FROM sources, shape
-), slots AS (
-    SELECT slot, (slot * {mixing.GOLDEN}::DOUBLE) % 1.0::DOUBLE AS point
-    FROM (SELECT unnest(range(ceil(total / block)::BIGINT)) AS slot FROM shape)
-), named AS (
-    SELECT source_rank, (row_number() OVER (PARTITION BY source_rank ORDER BY slot) - 1) % blocks AS block_no
-    FROM slots JOIN edges ON floor(point * last) < edge AND floor(point * last) >= edge - part
-), uses AS (
-    SELECT source_rank, block_no, least(3, count(*)) AS uses FROM named GROUP BY ALL
 ), placed AS (
-    SELECT d.doc_id, d.size, s.source_rank, s.source_size, s.target,
+    SELECT d.doc_id, d.size, s.source_size, s.target, round(s.target)::BIGINT AS used,
            coalesce(sum(d.size) OVER (PARTITION BY s.source_rank ORDER BY d.key
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
     FROM docs d JOIN sources s ON d.source IS NOT DISTINCT FROM s.source
-), numbered AS (SELECT *, row_number() OVER () AS id FROM placed)
-SELECT any_value(doc_id) AS doc_id, any_value(size) AS size, any_value(source_size) AS source_size,
-       any_value(target) AS target,
-       coalesce(sum(uses * (least(begins + size, (block_no + 1) * block) - greatest(begins, block_no * block))), 0)::BIGINT AS taken
-FROM numbered n CROSS JOIN shape
-LEFT JOIN uses u ON u.source_rank = n.source_rank AND block_no * block < begins + size AND (block_no + 1) * block > begins
-GROUP BY id
+)
+SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN used // source_size * size
+           + greatest(0, least(begins + size, used % source_size) - begins) ELSE 0 END::BIGINT AS taken
+FROM placed
 """
 
 

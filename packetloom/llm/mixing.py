@@ -1,10 +1,10 @@
 """Mixing sources to target weights by a low-discrepancy schedule of equal-token blocks.
 
-Every source's documents, shuffled by a hash, are laid end to end and cut into blocks of equal numbers of words. The mix
-is a sequence of slots. Slot ``k`` looks up the golden-ratio point ``frac(k * phi)`` in the cumulative target weights,
-which names its source; the slot's rank within that source names the block it takes, around again after the last block.
-Any prefix of the schedule is therefore near the target shares, and no block is used more than once more often than
-another of its source.
+Every source's documents, shuffled by a hash, are laid end to end. The mix is a sequence of slots. Slot ``k`` looks up the
+golden-ratio point ``frac(k * phi)`` in the cumulative weights, which names its source. The words that the target asks of a
+source are cut into as many equal blocks as it has slots, around again after its last word; the slot's rank within its
+source names its block. So every source meets its target to the word, small ones by small blocks, and any prefix of
+the schedule is near the target shares.
 """
 
 from __future__ import annotations
@@ -19,9 +19,11 @@ from packetloom.session import settle
 
 #: The fractional part of the golden ratio.
 GOLDEN = 0.6180339887498949
-#: Slots of a schedule, beside SLOTS_PER_SOURCE for every source; the block size follows, so a schedule stays small.
+#: Slots of a schedule, shared by targets, and about so many more for every source, however small its target.
 SLOTS = 1 << 17
 SLOTS_PER_SOURCE = 64
+#: Rows of a source that meet in one window, about.
+CELL_ROWS = 1_000_000
 #: A target is at most so many times the size of its source.
 MOST_REPEATS = 3
 WEIGHTS = (1, 2, 3)
@@ -29,7 +31,7 @@ WEIGHTS = (1, 2, 3)
 
 @dataclass(frozen=True)
 class Mix:
-    """sources: one row each with size and target; schedule: slot, source, rank, block; documents: their place and use."""
+    """sources: one row each with size and target; schedule: source, rank and words of every slot; documents: place and use."""
 
     sources: DataFrame
     schedule: DataFrame
@@ -73,41 +75,59 @@ def source_targets(sizes: DataFrame, most: int = MOST_REPEATS, weights: tuple[in
     return ranked.select("source", F.col("source_rank").cast("int"), "source_size", target.alias("target"))
 
 
-def golden_schedule(spark: SparkSession, sources: DataFrame, block_words: int, total: int) -> DataFrame:
-    """slot, source_rank, rank, block: the source of every slot and the block it takes.
+def golden_schedule(spark: SparkSession, sources: DataFrame, slots: int) -> DataFrame:
+    """slot, source_rank, rank, slots, wanted, begins, ends: the source of every slot and the words it takes of it.
 
-    The table of sources is joined to slots by a range of the cumulative targets, as one row with an array of edges, so
-    there is no pairing of slots and sources.
+    ``begins`` and ``ends`` count the words of the shuffled source, around again after its last one, up to ``wanted`` words.
+    The weight of a source is its target and a small part for being one. The table of sources is joined to slots by cells
+    of the unit interval, each of which lists the sources whose ranges meet it, so there is no pairing of slots and sources.
     """
-    edge = F.sum(F.round("target").cast("long")).over(
-        Window.orderBy("source_rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    blocks = F.ceil(F.col("source_size") / block_words).cast("long")
-    steps = sources.select("source_rank", blocks.alias("blocks"), edge.alias("edge"), F.round("target").alias("part"))
-    steps = steps.filter("part > 0 and blocks > 0").withColumn("last", F.max("edge").over(Window.partitionBy()))
-    # one row per cell of the unit interval: each cell lists the few sources whose ranges meet it
-    cells = 1 << 12
-    low = F.floor((F.col("edge") - F.col("part")) * cells / F.col("last"))
-    high = F.least(F.lit(cells - 1), F.floor(F.col("edge") * cells / F.col("last")))
-    steps = steps.withColumn("cell", F.explode(F.sequence(low.cast("long"), high.cast("long"))))
+    wanted = F.round("target").cast("long")
+    steps = sources.filter("source_size > 0").select("source_rank", wanted.alias("wanted")).filter("wanted > 0")
+    every = Window.partitionBy()
+    total = F.sum("wanted").over(every)
+    weight = F.least(F.lit(slots), total) * (F.col("wanted") / total) + SLOTS_PER_SOURCE
+    steps = steps.withColumn("weight", F.greatest(F.lit(1), F.round(weight)).cast("long"))
+    edge = F.sum("weight").over(Window.orderBy("source_rank").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    steps = settle(steps.withColumns({"edge": edge, "last": F.sum("weight").over(every)}), "mix-edges")
+    first = steps.select("last").first()
+    # as many cells as slots, so that a cell meets few sources however many there are
+    cells = first["last"] if first else 1
+    low = (F.col("edge") - F.col("weight")).alias("low")
+    # weights are whole numbers that add up to the cells: a cell belongs to one source
+    owned = steps.select("source_rank", "wanted", low, (F.col("edge") - 1).alias("high"))
+    owned = owned.withColumn("cell", F.explode(F.sequence("low", "high"))).select("source_rank", "wanted", "cell")
     point = F.pmod(F.col("slot") * F.lit(GOLDEN), F.lit(1.0))
-    slots = spark.range(-(-total // block_words)).withColumnRenamed("id", "slot").withColumn("point", point)
-    slots = slots.withColumn("cell", F.floor(F.col("point") * cells).cast("long"))
-    spot = F.floor(F.col("point") * F.col("last"))
-    named = slots.join(steps, "cell").filter((spot < F.col("edge")) & (spot >= F.col("edge") - F.col("part")))
-    rank = F.row_number().over(Window.partitionBy("source_rank").orderBy("slot")) - 1
-    return named.select("slot", "source_rank", rank.cast("long").alias("rank"), "blocks").selectExpr(
-        "slot", "source_rank", "rank", "rank % blocks AS block", "rank div blocks AS epoch"
+    named = spark.range(cells if first else 0).withColumnRenamed("id", "slot")
+    named = named.withColumn("cell", F.least(F.lit(cells - 1), F.floor(point * cells)).cast("long")).join(owned, "cell")
+    of_source = Window.partitionBy("source_rank")
+    named = named.withColumns({"rank": F.row_number().over(of_source.orderBy("slot")).cast("long") - 1, "slots": F.count(F.lit(1)).over(of_source)})
+    border = "CAST(({0}) * CAST(wanted AS DECIMAL(20, 0)) div slots AS BIGINT)"
+    return named.selectExpr(
+        "slot", "source_rank", "rank", "slots", "wanted", f"{border.format('rank')} AS begins", f"{border.format('rank + 1')} AS ends"
     )
 
 
-def shuffled_places(docs: DataFrame, key: Column) -> DataFrame:
+#: Rank of the slot that takes the word with this number, the inverse of the borders of ``golden_schedule``.
+RANK_OF_WORD = "CAST(((word + 1) * CAST(slots AS DECIMAL(20, 0)) - 1) div wanted AS BIGINT)"
+
+
+def row_key(key: str | Column, source: str | Column) -> Column:
+    """Tells apart rows of equal id and text in different sources."""
+    named = F.concat(F.lit("="), F.col(source) if isinstance(source, str) else source)
+    return F.concat_ws("|", key, F.coalesce(named, F.lit("")))
+
+
+def shuffled_places(docs: DataFrame, key: Column, rows: int) -> DataFrame:
     """``docs`` with begins: words of the source before the document, in the order of the hash ``key``.
 
-    A source may hold most rows, so its order is cut into 4096 cells by the leading digits of the hash; totals of the
-    cells are summed up first and only rows of one cell meet in a window.
+    A source may hold most rows, so its order is cut into cells by the leading digits of the hash, more of them the more
+    ``rows`` there are; totals of the cells are summed up first and only rows of one cell meet in a window.
     """
-    keyed = docs.withColumn("_key", key).withColumn("_cell", F.substring("_key", 1, 3))
+    digits = 3
+    while 16**digits * CELL_ROWS < rows:
+        digits += 1
+    keyed = docs.withColumn("_key", key).withColumn("_cell", F.substring("_key", 1, digits))
     totals = keyed.groupBy("source_rank", "_cell").agg(F.sum("size").alias("_sum"))
     ahead = Window.partitionBy("source_rank").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("source_rank", "_cell", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_ahead"))
@@ -133,19 +153,7 @@ def placed_rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, se
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = settle(source_targets(sizes), "mix-sources")
     named = rows.join(sources, rows["source"].eqNullSafe(sources["source"])).drop(sources["source"])
-    return sources, shuffled_places(named, F.col("key"))
-
-
-def whole_uses() -> Column:
-    """How often a mix of whole documents takes a document, whatever the size of its source.
-
-    The target is spread exactly over the words of the source: all are used as often as the target holds the source, and
-    what is left of the target is a prefix of the shuffled words, used once more. A document goes by its first word.
-    """
-    target, size = F.round("target").cast("long"), F.col("source_size")
-    whole = F.expr("CAST(round(target) AS BIGINT) div nullif(source_size, 0)")
-    more = (F.col("begins") < target - whole * size).cast("long")
-    return F.when(size > 0, whole + more).otherwise(0).cast("int")
+    return sources, shuffled_places(named, F.col("key"), rows.count())
 
 
 def mix_sources(
@@ -158,73 +166,51 @@ def mix_sources(
 ) -> Mix:
     """Plan the mix of all ``docs``.
 
-    documents: doc_id, key, size, source_rank, source_size, target, begins, taken (words the mix takes of the document)
-    and first_use (how often a mix of whole documents takes it, see ``whole_uses``). A document has at most MOST_REPEATS
-    times its size taken. A null text has size 0 and nothing taken; a null source is a source of its own, ordered last.
-    Repeated ids are separate rows; equal rows may swap places. An empty table gives an empty mix.
+    documents: doc_id, key, size, source_rank, source_size, target, begins and taken (words the mix takes of the document).
+    Each source has its rounded target taken; a document has at most MOST_REPEATS times its size taken. A null text has
+    size 0 and nothing taken; a null source is a source of its own, ordered last. Repeated ids are separate rows; equal
+    rows may swap places. An empty table gives an empty mix.
     """
-    spark = docs.sparkSession
     sources, placed = placed_rows(docs, id_col, text_col, source_col, seed)
-    total, count = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.count(F.lit(1))).first()
-    block_words = max(1, -(-total // (slots + SLOTS_PER_SOURCE * count)))
-    schedule = golden_schedule(spark, sources, block_words, total)
-
-    used = schedule.groupBy("source_rank", "block").agg(F.count(F.lit(1)).alias("uses"))
-    # the cap of a target is a cap of every block: a last slot beyond it would be the points' rounding
-    used = used.withColumn("uses", F.least("uses", F.lit(MOST_REPEATS)))
-    words = F.least(F.lit(block_words), F.col("source_size") - F.col("block") * block_words)
-    used = used.join(sources.select("source_rank", "source_size"), "source_rank").withColumn("words", words)
-    ahead = Window.partitionBy("source_rank").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    used = used.withColumn("used_before", F.coalesce(F.sum(F.col("uses") * F.col("words")).over(ahead), F.lit(0)))
-    # sources that have a slot use a prefix of their blocks; beyond its end nothing is taken
-    whole = used.groupBy("source_rank").agg(
-        F.sum(F.col("uses") * F.col("words")).alias("used_words"), F.max("block").alias("last_block")
+    schedule = settle(golden_schedule(docs.sparkSession, sources, slots), "mix-schedule")
+    # the slots of a source take its words one after the other, so what they take of a document follows from their sum
+    used = schedule.groupBy("source_rank").agg(F.sum(F.col("ends") - F.col("begins")).alias("used"))
+    # one row per source
+    placed = placed.join(used, "source_rank", "left").withColumn("used", F.coalesce("used", F.lit(0)))
+    taken = F.expr(
+        "CASE WHEN size > 0 THEN (used div source_size) * size + greatest(0, least(begins + size, used % source_size) - begins) ELSE 0 END"
     )
-    used = settle(used.select("source_rank", "block", "uses", "used_before"), "mix-blocks")
+    documents = placed.select("doc_id", "key", "size", "source", "source_rank", "source_size", "target", "begins", taken.cast("long").alias("taken"))
+    return Mix(sources, schedule, documents)
 
-    placed = placed.join(whole, "source_rank", "left")
-    placed = placed.withColumns(
-        {
-            "ends": F.col("begins") + F.col("size"),
-            "first_block": F.expr(f"begins div {block_words}"),
-            "last_word_block": F.expr(f"(begins + size) div {block_words}"),
-        }
-    )
 
-    def used_until(at: str, block: str, side: str) -> Column:
-        """Words the mix takes of the source's first ``at`` words."""
-        inside = F.col(f"{side}_before") + F.col(f"{side}_uses") * (F.col(at) - F.col(block) * block_words)
-        beyond = F.col(block) > F.coalesce(F.col("last_block"), F.lit(-1))
-        return F.when(beyond, F.coalesce(F.col("used_words"), F.lit(0))).otherwise(inside)
-
-    for side, block in (("begin", "first_block"), ("end", "last_word_block")):
-        side_blocks = used.select(
-            "source_rank", F.col("block").alias(block), F.col("uses").alias(f"{side}_uses"), F.col("used_before").alias(f"{side}_before")
-        )
-        # at most one row per slot of the schedule, whose number is bounded
-        placed = placed.join(F.broadcast(side_blocks), ["source_rank", block], "left")
-    taken = used_until("ends", "last_word_block", "end") - used_until("begins", "first_block", "begin")
-    documents = placed.select(
-        "doc_id", "key", "size", "source", "source_rank", "source_size", "target", "begins",
-        F.coalesce(taken, F.lit(0)).cast("long").alias("taken"),
-        whole_uses().alias("first_use"),
-    )
-    return Mix(sources, schedule, documents)
+def document_slots(mix: Mix) -> DataFrame:
+    """key, slot, word: every use of a whole document in the mix, by the slot that takes its first word.
+
+    ``word`` is the number of that word in the scheduled words of the source, which orders the documents of a slot. A
+    document is used whole as often as its first word is taken, so a source meets its target but for a part of one document.
+    """
+    per_source = mix.schedule.select("source_rank", "slots", "wanted").distinct()
+    uses = mix.documents.filter("size > 0").join(per_source, "source_rank")
+    rounds = F.sequence(F.lit(0), F.lit(MOST_REPEATS - 1))
+    uses = uses.withColumn("word", F.explode(F.transform(rounds, lambda k: F.col("begins") + k * F.col("source_size"))))
+    uses = uses.filter("word < wanted").withColumn("rank", F.expr(RANK_OF_WORD))
+    uses = uses.join(mix.schedule.select("source_rank", "rank", "slot"), ["source_rank", "rank"])
+    return uses.select(row_key("key", "source").alias("key"), "slot", "word")
 
 
 def mixed_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7, slots: int = SLOTS
 ) -> DataFrame:
-    """``docs`` as a mix of whole documents uses them, each source to its target but for a part of one document.
+    """``docs`` as a mix of whole documents uses them, in the order of the schedule.
 
-    Rows of equal id and text are numbered to tell them apart; all others are alone with their key.
+    Rows of equal id, text and source are interchangeable: one of them stands for all, as often as all are used.
     """
-    key, number, uses = spare(docs, "key"), spare(docs, "number"), spare(docs, "uses")
-    _, plan = placed_rows(docs.select(id_col, text_col, source_col), id_col, text_col, source_col, seed)
-    plan = plan.withColumn("first_use", whole_uses())
-    again = F.row_number().over(Window.partitionBy("key").orderBy("begins"))
-    plan = plan.select(F.col("key").alias(key), again.alias(number), F.col("first_use").alias(uses)).filter(F.col(uses) > 0)
-    keyed = docs.withColumn(key, shuffle_key(id_col, text_col, seed))
-    keyed = keyed.withColumn(number, F.row_number().over(Window.partitionBy(key).orderBy(id_col)))
-    taken = keyed.join(plan, [key, number])
-    return taken.withColumn(uses, F.explode(F.sequence(F.lit(1), F.col(uses)))).select(*(F.col(f"`{c}`") for c in docs.columns))
+    key, first, slot, word = (spare(docs, name) for name in ("key", "first", "slot", "word"))
+    plan = document_slots(mix_sources(docs.select(id_col, text_col, source_col), id_col, text_col, source_col, seed, slots))
+    plan = plan.select(F.col("key").alias(key), F.col("slot").alias(slot), F.col("word").alias(word))
+    keyed = docs.withColumn(key, row_key(shuffle_key(id_col, text_col, seed), source_col))
+    # a task sends one row of a key on, however often it has it
+    one = keyed.withColumn(first, F.row_number().over(Window.partitionBy(key).orderBy(id_col))).filter(F.col(first) == 1)
+    taken = one.join(plan, key)
+    return taken.repartitionByRange(slot, word).sortWithinPartitions(slot, word).select(*(F.col(f"`{c}`") for c in docs.columns))
