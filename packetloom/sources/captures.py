@@ -1,7 +1,13 @@
-"""Packet captures to packet rows, one task per capture file.
+"""Packet captures to packet rows, many captures a task or many tasks a capture.
 
-``binaryFile`` rows go through ``mapInPandas``. Record borders are found with one pass over the record headers; the
-header fields of all packets are then read as numpy arrays.
+Small files are ``binaryFile`` rows that go through ``mapInPandas``. Record borders are found with one pass over the record
+headers; the header fields of all packets are then read as numpy arrays.
+
+A large capture is cut into byte ranges. A range does not know where its first record begins, so it looks for the first
+place from which a chain of plausible record headers leads to its end, and tells where that chain leaves it. The
+ranges of a file agree when each begins where the chain of the one before has left; the first one begins behind the
+file header, so agreement makes all of them right. A range that was misled, by a payload that looks like records, is read
+again from where the one before has left. Ranges travel by their borders, and packets are decoded in a second pass.
 """
 
 from __future__ import annotations
@@ -13,9 +19,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as SparkWindow
 from pyspark.sql import functions as F
 
 from packetloom.schemas import CAPTURED_PACKET
+from packetloom.session import settle
 
 # Fixed values of the capture and packet formats.
 MAGIC = {
@@ -272,15 +280,181 @@ def capture_report(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, "path string, packets bigint, problem string")
 
 
+#: Bytes of a range; files of more than one range are cut.
+RANGE_BYTES = 128 * 1024 * 1024
+#: Longest packet that a chain of headers may have, and longest time in seconds between records of one file.
+MOST_CAPTURED, MOST_SECONDS = 1 << 18, 10 * 366 * 86_400
+RANGE = "path string, range int, low bigint, high bigint, size bigint"
+CHAIN = f"{RANGE}, head binary, entry bigint, left bigint, packets bigint, problem string"
+
+
+class Window:
+    """Bytes of a file from ``low`` on, read as far as they are needed."""
+
+    def __init__(self, path: str, size: int, chunk: int = 1 << 20):
+        from pyarrow import fs
+
+        files, name = fs.FileSystem.from_uri(path)
+        self.file, self.size, self.chunk = files.open_input_file(name), size, chunk
+        self.start, self.held = 0, b""
+
+    def read(self, at: int, count: int) -> bytes:
+        """At most ``count`` bytes from ``at`` on; fewer at the end of the file."""
+        if at < self.start or at + count > self.start + len(self.held):
+            self.file.seek(at)
+            self.start, self.held = at, self.file.read(min(max(count, self.chunk), self.size - at)) if at < self.size else b""
+        return self.held[at - self.start : at - self.start + count]
+
+
+def _plausible(header: tuple[int, int, int, int], most_fraction: int, near: int | None) -> bool:
+    seconds, fraction, captured, whole = header
+    if fraction >= most_fraction or captured > MOST_CAPTURED or whole < captured:
+        return False
+    return near is None or abs(seconds - near) <= MOST_SECONDS
+
+
+def follow(window: Window, head: bytes, at: int, high: int) -> tuple[int, int, str | None]:
+    """Where the chain of records from ``at`` leaves the range, how many begin in it, and what is wrong with the last one."""
+    header = struct.Struct(MAGIC[head[:4]][0] + "III")
+    packets = 0
+    while at < high:
+        found = window.read(at, RECORD_HEADER)
+        if len(found) < RECORD_HEADER:
+            return window.size, packets, CUT_OFF
+        captured = header.unpack_from(found)[2]
+        if at + RECORD_HEADER + captured > window.size:
+            return window.size, packets, CUT_OFF
+        at += RECORD_HEADER + captured
+        packets += 1
+    return at, packets, None
+
+
+def resynchronise(window: Window, head: bytes, low: int, high: int) -> int | None:
+    """The first place in the range from which plausible headers lead to its end; None where no record begins in it."""
+    endian, unit = MAGIC[head[:4]]
+    header, most_fraction = struct.Struct(endian + "IIII"), round(1 / unit)
+    first = window.read(GLOBAL_HEADER, RECORD_HEADER)
+    near = header.unpack(first)[0] if len(first) == RECORD_HEADER else None
+    for begin in range(low, high):
+        at = begin
+        while at < high:
+            found = window.read(at, RECORD_HEADER)
+            if len(found) < RECORD_HEADER or not _plausible(header.unpack(found), most_fraction, near):
+                break
+            at += RECORD_HEADER + header.unpack(found)[2]
+        if at >= high and at <= window.size:
+            return begin
+    return None
+
+
+def _chain(rows: pd.DataFrame, known: bool) -> pd.DataFrame:
+    """Entry, exit and packets of every range; ``known`` says that the entry is given."""
+    out = []
+    for row in rows.itertuples(index=False):
+        window = Window(row.path, row.size)
+        head = window.read(0, GLOBAL_HEADER)
+        base = (row.path, row.range, row.low, row.high, row.size, head)
+        if len(head) < GLOBAL_HEADER or head[:4] not in MAGIC:
+            out.append((*base, None, None, 0, UNKNOWN_FORMAT))
+            continue
+        if struct.unpack_from(MAGIC[head[:4]][0] + "I", head, 20)[0] not in LINK_OFFSET:
+            out.append((*base, None, None, 0, UNKNOWN_LINK))
+            continue
+        if known:
+            entry = int(row.entry)
+        elif row.range == 0:
+            entry = GLOBAL_HEADER
+        else:
+            entry = resynchronise(window, head, row.low, row.high)
+        if entry is None or entry >= row.high:
+            out.append((*base, None, None, 0, None))
+        else:
+            out.append((*base, entry, *follow(window, head, entry, row.high)))
+    names = ["path", "range", "low", "high", "size", "head", "entry", "left", "packets", "problem"]
+    table = pd.DataFrame(out, columns=names)
+    return table.astype({"entry": "Int64", "left": "Int64"})
+
+
+def _runner(known: bool):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield _chain(batch, known)
+
+    return run
+
+
+def capture_ranges(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Ranges of the captures ``(path, length)`` with one file header, each with its first record and what follows.
+
+    Ranges that disagree with the one before are read again until none is left; without misleading payloads there are none.
+    """
+    ranges = files.withColumn("range", F.explode(F.sequence(F.lit(0), F.floor((F.col("length") - 1) / range_bytes).cast("int"))))
+    low = F.col("range").cast("bigint") * range_bytes
+    ranges = ranges.select("path", "range", low.alias("low"), F.least(low + range_bytes, "length").alias("high"), F.col("length").alias("size"))
+    spread = ranges.repartition("path", "range")
+    found = settle(spread.mapInPandas(_runner(False), CHAIN), "ranges")
+    while True:
+        # the chain of all ranges before leaves at the last known exit; one row per range
+        before = SparkWindow.partitionBy("path").orderBy("range").rowsBetween(SparkWindow.unboundedPreceding, -1)
+        expected = F.coalesce(F.max("left").over(before), F.lit(GLOBAL_HEADER).cast("bigint"))
+        judged = found.withColumn("expected", expected)
+        fits = F.when(F.col("expected") >= F.col("high"), F.col("entry").isNull()).otherwise(F.col("entry").eqNullSafe(F.col("expected")))
+        wrong = judged.where(F.col("problem").isNull() | (F.col("problem") == CUT_OFF)).where(~fits)
+        # the first wrong range of a file gets its right entry, later ones very likely do
+        wrong = settle(wrong.drop("entry").withColumnRenamed("expected", "entry"), "misled")
+        if wrong.isEmpty():
+            return found
+        mended = wrong.select("path", "range", "low", "high", "size", "entry").repartition("path", "range").mapInPandas(_runner(True), CHAIN)
+        found = settle(found.join(wrong.select("path", "range"), ["path", "range"], "left_anti").unionByName(mended), "ranges")
+
+
+def decode_ranges(ranges: DataFrame, label: int = 0) -> DataFrame:
+    """Packet rows of the ranges of ``capture_ranges``; packets are numbered over the whole file."""
+    before = SparkWindow.partitionBy("path").orderBy("range").rowsBetween(SparkWindow.unboundedPreceding, -1)
+    numbered = ranges.withColumn("first_number", F.coalesce(F.sum("packets").over(before), F.lit(0)))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                window = Window(row.path, row.size)
+                at, end, number = int(row.entry), int(row.left), int(row.first_number)
+                while at < end:
+                    # whole records of at most GROUP_BYTES behind a file header are a capture of their own
+                    piece = bytes(row.head) + window.read(at, min(GROUP_BYTES, end - at))
+                    found = index(piece)
+                    if not len(found.at):
+                        break
+                    for part in decode([row.path], [piece], label):
+                        yield part.assign(packet_no=part["packet_no"] + number)
+                    number += len(found.at)
+                    at += int(found.at[-1][0] + found.at[-1][1]) - GLOBAL_HEADER
+
+    wanted = numbered.where("entry IS NOT NULL").select("path", "size", "head", "entry", "left", "first_number")
+    return wanted.repartition("path", "entry").mapInPandas(run, CAPTURED_PACKET)
+
+
 def capture_files(spark: SparkSession, folder: str, pattern: str = "*.pcap*") -> DataFrame:
-    """Files of both capture formats below a folder as rows ``(path, content)``."""
+    """Files of both capture formats below a folder as rows ``(path, content, length)``; a content that is not used is not read."""
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
 
 
-def read_captures(spark: SparkSession, folder: str, label: int = 0, pattern: str = "*.pcap*") -> DataFrame:
-    """Decode all captures below a folder in parallel, largest files first; ``capture_report`` tells what cannot be read.
+def read_captures(
+    spark: SparkSession, folder: str, label: int = 0, pattern: str = "*.pcap*", range_bytes: int = RANGE_BYTES
+) -> DataFrame:
+    """Decode all captures below a folder; ``capture_report`` tells what cannot be read.
 
-    A file is one row and one task, which Spark bounds at 2 GB; longer recordings are rotated by the capture tool.
+    Captures with one file header of more than ``range_bytes`` are cut into ranges, of any size; their folder must be one
+    that ``pyarrow.fs`` reaches. Captures in blocks, whose sections and interfaces may change on the way, and small ones
+    are one task each and at most 2 GB.
     """
-    decoded = decode_captures(capture_files(spark, folder, pattern), label)
-    return decoded.withColumn("ts", F.timestamp_micros(F.round(F.col("timestamp") * 1e6).cast("bigint")))
+    files = capture_files(spark, folder, pattern)
+    large = F.col("length") > range_bytes
+    whole = decode_captures(files.where(~large), label)
+    paths = files.where(large).select("path", "length")
+    if not paths.isEmpty():
+        ranges = capture_ranges(paths, range_bytes)
+        in_blocks = ranges.where(F.col("problem") == UNKNOWN_FORMAT).select("path").distinct()
+        blocks = files.where(large).join(F.broadcast(in_blocks), "path", "left_semi")
+        whole = whole.unionByName(decode_ranges(ranges, label)).unionByName(decode_captures(blocks, label))
+    return whole.withColumn("ts", F.timestamp_micros(F.round(F.col("timestamp") * 1e6).cast("bigint")))

@@ -165,3 +165,46 @@ def test_no_cut_of_a_capture_ends_the_scan():
             captures.index(whole[:end])
             for at in range(0, end, 7):
                 captures.index(whole[:at] + b"\xff" + whole[at + 1 : end])
+
+
+def long_capture(n, endian="<", magic=b"\xd4\xc3\xb2\xa1", decoy=False):
+    """Packets of several sizes; a decoy carries something that looks like records of its own."""
+    out = []
+    for i in range(n):
+        payload = bytes([i % 251]) * (i * 37 % 150)
+        if decoy and i % 3 == 0:
+            payload = b"".join(struct.pack(endian + "IIII", 1_700_000_000, 5, 20, 20) + bytes(20) for _ in range(6))
+        out.append((1_700_000_000 + i, i, ethernet(ipv4(17, udp(i, 53) + payload))))
+    return capture(out, magic, endian)
+
+
+def test_ranges_of_any_size_give_all_packets(spark, tmp_path):
+    cases = {"a.pcap": long_capture(60), "b.pcap": long_capture(60, ">", b"\xa1\xb2\xc3\xd4"), "c.pcap": long_capture(60, decoy=True)}
+    for name, content in cases.items():
+        (tmp_path / name).write_bytes(content)
+    whole = captures.read_captures(spark, str(tmp_path)).toPandas().sort_values(["path", "packet_no"]).reset_index(drop=True)
+    assert len(whole) == 180
+    for size in (150, 700, 4096):
+        cut = captures.read_captures(spark, str(tmp_path), range_bytes=size).toPandas().sort_values(["path", "packet_no"])
+        assert cut.reset_index(drop=True).equals(whole), size
+
+
+def test_a_cut_at_every_offset_is_resynchronised(tmp_path):
+    content = long_capture(12)
+    path = tmp_path / "a.pcap"
+    path.write_bytes(content)
+    found = captures.index(content)
+    starts = (found.at[:, 0] - captures.RECORD_HEADER).tolist()
+    window = captures.Window(f"file://{path}", len(content))
+    for low in range(captures.GLOBAL_HEADER, len(content)):
+        wanted = next((s for s in starts if s >= low), None)
+        assert captures.resynchronise(window, content[:24], low, len(content)) == wanted, low
+
+
+def test_large_captures_that_are_damaged_or_in_blocks(spark, tmp_path):
+    frame = ethernet(ipv4(6, tcp(1, 2, 0x02)))
+    (tmp_path / "cut.pcap").write_bytes(long_capture(40)[:-9])
+    (tmp_path / "blocks.pcapng").write_bytes(section() + interface() + b"".join(packet(i, frame) for i in range(30)))
+    (tmp_path / "junk.pcap").write_bytes(b"no capture" * 100)
+    got = captures.read_captures(spark, str(tmp_path), range_bytes=200).groupBy("path").count().collect()
+    assert {r["path"].rsplit("/", 1)[1]: r["count"] for r in got} == {"cut.pcap": 39, "blocks.pcapng": 30}
