@@ -51,14 +51,14 @@ def _state_store(spark: SparkSession):
         spark.conf.set(conf, before) if before else spark.conf.unset(conf)
 
 
-def _tracked(stream: DataFrame, keys: list[str]) -> DataFrame:
+def _tracked(stream: DataFrame, keys: list[str], with_iat: bool = False) -> DataFrame:
     """Ended flows of a tracker over the available data, and those still open in its state."""
     spark = stream.sparkSession
     path, checkpoint = shared_path(spark, "ended"), shared_path(spark, "tracker")
     with _state_store(spark):
         jobs.append_to(stream, path, checkpoint, "parquet").awaitTermination()
         ended = spark.read.schema(stream.schema).parquet(path)
-        return settle(ended.unionByName(tracker.open_flows(spark, checkpoint, keys)), "flows")
+        return settle(ended.unionByName(tracker.open_flows(spark, checkpoint, keys, with_iat)), "flows")
 
 
 @query(traffic.query.oracle["flow_rollup"])
@@ -183,3 +183,14 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(F.col("w.start").alias("hour"), "packets", "late_packets")
     )
     return _current(hours, ["hour"]).select(F.unix_micros("hour").alias("hour_us"), "packets", "late_packets")
+
+
+@query(traffic.query.oracle["flow_iat"])
+def stream_flow_iat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inter-arrival times of windowed flows: a flow of one window ends with it, those of the last windows are still open."""
+    packets = packet_stream(spark, sf_dir).withColumn("window_start", F.window("ts", v.FLOW_WINDOW)["start"])
+    keys = ["window_start", *v.FLOW_KEYS]
+    stream = tracker.track_flows(packets, keys, None, 86_400.0, DELAY, 3_600.0, with_iat=True)
+    return _tracked(stream, keys, with_iat=True).select(
+        *v.FLOW_KEYS, F.unix_micros("window_start").alias("window_us"), "packets", "iat_mean", F.round("iat_std", 3).alias("iat_std")
+    )

@@ -52,7 +52,7 @@ def flow_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {v.PACKETS_SQL},
 gaps AS (SELECT *, (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY src_ip, dst_ip, protocol, dst_port, time_bucket(INTERVAL 1 day, ts) ORDER BY ts)) / 1e6 AS gap FROM packets)
 SELECT src_ip, dst_ip, protocol, dst_port, epoch_us(time_bucket(INTERVAL 1 day, ts)) AS window_us, count(*) AS packets,
-  CASE WHEN count(*) > 1 THEN (epoch_us(max(ts)) / 1e6 - epoch_us(min(ts)) / 1e6) / (count(*) - 1) ELSE 0 END AS iat_mean, round(coalesce(stddev_samp(gap), 0), 3) AS iat_std
+  CASE WHEN count(*) > 1 THEN (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 / (count(*) - 1) ELSE 0 END AS iat_mean, round(coalesce(stddev_samp(gap), 0), 3) AS iat_std
 FROM gaps GROUP BY ALL""")
 def flow_iat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rolled = flows.flow_rollup(v.packets(spark, sf_dir), v.FLOW_WINDOW, v.FLOW_KEYS, with_iat=True)

@@ -151,14 +151,14 @@ def _rollup_with_iat(
     windowed = packets.withColumns({"window": _window_key(window, time_col)[0]} if window else {})
     sliced, _ = instant_rows(windowed, group, time_col, slice_rows)
     within = Window.partitionBy(*group, SLICE).orderBy(time_col)
-    gap = epoch_seconds(F.col(time_col)) - epoch_seconds(F.lag(time_col).over(within))
+    gap = (F.unix_micros(time_col) - F.unix_micros(F.lag(time_col).over(within))) / 1e6
     per_slice = (
         sliced.withColumn("gap", gap)
         .groupBy(*group, SLICE)
         .agg(*merged_measures(), F.sum(F.col("gap") * F.col("gap")).alias("gap_squares"))
     )
     across = Window.partitionBy(*group).orderBy(SLICE)
-    border = epoch_seconds(F.col("first_ts")) - epoch_seconds(F.lag("last_ts").over(across))
+    border = (F.unix_micros("first_ts") - F.unix_micros(F.lag("last_ts").over(across))) / 1e6
     flows = (
         per_slice.withColumn("border", border)
         .groupBy(*group)
@@ -170,12 +170,16 @@ def _rollup_with_iat(
             ).alias("gap_squares"),
         )
     )
-    gaps = (F.col("packets") - 1).cast("double")
-    total = epoch_seconds(F.col("last_ts")) - epoch_seconds(F.col("first_ts"))
+    total = (F.unix_micros("last_ts") - F.unix_micros("first_ts")) / 1e6
+    return flows.select(*_window_start(window), *flow_columns(keys, *gap_moments(F.col("packets"), total, F.col("gap_squares"))))
+
+
+def gap_moments(packets: Column, total: Column, squares: Column) -> tuple[Column, Column]:
+    """Mean and sample standard deviation of the gaps between packets, from their sum in seconds and that of their squares."""
+    gaps = (packets - 1).cast("double")
     mean = F.when(gaps > 0, total / gaps).otherwise(F.lit(0.0))
-    spread = F.greatest(F.lit(0.0), F.col("gap_squares") - total * total / gaps)
-    std = F.when(gaps > 1, F.sqrt(spread / (gaps - 1))).otherwise(F.lit(0.0))
-    return flows.select(*_window_start(window), *flow_columns(keys, mean, std))
+    spread = F.greatest(F.lit(0.0), squares - total * total / gaps)
+    return mean, F.when(gaps > 1, F.sqrt(spread / (gaps - 1))).otherwise(F.lit(0.0))
 
 
 def flow_sessions(

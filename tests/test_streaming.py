@@ -159,9 +159,25 @@ def test_tracked_sessions_equal_batch_sessions(spark, arriving, rocksdb):
 def test_a_hot_key_reaches_its_state_as_few_rows():
     import pandas as pd
 
-    packets = pd.DataFrame({"k": ["a"] * 100_000, "first": [START + i / 1000 for i in range(100_000)], "bytes": 1})
-    sent = pd.concat(tracker._partial_sums(["k"], 10.0)(iter([packets[:50_000], packets[50_000:]])))
+    packets = pd.DataFrame({"k": ["a"] * 100_000, "first": [int(START * 1e6) + i * 1000 for i in range(100_000)], "bytes": 1})
+    sent = pd.concat(tracker._partial_sums(["k"], 10_000_000)(iter([packets[:50_000], packets[50_000:]])))
     assert len(sent) <= 12 and sent["packets"].sum() == 100_000
+    whole = pd.concat(tracker._partial_sums(["k"], 10_000_000, True)(iter([packets[::2], packets[1::2]])))
+    assert len(whole) <= 11 and abs(whole["gaps"].sum() - (100_000 - len(whole)) * 1e-6) < 1e-9
+
+
+def test_inter_arrival_times_of_a_stream_equal_batch(spark, tmp_path, rocksdb):
+    times = [0, 0.5, 3, 3, 3.25, 9, 14.5, 30, 31, 47, 47.75]
+    write_files(tmp_path, [[packet(s) for s in times[:4]], [packet(s) for s in times[4:8][::-1]], [packet(s) for s in times[8:]] + [packet(5, "b")]])
+    path, checkpoint = shared_path(spark, "ended"), shared_path(spark, "tracker")
+    ended = tracker.track_flows(stream(spark, str(tmp_path)), KEYS, 1000, None, "100 seconds", 2.0, with_iat=True)
+    jobs.append_to(ended, path, checkpoint, "parquet").awaitTermination()
+    rows = spark.read.schema(ended.schema).parquet(path).unionByName(tracker.open_flows(spark, checkpoint, KEYS, True))
+    got = {r["src_ip"]: (r["packets"], r["iat_mean"], r["iat_std"]) for r in rows.collect()}
+    batch = flows.flow_rollup(with_packet_time(spark.read.schema(PACKET).json(str(tmp_path))), None, KEYS, with_iat=True)
+    for r in batch.collect():
+        assert got[r["src_ip"]] == pytest.approx((r["orig_pkts"], r["iat_mean"], r["iat_std"]))
+    assert got["b"] == (1, 0.0, 0.0) and len(got) == 2
 
 
 def test_runs_stay_few_and_hold_the_newest_rows(spark):
