@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetloom.catalog import views as v
 from packetloom.catalog.common import Catalog
 from packetloom.operators import drift, evaluation, explain, features
+from packetloom.operators.sketches import WIDTH, hourly_sketches, segment_psi
 from packetloom.schemas import MODEL_FEATURES
+from packetloom.session import shared_path
 
 query = Catalog()
 
@@ -472,3 +476,31 @@ def explanation_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested, _ = _attributions(spark, sf_dir)
     documents = explain.explanation_documents(nested, "flow_id")
     return _rounded(explanation_rows(documents, "flow_id", "top_features"), "value", "shap_value", digits=7)
+
+
+_SKETCHED = ("length", "ttl", "src_port")
+_DRIFT_CUT = "2024-01-16 00:00:00"
+
+
+@query(f"""WITH {v.PACKETS_SQL},
+cells AS (SELECT protocol AS segment, ts >= TIMESTAMP '{_DRIFT_CUT}' AS late, unnest(['length', 'ttl', 'src_port']) AS feature,
+  unnest([length::DOUBLE, ttl::DOUBLE, src_port::DOUBLE]) AS x FROM packets),
+counts AS (SELECT segment, feature, CASE WHEN abs(x) < 1e-9 THEN 0 ELSE sign(x) * (floor(ln(abs(x)) / {math.log1p(WIDTH)!r}) + 100000) END AS bucket,
+  count(*) FILTER (WHERE NOT late) AS r, count(*) FILTER (WHERE late) AS c FROM cells GROUP BY 1, 2, 3),
+ranked AS (SELECT *, sum(r) OVER w AS n_reference, sum(c) OVER w AS n_current,
+    coalesce(sum(r) OVER (PARTITION BY segment, feature ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS passed
+  FROM counts WINDOW w AS (PARTITION BY segment, feature)),
+binned AS (SELECT segment, feature, n_reference, n_current,
+    len(list_filter(range(1, 10), lambda i: passed >= ceil(round(i / 10.0::DOUBLE * n_reference, 6)))) AS bin, sum(r) AS r, sum(c) AS c
+  FROM ranked WHERE n_reference > 0 AND n_current > 0 GROUP BY ALL),
+shares AS (SELECT *, CASE WHEN r > 0 THEN r / n_reference::DOUBLE ELSE 0.0001 END AS e, CASE WHEN c > 0 THEN c / n_current::DOUBLE ELSE 0.0001 END AS a FROM binned)
+SELECT segment, feature, n_reference::BIGINT AS n_reference, n_current::BIGINT AS n_current, round(sum((e - a) * ln(e / a)), 7) AS psi
+FROM shares GROUP BY ALL""")
+def psi_by_protocol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drift of every protocol from stored hourly sketches."""
+    path = shared_path(spark, "sketches")
+    hourly_sketches(v.packets(spark, sf_dir), _SKETCHED, "protocol").write.parquet(path)
+    stored = spark.read.parquet(path)
+    late = F.col("hour") >= F.lit(_DRIFT_CUT).cast("timestamp")
+    found = segment_psi(stored.where(~late), stored.where(late))
+    return found.select("segment", "feature", "n_reference", "n_current", F.round("psi", 7).alias("psi"))
