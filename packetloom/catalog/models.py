@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from packetloom.catalog import views as v
 from packetloom.catalog.common import Catalog
 from packetloom.catalog.sampling import _u as hash_sql
 from packetloom.functions.hashing import hash_uniform
-from packetloom.operators import explain, isolation, learners
+from packetloom.operators import explain, isolation, learners, tree_shapley
 from packetloom.operators.evaluation import flag_below
 from packetloom.operators.sampling import stratified_split
 from packetloom.plans import anomaly, supervised
@@ -224,3 +225,27 @@ def sampled_shapley(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the difference of the row's own probability and a mean of others'
     bounded = (F.col("score") - F.col("total")).between(-1e-9, 1 + 1e-9)
     return added.select("flow_id", "features", bounded.alias("bounded"))
+
+
+@query(f"WITH {_LABELLED_SQL} SELECT flow_id, 6::BIGINT AS features, true AS adds_up FROM test")
+def tree_shapley_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact attributions of the boosted trees for every test flow: they add up to its margin less that of an unknown flow."""
+    train, test = split_flows(spark, sf_dir)
+    model = learners.train("wide", train, FEATURES, SMALL["wide"])
+    base = tree_shapley.trees_of(spark, model.model).base
+    found = explain.unnest(tree_shapley.tree_attribution(test, "flow_id", model), "flow_id")
+    margin = F.get(vector_to_array("rawPrediction"), F.lit(1))
+    scores = model.transform(test).select("flow_id", margin.alias("margin"))
+    added = found.groupBy("flow_id").agg(F.count(F.lit(1)).alias("features"), F.sum("attribution").alias("total")).join(scores, "flow_id")
+    return added.select("flow_id", "features", (F.abs(F.col("total") + base - F.col("margin")) < 1e-9).alias("adds_up"))
+
+
+@query("SELECT true AS inside, true AS beats_one_class, true AS cheaper")
+def ml_halving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The winner of a halving search lies inside the ranges, beats naming every flow an attack, and took fewer passes than draws."""
+    train, _ = split_flows(spark, sf_dir)
+    ranges = {"maxIter": (3, 6), "maxDepth": (2, 4), "stepSize": (0.05, 0.3)}
+    found = learners.halving_search(train, FEATURES, ranges, trials=9, key=["flow_id"], fewest_rows=200)
+    share = train.agg(F.avg("y")).first()[0]
+    inside = set(found.params) == set(ranges) and all(ranges[n][0] <= x <= ranges[n][1] for n, x in found.params.items())
+    return spark.createDataFrame([(inside, found.f1 > 2 * share / (1 + share) + 0.05, found.row_fits < 9)], "inside boolean, beats_one_class boolean, cheaper boolean")
