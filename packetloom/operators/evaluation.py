@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from packetloom.functions.columns import present, ratio_or_zero
 from packetloom.operators.ordering import EXACT_VALUES, TOTAL_ROWS, exact_quantiles, few, quantile_scan, running_totals
 from packetloom.schemas import record
+from packetloom.session import settle
 
 # Sweep grid and gate limits.
 SWEEP_FROM, SWEEP_TO, SWEEP_STEPS = 0.1, 50.0, 200
@@ -183,9 +184,10 @@ def threshold_sweep(df: DataFrame, score: str, truth: str = "y", exact_values: i
 
     The thresholds are quantiles, found without moving rows. One aggregate then counts the rows between neighbouring
     thresholds on the map side, so only counts per bin are shuffled; rows below a threshold are sums of bins. Rows
-    without a score are left out.
+    without a score are left out. What the score is made from is computed once: the passes read two stored columns.
     """
-    known = df.where(present(F.col(score).cast("double")))
+    known = df.select(F.col(score).cast("double").alias(score), truth)
+    known = settle(known.where(present(F.col(score))), "sweep")
     found, size = quantile_scan(
         known,
         {score: [p / 100.0 for p in sweep_percentiles()]},
