@@ -119,6 +119,10 @@ def page_record(row: dict, date: str) -> tuple[str, bytes]:
     return urn, encode_record(fields, HTTP_HEAD if revisit else HTTP_HEAD + payload)
 
 
+#: Rows of one payload from which on it is broadcast.
+HOT_PAYLOAD = 100_000
+
+
 def seek_table(sizes: list[tuple[int, int]]) -> bytes:
     """Skippable frame with compressed and decompressed size of every frame."""
     body = b"".join(struct.pack("<II", *s) for s in sizes) + struct.pack("<IBI", len(sizes), 0, SEEKABLE_MAGIC)
@@ -175,18 +179,27 @@ class Bundle:
         files.move(part, path)
 
 
-def with_references(pages: DataFrame) -> DataFrame:
+def with_references(pages: DataFrame, hot: int = HOT_PAYLOAD) -> DataFrame:
     """row, page_id, url, html of every page, with the row and page id of the response of its payload.
 
-    The number of a row settles ties of page ids and names its record. Rows meet per payload only as partial maxima; the
-    join back may be split by adaptive execution where one payload has very many rows.
+    The number of a row settles ties of page ids and names its record. Payloads that only one row has need no reference.
+    Rows of the others meet theirs without their pages: payloads of ``hot`` rows and more, of which there are at most as many
+    as that goes into the table, are broadcast, so no task gets more rows of one payload. Pages move once, by row.
     """
     numbered = pages.withColumn("row", F.monotonically_increasing_id())
-    payload = F.sha1(text_of("html").cast("binary"))
-    first = numbered.select(payload.alias("payload"), "page_id", "row")
-    first = first.groupBy("payload").agg(F.max(F.struct("page_id", "row")).alias("first"))
-    joined = numbered.withColumn("payload", payload).join(first, "payload")
-    return joined.select("row", "page_id", "url", "html", F.col("first.row").alias("first_row"), F.col("first.page_id").alias("first_page"))
+    narrow = settle(numbered.select("row", "page_id", F.unhex(F.sha1(text_of("html").cast("binary"))).alias("payload")), "warc-payloads")
+    first = narrow.groupBy("payload").agg(F.max(F.struct("page_id", "row")).alias("first"), F.count(F.lit(1)).alias("n"))
+    first = settle(first.filter("n > 1").select("payload", "n", F.col("first.row").alias("first_row"), F.col("first.page_id").alias("first_page")), "warc-copies")
+    frequent, rare = first.filter(F.col("n") >= hot).drop("n"), first.filter(F.col("n") < hot).drop("n")
+    marked = narrow.join(F.broadcast(frequent), "payload", "left")
+    known = marked.filter("first_row IS NOT NULL")
+    found = known.unionByName(marked.filter("first_row IS NULL").drop("first_row", "first_page").join(rare, "payload"))
+    joined = numbered.join(found.select("row", "first_row", "first_page"), "row", "left")
+    alone = F.col("first_row").isNull()
+    return joined.select(
+        "row", "page_id", "url", "html", F.coalesce("first_row", "row").alias("first_row"),
+        F.when(alone, F.col("page_id")).otherwise(F.col("first_page")).alias("first_page"),
+    )
 
 
 def write_bundles(

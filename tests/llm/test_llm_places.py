@@ -199,6 +199,19 @@ def test_archive_round_trip(spark):
     assert urls[3] == "http://h/3?a=%20b" and urls[100] is None and urls[102] == "http://x/%0D%0AEvil: 1"
 
 
+def test_references_of_hot_payloads(spark):
+    rows = [(i % 70, f"u{i}", ["same page", "other", None, ""][min(3, i % 9)]) for i in range(300)] + [(900 + i, "u", f"own {i}") for i in range(40)]
+    path = shared_path(spark, "pages")
+    pages(spark, rows + [(None, "u", "same page")]).select("page_id", "url", "html").write.parquet(path)
+    stored = spark.read.parquet(path)
+    usual, hot = (sorted(map(repr, warc.with_references(stored, n).collect())) for n in (10**6, 2))
+    assert usual == hot and len(usual) == 341
+    largest = {}
+    for r in warc.with_references(stored).collect():
+        largest.setdefault(r["html"] or "", set()).add((r["first_page"], r["first_row"]))
+    assert all(len(v) == 1 for v in largest.values()) and {p for p, _ in largest["same page"]} == {69}
+
+
 def test_lookup_reads_single_records(spark):
     index = warc.write_bundles(pages(spark, page_rows()), shared_path(spark, "warc"), frame_bytes=1000)
     wanted = index.orderBy("record_id").limit(5)
