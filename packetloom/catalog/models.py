@@ -13,7 +13,7 @@ from packetloom.catalog import views as v
 from packetloom.catalog.common import Catalog
 from packetloom.catalog.sampling import _u as hash_sql
 from packetloom.functions.hashing import hash_uniform
-from packetloom.operators import explain, isolation, learners, tree_shapley
+from packetloom.operators import explain, isolation, learners, softmax, tree_shapley
 from packetloom.operators.evaluation import binary_metrics, flag_below, macro_metrics
 from packetloom.operators.sampling import stratified_split
 from packetloom.plans import anomaly, supervised
@@ -167,12 +167,8 @@ def ml_packet_detector(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""WITH named AS (SELECT vec_id, list_position(embedding[1:10], list_max(embedding[1:10])) AS label FROM embeddings WHERE label IS NOT NULL),
-picked AS (SELECT vec_id, row_number() OVER (PARTITION BY label ORDER BY {hash_sql("vec_id::VARCHAR", "split")}, vec_id) AS k,
-  count(*) OVER (PARTITION BY label) AS n FROM named)
-SELECT vec_id, 10::INT AS classes, true AS sums_to_one, true AS class_valid, true AS beats_one_class FROM picked WHERE k <= floor(n * 0.2 + 0.5)""")
-def ml_multiclass(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All 64 values, ten classes, which of the first ten is largest: boosted trees per class and a forest vote."""
+def _vector_classes(spark: SparkSession, sf_dir: str) -> tuple[list[str], DataFrame, DataFrame]:
+    """Names of all 64 values, and vectors to train and to test: the class is which of the first ten values is largest."""
     names = [f"x{i}" for i in range(64)]
     rows = v.table(spark, sf_dir, "embeddings").where(F.col("label").isNotNull())
     first = F.slice("embedding", 1, 10)
@@ -180,6 +176,19 @@ def ml_multiclass(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.select("vec_id", largest, *[F.get("embedding", F.lit(i)).alias(n) for i, n in enumerate(names)])
     rows = settle(stratified_split(rows, "y", ["vec_id"]), "vectors")
     train, test = rows.where(~F.col("is_test")), rows.where("is_test")
+    return names, train, test
+
+
+_CLASSES_SQL = f"""WITH named AS (SELECT vec_id, list_position(embedding[1:10], list_max(embedding[1:10])) AS label FROM embeddings WHERE label IS NOT NULL),
+picked AS (SELECT vec_id, row_number() OVER (PARTITION BY label ORDER BY {hash_sql("vec_id::VARCHAR", "split")}, vec_id) AS k,
+  count(*) OVER (PARTITION BY label) AS n FROM named)"""
+
+
+@query(f"""{_CLASSES_SQL}
+SELECT vec_id, 10::INT AS classes, true AS sums_to_one, true AS class_valid, true AS beats_one_class FROM picked WHERE k <= floor(n * 0.2 + 0.5)""")
+def ml_multiclass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 64 values, ten classes, which of the first ten is largest: boosted trees per class and a forest vote."""
+    names, train, test = _vector_classes(spark, sf_dir)
     small = {"wide": {"maxIter": 2, "maxDepth": 2}, "forest": {"numTrees": 10, "maxDepth": 4}}
     models = [learners.train(kind, train, names, small[kind], "multiclass") for kind in small]
     voted = settle(learners.ensemble_vote(models, test.select("vec_id", *names), "multiclass").select("vec_id", "probability_mean", "prediction"), "voted")
@@ -279,3 +288,19 @@ def ml_halving(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = learners.halving_search(train, FEATURES, ranges, trials=9, key=["flow_id"], fewest_rows=200)
     inside = set(found.params) == set(ranges) and all(ranges[n][0] <= x <= ranges[n][1] for n, x in found.params.items())
     return spark.createDataFrame([(inside, found.f1 > _constant_f1(train) + 0.05, found.row_fits < 9)], "inside boolean, beats_one_class boolean, cheaper boolean")
+
+
+@query(f"""{_CLASSES_SQL}
+SELECT vec_id, 10::INT AS classes, true AS sums_to_one, true AS beats_one_class FROM picked WHERE k <= floor(n * 0.2 + 0.5)""")
+def ml_softmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten classes by trees that are grown for all of them at once, saved and loaded."""
+    names, train, test = _vector_classes(spark, sf_dir)
+    model = softmax.fit_softmax(train, names[:10], rounds=3, depth=3, bins=16)
+    path = shared_path(spark, "softmax")
+    model.save(spark, path)
+    scored = settle(softmax.SoftmaxModel.load(spark, path).transform(test).select("vec_id", "y", "probability", "prediction"), "softmax")
+    better = macro_metrics(scored, learners.LABEL).first()["f1"] > 0.3
+    total = F.aggregate("probability", F.lit(0.0), lambda a, b: a + b)
+    return scored.select(
+        "vec_id", F.size("probability").alias("classes"), (F.abs(total - 1) < 1e-6).alias("sums_to_one"), F.lit(better).alias("beats_one_class")
+    )

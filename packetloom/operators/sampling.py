@@ -312,13 +312,10 @@ def build_retrain_set(
         if new > allowed:
             targets["local_normal"] = targets["local_normal"] * allowed // new
             targets["local_attack"] = targets["local_attack"] * allowed // new
-    tagged = {
-        "benchmark": benchmark.withColumn("source_type", F.lit("benchmark")),
-        "local_normal": sanitize(normal.withColumn("source_type", F.lit("local_normal"))),
-        "local_attack": sanitize(attack.withColumn("source_type", F.lit("local_attack"))),
-    }
-    # the samples take several passes; the pools are computed once
-    tagged = {source: settle(rows, f"pool-{source}") for source, rows in tagged.items()}
+    # a pool is read once: what cleans and samples it reads the stored rows
+    pools = {"benchmark": benchmark, "local_normal": normal, "local_attack": attack}
+    tagged = {source: settle(rows.withColumn("source_type", F.lit(source)), f"pool-{source}") for source, rows in pools.items()}
+    tagged = {source: rows if source == "benchmark" else sanitize(rows) for source, rows in tagged.items()}
     no_draw = F.lit(0).cast("bigint")
     bench = uniform_sample(tagged["benchmark"], key, targets["benchmark"]).withColumn("__draw", no_draw)
     pool = tagged["local_normal"]
