@@ -4,8 +4,9 @@ First tier: a table of the pre-tokens that are frequent in a bounded sample, wit
 every worker. Second tier: pre-tokens outside it are encoded once by the tokenizer library and kept in a bounded cache of
 the worker. Counts of a text are sums over its pre-tokens.
 
-The split into pre-tokens is exact for texts of ASCII and Latin letters. A text with any other character, or with a
-special token's string, goes to the library as a whole, so counts always equal the library's.
+The split into pre-tokens is exact for texts of ASCII and Latin letters. A text with any other character is split by the
+tokenizer itself and uses the same tiers in its spelling. Only one with a special token's string goes to the library as a
+whole, so counts always equal the library's.
 """
 
 from __future__ import annotations
@@ -53,15 +54,43 @@ class Lengths(dict):
     def __init__(self, frequent: dict[str, int], tokenizer, most: int) -> None:
         super().__init__(frequent)
         self.frequent, self.tokenizer, self.most = frequent, tokenizer, most
+        self._split: SplitLengths | None = None
+
+    def encoded(self, piece: str) -> int:
+        return len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
     def __missing__(self, piece: str) -> int:
-        count = len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        count = self.encoded(piece)
         if len(self) >= self.most + len(self.frequent):
             self.clear()
             self.update(self.frequent)
         self[piece] = count
         return count
 
+    @property
+    def split(self) -> SplitLengths:
+        """The same tiers for texts that the tokenizer itself has to split."""
+        if self._split is None:
+            self._split = SplitLengths(self)
+        return self._split
+
+
+class SplitLengths(Lengths):
+    """Lengths by the pre-tokens of the tokenizer, in its own spelling."""
+
+    def __init__(self, plain: Lengths) -> None:
+        cut = plain.tokenizer.pre_tokenizer.pre_tokenize_str
+        spelled = ((cut(piece), count) for piece, count in plain.frequent.items())
+        super().__init__({pieces[0][0]: count for pieces, count in spelled if len(pieces) == 1}, plain.tokenizer, plain.most)
+        self.cut = cut
+
+    def encoded(self, piece: str) -> int:
+        return len(self.tokenizer.model.tokenize(piece))
+
+    def count(self, text: str) -> int:
+        normalizer = self.tokenizer.normalizer
+        return sum(self[piece] for piece, _ in self.cut(normalizer.normalize_str(text) if normalizer else text))
+
 
 def special_strings(tokenizer) -> re.Pattern | None:
     added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
@@ -69,8 +98,10 @@ def special_strings(tokenizer) -> re.Pattern | None:
 
 
 def count_text(text: str, lengths: Lengths, special: re.Pattern | None) -> int:
-    if UNSAFE.search(text) or special and special.search(text):
+    if special and special.search(text) or lengths.tokenizer.pre_tokenizer is None:
         return len(lengths.tokenizer.encode(text, add_special_tokens=False).ids)
+    if UNSAFE.search(text):
+        return lengths.split.count(text)
     return sum(map(lengths.__getitem__, SPLIT.findall(text)))
 
 

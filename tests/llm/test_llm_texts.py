@@ -23,6 +23,7 @@ def frame(spark, rows):
 ODD = [
     None, "", " ", "a", "it's we're I'd", "  two  spaces\n\n\ttab ", "x<|endoftext|>y", "日本語 text", "naïve café 12³ ½",
     "\x0b\x0c\x1c\x85 \xa0 z", "!!??...---", "é" * 50_000, "supercalifragilistic " * 4000, "'''s 's'S", "a\r\n b",
+    "“curly” quotes’ — dash … € 5", "Привет, мир! 한국어 텍스트 ١٢٣", "👩‍👩‍👧 emoji\u2028line\u3000wide", "ﬁ ½ Å n\u0303 \ud7ff",
 ]
 
 
