@@ -11,7 +11,8 @@ from packetloom.operators import analytics
 from packetloom.sources import writers
 
 BATCH = [n for n in contract.queries() if not n.startswith(("stream", "ml_", "sampled_shapley", "pcap"))]
-FOREST = {"isolation_forest", "anomaly_training", "anomaly_retraining"}  # scored by a vectorised function
+#: Rows are scored by a vectorised function.
+FOREST = {"isolation_forest", "anomaly_training", "anomaly_retraining", "tree_shapley_values"}
 
 
 def plan_of(df):
