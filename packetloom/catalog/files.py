@@ -217,7 +217,7 @@ def partitioned_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(labelling.query.oracle["label_update_audit"])
 def label_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label store saved in buckets and updated from its own contents: only the buckets of the verdicts are rewritten."""
-    store = BucketTable(spark, shared_path(spark, "labels"), LABEL_ROW)
+    store = BucketTable(spark, shared_path(spark, "labels"), LABEL_ROW, buckets=16)
     store.save(v.label_store(spark, sf_dir))
     store.rewrite(labelling.verdicts(spark, sf_dir), lambda rows, verdicts: labels.update_labels(rows, verdicts, at=v.NOW))
     return store.load().select("flow_id", "label", "label_status", "label_confidence", "annotator_id")

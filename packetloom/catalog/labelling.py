@@ -123,7 +123,7 @@ def label_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = alerts.where("alert_level = 'MEDIUM'").select(
         F.md5(F.col("flow_id").cast("binary")).alias("flow_id"), F.lit("PortScan").alias("label"), verified
     )
-    store = BucketTable(spark, shared_path(spark, "labels"), LABEL_ROW)
+    store = BucketTable(spark, shared_path(spark, "labels"), LABEL_ROW, buckets=16)
     store.save(v.label_store(spark, sf_dir))
     store.upsert(replaced.unionByName(added))
     return store.load().select("flow_id", "label", "label_status")

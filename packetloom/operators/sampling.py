@@ -312,7 +312,7 @@ def build_retrain_set(
         if new > allowed:
             targets["local_normal"] = targets["local_normal"] * allowed // new
             targets["local_attack"] = targets["local_attack"] * allowed // new
-    # a pool is read once: what cleans and samples it reads the stored rows
+    # a pool is read once: what cleans and samples it reads stored rows
     pools = {"benchmark": benchmark, "local_normal": normal, "local_attack": attack}
     tagged = {source: settle(rows.withColumn("source_type", F.lit(source)), f"pool-{source}") for source, rows in pools.items()}
     tagged = {source: rows if source == "benchmark" else sanitize(rows) for source, rows in tagged.items()}

@@ -75,10 +75,12 @@ class BucketTable:
 
     def save(self, rows: DataFrame, buckets: int | None = None) -> int:
         """A version of these rows alone, whose keys must be unique."""
-        before = self.manifest()
-        rows = settle(self._aligned(rows), "saved")
-        if buckets or (not before["version"] and not self._buckets):
-            before["buckets"] = buckets or max(LEAST_BUCKETS, rows.count() // ROWS_PER_BUCKET)
+        before, rows = self.manifest(), self._aligned(rows)
+        if buckets:
+            before["buckets"] = buckets
+        elif not before["version"] and not self._buckets:
+            rows = settle(rows, "saved")
+            before["buckets"] = max(LEAST_BUCKETS, rows.count() // ROWS_PER_BUCKET)
         return self._announce(before, rows, None)
 
     def rewrite(self, changes: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
@@ -86,7 +88,7 @@ class BucketTable:
 
         ``change`` must keep rows in their buckets: it may alter, add and drop rows of the keys of ``changes`` only.
         """
-        before = self.manifest()
+        before, changes = self.manifest(), settle(changes, "changes")  # read for the buckets and by ``change``
         touched = sorted(r[0] for r in changes.select(self._bucket(before)).distinct().collect())  # at most all buckets
         if not touched:
             return before["version"]
