@@ -251,6 +251,31 @@ def test_spelling_is_a_distribution():
     assert lm.spelled([b"then"], mixer)[0] > lm.spelled([b"tnhe"], mixer)[0]
 
 
+def test_every_rare_word_teaches_the_spelling(spark):
+    words = [f"w{i * 7919 % 1000003}".encode() for i in range(21_000)]
+    rare = spark.createDataFrame([(w,) for w in words], "word binary")
+    mixer = lm.spelling_mixer(rare)
+    assert mixer.refined.sum() == 8 * sum(len(w) + 1 for w in words)  # eight bits of every byte and of the ends
+    hashes = {bytes(w): h for w, h in rare.selectExpr("word", "xxhash64(word)").collect()}
+    alone = lm.spelling_run(sorted(words, key=hashes.__getitem__), mixer.tables)
+    assert np.allclose(mixer.weights, alone.weights) and np.allclose(mixer.refined, alone.refined)
+
+
+def test_runs_of_the_spelling_are_averaged(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SPELLING_WORDS", 900)
+    words = [f"w{i * 7919 % 1000003}".encode() for i in range(2000)]
+    rare = spark.createDataFrame([(w,) for w in words], "word binary")
+    mixer = lm.spelling_mixer(rare)
+    hashes = {bytes(w): h for w, h in rare.selectExpr("word", "xxhash64(word)").collect()}
+    ordered = sorted(words, key=hashes.__getitem__)
+    each = [lm.spelling_run([w for w in ordered if hashes[w] % 3 == k], mixer.tables) for k in range(3)]
+    bits = [one.refined.sum(axis=(1, 2))[:, None] for one in each]
+    assert np.allclose(mixer.refined, sum(one.refined for one in each))
+    seen = mixer.refined.sum(axis=(1, 2)) > 0
+    mean = sum(n * one.weights for n, one in zip(bits, each))[seen] / sum(bits)[seen]
+    assert seen.sum() > 40 and np.allclose(mixer.weights[seen], mean)
+
+
 def test_better_than_the_base_on_held_out_texts(spark):
     docs = spark.read.parquet(str(TESTDATA / "sf0.1" / "documents.parquet")).select("doc_id", "text")
     found = lm.context_mixing_scores(docs).filter("held_out").toPandas()
