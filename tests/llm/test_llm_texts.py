@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import TESTDATA
@@ -251,6 +252,56 @@ def test_spelling_is_a_distribution():
     assert lm.spelled([b"then"], mixer)[0] > lm.spelled([b"tnhe"], mixer)[0]
 
 
+def test_the_texts_are_read_and_split_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    docs = frame(spark, [(i, f"some words {i % 9} and w{i}") for i in range(90)])
+    assert lm.context_mixing_scores(docs.mapInArrow(watched, docs.schema)).count() == 90
+    assert seen.value == 90
+
+
+def test_words_of_a_block():
+    texts = [b"The end of the END", b"", b"a b a", b"xx yy xx of", b"of it the of", b"new of new"]
+    train = np.array([True, True, False, True, True, False])
+    tally = lm.WordTally(0)
+    for part in (slice(0, 2), slice(2, 6)):
+        rows = pa.record_batch({"id": pa.array(range(6)[part])})
+        tally.add(rows, texts[part], train[part])
+    *rows, words = tally.told()
+    places = words.column("place").to_pylist()
+    names = dict(zip(places, words.column("word").to_pylist()))
+    listed = [[*t.lower().split(), lm.END] for t in texts]
+    assert [i for r in rows for i in r.column("id").to_pylist()] == [*range(6)]
+    assert [[names[k] for k in np.frombuffer(x, np.int32)] for r in rows for x in r.column("tokens").to_pylist()] == listed
+    assert [names[k] for k in range(len(names))] == sorted({w for x in listed for w in x})
+    assert [k for r in rows for k in r.column("place").to_pylist()] == [*range(6)]
+
+    leads = {0: b"the", 1: lm.END, 3: lm.END, 4: b"the"}  # the first of the most frequent words of three bytes or more
+    group = {i: zlib.crc32(w) % (lm.GROUPS - 1) + 1 for i, w in leads.items()}
+    for place, c, df, best in zip(places, *(words.column(k).to_pylist() for k in ("c", "df", "best"))):
+        word = names[place]
+        having = [i for i in leads if word in listed[i]]
+        by_group = Counter(group[i] for i in having)
+        most = max(by_group.values(), default=0)
+        lead = min((g for g, n in by_group.items() if n == most), default=0) if word != lm.END else 0
+        assert (c, df, best) == (sum(listed[i].count(word) for i in leads), len(having), most * lm.GROUPS + lead)
+
+
+def test_cells_of_a_branch_are_those_of_its_contexts_with_the_node():
+    words = {"df": np.array([5, 3, 2, 0]), "group": np.array([0, 7, 30, 0])}
+    part = lm.Slice([np.array([1, 2, 1, 3, 2, 0]), np.array([2, 1, 0])], np.array([True, False]), words, 9)
+    rows = np.arange(len(part.chosen))
+    plain = [np.resize([17, 4000, 3, 0, 99], len(rows)) * lm.GROUPS] * len(part.group_keys)
+    part.group_keys = lm.cell_keys(*plain)
+    for cells, node, _ in part.branches(rows):
+        assert (cells == lm.hashed_cells(*(x + node for x in plain))).all()
+
+
 def test_every_rare_word_teaches_the_spelling(spark):
     words = [f"w{i * 7919 % 1000003}".encode() for i in range(21_000)]
     rare = spark.createDataFrame([(w,) for w in words], "word binary")
