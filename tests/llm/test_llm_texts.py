@@ -353,6 +353,46 @@ def test_every_slice_of_a_block_teaches(monkeypatch):
     assert score(plain + echo) > alone + 0.02 * abs(alone)  # what comes late in the block teaches as well
 
 
+def test_new_words_are_counted_after_the_two_words_before_in_all_texts(spark):
+    draw = np.random.default_rng(5)
+    texts = {i: " ".join(f"w{k}" for k in draw.integers(0, 9, draw.integers(0, 15))) for i in range(300)}
+    listed = {i: ["", "", *t.split(), "END"] for i, t in texts.items()}
+    events = {i: [tuple(x[k - 2 : k + 1]) for k in range(2, len(x)) if x[k] not in x[2:k]] for i, x in listed.items()}
+    docs = spark.createDataFrame([(i, not held(i), t) for i, t in texts.items()], "id long, train boolean, text string").repartition(3)
+    blocks = lm.settle(lm.numbered_blocks(docs), "lm-test")
+    told = lm.pair_counts(blocks.filter("keys is not null").select("block", "place", "c", "keys", "n"), 1).toPandas()
+    rows, seen = blocks.toPandas(), []
+    assert told["piece"].max() > 0 and rows["block"].nunique() == 3
+    for block, part in rows.groupby("block"):
+        words = part[part["word"].notnull()].sort_values("place")
+        name = lm.mixed(np.array([zlib.crc32(w) for w in words["word"]], np.uint64))
+        own = part[part["tokens"].notnull()].sort_values("place")
+        tokens = [lm.unpacked(x, int(c), np.int32) for x, c in zip(own["tokens"], own["c"])]
+        pairs = told[told["block"] == block].sort_values(["place", "piece"])
+        counts, totals = (np.concatenate([lm.unpacked(x, c, np.int64) for x, c in zip(pairs[k], pairs["c"])]) for k in ("counts", "totals"))
+        parts = [slice(0, 7), slice(7, len(tokens))]
+        found = lm.followers(tokens, parts, own["train"].to_numpy(bool), name, counts, totals)
+        for i, x, after in zip(own["id"].astype(int), listed, found):
+            others = [e for j in texts if j != i and not held(j) for e in events[j]]
+            expected = {e[2]: (others.count(e), sum(o[:2] == e[:2] for o in others)) for e in events[i]}
+            first = [k for k in range(len(listed[i]) - 2) if listed[i][k + 2] not in listed[i][2 : k + 2]]
+            assert {listed[i][k + 2]: tuple(after[:, k].astype(int)) for k in first} == expected
+            assert (np.delete(after, first, axis=1) == 0).all()
+            seen.append(i)
+    assert sorted(seen) == sorted(texts)
+
+
+def test_texts_of_the_corpus_are_known_by_the_order_of_their_words(spark):
+    draw = np.random.default_rng(7)
+    train = {i: [f"w{k}" for k in draw.permutation(900)[:60]] for i in range(600) if not held(i)}
+    texts = {i: " ".join(x) for i, x in train.items()}
+    copies, mixed_up = [i for i in range(600) if held(i)][:40], [i for i in range(600) if held(i)][40:80]
+    for i, x in zip(copies + mixed_up, train.values()):
+        texts[i] = " ".join(x if i in copies else draw.permutation(x))
+    found = lm.context_mixing_scores(frame(spark, texts.items()).repartition(4)).toPandas().set_index("doc_id")["bits_per_byte"]
+    assert found[copies].max() < 0.6 * found[mixed_up].min()  # their training texts are mostly in other blocks
+
+
 def test_no_training_rows_and_no_rows(spark):
     ids = [i for i in range(40) if held(i)]
     found = lm.context_mixing_scores(frame(spark, [(i, "some words") for i in ids])).collect()
